@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillspark.llm import license_scan, packing
+from quillspark.llm import license_scan, packing, quality_rules, simhash
 from quillspark.llm.common import table
 
 
@@ -10,9 +10,17 @@ def op1_license_scan(spark, sf_dir):
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_rules(spark, sf_dir):
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op5_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op4_quality_rules, op5_simhash, op10_packing)}
 SQL: dict[str, str] = {}
