@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillspark.llm import license_scan, packing, quality_rules, simhash
+from quillspark.llm import chat, license_scan, order_minhash, packing, quality_rules, simhash
 from quillspark.llm.common import table
 
 
@@ -18,9 +18,19 @@ def op5_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_order_minhash(spark, sf_dir):
+    return order_minhash.order_minhash(table(spark, sf_dir, "documents"))
+
+
+def op8_chat_format(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-7, 0, "user", chat.PROBE), (-7, 1, chat.LEARNED, chat.PROBE)], turns.schema)
+    return chat.digests(chat.chat_format(turns.unionByName(probe)))
+
+
 def op10_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op4_quality_rules, op5_simhash, op10_packing)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op4_quality_rules, op5_simhash, op7_order_minhash, op8_chat_format, op10_packing)}
+SQL: dict[str, str] = {"op8_chat_format": chat.SQL}
