@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillspark.llm import chat, license_scan, order_minhash, packing, quality_rules, simhash
+from quillspark.llm import chat, language_id, license_scan, order_minhash, packing, quality_rules, sampled_pieces, simhash
 from quillspark.llm.common import table
 
 
@@ -18,6 +18,11 @@ def op5_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_sampled_pieces(spark, sf_dir):
+    """n_pieces, pieces_sha256, decoded_sha256: the last one is the text's own."""
+    return sampled_pieces.digests(sampled_pieces.encode(table(spark, sf_dir, "documents")))
+
+
 def op7_order_minhash(spark, sf_dir):
     return order_minhash.order_minhash(table(spark, sf_dir, "documents"))
 
@@ -28,9 +33,13 @@ def op8_chat_format(spark, sf_dir):
     return chat.digests(chat.chat_format(turns.unionByName(probe)))
 
 
+def op9_language_id(spark, sf_dir):
+    return language_id.language_id(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op4_quality_rules, op5_simhash, op7_order_minhash, op8_chat_format, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op4_quality_rules, op5_simhash, op6_sampled_pieces, op7_order_minhash, op8_chat_format, op9_language_id, op10_packing)}
 SQL: dict[str, str] = {"op8_chat_format": chat.SQL}
