@@ -64,11 +64,11 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def by_slice(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], column: str = "text") -> Callable:
+def by_slice(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], column: str = "text", most: int = SLICE_BYTES) -> Callable:
     """For mapInArrow: work on one slice at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, column):
+        for part in slices(batches, column, most):
             out = work(part)
             if out is not None and out.num_rows:
                 yield out

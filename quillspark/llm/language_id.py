@@ -26,6 +26,8 @@ from quillspark.llm.lattice import MAX_UNIT, Pieces, backward, build, forward, p
 #: Expected rows of each language that teach (chosen by a hash of the id; all rows of a rarer language).
 SAMPLE_ROWS = 2000
 ROUNDS = 2
+#: The more texts are handled together, the more often a word's lattice is used.
+BATCH_ROWS, BATCH_BYTES = 5000, 16 << 20
 #: Added to each piece's expected count; probability of a code point without a piece.
 SMOOTHING, UNKNOWN = 0.1, 1e-7
 #: A document is kept if its language is known with such a score.
@@ -59,7 +61,7 @@ def held_out(id_col: str) -> Column:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = SAMPLE_ROWS, rounds: int = ROUNDS) -> Model:
     """The piece probabilities of each language. Word counts of the sample stay distributed; what reaches the driver is a
     number for each language and piece."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, BATCH_ROWS)
     labelled = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out("id"))
     totals = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
     langs = sorted(totals)
@@ -148,7 +150,7 @@ def predict(texts: list[str | None], model: Model, pieces: Pieces) -> tuple[list
 
 def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", model: Model | None = None) -> DataFrame:
     """One row per row of docs: id, held_out, lang_pred, score, kept (a language was found with MIN_SCORE)."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, BATCH_ROWS)
     model = model or fit(docs, id_col, text_col, lang_col)
     names = [id_col, "held_out", "lang_pred", "score", "kept"]
 
@@ -160,7 +162,7 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             kept = [k != UNDETERMINED and s >= MIN_SCORE for k, s in zip(langs, scores, strict=True)]
             return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(langs), pa.array(scores), pa.array(kept)], names)
 
-        return by_slice(work, text_col)(batches)
+        return by_slice(work, text_col, BATCH_BYTES)(batches)
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, held_out(id_col).alias("held_out"), text_col).mapInArrow(run, f"`{id_col}` {kind}, held_out boolean, lang_pred string, score double, kept boolean")

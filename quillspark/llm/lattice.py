@@ -15,6 +15,8 @@ import numpy as np
 
 MAX_UNIT = 32
 _M = np.uint64(0x9E3779B97F4A7C15)
+TABLE_BITS = 18
+NEAR, NONE = 512, -2
 
 
 def load_pieces(model_path: str | None = None):
@@ -52,28 +54,64 @@ class Pieces:
                 old, found = prefixes.get(h, (piece[:k], -1))
                 assert old == piece[:k], "two prefixes share a hash"
                 prefixes[h] = (old, i if k == len(piece) else found)
-        hashes = np.array(sorted(prefixes), np.uint64)
-        self.hashes, self.piece = hashes, np.array([prefixes[int(h)][1] for h in hashes], np.int64)
         self.longest = max(len(p) for p, _ in prefixes.values())
         self.ranks = ranks
-        #: A slot for each value of the hashes' top bits: where to look among the sorted hashes.
-        self.shift = np.uint64(64 - 18)
-        self.slots = np.searchsorted(hashes, np.arange(1 << 18, dtype=np.uint64) << self.shift)
-        steps = np.diff(np.append(self.slots, len(hashes)))
-        self.deepest = int(steps.max())
+        #: Open addressing by the hashes' top bits, 0 where a slot is free.
+        self.hashes = np.zeros((1 << TABLE_BITS) + 64, np.uint64)
+        self.piece = np.full(len(self.hashes), -1, np.int32)
+        for h, (_, found) in prefixes.items():
+            at = h >> 64 - TABLE_BITS
+            while self.hashes[at]:
+                at += 1
+            self.hashes[at], self.piece[at] = h, found
+        self.marks = (self.hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)  # half as wide: more of it stays in the cache
+        self.marks[(self.hashes != 0) & (self.marks == 0)] = 1
+        #: Pieces by their first one and two code points: NONE if no piece goes on so, -1 if none ends there.
+        self.one = np.full(0x110000, NONE, np.int32)
+        self.two = np.full(NEAR * NEAR, NONE, np.int32)
+        for prefix, found in prefixes.values():
+            if len(prefix) == 1:
+                self.one[ord(prefix)] = found
+            elif len(prefix) == 2 and max(map(ord, prefix)) < NEAR:
+                self.two[ord(prefix[0]) * NEAR + ord(prefix[1])] = found
+
+    def starts(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """find() for single code points."""
+        piece = self.one[code]
+        rows = np.flatnonzero(piece != NONE)
+        return rows, piece[rows]
+
+    def pairs(self, a: np.ndarray, b: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """find() for two code points."""
+        near = (a < NEAR) & (b < NEAR)
+        if near.all():
+            piece = self.two[a * np.uint32(NEAR) + b]
+        else:
+            piece = np.full(len(a), NONE, np.int32)
+            piece[near] = self.two[a[near] * np.uint32(NEAR) + b[near]]
+            far = np.flatnonzero(~near)
+            rows, found = self.find(h[far])
+            piece[far[rows]] = found
+        rows = np.flatnonzero(piece != NONE)
+        return rows, piece[rows]
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether each hash is a prefix of a piece, and the piece that ends there or -1."""
-        at = self.slots[h >> self.shift]
-        last = len(self.hashes) - 1
-        for _ in range(self.deepest):
-            low = self.hashes[np.minimum(at, last)] < h
-            if not low.any():
-                break
-            at = at + low
-        at = np.minimum(at, last)
-        hit = self.hashes[at] == h
-        return hit, np.where(hit, self.piece[at], -1)
+        """Which of the hashes are prefixes of pieces (row numbers, sorted), and the piece that ends there or -1."""
+        at = (h >> np.uint64(64 - TABLE_BITS)).astype(np.int32)
+        mark = h.astype(np.uint32)
+        mark[mark == 0] = 1
+        there = self.marks[at]
+        hit = there == mark
+        hit[hit] = self.hashes[at[hit]] == h[hit]
+        open_rows = np.flatnonzero((there != 0) & ~hit)
+        while len(open_rows):
+            at[open_rows] += 1
+            there = self.hashes[at[open_rows]]
+            same = there == h[open_rows]
+            hit[open_rows[same]] = True
+            open_rows = open_rows[(there != 0) & ~same]
+        rows = np.flatnonzero(hit)
+        return rows, self.piece[at[rows]]
 
 
 @dataclass
@@ -90,40 +128,41 @@ class Lattice:
 
 
 def build(units: list[str], pieces: Pieces) -> Lattice:
-    lengths = np.fromiter(map(len, units), np.int64, len(units))
-    codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    first = np.concatenate(([0], np.cumsum(lengths + 1)))
-    node = np.arange(len(codes)) + np.repeat(np.arange(len(units)), lengths)  # of each code point
-    code = np.zeros(first[-1], np.uint64)
+    lengths = np.fromiter(map(len, units), np.int32, len(units))
+    codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
+    first = np.concatenate(([0], np.cumsum(lengths + 1, dtype=np.int32)))
+    node = np.arange(len(codes), dtype=np.int32) + np.repeat(np.arange(len(units), dtype=np.int32), lengths)  # of each code point
+    code = np.zeros(first[-1], np.uint32)
     code[node] = codes
-    end = np.repeat(first[1:] - 1, lengths)
+    step = code.astype(np.uint64) + np.uint64(1)
     h = np.zeros(len(codes), np.uint64)
-    active, stop_at = node, end
+    active = node
     starts, stops, found = [], [], []
     single = np.zeros(first[-1], bool)
     for k in range(pieces.longest):
-        h = h * _M + code[active + k] + np.uint64(1)
-        hit, piece = pieces.find(h)
-        whole = piece >= 0
-        starts.append(active[whole])
-        stops.append(active[whole] + k + 1)
+        h = h * _M + step[active + k]
+        rows, piece = pieces.starts(code[active]) if k == 0 else pieces.pairs(code[active], code[active + 1], h) if k == 1 else pieces.find(h)
+        active, h = active[rows], h[rows]
+        whole = np.flatnonzero(piece >= 0)
+        ends = active[whole]
+        starts.append(ends)
+        stops.append(ends + np.int32(k + 1))
         found.append(piece[whole])
         if k == 0:
-            single[active[whole]] = True
-        go = hit & (active + k + 1 < stop_at)
-        active, stop_at, h = active[go], stop_at[go], h[go]
+            single[ends] = True
+        go = np.flatnonzero(code[active + (k + 1)])  # no code point: the unit's end
+        active, h = active[go], h[go]
         if not len(active):
             break
     bare = node[~single[node]]
     starts.append(bare)
-    stops.append(bare + 1)
-    found.append(np.full(len(bare), -1))
+    stops.append(bare + np.int32(1))
+    found.append(np.full(len(bare), -1, np.int32))
     start, stop, piece = np.concatenate(starts), np.concatenate(stops), np.concatenate(found)
-    unit_first = np.repeat(first[:-1], lengths + 1)
-    depth = stop - unit_first[stop]
+    depth = (np.arange(first[-1], dtype=np.int32) - np.repeat(first[:-1], lengths + 1)).astype(np.uint8)[stop]
     order = np.lexsort((stop, depth))
     start, stop, piece, depth = start[order], stop[order], piece[order], depth[order]
-    borders = np.searchsorted(depth, np.arange(1, (depth.max() if len(depth) else 0) + 2))
+    borders = np.searchsorted(depth, np.arange(1, (int(depth.max()) if len(depth) else 0) + 2))
     return Lattice(first, code, start, stop, piece, depth, [slice(a, b) for a, b in zip(borders[:-1], borders[1:], strict=True)])
 
 

@@ -24,6 +24,8 @@ from quillspark.llm.common import by_slice, small_batches
 from quillspark.llm.lattice import build, forward, pieces_of
 
 SEED = 17
+#: The more texts are handled together, the more often a unit's lattice is used.
+BATCH_ROWS, BATCH_BYTES = 5000, 16 << 20
 #: Up to 32 code points each.
 _UNIT = re.compile(r" {0,8}[^ ]{1,24}| {1,32}")
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -68,15 +70,16 @@ class Sampler:
         width = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
         w[bare] = self.byte ** width[bare]
         alpha = forward(lattice, w[:, None])[:, 0]
-        order = np.argsort(lattice.stop, kind="stable")
-        start, stop, piece, code = lattice.start[order], lattice.stop[order], lattice.piece[order], code[order]
-        share = alpha[start] * w[order] / alpha[stop]
+        share = alpha[lattice.start] * w / alpha[lattice.stop]
+        order = np.lexsort((-share, lattice.stop))  # likely pieces first: most draws end at the first
+        start, stop, piece, code, share = lattice.start[order], lattice.stop[order], lattice.piece[order], code[order], share[order]
         edge = np.flatnonzero(np.append(stop[1:] != stop[:-1], True))  # last edge into each node
         total = np.cumsum(share)
         ahead = np.concatenate(([0], total[edge[:-1]]))
-        within = np.minimum(total - np.repeat(ahead, np.diff(np.append(-1, edge))), 1)
-        within[edge] = 1
-        bounds = stop + within  # increasing: an edge is drawn where node + draw falls below its bound
+        bounds = total - np.repeat(ahead, np.diff(np.append(-1, edge)))
+        bounds[edge] = 1  # an edge is drawn where the draw falls below its bound
+        likeliest = np.zeros(lattice.first[-1], np.int32)
+        likeliest[stop[edge]] = np.append(0, edge[:-1] + 1)
         units = np.array(units)
         sizes = np.array(sizes)
         place = np.arange(len(units)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -85,7 +88,12 @@ class Sampler:
         drawn = []
         step = 0
         while len(active):
-            at = np.searchsorted(bounds, node + draws(seeds, step), "right")
+            draw = draws(seeds, step)
+            at = likeliest[node]
+            on = np.flatnonzero(draw >= bounds[at])
+            while len(on):
+                at[on] += 1
+                on = on[draw[on] >= bounds[at[on]]]
             drawn.append((active, at))
             node = start[at]
             more = node > begin
@@ -127,7 +135,7 @@ def row_key(value, seed: int = SEED) -> int:
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED) -> DataFrame:
     """(id, pieces array<int>) for each row of docs: a narrow map."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, BATCH_ROWS)
 
     def run(batches):
         sampler = Sampler()
@@ -138,7 +146,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed
             offsets = pa.array(np.concatenate(([0], np.cumsum([len(r) for r in rows]))), pa.int32())
             return pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(rows)))], [id_col, "pieces"])
 
-        return by_slice(work, text_col)(batches)
+        return by_slice(work, text_col, BATCH_BYTES)(batches)
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, pieces array<int>")
