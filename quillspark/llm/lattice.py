@@ -160,7 +160,7 @@ def build(units: list[str], pieces: Pieces) -> Lattice:
     found.append(np.full(len(bare), -1, np.int32))
     start, stop, piece = np.concatenate(starts), np.concatenate(stops), np.concatenate(found)
     depth = (np.arange(first[-1], dtype=np.int32) - np.repeat(first[:-1], lengths + 1)).astype(np.uint8)[stop]
-    order = np.lexsort((stop, depth))
+    order = np.argsort(depth.astype(np.int64) << 48 | stop.astype(np.int64) << 8 | (stop - start))  # no two keys are equal
     start, stop, piece, depth = start[order], stop[order], piece[order], depth[order]
     borders = np.searchsorted(depth, np.arange(1, (int(depth.max()) if len(depth) else 0) + 2))
     return Lattice(first, code, start, stop, piece, depth, [slice(a, b) for a, b in zip(borders[:-1], borders[1:], strict=True)])

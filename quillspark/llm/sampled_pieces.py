@@ -71,8 +71,9 @@ class Sampler:
         w[bare] = self.byte ** width[bare]
         alpha = forward(lattice, w[:, None])[:, 0]
         share = alpha[lattice.start] * w / alpha[lattice.stop]
-        order = np.lexsort((-share, lattice.stop))  # likely pieces first: most draws end at the first
-        start, stop, piece, code, share = lattice.start[order], lattice.stop[order], lattice.piece[order], code[order], share[order]
+        # likely pieces first: most draws end at the first; the small term settles ties alike in any company
+        order = np.argsort(lattice.stop - 0.5 * share + 1e-7 * (lattice.stop - lattice.start))
+        start, stop, piece, code, share = lattice.start[order], lattice.stop[order], lattice.piece[order], code[order].astype(np.int32), share[order]
         edge = np.flatnonzero(np.append(stop[1:] != stop[:-1], True))  # last edge into each node
         total = np.cumsum(share)
         ahead = np.concatenate(([0], total[edge[:-1]]))
@@ -80,15 +81,16 @@ class Sampler:
         bounds[edge] = 1  # an edge is drawn where the draw falls below its bound
         likeliest = np.zeros(lattice.first[-1], np.int32)
         likeliest[stop[edge]] = np.append(0, edge[:-1] + 1)
-        units = np.array(units)
+        units = np.array(units, np.int32)
         sizes = np.array(sizes)
         place = np.arange(len(units)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         seeds = np.repeat(np.array(keys, np.uint64), sizes) ^ (place.astype(np.uint64) + np.uint64(1)) * _C3
-        node, begin, active = lattice.first[units + 1] - 1, lattice.first[units], np.arange(len(units))
+        active = np.argsort(units, kind="stable")  # occurrences of a unit side by side: near nodes are read together
+        seeds, node, begin = seeds[active], lattice.first[units[active] + 1] - 1, lattice.first[units[active]]
+        lengths = np.zeros(len(units), np.int32)
         drawn = []
-        step = 0
         while len(active):
-            draw = draws(seeds, step)
+            draw = draws(seeds, len(drawn))
             at = likeliest[node]
             on = np.flatnonzero(draw >= bounds[at])
             while len(on):
@@ -96,14 +98,12 @@ class Sampler:
                 on = on[draw[on] >= bounds[at[on]]]
             drawn.append((active, at))
             node = start[at]
-            more = node > begin
+            going = node > begin
+            lengths[active[~going]] = len(drawn)
+            more = np.flatnonzero(going)
             node, begin, active, seeds = node[more], begin[more], active[more], seeds[more]
-            step += 1
-        lengths = np.zeros(len(units), np.int64)
-        for active, _ in drawn:
-            lengths[active] += 1
         ends = np.cumsum(lengths)
-        edges = np.empty(ends[-1], np.int64)
+        edges = np.empty(ends[-1], np.int32)
         for k, (active, at) in enumerate(drawn):
             edges[ends[active] - 1 - k] = at
         ids, codes = piece[edges], code[edges]
