@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillspark.llm import chat, language_id, license_scan, order_minhash, packing, quality_rules, sampled_pieces, simhash
+from quillspark.llm import chat, language_id, license_scan, order_minhash, packing, quality_rules, sampled_pieces, simhash, weak_quality
 from quillspark.llm.common import table
 
 
@@ -10,6 +10,10 @@ def op1_license_scan(spark, sf_dir):
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op3_weak_quality(spark, sf_dir):
+    return weak_quality.weak_quality(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -41,5 +45,5 @@ def op10_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op4_quality_rules, op5_simhash, op6_sampled_pieces, op7_order_minhash, op8_chat_format, op9_language_id, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op3_weak_quality, op4_quality_rules, op5_simhash, op6_sampled_pieces, op7_order_minhash, op8_chat_format, op9_language_id, op10_packing)}
 SQL: dict[str, str] = {"op8_chat_format": chat.SQL}
