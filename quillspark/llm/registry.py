@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillspark.llm import chat, language_id, license_scan, order_minhash, packing, quality_rules, sampled_pieces, simhash, weak_quality
+from quillspark.llm import chat, language_id, license_scan, order_minhash, packing, quality_rules, sampled_pieces, simhash, substring_dedup, weak_quality
 from quillspark.llm.common import table
 
 
@@ -10,6 +10,10 @@ def op1_license_scan(spark, sf_dir):
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark, sf_dir):
+    return substring_dedup.spans(table(spark, sf_dir, "documents"))
+
+
 def op3_weak_quality(spark, sf_dir):
     return weak_quality.weak_quality(table(spark, sf_dir, "documents"))
 
@@ -24,7 +28,7 @@ def op5_simhash(spark, sf_dir):
 
 def op6_sampled_pieces(spark, sf_dir):
     """n_pieces, pieces_sha256, decoded_sha256: the last one is the text's own."""
-    return sampled_pieces.digests(sampled_pieces.encode(table(spark, sf_dir, "documents")))
+    return sampled_pieces.digests(table(spark, sf_dir, "documents"))
 
 
 def op7_order_minhash(spark, sf_dir):
@@ -45,5 +49,5 @@ def op10_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op3_weak_quality, op4_quality_rules, op5_simhash, op6_sampled_pieces, op7_order_minhash, op8_chat_format, op9_language_id, op10_packing)}
-SQL: dict[str, str] = {"op8_chat_format": chat.SQL}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_substring_dedup, op3_weak_quality, op4_quality_rules, op5_simhash, op6_sampled_pieces, op7_order_minhash, op8_chat_format, op9_language_id, op10_packing)}
+SQL: dict[str, str] = {"op2_substring_dedup": substring_dedup.SQL, "op8_chat_format": chat.SQL}

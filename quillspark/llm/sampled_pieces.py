@@ -25,7 +25,7 @@ from quillspark.llm.lattice import build, forward, pieces_of
 
 SEED = 17
 #: The more texts are handled together, the more often a unit's lattice is used.
-BATCH_ROWS, BATCH_BYTES = 5000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 2000, 6 << 20
 #: Up to 32 code points each.
 _UNIT = re.compile(r" {0,8}[^ ]{1,24}| {1,32}")
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -133,10 +133,7 @@ def row_key(value, seed: int = SEED) -> int:
     return xxhash.xxh64_intdigest(b"" if value is None else str(value).encode(), seed)
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED) -> DataFrame:
-    """(id, pieces array<int>) for each row of docs: a narrow map."""
-    small_batches(docs.sparkSession, BATCH_ROWS)
-
+def _encoder(id_col: str, text_col: str, seed: int):
     def run(batches):
         sampler = Sampler()
 
@@ -148,34 +145,46 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed
 
         return by_slice(work, text_col, BATCH_BYTES)(batches)
 
+    return run
+
+
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED) -> DataFrame:
+    """(id, pieces array<int>) for each row of docs: a narrow map."""
+    small_batches(docs.sparkSession, BATCH_ROWS)
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, pieces array<int>")
+    return docs.select(id_col, text_col).mapInArrow(_encoder(id_col, text_col, seed), f"`{id_col}` {kind}, pieces array<int>")
+
+
+def _arrays(batch: pa.RecordBatch):
+    """The pieces of each row of an encoded batch, one at a time."""
+    column = batch.column(1)
+    for i in range(len(column)):
+        yield column[i].values.to_numpy() if column[i].is_valid else np.zeros(0, np.int32)
 
 
 def decode(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(id, text) from (id, pieces); null pieces decode to an empty text."""
+    small_batches(encoded.sparkSession, BATCH_ROWS)
 
     def run(batches):
         sampler = Sampler()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([sampler.decode(x or ()) for x in batch.column(1).to_pylist()], pa.string())], [id_col, "text"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([sampler.decode(x.tolist()) for x in _arrays(batch)], pa.string())], [id_col, "text"])
 
     kind = encoded.schema[id_col].dataType.simpleString()
     return encoded.select(id_col, "pieces").mapInArrow(run, f"`{id_col}` {kind}, text string")
 
 
-def digests(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id, n_pieces, pieces_sha256 of little-endian 32-bit ids, decoded_sha256 of the decoded text) from (id, pieces)."""
+def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED) -> DataFrame:
+    """(id, n_pieces, pieces_sha256 of little-endian 32-bit ids, decoded_sha256 of the text decoded from them): encode and
+    decode in one worker, without handing the pieces to Spark."""
+    small_batches(docs.sparkSession, BATCH_ROWS)
 
     def run(batches):
         sampler = Sampler()
-        for batch in batches:
-            rows = []
-            for ids in batch.column(1).to_pylist():
-                ids = ids or []
-                rows.append((len(ids), hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest(), hashlib.sha256(sampler.decode(ids).encode("utf-8", "surrogatepass")).hexdigest()))
-            if rows:
-                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c) for c in zip(*rows, strict=True))], [id_col, "n_pieces", "pieces_sha256", "decoded_sha256"])
+        for batch in _encoder(id_col, text_col, seed)(batches):
+            rows = [(len(x), hashlib.sha256(x.astype("<i4").tobytes()).hexdigest(), hashlib.sha256(sampler.decode(x.tolist()).encode("utf-8", "surrogatepass")).hexdigest()) for x in _arrays(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c) for c in zip(*rows, strict=True))], [id_col, "n_pieces", "pieces_sha256", "decoded_sha256"])
 
-    kind = encoded.schema[id_col].dataType.simpleString()
-    return encoded.select(id_col, "pieces").mapInArrow(run, f"`{id_col}` {kind}, n_pieces long, pieces_sha256 string, decoded_sha256 string")
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_pieces long, pieces_sha256 string, decoded_sha256 string")
