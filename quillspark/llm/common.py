@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType
 
 #: Bytes of text that a Python worker handles at a time.
 SLICE_BYTES = 8 << 20
@@ -48,7 +49,7 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut so that a slice holds about `most` bytes of the column, one row at least."""
     for batch in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_pylist()
         first = held = 0
         for i, n in enumerate(sizes):
             if held and held + n > most:
@@ -74,3 +75,13 @@ def by_slice(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], column: st
                 yield out
 
     return run
+
+
+def kept_rows(docs: DataFrame, decide: Callable[[list], list[bool]], text_col: str = "text", most: int = SLICE_BYTES) -> DataFrame:
+    """The rows of docs for which decide(texts) holds, with all their columns: a narrow map."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.filter(pa.array(decide(batch.column(batch.schema.get_field_index(text_col))), pa.bool_()))
+
+    schema = StructType([StructField(f.name, f.dataType) for f in docs.schema.fields])
+    return docs.mapInArrow(by_slice(work, text_col, most), schema)

@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import by_slice, small_batches, written
+from quillspark.llm.common import by_slice, kept_rows, small_batches, written
 from quillspark.llm.lattice import MAX_UNIT, Pieces, backward, build, forward, pieces_of
 
 #: Expected rows of each language that teach (chosen by a hash of the id; all rows of a rarer language).
@@ -159,10 +159,21 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             langs, scores = predict(batch.column(2).to_pylist(), model, pieces)
-            kept = [k != UNDETERMINED and s >= MIN_SCORE for k, s in zip(langs, scores, strict=True)]
+            kept = accepted(langs, scores)
             return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(langs), pa.array(scores), pa.array(kept)], names)
 
         return by_slice(work, text_col, BATCH_BYTES)(batches)
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, held_out(id_col).alias("held_out"), text_col).mapInArrow(run, f"`{id_col}` {kind}, held_out boolean, lang_pred string, score double, kept boolean")
+
+
+def accepted(langs: list[str], scores: list[float]) -> list[bool]:
+    return [k != UNDETERMINED and s >= MIN_SCORE for k, s in zip(langs, scores, strict=True)]
+
+
+def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", model: Model | None = None) -> DataFrame:
+    """The rows of docs whose language is found, with all their columns."""
+    small_batches(docs.sparkSession, BATCH_ROWS)
+    model = model or fit(docs, id_col, text_col, lang_col)
+    return kept_rows(docs, lambda texts: accepted(*predict(texts.to_pylist(), model, pieces_of())), text_col, BATCH_BYTES)

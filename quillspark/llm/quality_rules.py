@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import as_bytes, by_slice, small_batches
+from quillspark.llm.common import as_bytes, by_slice, kept_rows, small_batches
 
 #: Frequent words of each language, the bins of the word histogram besides "any other".
 COMMON_WORDS = {
@@ -162,8 +162,7 @@ def judge(raw: bytes, classes: np.ndarray | None, common: np.ndarray | None) ->
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per row of docs: id and FIELDS. Two narrow passes; the first one's sums are the only exchange."""
-    found = references(docs, text_col, lang_col)
-    classes, common = (np.array(x) for x in zip(*found.values(), strict=True)) if found else (None, None)
+    classes, common = _stacked(references(docs, text_col, lang_col))
     names = [x.split()[0] for x in FIELDS]
     types = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
 
@@ -173,3 +172,13 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(by_slice(work, text_col), f"`{id_col}` {kind}, {', '.join(FIELDS)}")
+
+
+def _stacked(found: dict[str, tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray | None, np.ndarray | None]:
+    return tuple(np.array(x) for x in zip(*found.values(), strict=True)) if found else (None, None)
+
+
+def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of docs that quality_rules keeps, with all their columns."""
+    classes, common = _stacked(references(docs, text_col, lang_col))
+    return kept_rows(docs, lambda texts: [judge(raw, classes, common)[6] for raw in as_bytes(texts)], text_col)

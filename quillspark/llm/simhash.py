@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -165,3 +165,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = whole.groupBy("component").agg(F.min("first").alias("component_id"))
     by_fp = whole.join(least, "component").select("fp", "component_id")
     return found.join(by_fp, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
+    """The row of the smallest id of each component, with all its columns. Rows of one id count as one document, of which
+    the first by text stays."""
+    found = near_duplicates(docs, id_col, text_col, width)
+    heads = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_head")).distinct()
+    kept = docs.join(heads, docs[id_col].eqNullSafe(heads["_head"]), "left_semi")
+    nth = F.row_number().over(Window.partitionBy(id_col).orderBy(text_col))
+    return kept.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
