@@ -34,11 +34,11 @@ from quillspark.llm.suffix_sort import sort_suffixes
 
 LENGTH, GRAM = 50, 16
 #: Bytes of a block, blocks in a bucket, bytes that are worked on at a time (a longer text is cut, its windows are not).
-BLOCK_BYTES, BLOCKS, CHUNK = 4 << 20, 3, 4 << 20
+BLOCK_BYTES, BLOCKS, CHUNK = 4 << 20, 3, 1 << 19
 #: A part of the leaders covers so many bytes of text at most.
 PART_BYTES = 512 << 20
 #: Contexts of one leader beyond which single windows are dealt by content.
-MANY = 512
+MANY = 4096
 NO_ID = (1 << 63) - 1
 _M1, _M2, _B = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93
 _LOW = np.uint64(0xFFFFFF)
