@@ -2,5 +2,10 @@
 
 from __future__ import annotations
 
+from quillspark.plans import archives, conversations, events, numbers, texts
+
 QUERIES: dict = {}
 SQL: dict = {}
+for _module in (events, archives, texts, conversations, numbers):
+    QUERIES |= _module.book.queries
+    SQL |= _module.book.sql
