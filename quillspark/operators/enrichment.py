@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -20,14 +22,14 @@ OTHER = 0
 def by_keywords(content: Column, keywords: dict[int, list[str]]) -> Column:
     """Sorted ids of the categories of which a word stands in the text; [OTHER] if none does."""
     low = F.lower(F.coalesce(content, F.lit("")))
-    hits = F.array(*(F.when(F.array_contains(F.array(*(low.contains(w) for w in words)), True), F.lit(i)) for i, words in sorted(keywords.items())))
-    return normalised(F.filter(hits, lambda x: x.isNotNull()))
+    hits = (F.when(reduce(or_, (low.contains(w) for w in words)), F.lit(i)) for i, words in sorted(keywords.items()))
+    return normalised(F.array_compact(F.array(*hits)))
 
 
 def normalised(ids: Column, known: list[int] | None = None) -> Column:
     """ids without those that no category has, [OTHER] for null and empty."""
     kept = ids if known is None else F.filter(ids, lambda x: x.isin(known))
-    return F.when(F.coalesce(F.size(kept), F.lit(0)) > 0, kept).otherwise(F.array(F.lit(OTHER)))
+    return F.coalesce(F.nullif(kept, F.array().cast("array<int>")), F.array(F.lit(OTHER)))
 
 
 def names_of(ids: Column, names: dict[int, str]) -> Column:
