@@ -38,7 +38,7 @@ BLOCK_BYTES, BLOCKS, CHUNK = 4 << 20, 3, 1 << 19
 #: A part of the leaders covers so many bytes of text at most.
 PART_BYTES = 512 << 20
 #: Contexts of one leader beyond which single windows are dealt by content.
-MANY = 4096
+MANY = 1024
 NO_ID = (1 << 63) - 1
 _M1, _M2, _B = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93
 _LOW = np.uint64(0xFFFFFF)
@@ -95,7 +95,9 @@ class Runs:
         leader_at = at[first].astype(np.int64)
         docs = np.array([d for d, _, _ in pieces], np.int64)
         self.doc = docs[row[first]]
-        self.leader = h[leader_at]
+        # the least of many hashes are small numbers: mixed again, so that ranges of them are equally full
+        leader = (h[leader_at] ^ (h[leader_at] >> np.uint64(31))) * m2
+        self.leader = leader ^ (leader >> np.uint64(32))
         power, inverse = _power_tables(max(n, CHUNK + 4096))
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE_CODES[self.data[:n]] * power[:n])))
         c = (sums[self.high + length] - sums[self.low]) * inverse[self.low]
