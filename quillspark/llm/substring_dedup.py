@@ -35,8 +35,8 @@ from quillspark.llm.suffix_sort import sort_suffixes
 LENGTH, GRAM = 50, 16
 #: Bytes of a block, blocks in a bucket, bytes that are worked on at a time (a longer text is cut, its windows are not).
 BLOCK_BYTES, BLOCKS, CHUNK = 4 << 20, 3, 1 << 19
-#: A part of the leaders covers so many bytes of text at most.
-PART_BYTES = 512 << 20
+#: A part of the leaders covers so many bytes of text; so many parts where there is less text.
+PART_BYTES, PARTS = 64 << 20, 48
 #: Contexts of one leader beyond which single windows are dealt by content.
 MANY = 1024
 NO_ID = (1 << 63) - 1
@@ -442,7 +442,7 @@ def repeats(docs: DataFrame, finish: Callable[[Block, list[np.ndarray], pa.Table
     spark = docs.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
     blocks, total = _in_blocks(docs, id_col, text_col)
-    parts = max(min(partitions(spark), 200), total // PART_BYTES)
+    parts = max(min(partitions(spark), PARTS), total // PART_BYTES)
     rounds = Rounds(parts, id_col, text_col, length)
     by_block = blocks.groupBy("_block")
     slim = blocks.select(id_col, text_col, "_block").groupBy("_block")

@@ -1,6 +1,6 @@
 """Deep-shallow sorting of suffixes up to a depth.
 
-Shallow: multikey quicksort whose characters are words of eight bytes; all groups of a level are split at once, in numpy.
+Shallow: multikey quicksort whose characters are eight, then four bytes; all groups of a level are split at once, in numpy.
 Deep: groups that still share SHALLOW bytes, and whose members differ somewhere before the depth, are ordered by a blind
 trie each: it branches on single bytes and compares whole strings only once per insertion.
 """
@@ -69,15 +69,21 @@ def sort_suffixes(data: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.
     """The order of the suffixes by their first `depth` bytes (more than SHALLOW; all inside data, which has 8 bytes to
     spare behind them), and for each place in it whether the suffix there equals the one before up to the depth."""
     n = len(starts)
-    order = np.arange(n)
-    group = np.zeros(n, np.int64)
-    edge = np.concatenate((np.ones(min(n, 1), bool), np.zeros(max(0, n - 1), bool)))
-    for at in range(0, SHALLOW, 8):
-        key = words(data, starts[order] + at)
-        moved = np.lexsort((key, group))
-        order, key = order[moved], key[moved]
-        edge = np.concatenate(([True], (group[1:] != group[:-1]) | (key[1:] != key[:-1]))) if n else edge
-        group = np.cumsum(edge) - 1
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, bool)
+    key = words(data, starts)
+    order = np.argsort(key)
+    group = np.zeros(n, np.uint64)
+    for at in range(8, SHALLOW + 4, 4):
+        key = key[order] if at == 8 else key[moved]
+        edge = np.concatenate(([True], key[1:] != key[:-1]))
+        group = np.cumsum(edge, dtype=np.uint64) - np.uint64(1)
+        if at == SHALLOW:
+            break
+        key = group << np.uint64(32) | words(data, starts[order] + at, 4)  # group and next character in one number
+        moved = np.argsort(key)
+        order = order[moved]
+    group = group.astype(np.int64)
     same = ~edge
     if not same.any():
         return order, same
