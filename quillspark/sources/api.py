@@ -1,7 +1,7 @@
 """A batch data source over a paged service. The service is an importable function, so workers can call it:
 fetch(first: str, last: str, offset: int, limit: int, **filters) -> list of dicts of the schema's columns.
 
-    spark.dataSource.register(EventService)
+    register(spark)
     spark.read.format("event_service").schema(...).option("fetch", "package.module:function")
         .option("start", "2024-01-01").option("end", "2024-12-31").option("days", "90").load()
 
@@ -70,3 +70,9 @@ class EventService(DataSource):
 
     def reader(self, schema) -> _Reader:
         return _Reader(dict(self.options), schema.fieldNames())
+
+
+def register(spark) -> None:
+    """Makes the source known to a session, with filters pushed down to it."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(EventService)

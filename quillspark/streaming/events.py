@@ -43,7 +43,7 @@ def upsert(write: Callable[[DataFrame], None], read: Callable[[], DataFrame], co
 
 def running_groups(blocks: DataFrame, key: str, block: str, is_start: str) -> DataFrame:
     """Group numbers of blocks across micro-batches: the state of a key is its last number."""
-    out = StructType().add(key, blocks.schema[key].dataType).add(block, "long").add("qa_group_id", "int")
+    out = StructType().add(key, blocks.schema[key].dataType).add(block, "long").add("qa_group_id", "integer")
 
     def step(keys: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(frames)).sort_values(block)
@@ -52,7 +52,7 @@ def running_groups(blocks: DataFrame, key: str, block: str, is_start: str) -> Da
         state.update((int(number.iloc[-1]),))
         yield pd.DataFrame({key: keys[0], block: rows[block].astype("int64"), "qa_group_id": number.astype("int32")})
 
-    return blocks.groupBy(key).applyInPandasWithState(step, out, "last int", "append", GroupStateTimeout.NoTimeout)
+    return blocks.groupBy(key).applyInPandasWithState(step, out, StructType().add("number", "integer"), "append", GroupStateTimeout.NoTimeout)
 
 
 def run_available(stream: DataFrame, name: str, checkpoint: str, mode: str = "complete") -> DataFrame:
