@@ -131,23 +131,23 @@ def status_totals(spark, sf_dir):
     return sinks.status_totals(read(spark, sf_dir, "orders").withColumnRenamed("o_orderstatus", "status"))
 
 
-_TITLES = """(SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'Q' || quarter(o_orderdate) || ' ' || year(o_orderdate) || ' Earnings Call' WHEN 1 THEN 'q' || quarter(o_orderdate) || '  ' || year(o_orderdate) || ' earnings call, revised'
-  WHEN 2 THEN CASE quarter(o_orderdate) WHEN 1 THEN 'First' WHEN 2 THEN 'Second' WHEN 3 THEN 'Third' ELSE 'Fourth' END || ' Quarter ' || year(o_orderdate) WHEN 3 THEN quarter(o_orderdate) || 'Q' || substr(CAST(year(o_orderdate) AS VARCHAR), 3, 2) || ' results' ELSE 'Annual meeting' END AS title, quarter(o_orderdate) AS q, year(o_orderdate) AS y FROM orders)"""
+_TITLES = """(SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'Q' || quarter(o_orderdate) || ' ' || (year(o_orderdate) + 10) || ' Earnings Call' WHEN 1 THEN 'q' || quarter(o_orderdate) || '  ' || (year(o_orderdate) + 10) || ' earnings call, revised'
+  WHEN 2 THEN CASE quarter(o_orderdate) WHEN 1 THEN 'First' WHEN 2 THEN 'Second' WHEN 3 THEN 'Third' ELSE 'Fourth' END || ' Quarter ' || (year(o_orderdate) + 10) WHEN 3 THEN quarter(o_orderdate) || 'Q' || substr(CAST((year(o_orderdate) + 10) AS VARCHAR), 3, 2) || ' results' ELSE 'Annual meeting' END AS title, quarter(o_orderdate) AS q, (year(o_orderdate) + 10) AS y FROM orders)"""
 
 
 @book.add(f"""
 SELECT o_orderkey, title, regexp_matches(title, '^(?i)Q([1-4])\\s+(20\\d{{2}})\\s+Earnings\\s+Call$') AS is_call,
-  CASE WHEN o_orderkey % 5 = 4 OR y < 2000 THEN 'Unknown' ELSE 'Q' || q END AS quarter, CASE WHEN o_orderkey % 5 = 4 OR y < 2000 THEN 'Unknown' ELSE CAST(y AS VARCHAR) END AS year,
-  CASE WHEN o_orderkey % 5 IN (0, 1) AND y >= 2000 THEN 'Q' || q ELSE 'Unknown' END AS plain_quarter
-FROM {_TITLES} WHERE y >= 2000""")
+  CASE WHEN o_orderkey % 5 = 4 THEN 'Unknown' ELSE 'Q' || q END AS quarter, CASE WHEN o_orderkey % 5 = 4 THEN 'Unknown' ELSE CAST(y AS VARCHAR) END AS year,
+  CASE WHEN o_orderkey % 5 IN (0, 1) THEN 'Q' || q ELSE 'Unknown' END AS plain_quarter
+FROM {_TITLES}""")
 def title_parse(spark, sf_dir):
-    q, y, n = F.quarter("o_orderdate"), F.year("o_orderdate"), F.col("o_orderkey") % 5
+    q, y, n = F.quarter("o_orderdate"), F.year("o_orderdate") + 10, F.col("o_orderkey") % 5
     word = F.element_at(F.array(*(F.lit(w) for w in text.SPELT)), q)
     title = (
         F.when(n == 0, F.concat(F.lit("Q"), q, F.lit(" "), y, F.lit(" Earnings Call"))).when(n == 1, F.concat(F.lit("q"), q, F.lit("  "), y, F.lit(" earnings call, revised")))
         .when(n == 2, F.concat(word, F.lit(" Quarter "), y)).when(n == 3, F.concat(q, F.lit("Q"), F.substring(y.cast("string"), 3, 2), F.lit(" results"))).otherwise("Annual meeting")
     )
-    rows = read(spark, sf_dir, "orders").where(y >= 2000).select("o_orderkey", title.alias("title"))
+    rows = read(spark, sf_dir, "orders").select("o_orderkey", title.alias("title"))
     quarter, year = text.title_period(F.col("title"))
     return rows.select("o_orderkey", "title", text.title_is_call(F.col("title")).alias("is_call"), quarter.alias("quarter"), year.alias("year"), text.title_period(F.col("title"), False)[0].alias("plain_quarter"))
 
@@ -181,9 +181,9 @@ def names_and_labels(spark, sf_dir):
 
 
 @book.add("""
-SELECT p_partkey, type_word FROM (SELECT p_partkey, w AS type_word, row_number() OVER (PARTITION BY p_partkey ORDER BY o) AS nth FROM part JOIN (VALUES (1, 'BRASS'), (2, 'STEEL'), (3, 'tin')) t(o, w) ON contains(lower(p_type), lower(w)) OR contains(lower(w), lower(p_type))) WHERE nth = 1""")
+SELECT p_partkey, type_word FROM (SELECT p_partkey, w AS type_word, row_number() OVER (PARTITION BY p_partkey ORDER BY o) AS nth FROM part JOIN (VALUES (1, 'MED'), (2, 'promo'), (3, 'Standard edition')) t(o, w) ON contains(lower(p_type), lower(w)) OR contains(lower(w), lower(p_type))) WHERE nth = 1""")
 def fuzzy_name_match(spark, sf_dir):
     """A few names against all rows: folded into one expression, first hit wins, so that no join is needed."""
     low = F.lower("p_type")
-    hit = F.coalesce(*(F.when(low.contains(w.lower()) | F.lit(w.lower()).contains(low), w) for w in ("BRASS", "STEEL", "tin")))
+    hit = F.coalesce(*(F.when(low.contains(w.lower()) | F.lit(w.lower()).contains(low), w) for w in ("MED", "promo", "Standard edition")))
     return read(spark, sf_dir, "part").select("p_partkey", hit.alias("type_word")).where("type_word IS NOT NULL")

@@ -32,10 +32,10 @@ def cosine_filtered(spark, sf_dir):
     return enrichment.nearest(read(spark, sf_dir, "embeddings").where("label = 1"), "vec_id", "embedding", _query_vector(spark, sf_dir), 10).select("vec_id", "similarity")
 
 
-@book.add(f"SELECT a.vec_id, round(1 - {_COSINE}, 6) AS distance FROM embeddings a, (SELECT embedding FROM embeddings WHERE vec_id = 0) q WHERE a.vec_id < 100")
+@book.add(f"SELECT a.vec_id, round(1 - {_COSINE}, 6) AS distance FROM embeddings a, (SELECT embedding FROM embeddings WHERE vec_id = 0) q")
 def cosine_distance(spark, sf_dir):
     q = F.array(*(F.lit(float(x)) for x in _query_vector(spark, sf_dir)))
-    return read(spark, sf_dir, "embeddings").where("vec_id < 100").select("vec_id", F.round(1 - F.round(vectors.cosine_similarity(F.col("embedding"), q), 6), 6).alias("distance"))
+    return read(spark, sf_dir, "embeddings").select("vec_id", F.round(1 - F.round(vectors.cosine_similarity(F.col("embedding"), q), 6), 6).alias("distance"))
 
 
 @book.add("SELECT vec_id FROM embeddings WHERE embedding IS NULL OR len(embedding) <> 64")
