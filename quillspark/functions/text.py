@@ -149,3 +149,32 @@ def token_cost(prompt: Column, completion: Column, prompt_rate: float, completio
 
 def percent(part: Column, whole: Column) -> Column:
     return F.coalesce(F.round(part * 100.0 / F.nullif(whole, F.lit(0)), 1), F.lit(0.0))
+
+
+def terms(c: Column) -> Column:
+    """Distinct lower-case runs of letters a-z and digits: what a full-text index would hold."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(r"([a-z0-9]+)"), F.lit(1)))
+
+
+def has_terms(c: Column, wanted: list[str]) -> Column:
+    """Whether all wanted terms stand in the text. A cheap substring test goes first."""
+    found = F.lit(True)
+    low = F.lower(c)
+    for w in wanted:
+        found = found & low.contains(w)
+    for w in wanted:
+        found = found & low.rlike(rf"(^|[^a-z0-9]){w}([^a-z0-9]|$)")
+    return F.coalesce(found, F.lit(False))
+
+
+def block_digest(paragraphs: Column, most: int = 3, n: int = 200) -> Column:
+    """The first paragraphs of a block, each cut to n characters, and how many more there are."""
+    shown = F.array_join(F.transform(F.slice(paragraphs, 1, most), lambda p: preview(p, n)), "\n")
+    more = F.size(paragraphs) - most
+    return F.when(more > 0, F.concat(shown, F.lit("\n... and "), more, F.lit(" more"))).otherwise(shown)
+
+
+def labelled_ids(ids: Column, names: dict[int, str]) -> Column:
+    """`1: Name, 2: Other` for ids with names."""
+    known = F.create_map(*(F.lit(x) for kv in names.items() for x in kv))
+    return F.array_join(F.transform(F.filter(ids, lambda i: known[i].isNotNull()), lambda i: F.concat(i.cast("string"), F.lit(": "), known[i])), ", ")

@@ -181,3 +181,21 @@ def line_formats(spark, sf_dir):
 @book.add("SELECT count(*) AS rows, count(*) FILTER (doc_id IS NULL OR lang IS NULL) AS lacking, CAST(0 AS BIGINT) AS bad_vectors FROM documents")
 def integrity_check(spark, sf_dir):
     return sinks.integrity(read(spark, sf_dir, "documents"), ["doc_id", "lang"])
+
+
+@book.add("SELECT doc_id FROM documents WHERE list_contains(regexp_extract_all(lower(text), '[a-z0-9]+'), 'license') AND list_contains(regexp_extract_all(lower(text), '[a-z0-9]+'), 'the') ORDER BY doc_id")
+def full_text(spark, sf_dir):
+    return read(spark, sf_dir, "documents").where(text.has_terms(F.col("text"), ["license", "the"])).select("doc_id").orderBy("doc_id")
+
+
+@book.add("SELECT doc_id, CAST(len(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+'))) AS INTEGER) AS terms FROM documents")
+def text_terms(spark, sf_dir):
+    return read(spark, sf_dir, "documents").select("doc_id", F.size(text.terms(F.col("text"))).alias("terms"))
+
+
+@book.add("""
+SELECT conv_id, turn, array_to_string(list_transform(list_slice(p, 1, 3), lambda x: CASE WHEN length(x) > 200 THEN substr(x, 1, 200) || '...' ELSE x END), chr(10)) || CASE WHEN len(p) > 3 THEN chr(10) || '... and ' || (len(p) - 3) || ' more' ELSE '' END AS digest,
+  '1: English, 5: Licence' AS labels FROM (SELECT conv_id, turn, string_split(text, chr(10)) AS p FROM conversations)""")
+def block_digest(spark, sf_dir):
+    ids = F.array(F.lit(1), F.lit(77), F.lit(5))
+    return read(spark, sf_dir, "conversations").select("conv_id", "turn", text.block_digest(F.split("text", "\n")).alias("digest"), text.labelled_ids(ids, NAMES).alias("labels"))

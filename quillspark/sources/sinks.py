@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
@@ -78,3 +78,14 @@ def appended(ignored: DataFrame, row: dict, reason: str) -> DataFrame:
     """The ignore list with a row more, dated today."""
     more = ignored.sparkSession.createDataFrame([{**{c: None for c in ignored.columns}, **row, "reason": reason}], ignored.schema)
     return ignored.unionByName(more.withColumn("date_added", F.current_date().cast("string")))
+
+
+def observed(rows: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """rows, and metrics that are taken while rows are written: a run's log without a second pass."""
+    seen = Observation(name)
+    return rows.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(k) for k, c in metrics.items())), seen
+
+
+def failures(results: DataFrame, key: str, error: str) -> DataFrame:
+    """Keys that failed, why and when."""
+    return results.where(F.col(error).isNotNull()).select(key, F.col(error).alias("error"), F.current_timestamp().alias("failed_at"))

@@ -66,6 +66,10 @@ def test_writers(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "cl")).where("i = 1").count() == 1
     sinks.split(rows.select("i", (F.col("i") < 9).alias("ok")), "ok", str(tmp_path / "g"), str(tmp_path / "b"))
     assert (tmp_path / "g").exists() and not (tmp_path / "b").exists()
+    seen_rows, seen = sinks.observed(rows, "run", lacking=F.count_if(F.col("t").isNull()))
+    seen_rows.write.parquet(str(tmp_path / "seen"))
+    assert seen.get == {"rows": 3, "lacking": 1}
+    assert [r["i"] for r in sinks.failures(rows, "i", "t").collect()] == [1, 2]
     more = sinks.appended(spark.createDataFrame([], "ticker string, reason string, date_added string"), {"ticker": "A"}, "title")
     assert more.first()["reason"] == "title" and more.first()["date_added"]
 
