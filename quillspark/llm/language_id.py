@@ -28,6 +28,8 @@ SAMPLE_ROWS = 2000
 ROUNDS = 2
 #: The more texts are handled together, the more often a word's lattice is used.
 BATCH_ROWS, BATCH_BYTES = 2000, 6 << 20
+#: Words of the sample whose lattices are summed together.
+WORDS = 40_000
 #: Added to each piece's expected count; probability of a code point without a piece.
 SMOOTHING, UNKNOWN = 0.1, 1e-7
 #: A document is kept if its language is known with such a score.
@@ -84,6 +86,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     counted = written(sample.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     weights = np.repeat(first_weights(pieces), len(langs), axis=1)
+    small_batches(docs.sparkSession, WORDS)
     for _ in range(rounds):
         def expect(batches, weights=weights):
             found = np.zeros((len(langs), pieces.size))
@@ -104,6 +107,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         weights[sums["piece"].to_numpy(), sums["lang"].to_numpy()] += np.round(sums["n"].to_numpy(), 6)
         weights /= weights.sum(axis=0)
         weights[-1] = UNKNOWN
+    small_batches(docs.sparkSession, BATCH_ROWS)
     return Model(langs, weights)
 
 
