@@ -448,7 +448,7 @@ def repeats(docs: DataFrame, finish: Callable[[Block, list[np.ndarray], pa.Table
     slim = blocks.select(id_col, text_col, "_block").groupBy("_block")
 
     def exchanged(sent: DataFrame, work: Callable) -> DataFrame:
-        return written(sent.repartition(parts, "part").mapInArrow(_reduce(work), REPLY), "replies")
+        return written(sent.repartitionById(parts, F.col("part")).mapInArrow(_reduce(work), REPLY), "replies")
 
     replies = exchanged(slim.applyInArrow(lambda rows: rounds.send_leaders(rows), SENT), rounds.reply_leaders)
     replies = replies.union(exchanged(slim.cogroup(replies.groupBy("_block")).applyInArrow(lambda rows, answers: rounds.send_contexts(rows, answers), SENT), rounds.reply_contexts))
