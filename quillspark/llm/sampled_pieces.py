@@ -75,12 +75,15 @@ class Sampler:
         order = np.argsort(lattice.stop - 0.5 * share + 1e-7 * (lattice.stop - lattice.start))
         start, stop, piece, code, share = lattice.start[order], lattice.stop[order], lattice.piece[order], code[order].astype(np.int32), share[order]
         edge = np.flatnonzero(np.append(stop[1:] != stop[:-1], True))  # last edge into each node
-        total = np.cumsum(share)
-        ahead = np.concatenate(([0], total[edge[:-1]]))
-        bounds = total - np.repeat(ahead, np.diff(np.append(-1, edge)))
+        begin = np.append(0, edge[:-1] + 1)
+        place = np.arange(len(stop)) - np.repeat(begin, np.diff(np.append(-1, edge)))
+        bounds = share.copy()
+        for k in range(1, int(place.max()) + 1):  # summed within each node alone: no rounding depends on other texts
+            rows = np.flatnonzero(place == k)
+            bounds[rows] += bounds[rows - 1]
         bounds[edge] = 1  # an edge is drawn where the draw falls below its bound
         likeliest = np.zeros(lattice.first[-1], np.int32)
-        likeliest[stop[edge]] = np.append(0, edge[:-1] + 1)
+        likeliest[stop[edge]] = begin
         units = np.array(units, np.int32)
         sizes = np.array(sizes)
         place = np.arange(len(units)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
