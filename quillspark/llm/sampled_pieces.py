@@ -71,8 +71,9 @@ class Sampler:
         w[bare] = self.byte ** width[bare]
         alpha = forward(lattice, w[:, None])[:, 0]
         share = alpha[lattice.start] * w / alpha[lattice.stop]
-        # likely pieces first: most draws end at the first; the small term settles ties alike in any company
-        order = np.argsort(lattice.stop - 0.5 * share + 1e-7 * (lattice.stop - lattice.start))
+        # likely pieces first: most draws end at the first; whole numbers, so that the order is the same in any company
+        rank = (1 << 20) - (share * (1 << 20)).astype(np.int64)
+        order = np.argsort(lattice.stop.astype(np.int64) << 32 | rank << 8 | (lattice.stop - lattice.start))
         start, stop, piece, code, share = lattice.start[order], lattice.stop[order], lattice.piece[order], code[order].astype(np.int32), share[order]
         edge = np.flatnonzero(np.append(stop[1:] != stop[:-1], True))  # last edge into each node
         begin = np.append(0, edge[:-1] + 1)
