@@ -171,7 +171,9 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The row of the smallest id of each component, with all its columns. Rows of one id count as one document, of which
     the first by text stays."""
     found = near_duplicates(docs, id_col, text_col, width)
-    heads = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_head")).distinct()
-    kept = docs.join(heads, docs[id_col].eqNullSafe(heads["_head"]), "left_semi")
-    nth = F.row_number().over(Window.partitionBy(id_col).orderBy(text_col))
-    return kept.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+    # ids as a pair without nulls: one exchange by it serves the join and the numbering
+    key = {"_id": F.coalesce(F.col(id_col), F.lit(0).cast(docs.schema[id_col].dataType)), "_none": F.col(id_col).isNull()}
+    heads = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).withColumns(key).select(*key).distinct()
+    kept = docs.withColumns(key).join(heads, list(key), "left_semi")
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy(text_col))
+    return kept.withColumn("_nth", nth).where("_nth = 1").drop("_nth", *key)
