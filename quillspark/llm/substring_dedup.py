@@ -148,15 +148,17 @@ class Block:
         self.low, self.high = gather("low", np.int64), gather("high", np.int64)
 
     # round 1
-    def leaders(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct leaders (48 bits, sorted), whether two documents of the block have it, and the leader of each run."""
-        short = self.leader >> np.uint64(16)
-        found, inverse = np.unique(short, return_inverse=True)
+    def leaders(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct leaders (48 bits, sorted), and which of them leads each run."""
+        return np.unique(self.leader >> np.uint64(16), return_inverse=True)
+
+    def several(self, found: np.ndarray, inverse: np.ndarray) -> np.ndarray:
+        """Whether two documents of the block have a leader."""
         low = np.full(len(found), np.iinfo(np.int64).max)
         high = np.full(len(found), -1)
         np.minimum.at(low, inverse, self.doc)
         np.maximum.at(high, inverse, self.doc)
-        return found, low < high, inverse
+        return low < high
 
     # round 2
     def contexts(self, shared: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -220,7 +222,9 @@ class Rounds:
         return Block(table, self.id_col, self.text_col, self.length)
 
     def send_leaders(self, table: pa.Table) -> pa.Table:
-        found, several, _ = self.block(table).leaders()
+        block = self.block(table)
+        found, inverse = block.leaders()
+        several = block.several(found, inverse)
         cuts = _cuts(found, 48, self.parts)
         packed = found.view(np.uint8).reshape(-1, 8)[:, :6]
         number = _number(table)
@@ -243,7 +247,7 @@ class Rounds:
             yield r["_block"], 1, 0, r["part"], np.packbits(part).tobytes()
 
     def shared_runs(self, block: Block, replies: dict) -> np.ndarray:
-        found, _, inverse = block.leaders()
+        found, inverse = block.leaders()
         sizes = np.diff(_cuts(found, 48, self.parts))
         return _mask(replies, 1, 0, sizes, self.parts).astype(bool)[inverse] if len(found) else np.zeros(0, bool)
 
