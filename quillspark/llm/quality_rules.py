@@ -32,7 +32,10 @@ CLASSES = 10
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 #: A histogram is judged from so many characters or words on, and rejected beyond such distance (0 to 1) from every reference.
 MIN_CHARS_JUDGED, MAX_CLASS_DISTANCE = 200, 0.35
-MIN_WORDS_JUDGED, MAX_WORD_DISTANCE = 50, 0.60
+#: For words, the distance that chance alone gives falls with the number of words n: the limit is the root of
+#: WORD_FLOOR ** 2 + WORD_NOISE / n, MAX_WORD_DISTANCE at most. As most of a reference lies in "any other", a text without
+#: a common word is only about 0.34 from the nearest.
+MIN_WORDS_JUDGED, MAX_WORD_DISTANCE, WORD_FLOOR, WORD_NOISE = 50, 0.33, 0.20, 10
 WINDOW = 5
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -111,6 +114,11 @@ def distance(counts: np.ndarray, references: np.ndarray) -> float:
     return float(np.sqrt(np.maximum(0, (left + right) / 2)).min())
 
 
+def word_limit(n: int) -> float:
+    """The largest word distance that a text of n words may have."""
+    return min(MAX_WORD_DISTANCE, (WORD_FLOOR**2 + WORD_NOISE / n) ** 0.5)
+
+
 def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """Shares of classes and of common words over all documents of each language of COMMON_WORDS. Sums by task are added
     up by Spark; four rows of fixed width reach the driver."""
@@ -156,7 +164,7 @@ def judge(raw: bytes, classes: np.ndarray | None, common: np.ndarray | None) ->
         by_class = distance(counts, classes)
     if common is not None and n >= MIN_WORDS_JUDGED:
         by_word = distance(word_histogram(raw.translate(_LOWER).split()), common)
-    far = (by_class or 0) > MAX_CLASS_DISTANCE or (by_word or 0) > MAX_WORD_DISTANCE
+    far = (by_class or 0) > MAX_CLASS_DISTANCE or by_word is not None and by_word > word_limit(n)
     return n, chars, symbols, repeated_lines(raw), repeat, failed, not (failed or far), by_class, by_word
 
 

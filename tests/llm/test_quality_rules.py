@@ -62,3 +62,15 @@ def test_rows_and_filter(spark):
     kept = m.keep_good(docs)
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {i for i, r in got.items() if r["kept"]}
     assert m.quality_rules(docs.limit(0)).count() == 0
+
+
+def test_word_rule_rejects_alone(spark):
+    rng = random.Random(2)
+    common = "the of and with for that on was".split()
+    made = lambda: "".join(rng.choice(["ri", "ver", "ho", "use", "sto", "ne"]) for _ in range(rng.randint(1, 4)))
+    sentence = lambda share: " ".join(rng.choice(common) if rng.random() < share else made() for _ in range(9)).capitalize() + "."
+    rows = [(i, " ".join(sentence(0.24) for _ in range(n)), "en") for i, n in enumerate([8, 12, 20, 50, 200] * 12)]
+    rows += [(100 + n, " ".join(sentence(0) for _ in range(n)), None) for n in (8, 12, 50, 200)] + [(900, " ".join(sentence(0.04) for _ in range(60)), None)]
+    got = {r["doc_id"]: r for r in m.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    for i, r in got.items():
+        assert not r["base_failed"] and (r["class_distance"] or 0) <= m.MAX_CLASS_DISTANCE and r["kept"] == (i < 100)
