@@ -4,7 +4,7 @@ Each document's token ids and an end id are cut into pieces of at most `size`. L
 into the packing patterns with most room left; only counts of patterns change, so the plan costs the same for any
 number of documents. Pieces then find their place by rank among the pieces of their length.
 
-Defined cases: a null or empty text is the end id alone; repeated rows are packed once each; ties in rank are broken by
+Defined cases: a null or empty text is the end id alone; <|endoftext|> in a text is one token, as in the file; repeated rows are packed once each; ties in rank are broken by
 all of a piece's columns; a null doc_id is an id like any other; an empty table gives an empty result.
 """
 
@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from quillspark.llm.common import by_slice, small_batches, written
 
 SIZE, END = 2048, 1
+#: The special token of byte_bpe_50k.json.
+MARKER, MARKER_ID = "<|endoftext|>", 50256
 #: Pieces that share a bucket for ranking.
 BUCKET_ROWS = 50_000
 
@@ -28,7 +30,7 @@ BUCKET_ROWS = 50_000
 class Tokens:
     """Ids of the byte-level BPE. tiktoken runs the vocabulary of byte_bpe_50k.json (the same ranks, ids and pattern, some
     five times as fast); texts that it can't take go through tokenizers with the file itself. Special strings in a text
-    are ordinary text."""
+    are ordinary text here."""
 
     def __init__(self, json_path: str | None = None, ranks_path: str | None = None) -> None:
         import base64
@@ -59,7 +61,21 @@ class Tokens:
         return self.whole.encode(text, add_special_tokens=False).ids
 
 
-def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, end: int = END, tokens=Tokens) -> DataFrame:
+class FileTokens(Tokens):
+    """Ids as the file's own settings give them: its one special string is a token of its own, before anything else is cut."""
+
+    def __call__(self, text: str) -> list[int]:
+        if MARKER not in text:
+            return super().__call__(text)
+        first, *others = text.split(MARKER)
+        ids = list(super().__call__(first))
+        for part in others:
+            ids.append(MARKER_ID)
+            ids.extend(super().__call__(part))
+        return ids
+
+
+def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, end: int = END, tokens=FileTokens) -> DataFrame:
     """Pieces of each document: start, length, ids_crc32 (of little-endian unsigned 32-bit ids), doc_tokens."""
     small_batches(docs.sparkSession)
     names = [id_col, "start", "length", "ids_crc32", "doc_tokens"]
@@ -137,7 +153,7 @@ def placed(ranked: DataFrame, id_col: str, where: dict[str, np.ndarray]) -> Data
     return ranked.select(*names[:5], "rank").mapInArrow(run, f"`{id_col}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, end: int = END, tokens=Tokens) -> DataFrame:
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, end: int = END, tokens=FileTokens) -> DataFrame:
     """Pieces with sequence_id and offset. Texts are tokenised once and never shuffled; the histogram (at most `size`
     lengths) is all that reaches the driver; ranks come from counts by bucket, so a frequent length is shared by many tasks."""
     cut = written(pieces(docs, id_col, text_col, size, end, tokens), "pieces")

@@ -75,3 +75,17 @@ def test_pieces_lie_gapless(spark):
     got = m.pack(spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, length int")).collect()
     check(got, m.Tokens(), docs)
     assert m.pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_marker_is_one_token_as_in_the_file(spark):
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids_of = lambda t: plain.encode(t, add_special_tokens=False).ids
+    rng = random.Random(3)
+    parts = ["the", " river", "\n\n", "  ", "é", "123", "'s", "<|", "|>", "<", " ", "endoftext", m.MARKER, m.MARKER]
+    texts = ["a <|endoftext|> b", m.MARKER, m.MARKER * 3, ""] + ["".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    fast = m.FileTokens()
+    assert ids_of(texts[0]) == [64, 220, 50256, 275]
+    for t in texts:
+        assert fast(t) == ids_of(t)
+    docs = dict(enumerate(texts))
+    check(m.pack(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect(), ids_of, {k: [t] for k, t in docs.items()})
