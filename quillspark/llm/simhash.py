@@ -155,25 +155,31 @@ def links(fps: DataFrame) -> DataFrame:
     return _keyed(fps).repartition(partitions(spark), "key").mapInArrow(run, "a long, b long")
 
 
+def _named(distinct: DataFrame) -> DataFrame:
+    """(fp, first, component) from (fp, first): component is the least fingerprint reachable by links."""
+    named = components(links(distinct.select("fp"))).withColumnRenamed("node", "fp")
+    return distinct.join(named, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """One row per row of docs: id, fingerprint (16 hex digits), component_id (smallest id reachable by links)."""
     found = written(fingerprints(docs, id_col, text_col, width), "fingerprints")
     distinct = written(found.groupBy("fp").agg(F.min(id_col).alias("first")), "distinct")
-    edges = links(distinct.select("fp"))
-    named = components(edges).withColumnRenamed("node", "fp")
-    whole = distinct.join(named, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    whole = _named(distinct)
     least = whole.groupBy("component").agg(F.min("first").alias("component_id"))
     by_fp = whole.join(least, "component").select("fp", "component_id")
     return found.join(by_fp, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
-    """The row of the smallest id of each component, with all its columns. Rows of one id count as one document, of which
-    the first by text stays."""
-    found = near_duplicates(docs, id_col, text_col, width)
-    # ids as a pair without nulls: one exchange by it serves the join and the numbering
-    key = {"_id": F.coalesce(F.col(id_col), F.lit(0).cast(docs.schema[id_col].dataType)), "_none": F.col(id_col).isNull()}
-    heads = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).withColumns(key).select(*key).distinct()
+    """One row of each component, with all its columns: that of the smallest id, null ids last, and among rows of that id
+    the first by a hash of the text. Rows are told apart by id and text, so that ids may be null or repeated."""
+    # ids as a pair without nulls: one exchange by the key serves the join and the numbering
+    key = {"_none": F.col(id_col).isNull(), "_id": F.coalesce(F.col(id_col), F.lit(0).cast(docs.schema[id_col].dataType)), "_hash": F.xxhash64(text_col)}
+    named = docs.select(F.struct(*(c.alias(k) for k, c in key.items())).alias("_key"), text_col)
+    found = written(fingerprints(named, "_key", text_col, width), "fingerprints")
+    whole = _named(written(found.groupBy("fp").agg(F.min("_key").alias("first")), "distinct"))
+    heads = whole.groupBy("component").agg(F.min("first").alias("first")).select("first.*")
     kept = docs.withColumns(key).join(heads, list(key), "left_semi")
     nth = F.row_number().over(Window.partitionBy(*key).orderBy(text_col))
     return kept.withColumn("_nth", nth).where("_nth = 1").drop("_nth", *key)

@@ -91,3 +91,11 @@ def test_query_and_filter(spark):
     kept = m.keep_first(docs)
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [3, 7, 9, 11, 13]
     assert m.near_duplicates(docs.limit(0)).count() == 0 and m.keep_first(docs.limit(0)).count() == 0
+
+
+def test_filter_keeps_one_row_of_each_component_whatever_its_ids(spark):
+    text = [f"{w} day by the long river of stones {w} and {w} again it goes on" for w in ("one", "two", "six", "ten", "red")]
+    rows = [(3, text[0]), (None, text[0]), (None, text[1]), (None, text[2]), (None, text[2].upper()), (9, text[0] + " "), (9, text[3]), (9, text[3]), (12, text[4]), (12, text[4] + " ")]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, k int")
+    got = [(r["doc_id"], " ".join(r["text"].lower().split())) for r in m.keep_first(docs).collect()]
+    assert sorted(got, key=lambda r: r[1]) == sorted([(3, text[0]), (None, text[1]), (None, text[2]), (9, text[3]), (12, text[4])], key=lambda r: r[1])
