@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
+from quillspark.llm import near_copies
 from quillspark.llm.common import as_bytes, by_slice, partitions, small_batches, written
 from quillspark.llm.components import components
 
@@ -155,9 +156,10 @@ def links(fps: DataFrame) -> DataFrame:
     return _keyed(fps).repartition(partitions(spark), "key").mapInArrow(run, "a long, b long")
 
 
-def _named(distinct: DataFrame) -> DataFrame:
-    """(fp, first, component) from (fp, first): component is the least fingerprint reachable by links."""
-    named = components(links(distinct.select("fp"))).withColumnRenamed("node", "fp")
+def _named(distinct: DataFrame, more: DataFrame | None = None) -> DataFrame:
+    """(fp, first, component) from (fp, first): component is the least fingerprint reachable by links, and by those of more."""
+    edges = links(distinct.select("fp"))
+    named = components(edges.union(more) if more is not None else edges).withColumnRenamed("node", "fp")
     return distinct.join(named, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
 
 
@@ -173,12 +175,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """One row of each component, with all its columns: that of the smallest id, null ids last, and among rows of that id
-    the first by a hash of the text. Rows are told apart by id and text, so that ids may be null or repeated."""
+    the first by a hash of the text. Besides near_duplicates' links, texts of like sets of 5-word shingles (near_copies)
+    are linked. Rows are told apart by id and text, so that ids may be null or repeated."""
     # ids as a pair without nulls: one exchange by the key serves the join and the numbering
     key = {"_none": F.col(id_col).isNull(), "_id": F.coalesce(F.col(id_col), F.lit(0).cast(docs.schema[id_col].dataType)), "_hash": F.xxhash64(text_col)}
     named = docs.select(F.struct(*(c.alias(k) for k, c in key.items())).alias("_key"), text_col)
-    found = written(fingerprints(named, "_key", text_col, width), "fingerprints")
-    whole = _named(written(found.groupBy("fp").agg(F.min("_key").alias("first")), "distinct"))
+    small_batches(docs.sparkSession)
+    sigs = [f"w{k}" for k in range(near_copies.WORDS)]
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = as_bytes(batch.column(1))
+        fps = np.array([fingerprint(raw, width) for raw in texts], np.uint64)
+        n, wide = [], np.zeros((len(texts), near_copies.WORDS), np.uint64)
+        for i, raw in enumerate(texts):
+            held = near_copies.shingles(raw)
+            n.append(len(held))
+            wide[i] = near_copies.wide(held)
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), pa.array(n, pa.int64()), *(pa.array(np.ascontiguousarray(w).view(np.int64)) for w in wide.T)], ["_key", "fp", "n", *sigs])
+
+    kind = named.schema["_key"].dataType.simpleString()
+    found = written(named.mapInArrow(by_slice(work, text_col), f"_key {kind}, fp long, n long, {', '.join(f'{w} long' for w in sigs)}"), "fingerprints")
+    nodes = written(found.where("n > 0").groupBy("fp", "n", *sigs).agg(F.min("_key._hash").alias("node")), "nodes")
+    pairs = written(near_copies.candidates(nodes), "candidates")
+    near = near_copies.verified(pairs, docs.select(F.xxhash64(text_col).alias("node"), F.col(text_col).alias("text")))
+    fp_of = nodes.select("node", "fp")
+    more = near.join(fp_of.toDF("a", "fp_a"), "a").join(fp_of.toDF("b", "fp_b"), "b").select("fp_a", "fp_b").where("fp_a <> fp_b")
+    whole = _named(written(found.groupBy("fp").agg(F.min("_key").alias("first")), "distinct"), more)
     heads = whole.groupBy("component").agg(F.min("first").alias("first")).select("first.*")
     kept = docs.withColumns(key).join(heads, list(key), "left_semi")
     nth = F.row_number().over(Window.partitionBy(*key).orderBy(text_col))

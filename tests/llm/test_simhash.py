@@ -99,3 +99,26 @@ def test_filter_keeps_one_row_of_each_component_whatever_its_ids(spark):
     docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, k int")
     got = [(r["doc_id"], " ".join(r["text"].lower().split())) for r in m.keep_first(docs).collect()]
     assert sorted(got, key=lambda r: r[1]) == sorted([(3, text[0]), (None, text[1]), (None, text[2]), (9, text[3]), (12, text[4])], key=lambda r: r[1])
+
+
+def test_filter_links_texts_of_like_shingles(spark):
+    rng = random.Random(8)
+    made = lambda n: [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
+    rows = []
+    for k in range(40):
+        words = made(rng.choice([100, 400]))
+        rows.append((10 * k, " ".join(words)))
+        for i in rng.sample(range(10, len(words) - 10), len(words) // 100):  # each costs five shingles: similarity about 0.9
+            words[i] = "changed"
+        rows.append((10 * k + 1, " ".join(words)))
+        rows.append((10 * k + 2, " ".join(words[: len(words) // 2] + made(len(words) // 2))))  # half alike
+    got = {r["doc_id"] for r in m.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i for i, _ in rows if i % 10 != 1} <= got and sum(i % 10 == 1 for i in got) <= 1
+
+
+def test_large_groups_give_few_pairs():
+    from quillspark.llm import near_copies
+
+    many = 500
+    found = near_copies._pairs(np.zeros(many, np.int64), np.arange(many), np.full(many, 7, np.uint64), np.full(many, 90))
+    assert len(found) == many - 1
