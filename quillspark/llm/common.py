@@ -20,30 +20,61 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local folder where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or, on a local master only, a new local folder."""
     sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if sc.getCheckpointDir() is None:
+    named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not named:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share: intermediate tables are written there")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="shared-"))
-    return sc.getCheckpointDir().rstrip("/")
+        named = sc.getCheckpointDir()
+    return named.rstrip("/")
+
+
+#: Folders of intermediate tables that this process has written and not removed.
+_made: list[str] = []
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one, known to clear()."""
+    _made.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """df written once as Parquet in the shared folder and read back: it cuts the lineage and outlives executors."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def partitions(spark: SparkSession) -> int:
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+def made() -> list[str]:
+    """The folders written so far, oldest first."""
+    return list(_made)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bounds what a Python worker gets at a time, for tables of long texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def clear(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Removes intermediate tables (all: paths None). Only for results that have been written or collected: a result that
+    is still to be computed reads them."""
+    for path in made() if paths is None else paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        _made.remove(path)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores in front as it takes to clash with no column of df."""
+    held, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in held:
+            name = "_" + name
+        held.add(name.lower())
+        out.append(name)
+    return out
+
+
+def partitions(spark: SparkSession) -> int:
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import written
+from quillspark.llm.common import clear, made, written
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -37,6 +37,8 @@ def components(edges: DataFrame) -> DataFrame:
     mark = lambda x: tuple(x.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(a, b))")).first())
     was, is_now = None, mark(now)
     while is_now != was and is_now[0]:
+        before = made()[-1]
         now = written(_small_star(_large_star(now)), "edges")
         was, is_now = is_now, mark(now)
+        clear(edges.sparkSession, [before])
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select("b", "b").distinct())

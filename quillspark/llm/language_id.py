@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import by_slice, kept_rows, small_batches, written
+from quillspark.llm.common import by_slice, kept_rows, written
 from quillspark.llm.lattice import MAX_UNIT, Pieces, backward, build, forward, pieces_of
 
 #: Expected rows of each language that teach (chosen by a hash of the id; all rows of a rarer language).
@@ -63,7 +63,6 @@ def held_out(id_col: str) -> Column:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = SAMPLE_ROWS, rounds: int = ROUNDS) -> Model:
     """The piece probabilities of each language. Word counts of the sample stay distributed; what reaches the driver is a
     number for each language and piece."""
-    small_batches(docs.sparkSession, BATCH_ROWS)
     labelled = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out("id"))
     totals = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
     langs = sorted(totals)
@@ -86,7 +85,6 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     counted = written(sample.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     weights = np.repeat(first_weights(pieces), len(langs), axis=1)
-    small_batches(docs.sparkSession, WORDS)
     for _ in range(rounds):
         def expect(batches, weights=weights):
             found = np.zeros((len(langs), pieces.size))
@@ -107,7 +105,6 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         weights[sums["piece"].to_numpy(), sums["lang"].to_numpy()] += np.round(sums["n"].to_numpy(), 6)
         weights /= weights.sum(axis=0)
         weights[-1] = UNKNOWN
-    small_batches(docs.sparkSession, BATCH_ROWS)
     return Model(langs, weights)
 
 
@@ -154,7 +151,6 @@ def predict(texts: list[str | None], model: Model, pieces: Pieces) -> tuple[list
 
 def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", model: Model | None = None) -> DataFrame:
     """One row per row of docs: id, held_out, lang_pred, score, kept (a language was found with MIN_SCORE)."""
-    small_batches(docs.sparkSession, BATCH_ROWS)
     model = model or fit(docs, id_col, text_col, lang_col)
     names = [id_col, "held_out", "lang_pred", "score", "kept"]
 
@@ -178,6 +174,5 @@ def accepted(langs: list[str], scores: list[float]) -> list[bool]:
 
 def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", model: Model | None = None) -> DataFrame:
     """The rows of docs whose language is found, with all their columns."""
-    small_batches(docs.sparkSession, BATCH_ROWS)
     model = model or fit(docs, id_col, text_col, lang_col)
     return kept_rows(docs, lambda texts: accepted(*predict(texts.to_pylist(), model, pieces_of())), text_col, BATCH_BYTES)

@@ -16,7 +16,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quillspark.llm.common import as_bytes, by_slice, small_batches
+from quillspark.llm.common import as_bytes, by_slice
 
 #: Phrase and label; these are the base.
 BASE_PHRASES = {
@@ -172,7 +172,6 @@ TYPES = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.string(), pa.bo
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id, and FIELDS. A narrow map without a shuffle."""
-    small_batches(docs.sparkSession)
     names = [x.split()[0] for x in FIELDS]
 
     def run(batches):

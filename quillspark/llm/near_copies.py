@@ -5,6 +5,9 @@ is indexed under TABLES masks that each leave BITS of its bits; equal masked val
 are verified by their sets of shingles, so every link is a true one; what is missed is what shares no masked value.
 Groups of up to SMALL texts under a key give all their pairs; in larger ones a leader is linked to all texts that may be
 like it, and what is left chooses the next leader, so that no group gives all its pairs.
+
+There are two rounds: the first few masks bring large groups of near copies together, and what they join counts as one
+component in the second round, which only looks for pairs across components.
 """
 
 from __future__ import annotations
@@ -17,10 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from quillspark.llm.common import as_bytes, by_slice, partitions, small_batches, written
+from quillspark.llm.common import as_bytes, by_slice, partitions, written
 
 WIDTH, SIMILARITY, SEED = 5, 0.8, 42
 WORDS, TABLES, BITS = 4, 160, 24
+#: Masks of the first round.
+FIRST = 16
+#: Keys that one task sorts and goes through.
+ROWS_EACH = 4_000_000
 SMALL = 32
 #: Of the first 64 bits, so many may differ between candidates: 3.6 standard deviations above the mean at SIMILARITY.
 FAR = 20
@@ -71,32 +78,32 @@ def wide(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(counts * 2 > len(hashes), axis=1, bitorder="little").view("<u8").ravel()
 
 
-def _keyed(nodes: DataFrame) -> DataFrame:
-    """(key, node, sig, n) for each mask."""
+def _keyed(nodes: DataFrame, masks: np.ndarray) -> DataFrame:
+    """(key, node, sig, n, part) for each mask; part is the node's component."""
+    many = len(masks)
 
     def run(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            node, n, *sigs = (batch.column(i).to_numpy() for i in range(2 + WORDS))
-            sigs = np.array(sigs).view(np.uint64)
-            keys = np.zeros((TABLES, len(node)), np.uint64)
-            for t in range(TABLES):
-                for k in range(WORDS):
-                    keys[t] = mixed(keys[t] + (sigs[k] & MASKS[t, k]) * _ODD[k] + np.uint64(t + 1))
-            repeat = lambda x: pa.array(np.tile(x, TABLES))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), repeat(node), repeat(sigs[0].view(np.int64)), repeat(n.astype(np.int32))], ["key", "node", "sig", "n"])
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                node, n, component, *sigs = (part.column(i).to_numpy() for i in range(3 + WORDS))
+                sigs = np.array(sigs).view(np.uint64)
+                keys = np.zeros((many, len(node)), np.uint64)
+                for t, mask in enumerate(masks):
+                    for k in range(WORDS):
+                        keys[t] = mixed(keys[t] + (sigs[k] & mask[k]) * _ODD[k] + np.uint64(t + 1))
+                repeat = lambda x: pa.array(np.tile(x, many))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), repeat(node), repeat(sigs[0].view(np.int64)), repeat(n.astype(np.int32)), repeat(component)], ["key", "node", "sig", "n", "part"])
 
-    return nodes.select("node", "n", *(f"w{k}" for k in range(WORDS))).mapInArrow(run, "key long, node long, sig long, n int")
+    return nodes.select("node", "n", "part", *(f"w{k}" for k in range(WORDS))).mapInArrow(run, "key long, node long, sig long, n int, part long")
 
 
 def _alike(sa, na, sb, nb) -> np.ndarray:
     return (np.bitwise_count(sa ^ sb) <= FAR) & (np.minimum(na, nb) >= SIMILARITY * np.maximum(na, nb))
 
 
-def _pairs(keys: np.ndarray, nodes: np.ndarray, sigs: np.ndarray, n: np.ndarray) -> np.ndarray:
-    order = np.lexsort((nodes, keys))
-    keys, nodes, sigs, n = keys[order], nodes[order], sigs[order], n[order]
+def _pairs(keys: np.ndarray, nodes: np.ndarray, sigs: np.ndarray, n: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Pairs of nodes of different components under one key. Rows are sorted by (key, node)."""
     starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     counts = np.diff(np.append(starts, len(keys)))
     size = np.repeat(counts, counts)
@@ -108,35 +115,62 @@ def _pairs(keys: np.ndarray, nodes: np.ndarray, sigs: np.ndarray, n: np.ndarray)
         if not same.any():
             break
         a, b = a[same], b[same]
-        near = _alike(sigs[a], n[a], sigs[b], n[b])
+        near = _alike(sigs[a], n[a], sigs[b], n[b]) & (part[a] != part[b])
         out.append(np.stack([nodes[a[near]], nodes[b[near]]], axis=1))
     for at, many in zip(starts[counts > SMALL].tolist(), counts[counts > SMALL].tolist(), strict=True):
         left = np.arange(at, at + many)
-        while len(left) > 1:
+        while len(left) > 1 and (part[left] != part[left[0]]).any():
             first, left = left[0], left[1:]
             near = _alike(sigs[first], n[first], sigs[left], n[left])
-            out.append(np.stack([np.full(int(near.sum()), nodes[first]), nodes[left[near]]], axis=1))
+            found = left[near & (part[left] != part[first])]
+            out.append(np.stack([np.full(len(found), nodes[first]), nodes[found]], axis=1))
             left = left[~near]
     return np.unique(np.concatenate(out), axis=0)
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """(a, b), a < b: pairs of nodes that may be near copies. nodes: (node, n, w0 to w3), a row for each node."""
+def candidates(nodes: DataFrame, masks: np.ndarray = MASKS) -> DataFrame:
+    """(a, b), a < b: pairs of nodes of different components that may be near copies. nodes: (node, n, part, w0 to w3), a
+    row for each node. Keys are gone through in order, so a task holds a batch and one key's rows."""
 
     def run(batches):
-        held = list(batches)
-        if held:
-            keys, node, sigs, n = (np.concatenate([x.column(i).to_numpy() for x in held]) for i in range(4))
-            found = _pairs(keys, node, sigs.view(np.uint64), n)
+        for keys, node, sigs, n, part in by_key(batches):
+            found = _pairs(keys, node, sigs.view(np.uint64), n, part)
             if len(found):
                 yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(found[:, i])) for i in range(2)], ["a", "b"])
 
-    return _keyed(nodes).repartition(partitions(nodes.sparkSession), "key").mapInArrow(run, "a long, b long").distinct()
+    parts = max(partitions(nodes.sparkSession), nodes.count() * len(masks) // ROWS_EACH)
+    return _keyed(nodes, masks).repartition(parts, "key").sortWithinPartitions("key", "node").mapInArrow(run, "a long, b long").distinct()
+
+
+def gathered(batches, rows: int = 1 << 17):
+    """The columns of some batches at a time, together of `rows` rows or a little more."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield [np.concatenate([x.column(i).to_numpy() for x in held]) for i in range(batch.num_columns)]
+            held, n = [], 0
+    if n:
+        yield [np.concatenate([x.column(i).to_numpy() for x in held]) for i in range(held[0].num_columns)]
+
+
+def by_key(batches):
+    """The columns of batches sorted by the first one, cut between keys: the last key's rows wait for what comes next."""
+    held = None
+    for now in gathered(batches):
+        if held is not None:
+            now = [np.concatenate(x) for x in zip(held, now, strict=True)]
+        at = int(np.searchsorted(now[0], now[0][-1]))
+        if at:
+            yield [x[:at] for x in now]
+        held = [x[at:] for x in now]
+    if held is not None:
+        yield held
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose shingles are like enough. texts: (node, text), rows of one node have one text."""
-    small_batches(texts.sparkSession)
     need = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import partitions, slices, small_batches
+from quillspark.llm.common import partitions, slices
 
 K, SKETCHES, TUPLE = 8, 32, 2
 #: Ranges of ids for each partition, to even out what lands in one.
@@ -126,7 +126,6 @@ FIELDS = ["n_chars long", "edited_sha256 string", "fingerprint string", "edited_
 
 def order_minhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sketches: int = SKETCHES, size: int = TUPLE, k: int = K) -> DataFrame:
     """One row per row of docs: id and FIELDS."""
-    small_batches(docs.sparkSession)
     names = [id_col, *(x.split()[0] for x in FIELDS)]
     kind = docs.schema[id_col].dataType.simpleString()
 

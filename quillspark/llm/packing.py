@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import by_slice, small_batches, written
+from quillspark.llm.common import by_slice, written
 
 SIZE, END = 2048, 1
 #: The special token of byte_bpe_50k.json.
@@ -77,7 +77,6 @@ class FileTokens(Tokens):
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, end: int = END, tokens=FileTokens) -> DataFrame:
     """Pieces of each document: start, length, ids_crc32 (of little-endian unsigned 32-bit ids), doc_tokens."""
-    small_batches(docs.sparkSession)
     names = [id_col, "start", "length", "ids_crc32", "doc_tokens"]
 
     def run(batches):

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import as_bytes, by_slice, kept_rows, small_batches
+from quillspark.llm.common import as_bytes, by_slice, kept_rows
 
 #: Frequent words of each language, the bins of the word histogram besides "any other".
 COMMON_WORDS = {
@@ -122,7 +122,6 @@ def word_limit(n: int) -> float:
 def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """Shares of classes and of common words over all documents of each language of COMMON_WORDS. Sums by task are added
     up by Spark; four rows of fixed width reach the driver."""
-    small_batches(docs.sparkSession)
     width = CLASSES + OTHER + 1
 
     def run(batches):

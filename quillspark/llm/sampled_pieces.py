@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from quillspark.llm.common import by_slice, small_batches
+from quillspark.llm.common import by_slice
 from quillspark.llm.lattice import build, forward, pieces_of
 
 SEED = 17
@@ -154,7 +154,6 @@ def _encoder(id_col: str, text_col: str, seed: int):
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED) -> DataFrame:
     """(id, pieces array<int>) for each row of docs: a narrow map."""
-    small_batches(docs.sparkSession, BATCH_ROWS)
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(_encoder(id_col, text_col, seed), f"`{id_col}` {kind}, pieces array<int>")
 
@@ -168,7 +167,6 @@ def _arrays(batch: pa.RecordBatch):
 
 def decode(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(id, text) from (id, pieces); null pieces decode to an empty text."""
-    small_batches(encoded.sparkSession, BATCH_ROWS)
 
     def run(batches):
         sampler = Sampler()
@@ -182,7 +180,6 @@ def decode(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED) -> DataFrame:
     """(id, n_pieces, pieces_sha256 of little-endian 32-bit ids, decoded_sha256 of the text decoded from them): encode and
     decode in one worker, without handing the pieces to Spark."""
-    small_batches(docs.sparkSession, BATCH_ROWS)
 
     def run(batches):
         sampler = Sampler()

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import as_bytes, by_slice, small_batches
+from quillspark.llm.common import as_bytes, by_slice
 from quillspark.llm.quality_rules import class_histogram, repeated_lines, word_histogram
 
 #: Expected rows that train the scorer, chosen by a hash of the id.
@@ -198,7 +198,6 @@ def train(rows: list[tuple[list[int], list[float], float]], good: float) -> Scor
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS) -> tuple[LabelModel, Scorer]:
     """Vote patterns are counted over all documents (at most 3 to the number of labellers reach the driver); the scorer's
     sample has an expected number of rows and reaches the driver as bucket shares."""
-    small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def vote(batch: pa.RecordBatch) -> pa.RecordBatch:

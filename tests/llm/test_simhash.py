@@ -63,11 +63,30 @@ def test_links_connect_what_brute_force_connects(spark, monkeypatch, small):
     keyed = m._keyed(rows).toPandas()
     monkeypatch.setattr(m, "SMALL", small)
     keys, found = keyed["key"].to_numpy().view(np.uint64), keyed["fp"].to_numpy().view(np.uint64)
-    a, b = m._links(keys, found)
+    order = np.lexsort((found, keys))
+    a, b = m._links(keys[order], found[order])
     assert (np.bitwise_count(a ^ b) <= 2).all()
     arr = np.array(fps, np.uint64)
     pairs = [(int(x), int(y)) for i, x in enumerate(arr) for y in arr[:i][np.bitwise_count(arr[:i] ^ x) <= 2]]
     assert least_reachable(fps, zip(a.tolist(), b.tolist(), strict=True)) == least_reachable(fps, pairs)
+    # keys of more than 8 fingerprints are dealt out again by halves of the other segment
+    got = [(r["a"] & (1 << 64) - 1, r["b"] & (1 << 64) - 1) for r in m.links(rows.coalesce(2), 8).collect()]
+    assert all((a ^ b).bit_count() <= 2 for a, b in got) and least_reachable(fps, got) == least_reachable(fps, pairs)
+
+
+def test_many_fingerprints_that_share_a_half(spark):
+    rng = random.Random(4)
+    fps = sorted({0x1234ABCD << 32 | rng.getrandbits(32) for _ in range(100_000)})
+    rows = spark.createDataFrame([(x,) for x in fps], "fp long")
+    got = {(r["a"], r["b"]) for r in m.links(rows, 20_000).collect()}
+    arr = np.array(fps, np.uint64)
+    pairs = []
+    for i in range(32):
+        for j in range(i + 1):
+            other = arr ^ np.uint64(1 << i | 1 << j)
+            at = np.minimum(np.searchsorted(arr, other), len(arr) - 1)
+            pairs += zip(arr[arr[at] == other].tolist(), other[arr[at] == other].tolist(), strict=True)
+    assert all((a ^ b).bit_count() <= 2 for a, b in got) and least_reachable(fps, got) == least_reachable(fps, pairs)
 
 
 def test_components(spark):
@@ -120,5 +139,15 @@ def test_large_groups_give_few_pairs():
     from quillspark.llm import near_copies
 
     many = 500
-    found = near_copies._pairs(np.zeros(many, np.int64), np.arange(many), np.full(many, 7, np.uint64), np.full(many, 90))
-    assert len(found) == many - 1
+    args = np.zeros(many, np.int64), np.arange(many), np.full(many, 7, np.uint64), np.full(many, 90)
+    assert len(near_copies._pairs(*args, np.arange(many))) == many - 1
+    assert len(near_copies._pairs(*args, np.repeat([1, 2], many // 2))) == many // 2
+    assert not len(near_copies._pairs(*args, np.zeros(many, np.int64)))
+
+
+def test_filter_keeps_columns_of_any_name(spark):
+    rows = [(1, "one text of some words", 7, 8), (2, "one text of some words", 9, 10), (None, None, 1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _id int, key int").selectExpr("*", "1 AS _none", "2 AS nth", "3 AS _nth", "4 AS fp", "5 AS Hash")
+    kept = m.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] or 0, r["_id"], r["key"], r["nth"], r["fp"]) for r in kept.collect()) == [(0, 1, 2, 2, 4), (1, 7, 8, 2, 4)]
