@@ -1,27 +1,29 @@
 """Suffix-array dedup: every byte inside a string of `length` bytes that also starts in a document with a smaller id goes.
 
 Texts lie in a table bucketed by block (a few MB of documents), so the rounds below read them without dealing them out
-again. Only what can repeat is ever sorted:
+again. Only what can repeat is sorted:
 
 1. Every window of `length` bytes is led by the least of its 16-byte grams; windows with equal bytes have equal leaders,
-   so a window whose leader stands in one document only repeats nowhere else. Blocks send their distinct leaders.
-2. A run of windows with one leader is one string (its context). Blocks send hashes of the distinct contexts of leaders
-   that several documents have. A context that a smaller document has too repeats as a whole.
-3. What is left are contexts of one leader that differ somewhere: their bytes are sent, all their windows are sorted as
-   suffixes (see suffix_sort), and neighbours equal over `length` bytes are the same window. Leaders with very many such
-   contexts send single windows, dealt by content and one for each block, so a common passage lands in no single task.
-
-Everything sent is one packed row for each block and part, and each block packs equal things before it sends them, so the
-size of a group of copies doesn't show. Hashes have 64 bits or more within equal leaders.
+   so a window whose leader stands in one document only repeats nowhere. Blocks send their distinct leaders with how many
+   runs each has, and learn which of them several documents have, and which have very many runs.
+2. A run of windows with one leader is a string. A block sorts its runs of shared leaders as suffixes (suffix_sort) and
+   compares their bytes, so that equal runs are sent once, with the least id. What is sent is sorted again, all windows as
+   suffixes, by ranges of leaders; neighbours equal over `length` bytes are the same window, and all but those of the
+   least id go. Leaders with very many runs send single windows, dealt by content and one for each block, so a common
+   passage lands in no single task.
+
+Hashes choose what is sent where; what goes is decided by bytes of neighbours among sorted suffixes. What is sent are packed
+rows, at most one for each block and part and none without content: their number is bounded by that of the leaders, so it
+grows with the text.
 
 Defined cases: a null or empty text has no bytes; a null id is above all others; rows with equal ids never take from each
-other; texts shorter than `length` stay whole; an empty table gives an empty result; other columns are carried along.
+other; texts shorter than `length` stay whole; a text longer than a block is a block of its own that is worked on in
+pieces; an empty table gives an empty result; other columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,19 +31,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import partitions, shared_dir, written
-from quillspark.llm.suffix_sort import sort_suffixes
+from quillspark.llm.common import fresh, new_path, partitions, written
+from quillspark.llm.suffix_sort import sort_suffixes, words
 
 LENGTH, GRAM = 50, 16
 #: Bytes of a block, blocks in a bucket, bytes that are worked on at a time (a longer text is cut, its windows are not).
 BLOCK_BYTES, BLOCKS, CHUNK = 4 << 20, 3, 1 << 19
+#: Buckets (files and tasks of a round) at most: beyond them a bucket has more blocks, which are read one after another.
+BUCKETS = 20_000
 #: A part of the leaders covers so many bytes of text; so many parts where there is less text.
 PART_BYTES, PARTS = 64 << 20, 48
-#: Contexts of one leader beyond which single windows are dealt by content.
+#: Distinct runs of one leader, summed over blocks, beyond which single windows are dealt by content.
 MANY = 1024
 NO_ID = (1 << 63) - 1
 _M1, _M2, _B = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93
 _LOW = np.uint64(0xFFFFFF)
+#: Bits of a leader's hash that a tag of the run replaces where distinct runs are counted.
+_TAG = np.uint64(0xFFFF)
 _powers: list[np.ndarray] = []
 
 
@@ -56,8 +62,8 @@ _BYTE_CODES = np.array([int.from_bytes(hashlib.blake2b(bytes([b]), digest_size=8
 
 
 class Runs:
-    """Runs of windows with one leader in a piece of text: leader's hash, context's hash, document (row), first and last
-    window; and the piece's bytes."""
+    """Runs of windows with one leader in a piece of text: leader's hash, a hash of the run's bytes, document (row), first
+    and last window; and the piece's bytes."""
 
     def __init__(self, pieces: list[tuple[int, int, bytes]], length: int) -> None:
         sizes = np.array([len(x) for _, _, x in pieces], np.int64)
@@ -105,13 +111,14 @@ class Runs:
         c = (c ^ (c >> np.uint64(31))) * m1
         self.context = c ^ (c >> np.uint64(30))
 
-    def window_hash(self, windows: np.ndarray, length: int) -> np.ndarray:
-        n = len(self.raw) - 64
-        power, inverse = _power_tables(max(n, CHUNK + 4096))
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE_CODES[self.data[:n]] * power[:n])))
-        c = (sums[windows + length] - sums[windows]) * inverse[windows]
-        c = (c ^ (c >> np.uint64(31))) * np.uint64(_M1)
-        return c ^ (c >> np.uint64(32))
+
+def window_hash(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """A hash of the bytes of each window."""
+    h = np.zeros(len(at), np.uint64)
+    for k in range(0, length, 8):
+        h = (h ^ words(data, at + k, min(8, length - k))) * np.uint64(_M1)
+        h ^= h >> np.uint64(32)
+    return h * np.uint64(_M2)
 
 
 class Block:
@@ -126,7 +133,7 @@ class Block:
         # documents of one id count as one: the row number of its first
         self.rank = np.searchsorted(self.ids, self.ids)
         self.length = length
-        self.groups: list[Runs] = []
+        groups: list[Runs] = []
         held: list[tuple[int, int, bytes]] = []
         size = 0
         for i, text in enumerate(self.texts):
@@ -135,72 +142,106 @@ class Block:
             for a in range(0, max(1, len(text) - length + 1), CHUNK):
                 piece = text[a : a + CHUNK + length - 1]
                 if held and size + len(piece) > CHUNK + 2048:
-                    self.groups.append(Runs(held, length))
+                    groups.append(Runs(held, length))
                     held, size = [], 0
                 held.append((i, a, piece))
                 size += len(piece)
         if held:
-            self.groups.append(Runs(held, length))
-        gather = lambda name, kind: np.concatenate([np.zeros(0, kind), *(getattr(g, name) for g in self.groups)])
+            groups.append(Runs(held, length))
+        gather = lambda name, kind: np.concatenate([np.zeros(0, kind), *(getattr(g, name) for g in groups)])
         self.leader, self.context = gather("leader", np.uint64), gather("context", np.uint64)
         self.doc = self.rank[gather("doc", np.int64)] if len(self.ids) else np.zeros(0, np.int64)
-        self.group = np.repeat(np.arange(len(self.groups)), [len(g.leader) for g in self.groups])
         self.low, self.high = gather("low", np.int64), gather("high", np.int64)
+        # all pieces end to end: where each run begins in them, and (document, offset in it, place, bytes) of each piece
+        self.raw = b"".join([*(g.raw for g in groups), bytes(64)])
+        self.data = np.frombuffer(self.raw, np.uint8)
+        base = np.cumsum([0, *(len(g.raw) for g in groups)])
+        self.at = self.low + np.repeat(base[:-1], [len(g.leader) for g in groups]) if groups else self.low
+        self.pieces = [(doc, offset, int(b + start), len(x)) for b, g in zip(base[:-1].tolist(), groups, strict=True) for (doc, offset, x), start in zip(g.pieces, g.begin.tolist(), strict=True)]
+
+    def leaders(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct leaders (48 bits, sorted), about how many distinct runs each has (255 at most), and which of them leads
+        each run."""
+        key = self.leader & ~_TAG | self.context & _TAG
+        order = np.argsort(key)
+        key = key[order]
+        leader = key >> np.uint64(16)
+        new = np.concatenate((np.ones(min(1, len(key)), bool), leader[1:] != leader[:-1]))
+        differs = new | np.concatenate((np.ones(min(1, len(key)), bool), key[1:] != key[:-1]))
+        which = np.empty(len(key), np.int64)
+        which[order] = np.cumsum(new) - 1
+        runs = np.add.reduceat(differs.astype(np.int64), np.flatnonzero(new)) if len(key) else np.zeros(0, np.int64)
+        return leader[new], np.minimum(runs, 255).astype(np.uint8), which
 
-    # round 1
-    def leaders(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct leaders (48 bits, sorted), and which of them leads each run."""
-        return np.unique(self.leader >> np.uint64(16), return_inverse=True)
-
-    def several(self, found: np.ndarray, inverse: np.ndarray) -> np.ndarray:
+    def several(self, found: np.ndarray, which: np.ndarray) -> np.ndarray:
         """Whether two documents of the block have a leader."""
         low = np.full(len(found), np.iinfo(np.int64).max)
         high = np.full(len(found), -1)
-        np.minimum.at(low, inverse, self.doc)
-        np.maximum.at(high, inverse, self.doc)
+        np.minimum.at(low, which, self.doc)
+        np.maximum.at(high, which, self.doc)
         return low < high
 
-    # round 2
-    def contexts(self, shared: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Of the runs whose leader is shared (mask): run numbers; their entry; and per entry leader, context, least
-        document and its run. Entries are sorted by leader."""
-        runs = np.flatnonzero(shared)
-        order = runs[np.lexsort((self.doc[runs], self.context[runs], self.leader[runs]))]
-        leader, context = self.leader[order], self.context[order]
-        new = np.concatenate((np.ones(min(1, len(order)), bool), (leader[1:] != leader[:-1]) | (context[1:] != context[:-1])))
-        entry = np.cumsum(new) - 1
-        first = order[new]
-        return order, entry, leader[new], context[new], self.doc[first], first
-
-
-def _bounds(parts: int) -> np.ndarray:
-    """First 32-bit leader of each part; parts + 1 of them."""
-    return (np.arange(parts + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(parts)
-
-
-def _cuts(sorted_leaders: np.ndarray, bits: int, parts: int) -> np.ndarray:
-    """Where each part begins among sorted leaders of `bits` bits."""
-    return np.searchsorted(sorted_leaders >> np.uint64(bits - 32), _bounds(parts))
-
-
-def _mask(replies: dict, round_: int, kind: int, sizes: np.ndarray, parts: int, dtype: str = "bits") -> np.ndarray:
-    """What the parts replied to a block in a round, one after another."""
-    out = []
-    for part in range(parts):
-        if sizes[part]:
-            blob = np.frombuffer(replies[round_, kind, part], np.uint8)
-            out.append(np.unpackbits(blob, count=sizes[part]) if dtype == "bits" else blob)
-    return np.concatenate([np.zeros(0, np.uint8), *out])
-
-
-SENT = "part int, _block int, kind int, blob binary"
-REPLY = "_block int, round int, kind int, part int, blob binary"
-_SENT = pa.schema([("part", pa.int32()), ("_block", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
-_REPLY = pa.schema([("_block", pa.int32()), ("round", pa.int32()), ("kind", pa.int32()), ("part", pa.int32()), ("blob", pa.binary())])
-
-
-def _replies(table: pa.Table | None) -> dict:
-    return {} if table is None else {(r["round"], r["kind"], r["part"]): r["blob"] for r in table.to_pylist()}
+    def distinct(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of the given runs: themselves, entry by entry; which entry (distinct string) each belongs to; and per entry the
+        least document and its run. Entries are sorted by leader. Runs are sorted as suffixes from their first window on;
+        runs are one entry only if all their bytes are equal."""
+        if not len(runs):
+            return runs, runs, runs, runs
+        data, at = self.data, self.at[runs]
+        width = self.high[runs] - self.low[runs] + self.length
+        order, same = sort_suffixes(data, at, self.length)
+        span = int(width.max())
+        place, width = at[order], width[order]
+        same &= np.concatenate(([False], width[1:] == width[:-1]))
+        # equal first windows: what follows differs for few, so neighbours are told apart by the run's hash, then by bytes
+        group = np.cumsum(~same) - 1
+        inner = np.lexsort((self.doc[runs][order], self.context[runs][order], group))
+        order, place, group, width = order[inner], place[inner], group[inner], width[inner]
+        equal = np.concatenate(([False], group[1:] == group[:-1]))
+        for k in range(self.length // 8 * 8, span, 8):
+            rows = np.flatnonzero(equal & (width > k))
+            if not len(rows):
+                break
+            left = np.minimum(8, width[rows] - k).astype(np.uint64)
+            drop = np.uint64(64) - np.uint64(8) * left
+            equal[rows] = words(data, place[rows] + k) >> drop == words(data, place[rows - 1] + k) >> drop
+        entry = np.cumsum(~equal) - 1
+        runs = runs[order]
+        # entries in the order of their leaders, documents of an entry in order
+        leader = self.leader[runs[np.flatnonzero(~equal)]]
+        rank = np.empty(len(leader), np.int64)
+        rank[np.argsort(leader, kind="stable")] = np.arange(len(leader))
+        entry = rank[entry]
+        by_entry = np.lexsort((self.doc[runs], entry))
+        runs, entry = runs[by_entry], entry[by_entry]
+        first = runs[np.flatnonzero(np.concatenate(([True], entry[1:] != entry[:-1])))]
+        return runs, entry, self.doc[first], first
+
+
+def _part_of(leaders: np.ndarray, bits: int, parts: int) -> np.ndarray:
+    """The part of each leader of `bits` bits: equal ranges of its first 32 bits, in order."""
+    return ((leaders >> np.uint64(bits - 32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def _runs_of(sorted_numbers: np.ndarray) -> list[tuple[int, int, int]]:
+    """(number, first, behind the last) of each run of equal numbers."""
+    edges = np.flatnonzero(np.concatenate(([True], sorted_numbers[1:] != sorted_numbers[:-1], [True]))) if len(sorted_numbers) else np.zeros(1, np.int64)
+    return [(int(sorted_numbers[a]), int(a), int(b)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
+def _gathered(replies: dict, round_: int, kind: int, sizes: list[tuple[int, int]]) -> np.ndarray:
+    """The bits that parts replied to a block in a round, one after another. sizes: (part, bits)."""
+    return np.concatenate([np.zeros(0, np.uint8), *(np.unpackbits(np.frombuffer(replies[round_, kind, part], np.uint8), count=n) for part, n in sizes)]).astype(bool)
+
+
+SENT = "part int, block int, kind int, blob binary"
+REPLY = "block int, round int, kind int, part int, blob binary"
+_SENT = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
+_REPLY = pa.schema([("block", pa.int32()), ("round", pa.int32()), ("kind", pa.int32()), ("part", pa.int32()), ("blob", pa.binary())])
+
+
+def _replies(table: pa.Table) -> dict:
+    return {(r["round"], r["kind"], r["part"]): r["blob"] for r in table.to_pylist()}
 
 
 def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
@@ -208,137 +249,100 @@ def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
 
-def _number(table: pa.Table) -> int:
-    return table.column("_block")[0].as_py()
-
-
 class Rounds:
     """What blocks send and what parts reply; everything is derived anew from the texts, so any task can run again."""
 
-    def __init__(self, parts: int, id_col: str, text_col: str, length: int) -> None:
-        self.parts, self.id_col, self.text_col, self.length = parts, id_col, text_col, length
+    def __init__(self, parts: int, id_col: str, text_col: str, length: int, block_col: str = "block") -> None:
+        self.parts, self.id_col, self.text_col, self.length, self.block_col = parts, id_col, text_col, length, block_col
 
     def block(self, table: pa.Table) -> Block:
         return Block(table, self.id_col, self.text_col, self.length)
 
+    def number(self, table: pa.Table) -> int:
+        return table.column(self.block_col)[0].as_py()
+
+    # round 1
     def send_leaders(self, table: pa.Table) -> pa.Table:
-        block = self.block(table)
-        found, inverse = block.leaders()
-        several = block.several(found, inverse)
-        cuts = _cuts(found, 48, self.parts)
+        block, number = self.block(table), self.number(table)
+        found, runs, which = block.leaders()
+        several = block.several(found, which)
         packed = found.view(np.uint8).reshape(-1, 8)[:, :6]
-        number = _number(table)
-        return _rows(_SENT, [(p, number, 0, packed[a:b].tobytes() + np.packbits(several[a:b]).tobytes()) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a])
+        return _rows(_SENT, [(p, number, 0, packed[a:b].tobytes() + runs[a:b].tobytes() + np.packbits(several[a:b]).tobytes()) for p, a, b in _runs_of(_part_of(found, 48, self.parts))])
 
     def reply_leaders(self, rows: list[dict]) -> Iterator[tuple]:
-        found, several, sizes = [], [], []
+        """Two kinds of bits for each leader sent: several documents have it; it has very many runs."""
+        found, runs, several, sizes = [], [], [], []
         for r in rows:
-            n = next(k for k in range((8 * len(r["blob"])) // 49 - 1, len(r["blob"]) // 6 + 1) if 6 * k + (k + 7) // 8 == len(r["blob"]))
+            blob = r["blob"]
+            n = 8 * len(blob) // 57  # 7 bytes and a bit each, the bits filled up to a byte
             raw = np.zeros((n, 8), np.uint8)
-            raw[:, :6] = np.frombuffer(r["blob"], np.uint8, 6 * n).reshape(-1, 6)
+            raw[:, :6] = np.frombuffer(blob, np.uint8, 6 * n).reshape(-1, 6)
             found.append(raw.view(np.uint64).ravel())
-            several.append(np.unpackbits(np.frombuffer(r["blob"], np.uint8, offset=6 * n), count=n))
+            runs.append(np.frombuffer(blob, np.uint8, n, offset=6 * n))
+            several.append(np.unpackbits(np.frombuffer(blob, np.uint8, offset=7 * n), count=n))
             sizes.append(n)
-        _, inverse, counts = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
-        marked = np.zeros(len(counts), bool)
-        marked[inverse[np.concatenate(several).astype(bool)]] = True
-        shared = (marked | (counts > 1))[inverse]
-        for r, part in zip(rows, np.split(shared, np.cumsum(sizes)[:-1]), strict=True):
-            yield r["_block"], 1, 0, r["part"], np.packbits(part).tobytes()
-
-    def shared_runs(self, block: Block, replies: dict) -> np.ndarray:
-        found, inverse = block.leaders()
-        sizes = np.diff(_cuts(found, 48, self.parts))
-        return _mask(replies, 1, 0, sizes, self.parts).astype(bool)[inverse] if len(found) else np.zeros(0, bool)
-
-    def send_contexts(self, table: pa.Table, answers: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return _rows(_SENT, [])
-        block = self.block(table)
-        _, _, leader, context, doc, _ = block.contexts(self.shared_runs(block, _replies(answers)))
-        cuts = _cuts(leader, 64, self.parts)
-        short, ids, number = (leader >> np.uint64(32)).astype(np.uint32), block.ids[doc], _number(table)
-        return _rows(_SENT, [(p, number, 0, short[a:b].tobytes() + context[a:b].tobytes() + ids[a:b].tobytes()) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a])
-
-    def reply_contexts(self, rows: list[dict]) -> Iterator[tuple]:
-        """0: nothing more; 1: a smaller document has it; 2: its windows are to be sent; 3: each on its own."""
-        sizes = [len(r["blob"]) // 20 for r in rows]
-        pick = lambda kind, at, width: np.concatenate([np.frombuffer(r["blob"], kind, n, offset=at * n) for r, n in zip(rows, sizes, strict=True)])
-        leader, context, ids = pick(np.uint32, 0, 4), pick(np.uint64, 4, 8), pick(np.int64, 12, 8)
-        order = np.lexsort((ids, context, leader))
-        leader, context, ids = leader[order], context[order], ids[order]
-        new_leader = np.concatenate(([True], leader[1:] != leader[:-1]))
-        first = new_leader | np.concatenate(([True], context[1:] != context[:-1]))
-        starts = np.flatnonzero(new_leader)
-        of = np.cumsum(new_leader) - 1
-        least = np.minimum.reduceat(ids, starts)
-        asks = first & (ids > least[of])
-        open_ = np.add.reduceat(asks.astype(np.int64), starts)[of] > 0
-        many = np.add.reduceat(first.astype(np.int64), starts)[of] > MANY
-        # equal ids in one group of contexts are rows of one document: the later ones are no copies
-        owner = ids[np.flatnonzero(first)][np.cumsum(first) - 1]
-        answer = np.where(ids > owner, 1, np.where(open_, np.where(many, 3, 2), 0)).astype(np.uint8)
-        back = np.empty_like(answer)
-        back[order] = answer
-        for r, part in zip(rows, np.split(back, np.cumsum(sizes)[:-1]), strict=True):
-            yield r["_block"], 2, 0, r["part"], part.tobytes()
-
-    def answered(self, block: Block, replies: dict) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
-        """Entries of the block and the answer of round 2 to each."""
-        entries = block.contexts(self.shared_runs(block, replies))
-        sizes = np.diff(_cuts(entries[2], 64, self.parts))
-        return entries, _mask(replies, 2, 0, sizes, self.parts, "bytes")
-
-    def windows(self, block: Block, entries: tuple[np.ndarray, ...], answers: np.ndarray) -> tuple[np.ndarray, np.ndarray, list, np.ndarray]:
-        """Entries that send their context; and of those that send windows alone: entry of each window, the distinct
-        windows (part, row number of its first, as (group, window, document)) and which distinct one each is."""
-        whole = np.flatnonzero(answers == 2)
-        alone = np.flatnonzero(answers == 3)
-        first = entries[5]
-        of, at, group, hashes = [], [], [], []
-        for e in alone.tolist():
-            run = first[e]
-            span = np.arange(block.low[run], block.high[run] + 1)
-            of.append(np.full(len(span), e))
-            at.append(span)
-            group.append(np.full(len(span), block.group[run]))
-        if not of:
-            return whole, np.zeros(0, np.int64), [], np.zeros(0, np.int64)
-        of, at, group = np.concatenate(of), np.concatenate(at), np.concatenate(group)
-        hashes = np.zeros(len(at), np.uint64)
-        for g in np.unique(group).tolist():
-            rows = group == g
-            hashes[rows] = block.groups[g].window_hash(at[rows], self.length)
-        docs = entries[4][of]
-        order = np.lexsort((docs, hashes))
-        new = np.concatenate(([True], hashes[order][1:] != hashes[order][:-1]))
+        found = np.concatenate(found)
+        order = np.argsort(found)
+        new = np.concatenate(([True], found[order][1:] != found[order][:-1]))
+        starts, of = np.flatnonzero(new), np.cumsum(new) - 1
+        counts = np.diff(np.append(starts, len(found)))
+        total = np.add.reduceat(np.concatenate(runs)[order].astype(np.int64), starts)
+        marked = np.add.reduceat(np.concatenate(several)[order].astype(np.int64), starts) > 0
+        answer = np.empty((2, len(found)), bool)
+        answer[0, order], answer[1, order] = (marked | (counts > 1))[of], (total > MANY)[of]
+        for kind in range(2):
+            for r, part in zip(rows, np.split(answer[kind], np.cumsum(sizes)[:-1]), strict=True):
+                yield r["block"], 1, kind, r["part"], np.packbits(part).tobytes()
+
+    def entries(self, block: Block, replies: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Block.distinct() of the runs whose leader is shared, and for each entry whether its leader has very many runs."""
+        found, _, which = block.leaders()
+        sizes = [(p, b - a) for p, a, b in _runs_of(_part_of(found, 48, self.parts))]
+        shared = _gathered(replies, 1, 0, sizes)
+        runs, entry, least, first = block.distinct(np.flatnonzero(shared[which]))
+        return runs, entry, least, first, _gathered(replies, 1, 1, sizes)[which[first]]
+
+    # round 2
+    def windows(self, block: Block, least: np.ndarray, first: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Entries that are sent whole (sorted by leader); and of the others: entry of each window and which distinct window
+        it is; and of the distinct ones, sorted by part, where the window is, its least document and its part."""
+        whole, alone = np.flatnonzero(~many), np.flatnonzero(many)
+        if not len(alone):
+            return whole, alone, alone, alone, alone, alone
+        each = (block.high - block.low + 1)[first[alone]]
+        of = np.repeat(alone, each)
+        at = np.repeat(block.at[first[alone]] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+        order, same = sort_suffixes(block.data, at, self.length)
+        number = np.cumsum(~same) - 1
+        order = order[np.lexsort((least[of][order], number))]  # the least document of a window first
+        heads = order[np.flatnonzero(~same)]
+        part = _part_of(window_hash(block.data, at[heads], self.length), 64, self.parts)
+        by_part = np.argsort(part, kind="stable")
+        rank = np.empty(len(heads), np.int64)
+        rank[by_part] = np.arange(len(heads))
         which = np.empty(len(at), np.int64)
-        which[order] = np.cumsum(new) - 1
-        heads = order[new]
-        part = ((hashes[heads] >> np.uint64(32)) * np.uint64(self.parts) >> np.uint64(32)).astype(np.int64)
-        return whole, of, [(int(p), int(group[i]), int(at[i]), int(docs[i])) for p, i in zip(part, heads, strict=True)], which
+        which[order] = rank[number]
+        heads = heads[by_part]
+        return whole, of, which, at[heads], least[of[heads]], part[by_part]
 
     def send_windows(self, table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return _rows(_SENT, [])
-        block, number, out = self.block(table), _number(table), []
-        entries, answer = self.answered(block, _replies(answers))
-        whole, _, alone, _ = self.windows(block, entries, answer)
-        cuts = np.searchsorted(entries[2][whole] >> np.uint64(32), _bounds(self.parts))
-        for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-            if b > a:
-                runs = entries[5][whole[a:b]]
-                texts = [block.groups[g].raw[lo : hi + self.length] for g, lo, hi in zip(block.group[runs].tolist(), block.low[runs].tolist(), block.high[runs].tolist(), strict=True)]
-                out.append((p, number, 0, self._packed(texts, block.ids[entries[4][whole[a:b]]])))
-        for p in sorted({x[0] for x in alone}):
-            mine = [x for x in alone if x[0] == p]
-            out.append((p, number, 1, self._packed([block.groups[g].raw[at : at + self.length] for _, g, at, _ in mine], block.ids[[d for *_, d in mine]])))
+        block, number, out = self.block(table), self.number(table), []
+        _, _, least, first, many = self.entries(block, _replies(answers))
+        whole, _, _, head_at, head_doc, part = self.windows(block, least, first, many)
+        runs = first[whole]
+        at, stop = block.at[runs], block.at[runs] + (block.high - block.low)[runs] + self.length
+        for p, a, b in _runs_of(_part_of(block.leader[runs], 64, self.parts)):
+            out.append((p, number, 0, self._packed(block.raw, at[a:b], stop[a:b], block.ids[least[whole[a:b]]])))
+        for p, a, b in _runs_of(part):
+            out.append((p, number, 1, self._packed(block.raw, head_at[a:b], head_at[a:b] + self.length, block.ids[head_doc[a:b]])))
         return _rows(_SENT, out)
 
     @staticmethod
-    def _packed(texts: list[bytes], ids: np.ndarray) -> bytes:
-        n = np.array([len(texts)], np.int64)
-        return n.tobytes() + ids.astype(np.int64).tobytes() + np.array([len(x) for x in texts], np.uint16).tobytes() + b"".join(texts)
+    def _packed(raw: bytes, at: np.ndarray, stop: np.ndarray, ids: np.ndarray) -> bytes:
+        texts = [raw[a:b] for a, b in zip(at.tolist(), stop.tolist(), strict=True)]
+        return np.array([len(at)], np.int64).tobytes() + ids.astype(np.int64).tobytes() + (stop - at).astype(np.uint16).tobytes() + b"".join(texts)
 
     def reply_windows(self, rows: list[dict]) -> Iterator[tuple]:
         """For each window sent, in order, whether a smaller document has it."""
@@ -361,108 +365,99 @@ class Rounds:
         repeated = np.empty(len(starts), bool)
         repeated[order] = owner[order] > least[np.cumsum(~same) - 1]
         for r, part in zip(rows, np.split(repeated, np.cumsum(counts)[:-1]), strict=True):
-            yield r["_block"], 3, r["kind"], r["part"], np.packbits(part).tobytes()
+            yield r["block"], 2, r["kind"], r["part"], np.packbits(part).tobytes()
 
     def removed(self, block: Block, replies: dict) -> list[np.ndarray]:
         """For each document of the block, which of its bytes go."""
-        gone = [np.zeros(len(t) + 1, np.int32) for t in block.texts]
-        (order, entry, leader, _, least, first), answers = self.answered(block, replies)
-        whole, of, alone, which = self.windows(block, (order, entry, leader, None, least, first), answers)
-        flags: dict[int, np.ndarray] = {}
+        runs, entry, least, first, many = self.entries(block, replies)
+        whole, of, which, _, head_doc, part = self.windows(block, least, first, many)
+        each = (block.high - block.low + 1)[first]
+        flags = np.zeros(int(each.sum()), bool)  # of the windows of all entries, whether a smaller document has them
+        begin = np.cumsum(each) - each
         if len(whole):
-            each = (block.high - block.low + 1)[first[whole]]
-            cuts = np.searchsorted(leader[whole] >> np.uint64(32), _bounds(self.parts))
-            sizes = np.add.reduceat(np.append(each, 0), np.minimum(cuts[:-1], len(each))) * (np.diff(cuts) > 0)
-            bits = _mask(replies, 3, 0, sizes, self.parts).astype(bool)
-            flags |= dict(zip(whole.tolist(), np.split(bits, np.cumsum(each)[:-1]), strict=True))
-        if alone:
-            part = np.array([x[0] for x in alone])
-            by_part = np.argsort(part, kind="stable")
-            sizes = np.bincount(part, minlength=self.parts)
-            bits = np.empty(len(alone), bool)
-            bits[by_part] = _mask(replies, 3, 1, sizes, self.parts).astype(bool)
-            head = np.array([x[3] for x in alone])
-            window = bits[which] | (least[of] > head[which])
-            edges = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
-            flags |= dict(zip(of[edges].tolist(), np.split(window, edges[1:]), strict=True))
-        later = block.doc[order] > least[entry]
-        all_of = later | (answers[entry] == 1)
-        some = np.flatnonzero(~all_of & (answers[entry] >= 2))
-        self._mark(block, gone, order[all_of], None)
-        for i in some.tolist():
-            flag = flags[int(entry[i])]
-            if flag.any():
-                self._mark(block, gone, order[i : i + 1], flag)
-        return [np.cumsum(g)[:-1] > 0 for g in gone]
-
-    def _mark(self, block: Block, gone: list[np.ndarray], runs: np.ndarray, flag: np.ndarray | None) -> None:
-        for g in np.unique(block.group[runs]).tolist():
-            own = block.groups[g]
-            mine = runs[block.group[runs] == g]
-            row = np.searchsorted(own.begin, block.low[mine], "right") - 1
-            shift = own.begin[row]
-            lows, highs = block.low[mine] - shift, block.high[mine] - shift
-            for k, lo, hi in zip(row.tolist(), lows.tolist(), highs.tolist(), strict=True):
-                doc, offset, _ = own.pieces[k]
-                edge = gone[doc]
-                if flag is None:
-                    edge[offset + lo] += 1
-                    edge[offset + hi + self.length] -= 1
-                else:
-                    at = offset + lo + np.flatnonzero(flag)
-                    np.add.at(edge, at, 1)
-                    np.add.at(edge, at + self.length, -1)
+            sizes = [(p, int(each[whole[a:b]].sum())) for p, a, b in _runs_of(_part_of(block.leader[first[whole]], 64, self.parts))]
+            own = each[whole]
+            flags[np.repeat(begin[whole] - (np.cumsum(own) - own), own) + np.arange(own.sum())] = _gathered(replies, 2, 0, sizes)
+        if len(of):
+            bits = _gathered(replies, 2, 1, [(p, b - a) for p, a, b in _runs_of(part)])
+            own = each[many]
+            flags[np.repeat(begin[many] - (np.cumsum(own) - own), own) + np.arange(own.sum())] = bits[which] | (least[of] > head_doc[which])  # a smaller document of the block counts too
+        later = block.doc[runs] > least[entry]  # a smaller document of the block has the run
+        edge = np.zeros(len(block.raw) + 1, np.int32)
+        at, span = block.at[runs[later]], (block.high - block.low)[runs[later]]
+        np.add.at(edge, at, 1)
+        np.add.at(edge, at + span + self.length, -1)
+        rest = np.flatnonzero(~later)
+        own = each[entry[rest]]
+        shift = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+        gone = flags[np.repeat(begin[entry[rest]], own) + shift]
+        at = (np.repeat(block.at[runs[rest]], own) + shift)[gone]
+        np.add.at(edge, at, 1)
+        np.add.at(edge, at + self.length, -1)
+        covered = np.cumsum(edge) > 0
+        # windows of pieces of one long text meet in the text
+        out = [np.zeros(len(t), bool) for t in block.texts]
+        for doc, offset, start, n in block.pieces:
+            out[doc][offset : offset + n] |= covered[start : start + n]
+        return out
 
 
 def _reduce(work: Callable[[list[dict]], Iterator[tuple]]) -> Callable:
-    """For mapInArrow over rows dealt by part: each part at once."""
+    """For mapInArrow over rows sorted by part: a part at a time."""
 
     def run(batches):
-        parts: dict[int, list[dict]] = {}
+        held: list[dict] = []
         for batch in batches:
             for r in batch.to_pylist():
-                parts.setdefault(r["part"], []).append(r)
-        for p in sorted(parts):
-            rows = sorted(parts.pop(p), key=lambda r: (r["_block"], r["kind"]))
-            yield from _rows(_REPLY, list(work(rows))).to_batches()
+                if held and held[0]["part"] != r["part"]:
+                    yield from _rows(_REPLY, list(work(held))).to_batches()
+                    held = []
+                held.append(r)
+        if held:
+            yield from _rows(_REPLY, list(work(held))).to_batches()
 
     return run
 
 
-def _in_blocks(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
-    """docs as a table bucketed by block, and their bytes."""
+def _in_blocks(docs: DataFrame, id_col: str, text_col: str, block_col: str) -> tuple[DataFrame, int]:
+    """docs as a table bucketed by block, and their bytes. The table leaves the catalogue at once; its files stay."""
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    buckets = max(partitions(spark), -(-total // (BLOCK_BYTES * BLOCKS)))
-    name = f"blocks_{uuid.uuid4().hex}"
-    named = docs.withColumn("_block", F.pmod(F.xxhash64(id_col), F.lit(buckets * BLOCKS)).cast("int"))
-    dealt = named.repartition(buckets, "_block")
-    dealt.write.bucketBy(buckets, "_block").option("path", f"{shared_dir(spark)}/{name}").option("compression", "zstd").saveAsTable(name)
-    return spark.table(name), total
-
-
-def repeats(docs: DataFrame, finish: Callable[[Block, list[np.ndarray], pa.Table], pa.Table], schema: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
-    """finish(block, removed bytes of each of its documents, its rows) for every block, as rows of the schema."""
+    buckets = min(BUCKETS, max(partitions(spark), -(-total // (BLOCK_BYTES * BLOCKS))))
+    blocks = max(buckets * BLOCKS, -(-total // BLOCK_BYTES))
+    path = new_path(spark, "blocks")
+    name = f"blocks_{path[-32:]}"
+    # by id and text, so that rows without an id don't all fall into one block
+    named = docs.withColumn(block_col, F.pmod(F.xxhash64(id_col, text_col), F.lit(blocks)).cast("int"))
+    dealt = named.repartition(buckets, block_col)
+    dealt.write.bucketBy(buckets, block_col).option("path", path).option("compression", "zstd").saveAsTable(name)
+    table = spark.table(name)
+    table.schema  # resolved: the plan knows files and buckets  # noqa: B018
+    spark.sql(f"DROP TABLE {name}")
+    return table, total
+
+
+def repeats(docs: DataFrame, finish: Callable[[Block, list[np.ndarray], pa.Table, str], pa.Table], schema: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
+    """finish(block, removed bytes of each of its documents, its rows, its block column) for every block, as rows of the schema."""
     spark = docs.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
-    blocks, total = _in_blocks(docs, id_col, text_col)
+    (block_col,) = fresh(docs, "block")
+    blocks, total = _in_blocks(docs, id_col, text_col, block_col)
     parts = max(min(partitions(spark), PARTS), total // PART_BYTES)
-    rounds = Rounds(parts, id_col, text_col, length)
-    by_block = blocks.groupBy("_block")
-    slim = blocks.select(id_col, text_col, "_block").groupBy("_block")
+    rounds = Rounds(parts, id_col, text_col, length, block_col)
+    slim = blocks.select(id_col, text_col, block_col).groupBy(block_col)
 
     def exchanged(sent: DataFrame, work: Callable) -> DataFrame:
-        return written(sent.repartitionById(parts, F.col("part")).mapInArrow(_reduce(work), REPLY), "replies")
+        dealt = sent.repartitionById(min(parts, BUCKETS), F.col("part")).sortWithinPartitions("part", "block", "kind")
+        return written(dealt.mapInArrow(_reduce(work), REPLY), "replies")
 
     replies = exchanged(slim.applyInArrow(lambda rows: rounds.send_leaders(rows), SENT), rounds.reply_leaders)
-    replies = replies.union(exchanged(slim.cogroup(replies.groupBy("_block")).applyInArrow(lambda rows, answers: rounds.send_contexts(rows, answers), SENT), rounds.reply_contexts))
-    replies = replies.union(exchanged(slim.cogroup(replies.groupBy("_block")).applyInArrow(lambda rows, answers: rounds.send_windows(rows, answers), SENT), rounds.reply_windows))
+    replies = replies.union(exchanged(slim.cogroup(replies.groupBy("block")).applyInArrow(lambda rows, answers: rounds.send_windows(rows, answers), SENT), rounds.reply_windows))
 
     def last(table: pa.Table, answers: pa.Table) -> pa.Table:
         block = rounds.block(table)
-        return finish(block, rounds.removed(block, _replies(answers)), table)
+        return finish(block, rounds.removed(block, _replies(answers)), table, block_col)
 
-    return by_block.cogroup(replies.groupBy("_block")).applyInArrow(last, schema)
+    return blocks.groupBy(block_col).cogroup(replies.groupBy("block")).applyInArrow(last, schema)
 
 
 def kept_bytes(text: bytes, gone: np.ndarray) -> bytes:
@@ -477,7 +472,7 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     kind = docs.schema[id_col].dataType
     names = [id_col, *(x.split()[0] for x in FIELDS)]
 
-    def finish(block: Block, gone: list[np.ndarray], table: pa.Table) -> pa.Table:
+    def finish(block: Block, gone: list[np.ndarray], table: pa.Table, block_col: str) -> pa.Table:
         count = [int(g.sum()) for g in gone]
         runs = [int((np.diff(np.concatenate(([False], g)).astype(np.int8)) == 1).sum()) for g in gone]
         kept = [hashlib.sha256(kept_bytes(t, g) if n else t).hexdigest() for t, g, n in zip(block.texts, gone, count, strict=True)]
@@ -491,12 +486,12 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """docs with the repeated bytes cut out of the texts; what is left of a character that was cut through goes too. A text
     that was null stays null."""
 
-    def finish(block: Block, gone: list[np.ndarray], table: pa.Table) -> pa.Table:
+    def finish(block: Block, gone: list[np.ndarray], table: pa.Table, block_col: str) -> pa.Table:
         rows = table.take(pa.array(block.order, pa.int64()))
         was = rows.column(text_col).is_null().to_pylist()
         texts = [None if null else kept_bytes(t, g).decode("utf-8", "ignore") for null, t, g in zip(was, block.texts, gone, strict=True)]
         at = rows.schema.get_field_index(text_col)
-        return rows.set_column(at, rows.schema.field(at), pa.array(texts, rows.schema.field(at).type)).drop_columns(["_block"])
+        return rows.set_column(at, rows.schema.field(at), pa.array(texts, rows.schema.field(at).type)).drop_columns([block_col])
 
     from pyspark.sql.types import StructField, StructType
 

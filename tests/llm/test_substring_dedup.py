@@ -57,11 +57,11 @@ def test_removed_bytes_are_those_of_brute_force(spark, monkeypatch, seed, many,
     rounds = m.Rounds(3, "doc_id", "text", m.LENGTH)
     table = pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": [r[1] for r in rows]})
     number = np.array([0 if i is None else i * 31 % 4 for i, _ in rows])
-    blocks = [table.filter(pa.array(number == b)).append_column("_block", pa.array([b] * int((number == b).sum()), pa.int32())) for b in range(4)]
+    blocks = [table.filter(pa.array(number == b)).append_column("block", pa.array([b] * int((number == b).sum()), pa.int32())) for b in range(4)]
     replies = pa.Table.from_batches([], m._REPLY)
-    mine = lambda b: replies.filter(pa.array([x == b.column("_block")[0].as_py() for x in replies.column("_block").to_pylist()], pa.bool_()))
-    for send, reply in ((lambda b: rounds.send_leaders(b), rounds.reply_leaders), (lambda b: rounds.send_contexts(b, mine(b)), rounds.reply_contexts), (lambda b: rounds.send_windows(b, mine(b)), rounds.reply_windows)):
-        sent = [x for b in blocks for x in send(b).to_batches() if x.num_rows]
+    mine = lambda b: replies.filter(pa.array([x == b.column("block")[0].as_py() for x in replies.column("block").to_pylist()], pa.bool_()))
+    for send, reply in ((lambda b: rounds.send_leaders(b), rounds.reply_leaders), (lambda b: rounds.send_windows(b, mine(b)), rounds.reply_windows)):
+        sent = pa.Table.from_batches([x for b in blocks for x in send(b).to_batches()], m._SENT).sort_by([("part", "ascending"), ("block", "ascending"), ("kind", "ascending")]).to_batches(max_chunksize=3)
         replies = pa.concat_tables([replies, pa.Table.from_batches(list(m._reduce(reply)(iter(sent))), m._REPLY)])
     for b in blocks:
         block = rounds.block(b)
@@ -105,3 +105,20 @@ def test_suffixes_are_sorted():
         assert same.tolist() == [i > 0 and found[i] == found[i - 1] for i in range(len(found))]
     order, same = sort_suffixes(np.zeros(8, np.uint8), np.zeros(0, np.int64), 50)
     assert not len(order) and not len(same)
+
+
+def test_columns_of_any_name_and_no_table_left(spark):
+    rows = corpus(9)[:30]
+    docs = spark.createDataFrame([(i, t, 7, 8, 9) for i, t in rows], "doc_id long, text string, _block int, block int, part int")
+    cut = m.deduplicate(docs)
+    assert cut.columns == docs.columns and {(r["_block"], r["block"], r["part"]) for r in cut.collect()} == {(7, 8, 9)}
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("blocks_")]
+
+
+def test_parts_of_a_block_are_few_rows(spark):
+    """However many parts there are, a block sends no more rows than it has leaders."""
+    import pyarrow as pa
+
+    table = pa.table({"doc_id": [1, 2], "text": ["a rather short text of some words " * 3, "another text " * 9], "block": pa.array([0, 0], pa.int32())})
+    few, many = (m.Rounds(parts, "doc_id", "text", m.LENGTH).send_leaders(table) for parts in (3, 1 << 20))
+    assert many.num_rows <= sum(len(b) // 7 for b in few.column("blob").to_pylist())
