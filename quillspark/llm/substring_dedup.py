@@ -8,8 +8,9 @@ again. Only what can repeat is sorted:
    runs each has, and learn which of them several documents have, and which have very many runs.
 2. A run of windows with one leader is a string. A block sorts its runs of shared leaders as suffixes (suffix_sort) and
    compares their bytes, so that equal runs are sent once, with the least id. What is sent is sorted again, all windows as
-   suffixes, by ranges of leaders; neighbours equal over `length` bytes are the same window, and all but those of the
-   least id go. Leaders with very many runs send single windows, dealt by content and one for each block, so a common
+   suffixes, by ranges of leaders: the runs first, since most that have equals are equal as a whole, then all windows of
+   the distinct runs of leaders that have several; neighbours equal over `length` bytes are the same window, and all but
+   those of the least id go. Leaders with very many runs send single windows, dealt by content and one for each block, so a common
    passage lands in no single task.
 
 Hashes choose what is sent where; what goes is decided by bytes of neighbours among sorted suffixes. What is sent are packed
@@ -62,8 +63,8 @@ _BYTE_CODES = np.array([int.from_bytes(hashlib.blake2b(bytes([b]), digest_size=8
 
 
 class Runs:
-    """Runs of windows with one leader in a piece of text: leader's hash, a hash of the run's bytes, document (row), first
-    and last window; and the piece's bytes."""
+    """Runs of windows with one leader in a piece of text: leader's hash and place in the run, a hash of the run's bytes,
+    document (row), first and last window; and the piece's bytes."""
 
     def __init__(self, pieces: list[tuple[int, int, bytes]], length: int) -> None:
         sizes = np.array([len(x) for _, _, x in pieces], np.int64)
@@ -77,7 +78,7 @@ class Runs:
         self.begin = ends - sizes
         if not total:
             self.leader = self.context = np.zeros(0, np.uint64)
-            self.doc = self.low = self.high = np.zeros(0, np.int64)
+            self.doc = self.low = self.high = self.lead = np.zeros(0, np.int64)
             return
         m1, m2 = np.uint64(_M1), np.uint64(_M2)
         load = np.ndarray((n + 16,), "<u8", buffer=self.raw, strides=(1,)).astype(np.uint64)
@@ -99,6 +100,7 @@ class Runs:
         self.low = where[first]
         self.high = where[np.append(first[1:], total) - 1]
         leader_at = at[first].astype(np.int64)
+        self.lead = leader_at - self.low
         docs = np.array([d for d, _, _ in pieces], np.int64)
         self.doc = docs[row[first]]
         # the least of many hashes are small numbers: mixed again, so that ranges of them are equally full
@@ -107,7 +109,7 @@ class Runs:
         power, inverse = _power_tables(max(n, CHUNK + 4096))
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE_CODES[self.data[:n]] * power[:n])))
         c = (sums[self.high + length] - sums[self.low]) * inverse[self.low]
-        c ^= (leader_at - self.low).astype(np.uint64) * m2 ^ (self.high - self.low).astype(np.uint64) * m1
+        c ^= self.lead.astype(np.uint64) * m2 ^ (self.high - self.low).astype(np.uint64) * m1
         c = (c ^ (c >> np.uint64(31))) * m1
         self.context = c ^ (c >> np.uint64(30))
 
@@ -151,7 +153,7 @@ class Block:
         gather = lambda name, kind: np.concatenate([np.zeros(0, kind), *(getattr(g, name) for g in groups)])
         self.leader, self.context = gather("leader", np.uint64), gather("context", np.uint64)
         self.doc = self.rank[gather("doc", np.int64)] if len(self.ids) else np.zeros(0, np.int64)
-        self.low, self.high = gather("low", np.int64), gather("high", np.int64)
+        self.low, self.high, self.lead = gather("low", np.int64), gather("high", np.int64), gather("lead", np.int64)
         # all pieces end to end: where each run begins in them, and (document, offset in it, place, bytes) of each piece
         self.raw = b"".join([*(g.raw for g in groups), bytes(64)])
         self.data = np.frombuffer(self.raw, np.uint8)
@@ -182,40 +184,47 @@ class Block:
         return low < high
 
     def distinct(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of the given runs: themselves, entry by entry; which entry (distinct string) each belongs to; and per entry the
-        least document and its run. Entries are sorted by leader. Runs are sorted as suffixes from their first window on;
-        runs are one entry only if all their bytes are equal."""
+        """Of the given runs: themselves, in some order; which entry (distinct string) each belongs to; and per entry, sorted
+        by leader, the least document and a run of it."""
         if not len(runs):
             return runs, runs, runs, runs
-        data, at = self.data, self.at[runs]
-        width = self.high[runs] - self.low[runs] + self.length
-        order, same = sort_suffixes(data, at, self.length)
-        span = int(width.max())
-        place, width = at[order], width[order]
-        same &= np.concatenate(([False], width[1:] == width[:-1]))
-        # equal first windows: what follows differs for few, so neighbours are told apart by the run's hash, then by bytes
-        group = np.cumsum(~same) - 1
-        inner = np.lexsort((self.doc[runs][order], self.context[runs][order], group))
-        order, place, group, width = order[inner], place[inner], group[inner], width[inner]
-        equal = np.concatenate(([False], group[1:] == group[:-1]))
-        for k in range(self.length // 8 * 8, span, 8):
-            rows = np.flatnonzero(equal & (width > k))
-            if not len(rows):
-                break
-            left = np.minimum(8, width[rows] - k).astype(np.uint64)
-            drop = np.uint64(64) - np.uint64(8) * left
-            equal[rows] = words(data, place[rows] + k) >> drop == words(data, place[rows - 1] + k) >> drop
-        entry = np.cumsum(~equal) - 1
+        order, equal = equal_strings(self.data, self.at[runs], (self.high - self.low)[runs] + self.length, self.length)
         runs = runs[order]
-        # entries in the order of their leaders, documents of an entry in order
-        leader = self.leader[runs[np.flatnonzero(~equal)]]
-        rank = np.empty(len(leader), np.int64)
-        rank[np.argsort(leader, kind="stable")] = np.arange(len(leader))
-        entry = rank[entry]
-        by_entry = np.lexsort((self.doc[runs], entry))
-        runs, entry = runs[by_entry], entry[by_entry]
-        first = runs[np.flatnonzero(np.concatenate(([True], entry[1:] != entry[:-1])))]
-        return runs, entry, self.doc[first], first
+        heads = np.flatnonzero(~equal)
+        least = np.minimum.reduceat(self.doc[runs], heads)
+        rank = np.empty(len(heads), np.int64)
+        by_leader = np.argsort(self.leader[runs[heads]])
+        rank[by_leader] = np.arange(len(heads))
+        entry, least = rank[np.cumsum(~equal) - 1], least[by_leader]
+        own = np.flatnonzero(self.doc[runs] == least[entry])
+        first = np.empty(len(heads), np.int64)
+        first[entry[own]] = runs[own]
+        return runs, entry, least, first
+
+
+def equal_strings(data: np.ndarray, at: np.ndarray, width: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order of strings (place, bytes: `length` at least) in which equal ones are neighbours, and whether each equals the
+    one before. They are sorted as suffixes from their first window on; those of one first window by a hash of what
+    follows; neighbours are equal only if all their bytes are."""
+    order, same = sort_suffixes(data, at, length)
+    group = (np.cumsum(~same) - 1).astype(np.uint64)
+    place, wide = at[order], width[order]
+    behind = length // 8 * 8
+    rest = wide.astype(np.uint64) * np.uint64(_M2)
+    tail = lambda rows, k: words(data, place[rows] + k) >> (np.uint64(64) - np.uint64(8) * np.minimum(8, wide[rows] - k).astype(np.uint64))
+    shared = np.flatnonzero(same | np.append(same[1:], False))
+    for k in range(behind, int(wide.max()), 8):
+        rows = shared[wide[shared] > k]
+        rest[rows] = (rest[rows] ^ tail(rows, k)) * np.uint64(_M1)
+        rest[rows] ^= rest[rows] >> np.uint64(32)
+    inner = np.argsort(group << np.uint64(32) | rest >> np.uint64(32))
+    order, place, wide, group = order[inner], place[inner], wide[inner], group[inner]
+    equal = np.concatenate(([False], (group[1:] == group[:-1]) & (wide[1:] == wide[:-1])))
+    for k in range(behind, int(wide.max()), 8):
+        rows = np.flatnonzero(equal)
+        rows = rows[wide[rows] > k]
+        equal[rows] = tail(rows, k) == tail(rows - 1, k)
+    return order, equal
 
 
 def _part_of(leaders: np.ndarray, bits: int, parts: int) -> np.ndarray:
@@ -334,38 +343,68 @@ class Rounds:
         runs = first[whole]
         at, stop = block.at[runs], block.at[runs] + (block.high - block.low)[runs] + self.length
         for p, a, b in _runs_of(_part_of(block.leader[runs], 64, self.parts)):
-            out.append((p, number, 0, self._packed(block.raw, at[a:b], stop[a:b], block.ids[least[whole[a:b]]])))
+            out.append((p, number, 0, self._packed(block.raw, at[a:b], stop[a:b], block.ids[least[whole[a:b]]], block.lead[runs[a:b]])))
         for p, a, b in _runs_of(part):
-            out.append((p, number, 1, self._packed(block.raw, head_at[a:b], head_at[a:b] + self.length, block.ids[head_doc[a:b]])))
+            out.append((p, number, 1, self._packed(block.raw, head_at[a:b], head_at[a:b] + self.length, block.ids[head_doc[a:b]], np.zeros(b - a))))
         return _rows(_SENT, out)
 
     @staticmethod
-    def _packed(raw: bytes, at: np.ndarray, stop: np.ndarray, ids: np.ndarray) -> bytes:
+    def _packed(raw: bytes, at: np.ndarray, stop: np.ndarray, ids: np.ndarray, lead: np.ndarray) -> bytes:
+        """Strings with their ids and where their leaders stand in them."""
         texts = [raw[a:b] for a, b in zip(at.tolist(), stop.tolist(), strict=True)]
-        return np.array([len(at)], np.int64).tobytes() + ids.astype(np.int64).tobytes() + (stop - at).astype(np.uint16).tobytes() + b"".join(texts)
+        return np.array([len(at)], np.int64).tobytes() + ids.astype(np.int64).tobytes() + (stop - at).astype(np.uint16).tobytes() + lead.astype(np.uint8).tobytes() + b"".join(texts)
 
     def reply_windows(self, rows: list[dict]) -> Iterator[tuple]:
         """For each window sent, in order, whether a smaller document has it."""
-        ids, sizes, texts, counts = [], [], [], []
-        for r in rows:
-            n = int(np.frombuffer(r["blob"], np.int64, 1)[0])
-            ids.append(np.frombuffer(r["blob"], np.int64, n, offset=8))
-            sizes.append(np.frombuffer(r["blob"], np.uint16, n, offset=8 + 8 * n).astype(np.int64))
-            texts.append(r["blob"][8 + 10 * n :])
-            counts.append(int((sizes[-1] - self.length + 1).sum()))
-        sizes, ids = np.concatenate(sizes), np.concatenate(ids)
-        data = np.frombuffer(b"".join(texts) + bytes(8), np.uint8)
-        each = sizes - self.length + 1
-        begin = np.cumsum(sizes) - sizes
-        starts = np.repeat(begin - (np.cumsum(each) - each), each) + np.arange(each.sum())
-        owner = np.repeat(ids, each)
-        order, same = sort_suffixes(data, starts, self.length)
-        heads = np.flatnonzero(~same)
-        least = np.minimum.reduceat(owner[order], heads)
-        repeated = np.empty(len(starts), bool)
-        repeated[order] = owner[order] > least[np.cumsum(~same) - 1]
-        for r, part in zip(rows, np.split(repeated, np.cumsum(counts)[:-1]), strict=True):
-            yield r["block"], 2, r["kind"], r["part"], np.packbits(part).tobytes()
+        for kind in range(2):
+            mine = [r for r in rows if r["kind"] == kind]
+            if not mine:
+                continue
+            ids, sizes, lead, texts, counts = [], [], [], [], []
+            for r in mine:
+                blob = r["blob"]
+                n = int(np.frombuffer(blob, np.int64, 1)[0])
+                ids.append(np.frombuffer(blob, np.int64, n, offset=8))
+                sizes.append(np.frombuffer(blob, np.uint16, n, offset=8 + 8 * n).astype(np.int64))
+                lead.append(np.frombuffer(blob, np.uint8, n, offset=8 + 10 * n))
+                texts.append(blob[8 + 11 * n :])
+                counts.append(int((sizes[-1] - self.length + 1).sum()))
+            repeated = self._repeated(np.concatenate(ids), np.concatenate(sizes), np.concatenate(lead), np.frombuffer(b"".join(texts) + bytes(8), np.uint8), kind == 1)
+            for r, part in zip(mine, np.split(repeated, np.cumsum(counts)[:-1]), strict=True):
+                yield r["block"], 2, r["kind"], r["part"], np.packbits(part).tobytes()
+
+    def _repeated(self, ids: np.ndarray, sizes: np.ndarray, lead: np.ndarray, data: np.ndarray, single: bool) -> np.ndarray:
+        """For each window of the strings, whether a string of a smaller id has it."""
+        begin, each = np.cumsum(sizes) - sizes, sizes - self.length + 1
+        order, equal = equal_strings(data, begin, sizes, self.length)
+        heads, entry = np.flatnonzero(~equal), np.empty(len(ids), np.int64)
+        entry[order] = np.cumsum(~equal) - 1
+        least, one = np.minimum.reduceat(ids[order], heads), order[heads]  # of each distinct string
+        later = ids > least[entry]  # a smaller document has the whole string
+        if single:
+            return later
+        # distinct strings around one leader may share some windows: all of theirs are sorted
+        gram = begin[one] + lead[one]
+        first, second = words(data, gram), words(data, gram + 8)
+        by_gram = np.lexsort((second, first))
+        differs = (first[by_gram][1:] != first[by_gram][:-1]) | (second[by_gram][1:] != second[by_gram][:-1])
+        alone = np.empty(len(one), bool)
+        alone[by_gram] = np.concatenate(([True], differs)) & np.concatenate((differs, [True]))
+        open_ = np.flatnonzero(~alone)
+        n = each[one]
+        start = np.cumsum(n) - n
+        flags = np.zeros(int(n.sum()), bool)  # of the windows of distinct strings
+        if len(open_):
+            own = n[open_]
+            shift = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+            owner = np.repeat(least[open_], own)
+            sorted_, same = sort_suffixes(data, np.repeat(begin[one[open_]], own) + shift, self.length)
+            smallest = np.minimum.reduceat(owner[sorted_], np.flatnonzero(~same))
+            found = np.empty(len(owner), bool)
+            found[sorted_] = owner[sorted_] > smallest[np.cumsum(~same) - 1]
+            flags[np.repeat(start[open_], own) + shift] = found
+        shift = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        return np.repeat(later, each) | flags[np.repeat(start[entry], each) + shift]
 
     def removed(self, block: Block, replies: dict) -> list[np.ndarray]:
         """For each document of the block, which of its bytes go."""
