@@ -5,9 +5,14 @@ all its segmentations of the product of its pieces' probabilities, found by a fo
 the product over its words (runs of letters, lower case, a space in front). The piece probabilities are fitted by
 expectation-maximisation over all segmentations of a bounded sample of labelled rows.
 
+The score says which of the learned languages is nearest, not whether it is near: so a document is kept only if, besides,
+its language explains the text better than the vocabulary's own order of pieces does, by a share of what it gains per letter
+on texts of that language.
+
 Defined cases: a null text, or one without a letter, is `und` with score 0; rows of a null language or id teach nothing;
-without any labelled row every text is `und`; ties go to the first language by name; repeated rows give equal rows; an
-empty table gives an empty result; further columns of the input are ignored.
+without any labelled row every text is `und`; ties go to the first language by name; repeated rows give equal rows; words of
+a very long text are worked on some at a time, and a very long word in parts between positions that no piece spans; an empty
+table gives an empty result; further columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -21,21 +26,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.common import by_slice, kept_rows, written
-from quillspark.llm.lattice import MAX_UNIT, Pieces, backward, build, forward, pieces_of
+from quillspark.llm.lattice import Pieces, build, exact_parts, forward, log_whole, pieces_of, posteriors, shares
 
 #: Expected rows of each language that teach (chosen by a hash of the id; all rows of a rarer language).
 SAMPLE_ROWS = 2000
 ROUNDS = 2
+#: Languages that are learned, those of most rows first: the model has a number for each language and piece.
+MAX_LANGS = 200
 #: The more texts are handled together, the more often a word's lattice is used.
-BATCH_ROWS, BATCH_BYTES = 2000, 6 << 20
-#: Words of the sample whose lattices are summed together.
-WORDS = 40_000
-#: Added to each piece's expected count; probability of a code point without a piece.
-SMOOTHING, UNKNOWN = 0.1, 1e-7
+BATCH_BYTES = 6 << 20
+#: Code points whose lattices are summed together.
+CODES = 1 << 20
+#: Expected counts that are added in the vocabulary's own proportions; probability of a code point without a piece.
+SMOOTHING, UNKNOWN = 1000, 1e-7
 #: A document is kept if its language is known with such a score.
 MIN_SCORE = 0.5
+#: A text of so many letters must gain this share of what its language gains per letter on the texts that taught it, above
+#: the vocabulary's own order of pieces; a shorter one is judged by the score alone.
+MIN_LETTERS, MIN_GAIN = 60, 0.25
 UNDETERMINED = "und"
-_WORD = regex.compile(rf"\p{{L}}{{1,{MAX_UNIT - 1}}}")
+_WORD = regex.compile(r"\p{L}+")
 _BASE = 1 << 20
 
 
@@ -43,6 +53,7 @@ _BASE = 1 << 20
 class Model:
     langs: list[str]
     weights: np.ndarray  # a row for each piece and one for code points without a piece; a column for each language
+    gains: np.ndarray | None = None  # of each language: mean log probability per letter above the vocabulary's own
 
 
 def words_of(text: str) -> list[str]:
@@ -64,7 +75,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """The piece probabilities of each language. Word counts of the sample stay distributed; what reaches the driver is a
     number for each language and piece."""
     labelled = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out("id"))
-    totals = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    totals = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()}
     langs = sorted(totals)
     pieces = pieces_of()
     if not langs:
@@ -101,32 +112,78 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                 yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(piece), pa.array(found[lang, piece])], ["lang", "piece", "n"])
 
         sums = counted.mapInArrow(expect, "lang long, piece long, n double").groupBy("lang", "piece").agg(F.sum("n").alias("n")).toArrow()
-        weights = np.full((pieces.size + 1, len(langs)), SMOOTHING)
+        weights = np.repeat(SMOOTHING * first_weights(pieces), len(langs), axis=1)
         weights[sums["piece"].to_numpy(), sums["lang"].to_numpy()] += np.round(sums["n"].to_numpy(), 6)
         weights /= weights.sum(axis=0)
         weights[-1] = UNKNOWN
-    return Model(langs, weights)
+    model = Model(langs, weights)
+
+    def gain(batches):
+        found = np.zeros((len(langs), 2))
+        own = pieces_of()
+        for batch in batches:
+            words, n = batch.column(1).to_pylist(), batch.column(2).to_numpy()
+            logs = score_words(words, own, with_plain(model, own))
+            letters = np.fromiter(map(len, words), np.int64, len(words)) * n
+            names = np.array(batch.column(0).to_pylist(), object)
+            for k, lang in enumerate(langs):
+                rows = names == lang
+                found[k] += ((logs[rows, k] - logs[rows, -1]) * n[rows]).sum(), letters[rows].sum()
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(langs))), pa.array(found[:, 0]), pa.array(found[:, 1])], ["lang", "gain", "letters"])
+
+    total = counted.mapInArrow(gain, "lang long, gain double, letters double").groupBy("lang").agg(F.sum("gain"), F.sum("letters")).collect()
+    model.gains = np.zeros(len(langs))
+    for k, above, letters in total:
+        model.gains[k] = round(above / letters, 9) if letters else 0
+    return model
+
+
+def in_chunks(words: list[str], pieces: Pieces):
+    """(numbers, texts) of words, CODES code points at a time; a very long word is several texts with one number."""
+    numbers, texts, size = [], [], 0
+    for i, word in enumerate(words):
+        for part in exact_parts(" " + word, pieces):
+            if texts and size + len(part) > CODES:
+                yield np.array(numbers), texts
+                numbers, texts, size = [], [], 0
+            numbers.append(i)
+            texts.append(part)
+            size += len(part)
+    if texts:
+        yield np.array(numbers), texts
 
 
 def expected(words: list[str], counts: np.ndarray, pieces: Pieces, weights: np.ndarray) -> np.ndarray:
     """How often each piece stands in the words, summed over all segmentations by their probability. weights: one column."""
-    lattice = build([" " + w for w in words], pieces)
-    w = weights[lattice.piece]
-    alpha, beta = forward(lattice, w), backward(lattice, w)
-    unit = np.searchsorted(lattice.first, lattice.start, "right") - 1
-    whole = alpha[lattice.first[1:] - 1, 0]
-    share = alpha[lattice.start, 0] * w[:, 0] * beta[lattice.stop, 0] / whole[unit] * counts[unit]
-    known = lattice.piece >= 0
-    return np.bincount(lattice.piece[known], share[known], pieces.size)
+    out = np.zeros(pieces.size)
+    for number, texts in in_chunks(words, pieces):
+        lattice = build(texts, pieces)
+        w = weights[lattice.piece]
+        share = posteriors(lattice, shares(lattice, w, forward(lattice, w))[:, 0])
+        unit = np.searchsorted(lattice.first, lattice.start, "right") - 1
+        known = lattice.piece >= 0
+        out += np.bincount(lattice.piece[known], (share * counts[number[unit]])[known], pieces.size)
+    return out
 
 
 def score_words(words: list[str], pieces: Pieces, weights: np.ndarray) -> np.ndarray:
     """Log probability of each word (rows) in each language (columns)."""
-    lattice = build([" " + w for w in words], pieces)
-    return np.log(forward(lattice, weights[lattice.piece])[lattice.first[1:] - 1])
+    out = np.zeros((len(words), weights.shape[1]))
+    for number, texts in in_chunks(words, pieces):
+        lattice = build(texts, pieces)
+        found = log_whole(lattice, forward(lattice, weights[lattice.piece]))
+        first = np.flatnonzero(np.diff(number, prepend=-1))  # parts of a word are neighbours
+        out[number[first]] += np.add.reduceat(found, first, axis=0) if len(first) < len(number) else found
+    return out
+
+
+def with_plain(model: Model, pieces: Pieces) -> np.ndarray:
+    """The model's weights, and the vocabulary's own as a last column."""
+    return np.hstack([model.weights, first_weights(pieces)])
 
 
-def predict(texts: list[str | None], model: Model, pieces: Pieces) -> tuple[list[str], list[float]]:
+def predict(texts: list[str | None], model: Model, pieces: Pieces) -> tuple[list[str], list[float], list[bool]]:
+    """Language, score, and whether the language explains the text well enough."""
     number: dict[str, int] = {}
     ids: list[int] = []
     sizes = []
@@ -134,23 +191,29 @@ def predict(texts: list[str | None], model: Model, pieces: Pieces) -> tuple[list
         words = words_of(text) if text else []
         sizes.append(len(words))
         ids.extend([number.setdefault(w, len(number)) for w in words])
+    langs, scores, kept = [UNDETERMINED] * len(texts), [0.0] * len(texts), [False] * len(texts)
     if not ids or not model.langs:
-        return [UNDETERMINED] * len(texts), [0.0] * len(texts)
-    by_word = score_words(list(number), pieces, model.weights)[np.array(ids)]
-    sizes = np.array(sizes)
+        return langs, scores, kept
+    ids, sizes = np.array(ids, np.int32), np.array(sizes)
+    letters = np.fromiter(map(len, number), np.int64, len(number))
+    logs = score_words(list(number), pieces, with_plain(model, pieces))
     some = np.flatnonzero(sizes)
-    sums = np.add.reduceat(by_word, np.concatenate(([0], np.cumsum(sizes[some])[:-1])), axis=0)
+    begin = np.concatenate(([0], np.cumsum(sizes[some])[:-1]))
+    sums = np.stack([np.add.reduceat(column[ids], begin) for column in logs.T], axis=1)
+    length = np.add.reduceat(letters[ids], begin)
+    plain, sums = sums[:, -1], sums[:, :-1]
     best = sums.argmax(axis=1)
-    odds = np.exp(sums - sums.max(axis=1, keepdims=True))
-    scores = odds.max(axis=1) / odds.sum(axis=1)
-    langs, out = [UNDETERMINED] * len(texts), [0.0] * len(texts)
-    for i, k, s in zip(some.tolist(), best.tolist(), scores.tolist(), strict=True):
-        langs[i], out[i] = model.langs[k], s
-    return langs, out
+    top = sums.max(axis=1)
+    odds = np.exp(sums - top[:, None])
+    found = odds.max(axis=1) / odds.sum(axis=1)
+    near = (length < MIN_LETTERS) | (top - plain >= MIN_GAIN * model.gains[best] * length)
+    for i, k, score, ok in zip(some.tolist(), best.tolist(), found.tolist(), (near & (found >= MIN_SCORE)).tolist(), strict=True):
+        langs[i], scores[i], kept[i] = model.langs[k], score, ok
+    return langs, scores, kept
 
 
 def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", model: Model | None = None) -> DataFrame:
-    """One row per row of docs: id, held_out, lang_pred, score, kept (a language was found with MIN_SCORE)."""
+    """One row per row of docs: id, held_out, lang_pred, score, kept (MIN_SCORE and, for texts of MIN_LETTERS, MIN_GAIN)."""
     model = model or fit(docs, id_col, text_col, lang_col)
     names = [id_col, "held_out", "lang_pred", "score", "kept"]
 
@@ -158,21 +221,16 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         pieces = pieces_of()
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            langs, scores = predict(batch.column(2).to_pylist(), model, pieces)
-            kept = accepted(langs, scores)
+            langs, scores, kept = predict(batch.column(2).to_pylist(), model, pieces)
             return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(langs), pa.array(scores), pa.array(kept)], names)
 
-        return by_slice(work, text_col, BATCH_BYTES)(batches)
+        return by_slice(work, "text", BATCH_BYTES)(batches)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, held_out(id_col).alias("held_out"), text_col).mapInArrow(run, f"`{id_col}` {kind}, held_out boolean, lang_pred string, score double, kept boolean")
-
-
-def accepted(langs: list[str], scores: list[float]) -> list[bool]:
-    return [k != UNDETERMINED and s >= MIN_SCORE for k, s in zip(langs, scores, strict=True)]
+    return docs.select(id_col, held_out(id_col).alias("held_out"), F.col(text_col).alias("text")).mapInArrow(run, f"`{id_col}` {kind}, held_out boolean, lang_pred string, score double, kept boolean")
 
 
 def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", model: Model | None = None) -> DataFrame:
     """The rows of docs whose language is found, with all their columns."""
     model = model or fit(docs, id_col, text_col, lang_col)
-    return kept_rows(docs, lambda texts: accepted(*predict(texts.to_pylist(), model, pieces_of())), text_col, BATCH_BYTES)
+    return kept_rows(docs, lambda texts: predict(texts.to_pylist(), model, pieces_of())[2], text_col, BATCH_BYTES)

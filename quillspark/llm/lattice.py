@@ -2,8 +2,10 @@
 space where the vocabulary writes U+2581.
 
 Units (words) are laid end to end as code points. From every position the pieces are followed one code point at a time;
-positions drop out as soon as no piece goes on, so work follows the number of pieces found. Longer runs than MAX_UNIT
-are cut, which bounds a unit's work and keeps the products of probabilities within a double's range.
+positions drop out as soon as no piece goes on, so work follows the number of pieces found. In units of more than DEEP code
+points, a position that no piece spans is certain: every segmentation passes it. Sums start anew behind it, which changes
+no probability, and from DEEP code points behind it on they carry an exponent of their own, so units of any length are
+summed as they are.
 """
 
 from __future__ import annotations
@@ -13,7 +15,8 @@ from functools import lru_cache
 
 import numpy as np
 
-MAX_UNIT = 32
+#: Code points behind a certain position from which sums carry an exponent; most code points that exact_parts leaves together.
+DEEP, MOST = 24, 1 << 16
 _M = np.uint64(0x9E3779B97F4A7C15)
 TABLE_BITS = 18
 NEAR, NONE = 512, -2
@@ -123,8 +126,9 @@ class Lattice:
     start: np.ndarray  # of each edge: node
     stop: np.ndarray
     piece: np.ndarray  # -1: the one code point has no piece
-    depth: np.ndarray  # of stop within its unit
-    groups: list[slice]  # edges by depth
+    certain: np.ndarray  # first nodes, and in long units the nodes that no edge spans
+    long: bool  # whether there are long units
+    groups: list[tuple[int, slice]]  # edges by how far they end behind the certain node before
 
 
 def build(units: list[str], pieces: Pieces) -> Lattice:
@@ -159,41 +163,124 @@ def build(units: list[str], pieces: Pieces) -> Lattice:
     stops.append(bare + np.int32(1))
     found.append(np.full(len(bare), -1, np.int32))
     start, stop, piece = np.concatenate(starts), np.concatenate(stops), np.concatenate(found)
-    depth = (np.arange(first[-1], dtype=np.int32) - np.repeat(first[:-1], lengths + 1)).astype(np.uint8)[stop]
-    order = np.argsort(depth.astype(np.int64) << 48 | stop.astype(np.int64) << 8 | (stop - start))  # no two keys are equal
+    n = int(first[-1])
+    long = bool(len(lengths)) and int(lengths.max()) > DEEP
+    certain = np.zeros(n, bool)
+    certain[first[:-1]] = True
+    if long:
+        free = np.cumsum(np.bincount(start + 1, minlength=n + 1)[:n] - np.bincount(stop, minlength=n)[:n]) == 0
+        certain |= free & np.repeat(lengths > DEEP, lengths + 1)
+    at = np.arange(n, dtype=np.int32)
+    before = np.maximum.accumulate(np.where(certain, at, 0)) if n else at
+    depth = at - np.concatenate((before[:1], before[:-1]))
+    depth = depth[stop]
+    order = np.argsort(depth.astype(np.int64) << 40 | stop.astype(np.int64) << 8 | (stop - start))  # no two keys are equal
     start, stop, piece, depth = start[order], stop[order], piece[order], depth[order]
-    borders = np.searchsorted(depth, np.arange(1, (int(depth.max()) if len(depth) else 0) + 2))
-    return Lattice(first, code, start, stop, piece, depth, [slice(a, b) for a, b in zip(borders[:-1], borders[1:], strict=True)])
-
-
-def _sums(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct values of the sorted `at`, and the rows of values summed over each."""
-    edge = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-    return at[edge], np.add.reduceat(values, edge, axis=0)
-
-
-def forward(lattice: Lattice, weights: np.ndarray) -> np.ndarray:
-    """weights: per edge, one column for each model. Per node the summed probability of all segmentations up to it."""
-    alpha = np.zeros((lattice.first[-1], weights.shape[1]))
-    alpha[lattice.first[:-1]] = 1
-    for part in lattice.groups:
-        if part.start < part.stop:
-            at, total = _sums(alpha[lattice.start[part]] * weights[part], lattice.stop[part])
-            alpha[at] = total
-    return alpha
-
-
-def backward(lattice: Lattice, weights: np.ndarray) -> np.ndarray:
-    """Per node the summed probability of all segmentations from it to its unit's end."""
-    beta = np.zeros((lattice.first[-1], weights.shape[1]))
-    beta[lattice.first[1:] - 1] = 1
-    for part in reversed(lattice.groups):
-        if part.start < part.stop:
-            order = np.argsort(lattice.start[part], kind="stable")
-            # all edges into a depth come before any out of it, so a node's later edges have been added by now
-            at, total = _sums((beta[lattice.stop[part]] * weights[part])[order], lattice.start[part][order])
-            beta[at] += total
-    return beta
+    edges = np.flatnonzero(np.concatenate(([True], depth[1:] != depth[:-1], [True]))) if len(depth) else np.zeros(1, np.int64)
+    groups = [(int(depth[a]), slice(a, b)) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+    return Lattice(first, code, start, stop, piece, certain, long, groups)
+
+
+def _edges(at: np.ndarray) -> np.ndarray:
+    """Where each run of equal numbers begins."""
+    return np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+
+
+@dataclass
+class Sums:
+    """Of each node and model, the summed probability of all segmentations from the certain node before: as they leave the
+    node (1 at certain nodes) and as they reach it. Both times 2 to the power of their exponent (None: 0 throughout)."""
+
+    leaving: np.ndarray
+    reaching: np.ndarray
+    leaving_exponent: np.ndarray | None
+    reaching_exponent: np.ndarray | None
+
+
+def forward(lattice: Lattice, weights: np.ndarray) -> Sums:
+    """weights: per edge, one column for each model."""
+    shape = (int(lattice.first[-1]), weights.shape[1])
+    leaving = np.zeros(shape)
+    leaving[lattice.certain] = 1
+    reaching = np.zeros(shape) if lattice.long else leaving
+    deep = bool(lattice.groups) and lattice.groups[-1][0] > DEEP
+    out, into = (np.zeros(shape, np.int32), np.zeros(shape, np.int32)) if deep else (None, None)
+    for depth, part in lattice.groups:
+        start, stop = lattice.start[part], lattice.stop[part]
+        edge = _edges(stop)
+        at, value = stop[edge], leaving[start] * weights[part]
+        if depth <= DEEP:
+            total = np.add.reduceat(value, edge, axis=0)
+        else:
+            largest = np.maximum.reduceat(out[start], edge, axis=0)
+            counts = np.diff(np.append(edge, len(stop)))
+            total, exponent = np.frexp(np.add.reduceat(np.ldexp(value, out[start] - np.repeat(largest, counts, axis=0)), edge, axis=0))
+            into[at] = exponent + largest
+        reaching[at] = total
+        if lattice.long:
+            inner = ~lattice.certain[at]
+            leaving[at[inner]] = total[inner]
+            if depth > DEEP:
+                out[at[inner]] = into[at[inner]]
+    return Sums(leaving, reaching, out, into)
+
+
+def shares(lattice: Lattice, weights: np.ndarray, sums: Sums) -> np.ndarray:
+    """Of the segmentations that reach an edge's end, the share that comes by the edge."""
+    found = sums.leaving[lattice.start] * weights / sums.reaching[lattice.stop]
+    if sums.leaving_exponent is not None:
+        found = np.ldexp(found, sums.leaving_exponent[lattice.start] - sums.reaching_exponent[lattice.stop])
+    return found
+
+
+def posteriors(lattice: Lattice, share: np.ndarray) -> np.ndarray:
+    """For each edge the probability that a unit's segmentation has it. share: of one model."""
+    node = lattice.certain.astype(float)
+    node[lattice.first[1:] - 1] = 1
+    out = np.zeros(len(share))
+    for _, part in reversed(lattice.groups):
+        # all edges into a depth come before any out of it, so a node's later edges have been added by now
+        out[part] = node[lattice.stop[part]] * share[part]
+        inner = np.flatnonzero(~lattice.certain[lattice.start[part]])
+        if len(inner):
+            start = lattice.start[part][inner]
+            order = np.argsort(start, kind="stable")
+            edge = _edges(start[order])
+            node[start[order][edge]] += np.add.reduceat(out[part][inner][order], edge)
+    return out
+
+
+def log_whole(lattice: Lattice, sums: Sums) -> np.ndarray:
+    """Log of the summed probability of all segmentations of each unit (rows; none is empty) in each model (columns)."""
+    if not lattice.long:
+        return np.log(sums.reaching[lattice.first[1:] - 1])
+    ends = lattice.certain.copy()
+    ends[lattice.first[:-1]] = False
+    ends[lattice.first[1:] - 1] = True
+    ends = np.flatnonzero(ends)
+    logs = np.log(sums.reaching[ends])
+    if sums.reaching_exponent is not None:
+        logs += sums.reaching_exponent[ends] * np.log(2)
+    return np.add.reduceat(logs, np.searchsorted(ends, lattice.first[:-1]), axis=0) if len(ends) else logs
+
+
+def exact_parts(text: str, pieces: Pieces) -> list[str]:
+    """A long text cut at certain positions, so that its segmentations are those of its parts one after another. A stretch
+    without one stays whole."""
+    out, a = [], 0
+    while len(text) - a > MOST:
+        span = MOST
+        while True:
+            window = build([text[a : a + span + pieces.longest]], pieces)
+            cuts = np.flatnonzero(window.certain[1 : span + 1])
+            if len(cuts) or a + span >= len(text):
+                break
+            span *= 2
+        if not len(cuts) or a + 1 + cuts[-1] >= len(text):
+            break
+        out.append(text[a : a + 1 + int(cuts[-1])])
+        a += 1 + int(cuts[-1])
+    return [*out, text[a:]]
 
 
 @lru_cache(maxsize=2)

@@ -1,13 +1,14 @@
 """SentencePiece encoding and decoding: forward-filtering backward-sampling over the piece lattice.
 
-A text, with a space in front, falls into units (spaces and what follows up to the next space, cut at a fixed length).
-The forward pass sums the probability of all segmentations up to each position of each distinct unit; then every
+A text, with a space in front, falls into units: spaces and what follows up to the next space. No piece of the vocabulary
+goes on beyond a unit, so the units' lattices, one after another, are the text's. The forward pass sums the probability of all segmentations up to each position of each distinct unit; then every
 occurrence draws its own segmentation backwards from its end, a piece with its share of the sum. The draws are a
 hash of row key, unit and step: they depend on nothing else, so a row has the same pieces on any cluster. Code points
 without a piece become byte pieces, so decoding gives back every text.
 
 Defined cases: a null or empty text has no pieces and decodes to an empty text; repeated rows (equal keys and texts) have
-equal pieces; a null key is a key like any other; an empty table gives an empty result; further columns are ignored.
+equal pieces; a null key is a key like any other; a very long text is worked on some units at a time, and a very long unit
+in parts between positions that no piece spans; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,13 +22,14 @@ import xxhash
 from pyspark.sql import DataFrame
 
 from quillspark.llm.common import by_slice
-from quillspark.llm.lattice import build, forward, pieces_of
+from quillspark.llm.lattice import MOST, build, exact_parts, forward, pieces_of, shares
 
 SEED = 17
 #: The more texts are handled together, the more often a unit's lattice is used.
-BATCH_ROWS, BATCH_BYTES = 2000, 6 << 20
-#: Up to 32 code points each.
-_UNIT = re.compile(r" {0,8}[^ ]{1,24}| {1,32}")
+BATCH_BYTES = 6 << 20
+#: Code points of distinct units whose lattices are held together.
+MOST_CODES = 2 << 20
+_UNIT = re.compile(r" *[^ ]+| +")
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -52,13 +54,34 @@ class Sampler:
     def _bytes_of(self, code: int) -> list[int]:
         return [self.pieces.bytes[b] for b in chr(code).encode("utf-8", "surrogatepass")]
 
+    def _units(self, text: str) -> list[str]:
+        found = _UNIT.findall(" " + text) if text else []
+        return [p for u in found for p in exact_parts(u, self.pieces)] if any(len(u) > MOST for u in found) else found
+
     def encode(self, keys: list[int], texts: list[str]) -> list[np.ndarray]:
         """ids of each text. keys: 64-bit seeds of the rows."""
+        if len(texts) == 1 and len(texts[0]) > MOST_CODES:
+            units, out, a = self._units(texts[0]), [], 0
+            while a < len(units):
+                b, size = a + 1, len(units[a])
+                while b < len(units) and size + len(units[b]) <= MOST_CODES:
+                    size += len(units[b])
+                    b += 1
+                out += self._encode(keys, [units[a:b]], a)
+                a = b
+            return [np.concatenate(out)]
+        units = [self._units(text) for text in texts]
+        if len(texts) > 1 and sum(map(len, {u for found in units for u in found})) > MOST_CODES:
+            half = len(texts) // 2
+            return self.encode(keys[:half], texts[:half]) + self.encode(keys[half:], texts[half:])
+        return self._encode(keys, units)
+
+    def _encode(self, keys: list[int], texts: list[list[str]], place: int = 0) -> list[np.ndarray]:
+        """ids of each text, given by its units; place: number of the first unit in its text."""
         number: dict[str, int] = {}
         units: list[int] = []
         sizes = []
-        for text in texts:
-            found = _UNIT.findall(" " + text) if text else []
+        for found in texts:
             sizes.append(len(found))
             units.extend([number.setdefault(u, len(number)) for u in found])
         if not units:
@@ -69,26 +92,25 @@ class Sampler:
         code = lattice.code[lattice.start].astype(np.int64)
         width = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
         w[bare] = self.byte ** width[bare]
-        alpha = forward(lattice, w[:, None])[:, 0]
-        share = alpha[lattice.start] * w / alpha[lattice.stop]
+        share = shares(lattice, w[:, None], forward(lattice, w[:, None]))[:, 0]
         # likely pieces first: most draws end at the first; whole numbers, so that the order is the same in any company
         rank = (1 << 20) - (share * (1 << 20)).astype(np.int64)
         order = np.argsort(lattice.stop.astype(np.int64) << 32 | rank << 8 | (lattice.stop - lattice.start))
         start, stop, piece, code, share = lattice.start[order], lattice.stop[order], lattice.piece[order], code[order].astype(np.int32), share[order]
         edge = np.flatnonzero(np.append(stop[1:] != stop[:-1], True))  # last edge into each node
         begin = np.append(0, edge[:-1] + 1)
-        place = np.arange(len(stop)) - np.repeat(begin, np.diff(np.append(-1, edge)))
+        nth = np.arange(len(stop)) - np.repeat(begin, np.diff(np.append(-1, edge)))
         bounds = share.copy()
-        for k in range(1, int(place.max()) + 1):  # summed within each node alone: no rounding depends on other texts
-            rows = np.flatnonzero(place == k)
+        for k in range(1, int(nth.max()) + 1):  # summed within each node alone: no rounding depends on other texts
+            rows = np.flatnonzero(nth == k)
             bounds[rows] += bounds[rows - 1]
         bounds[edge] = 1  # an edge is drawn where the draw falls below its bound
         likeliest = np.zeros(lattice.first[-1], np.int32)
         likeliest[stop[edge]] = begin
         units = np.array(units, np.int32)
         sizes = np.array(sizes)
-        place = np.arange(len(units)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        seeds = np.repeat(np.array(keys, np.uint64), sizes) ^ (place.astype(np.uint64) + np.uint64(1)) * _C3
+        at = place + np.arange(len(units)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        seeds = np.repeat(np.array(keys, np.uint64), sizes) ^ (at.astype(np.uint64) + np.uint64(1)) * _C3
         active = np.argsort(units, kind="stable")  # occurrences of a unit side by side: near nodes are read together
         seeds, node, begin = seeds[active], lattice.first[units[active] + 1] - 1, lattice.first[units[active]]
         lengths = np.zeros(len(units), np.int32)

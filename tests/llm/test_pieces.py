@@ -7,8 +7,10 @@ import numpy as np
 import pytest
 
 from quillspark.llm import language_id, sampled_pieces
-from quillspark.llm.lattice import backward, build, forward, pieces_of
+from quillspark.llm import lattice as m
+from quillspark.llm.lattice import build, exact_parts, forward, log_whole, pieces_of, posteriors, shares
 
+LONG = [" electroencephalographically" * 2, " " + "antidisestablishmentarianism" * 2, "人人生而自由在尊严和权利上一律平等" * 4, " " * 61, "=" * 90, " aaaabbbb" + "ab" * 20 + "é" * 20 + "the" * 11]
 ODD = ["", " ", "  two  ", "a▁b ▁", "日本語 😀\U0010ffff", "tab\tline\n\r end", "\0nul\0", "x" * 300, " " * 90, "Ünïcödé, ok?", "word " * 50]
 
 
@@ -58,17 +60,80 @@ def test_draws_follow_the_lattice(sampler, known, word):
         assert abs(got[s] / n - p) < 5 * np.sqrt(p * (1 - p) / n) + 1e-9
 
 
-def test_forward_and_backward_sum_all_segmentations(known):
+def plain_sums(text: str, known: dict[bytes, int], weights: np.ndarray, unknown: float):
+    """Logs of the sums of all segmentations up to, and from, each code point, in Python's whole precision; and the edges."""
+    from fractions import Fraction
+
+    edges = []
+    for a in range(len(text)):
+        found = [(a, b, known[t], weights[known[t]]) for b in range(a + 1, len(text) + 1) if (t := text[a:b].encode()) in known]
+        edges += found if any(b == a + 1 for _, b, *_ in found) else [*found, (a, a + 1, -1, unknown)]
+    up, down = [Fraction(0)] * (len(text) + 1), [Fraction(0)] * (len(text) + 1)
+    up[0] = down[-1] = Fraction(1)
+    for a, b, _, w in sorted(edges, key=lambda e: e[1]):
+        up[b] += up[a] * Fraction(w)
+    for a, b, _, w in sorted(edges, key=lambda e: -e[0]):
+        down[a] += down[b] * Fraction(w)
+    return up, down, edges
+
+
+def log(x) -> float:
+    import math
+
+    return math.log(x.numerator) - math.log(x.denominator)
+
+
+@pytest.mark.parametrize("units", [[" the", " bridge", " añb", " zz"], LONG, [" the", *LONG[:3]]])
+def test_sums_over_all_segmentations(known, units):
     pieces = pieces_of()
-    words = [" the", " bridge", " añb", " zz"]
-    lattice = build(words, pieces)
-    weights = np.random.RandomState(0).rand(pieces.size + 1, 2)
+    weights = np.vstack([np.random.RandomState(0).rand(pieces.size, 2) * [1e-6, 0.5], [[1e-7, 1e-3]]])
+    lattice = build(units, pieces)
     w = weights[lattice.piece]
-    alpha, beta = forward(lattice, w), backward(lattice, w)
-    for i, word in enumerate(words):
-        for k in range(2):
-            want = sum(p for _, p in segmentations(word.encode(), known, weights[:, k]))
-            assert np.isclose(alpha[lattice.first[i + 1] - 1, k], want) and np.isclose(beta[lattice.first[i], k], want)
+    sums = forward(lattice, w)
+    logs, share = log_whole(lattice, sums), shares(lattice, w, sums)
+    for k in range(2):
+        chance = posteriors(lattice, share[:, k])
+        for i, unit in enumerate(units):
+            up, down, edges = plain_sums(unit, known, weights[:, k], weights[-1, k])
+            assert np.isclose(logs[i, k], log(up[-1]), rtol=1e-9)
+            rows = np.flatnonzero((lattice.start >= lattice.first[i]) & (lattice.start < lattice.first[i + 1]))
+            place = lambda x, i=i: x - lattice.first[i]
+            found = {(int(place(lattice.start[r])), int(place(lattice.stop[r]))): (chance[r], share[r, k]) for r in rows}
+            assert set(found) == {(a, b) for a, b, *_ in edges}
+            for a, b, _, x in edges:
+                from fractions import Fraction
+
+                assert np.isclose(found[a, b][0], float(up[a] * Fraction(x) * down[b] / up[-1])) and np.isclose(found[a, b][1], float(up[a] * Fraction(x) / up[b]))
+
+
+def test_draws_in_long_units_follow_the_lattice(sampler, known):
+    """How often a place inside a long word is a border between pieces."""
+    text, n = LONG[0][1:], 4000
+    up, down, _ = plain_sums(" " + text, known, sampler.weights, 0)
+    want = [float(u * d / up[-1]) for u, d in zip(up, down, strict=True)]
+    seen = np.zeros(len(text) + 2)
+    for ids in sampler.encode([sampled_pieces.row_key(i) for i in range(n)], [text] * n):
+        seen[np.cumsum([len(sampler.pieces.text[i]) for i in ids.tolist()])] += 1
+    for got, p in zip(seen[1:].tolist(), want[1:], strict=True):
+        assert abs(got / n - p) < 5 * np.sqrt(p * (1 - p) / n) + 1e-9
+
+
+def test_long_texts_in_parts(sampler, monkeypatch):
+    pieces = pieces_of()
+    text = "".join(np.random.RandomState(3).choice(["the", "=", "é", "日", "qq", "ing"], 900))
+    whole = log_whole(*(lambda x: (x, forward(x, sampler.weights[x.piece][:, None] + 1e-9)))(build([text], pieces)))[0, 0]
+    monkeypatch.setattr(m, "MOST", 50)
+    parts = exact_parts(text, pieces)
+    assert "".join(parts) == text and len(parts) > 5
+    lattice = build(parts, pieces)
+    assert np.isclose(log_whole(lattice, forward(lattice, sampler.weights[lattice.piece][:, None] + 1e-9)).sum(), whole)
+    long = "some words and " * 300 + "=" * 400 + text
+    for codes in (1000, 1 << 21):
+        monkeypatch.setattr(sampled_pieces, "MOST_CODES", codes)
+        ids = sampler.encode([5, 6], [long, "short"])
+        assert [sampler.decode(x.tolist()) for x in ids] == [long, "short"]
+        assert codes == 1000 or (ids[0] == was).all()
+        was = ids[0]
 
 
 def test_expected_counts(known):
@@ -137,3 +202,34 @@ def test_held_out_labels_teach_nothing(spark):
     lie = [(i, t, "xx" if zlib.crc32(str(i).encode()) % 4 == 2 else lang) for i, t, lang in rows]
     model = language_id.fit(spark.createDataFrame(lie, "doc_id long, text string, lang string"))
     assert model.langs == sorted(SENTENCES)
+
+
+FOREIGN = {
+    "ru": "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в отношении друг друга в духе братства",
+    "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa",
+    "zh": "人人生而自由在尊严和权利上一律平等他们赋有理性和良心并应以兄弟关系的精神相对待人人有资格享有本宣言所载的一切权利和自由不分种族肤色性别语言宗教",
+    "junk": "qwzx kjhg pfvv xxcv bnmz wrtp lkjh gfds mnbv cxzq plmk oijn uhby gvtf crdx zzxq wwkj ppqz",
+    "code": "for (int i = 0; i < n; i++) { if (buffer[i] == NULL) return -1; struct node *next = malloc(sizeof(node)); next->left = next->right = NULL; }",
+}
+
+
+def test_unlearned_languages_and_junk_are_not_kept(spark):
+    rows = list(language_rows())
+    docs = spark.createDataFrame([*rows, *((1000 + i, t, None) for i, t in enumerate(FOREIGN.values()))], "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in language_id.keep_known(docs).collect()}
+    assert not kept & set(range(1000, 1010)) and len(kept) >= 0.99 * len(rows)
+
+
+def test_scores_are_those_of_brute_force(spark, known):
+    """Predictions recomputed from the model's weights, word by word."""
+    model = language_id.fit(spark.createDataFrame(list(language_rows()), "doc_id long, text string, lang string"))
+    texts = [t for _, t, _ in list(language_rows())[:6]] + [FOREIGN["zh"], "electroencephalographically yours", "12", None]
+    langs, scores, _ = language_id.predict(texts, model, pieces_of())
+    for text, lang, score in zip(texts, langs, scores, strict=True):
+        words = language_id.words_of(text or "")
+        if not words:
+            assert (lang, score) == ("und", 0.0)
+            continue
+        logs = np.array([sum(log(plain_sums(" " + w, known, model.weights[:, k], language_id.UNKNOWN)[0][-1]) for w in words) for k in range(len(model.langs))])
+        odds = np.exp(logs - logs.max())
+        assert lang == model.langs[logs.argmax()] and np.isclose(score, 1 / odds.sum())
