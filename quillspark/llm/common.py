@@ -108,11 +108,15 @@ def by_slice(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], column: st
     return run
 
 
-def kept_rows(docs: DataFrame, decide: Callable[[list], list[bool]], text_col: str = "text", most: int = SLICE_BYTES) -> DataFrame:
-    """The rows of docs for which decide(texts) holds, with all their columns: a narrow map."""
+def kept_rows(docs: DataFrame, decide: Callable[[pa.RecordBatch], list[bool]], text_col: str = "text", most: int = SLICE_BYTES) -> DataFrame:
+    """The rows of docs for which decide(batch) holds, with all their columns: a narrow map."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return batch.filter(pa.array(decide(batch.column(batch.schema.get_field_index(text_col))), pa.bool_()))
+        return batch.filter(pa.array(decide(batch), pa.bool_()))
 
     schema = StructType([StructField(f.name, f.dataType) for f in docs.schema.fields])
     return docs.mapInArrow(by_slice(work, text_col, most), schema)
+
+
+def column(batch: pa.RecordBatch, name: str) -> pa.Array:
+    return batch.column(batch.schema.get_field_index(name))

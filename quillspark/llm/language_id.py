@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import by_slice, kept_rows, written
+from quillspark.llm.common import by_slice, column, kept_rows, written
 from quillspark.llm.lattice import Pieces, build, exact_parts, forward, log_whole, pieces_of, posteriors, shares
 
 #: Expected rows of each language that teach (chosen by a hash of the id; all rows of a rarer language).
@@ -233,4 +233,4 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", model: Model | None = None) -> DataFrame:
     """The rows of docs whose language is found, with all their columns."""
     model = model or fit(docs, id_col, text_col, lang_col)
-    return kept_rows(docs, lambda texts: predict(texts.to_pylist(), model, pieces_of())[2], text_col, BATCH_BYTES)
+    return kept_rows(docs, lambda batch: predict(column(batch, text_col).to_pylist(), model, pieces_of())[2], text_col, BATCH_BYTES)

@@ -2,15 +2,17 @@
 
 Words are runs of digits, a-z (A-Z lower-cased) and anything beyond ASCII. The automaton runs once over the
 space-joined words of a text. Behind a tag the raw text up to the end of the line is read as an expression of
-and / or / with and brackets.
+and / or / with and brackets, in one pass for the grammar and one for the postfix order.
 
-Defined cases: a null or empty text has no words, no labels and score 0; repeated rows give equal rows; a null doc_id
-is kept; an empty table gives an empty result; further columns of the input are ignored.
+Defined cases: a null or empty text has no words, no labels and score 0; the work on a very long text, line or expression
+grows with its length; repeated rows give equal rows; a null doc_id is kept; an empty table gives an empty result; further
+columns of the input are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
@@ -42,13 +44,21 @@ NOTICE_PHRASES = {
     "all rights reserved": "proprietary",
 }
 TAGS = ("spdx license identifier",)
-#: Licence identifiers of expressions (lower case, without -only, -or-later, +), label, permissive or not.
-IDENTIFIERS = {
-    "mit": ("mit", True), "apache-2.0": ("apache-2", True), "bsd-2-clause": ("bsd-2-clause", True), "bsd-3-clause": ("bsd-3-clause", True),
-    "isc": ("isc", True), "zlib": ("zlib", True), "unlicense": ("unlicense", True), "cc0-1.0": ("cc0", True), "cc-by-4.0": ("cc-by", True),
-    "cc-by-nc-4.0": ("cc-by-nc", False), "cc-by-sa-4.0": ("cc-by-sa", False), "gpl-2.0": ("gpl-2", False), "gpl-3.0": ("gpl-3", False),
-    "lgpl-2.1": ("lgpl", False), "lgpl-3.0": ("lgpl", False), "agpl-3.0": ("agpl", False), "mpl-2.0": ("mpl-2", False), "epl-2.0": ("epl", False),
+#: Licence identifiers (lower case, without -only, -or-later, +) that go under the label of a phrase.
+LABELS = {
+    "apache-2.0": "apache-2", "cc0-1.0": "cc0", "cc-by-4.0": "cc-by", "cc-by-nc-4.0": "cc-by-nc", "cc-by-sa-4.0": "cc-by-sa", "gpl-2.0": "gpl-2",
+    "gpl-3.0": "gpl-3", "lgpl-2.1": "lgpl", "lgpl-3.0": "lgpl", "agpl-3.0": "agpl", "mpl-2.0": "mpl-2", "epl-2.0": "epl",
 }
+#: Identifiers of permissive licences.
+PERMISSIVE = frozenset(
+    "0bsd aal afl-1.1 afl-1.2 afl-2.0 afl-2.1 afl-3.0 apache-1.0 apache-1.1 apache-2.0 artistic-1.0 artistic-2.0 beerware blueoak-1.0.0 bsd-1-clause "
+    "bsd-2-clause bsd-2-clause-patent bsd-3-clause bsd-3-clause-clear bsd-3-clause-lbnl bsd-4-clause bsd-source-code bsl-1.0 cc-by-1.0 cc-by-2.0 "
+    "cc-by-2.5 cc-by-3.0 cc-by-4.0 cc0-1.0 curl ecl-2.0 efl-2.0 fair ftl hpnd icu ijg isc json libpng libtiff linux-openib mit mit-0 "
+    "mit-advertising mit-cmu mit-feh mitnfa mulanpsl-2.0 naumen ncsa nist-pd ntp ogc-1.0 openssl pddl-1.0 php-3.0 php-3.01 postgresql psf-2.0 "
+    "python-2.0 ruby sgi-b-2.0 tcl unicode-3.0 unicode-dfs-2016 unlicense upl-1.0 vim w3c wtfpl x11 xnet zlib zlib-acknowledgement zpl-2.0 zpl-2.1".split()
+)
+#: Identifiers of other licences whose names hold no digit.
+OTHERS = frozenset("apafml cnri-python entessa frameworx-1.0 glide glulxe imagemagick info-zip interbase-1.0 latex2e miros motosoto multics nokia oclc-2.0 plexus sleepycat sendmail".split())
 #: Binding strength of the operators.
 STRENGTH = {"or": 1, "and": 2, "with": 3}
 #: Score of the strongest evidence: a parsed expression, a notice phrase.
@@ -57,67 +67,86 @@ TAG_SCORE, NOTICE_SCORE = 1.0, 0.8
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _TO_WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-_TOKEN = re.compile(r"[()]|[a-z0-9][a-z0-9.+:-]*")
-
-
-def expression(text: str) -> tuple[list[str], int]:
-    """The longest well-formed expression at the start of text, in postfix order, and how many identifiers it has.
-
-    Shunting-yard: operators wait on a stack until one that binds no more strongly, or a closing bracket, comes. What
-    stands behind the last identifier or bracket that completes an expression is left out.
-    """
-    best: tuple[list[str], int] = ([], 0)
-    out: list[str] = []
-    waiting: list[str] = []
-    operand_next, depth, exception_next = True, 0, False
-    for match in _TOKEN.finditer(text.lower()):
-        token = match[0].rstrip(".:") or match[0]
+_TOKEN = re.compile(rb"[()]|[a-z0-9][a-z0-9.+:-]*")
+_SUFFIX = re.compile(r"(-only|-or-later|\+)$")
+
+
+def expression(raw: bytes, start: int = 0, stop: int | None = None) -> tuple[list[str], int]:
+    """The longest well-formed expression at the start of raw[start:stop] (lower case), in postfix order, and how many
+    licences it names. What stands behind the last identifier or bracket that completes an expression is left out."""
+    tokens: list[str] = []
+    whole = depth = licences = counted = 0  # tokens of the longest complete expression so far; open brackets; licences, and those of it
+    operand_next, exception_next = True, False
+    for match in _TOKEN.finditer(raw, start, len(raw) if stop is None else stop):
+        token = match[0].decode()
+        token = token.rstrip(".:") or token
         if token in STRENGTH:
             if operand_next:
                 break
-            while waiting and waiting[-1] != "(" and STRENGTH[waiting[-1]] >= STRENGTH[token]:
-                out.append(waiting.pop())
-            waiting.append(token)
             operand_next, exception_next = True, token == "with"
         elif token == "(":
             if not operand_next or exception_next:
                 break
-            waiting.append(token)
             depth += 1
         elif token == ")":
             if operand_next or not depth:
                 break
-            while waiting[-1] != "(":
-                out.append(waiting.pop())
-            waiting.pop()
             depth -= 1
         else:
             if not operand_next or not (exception_next or known(token)):
                 break
-            out.append(token)
+            licences += not exception_next
             operand_next = exception_next = False
+        tokens.append(token)
         if not operand_next and not depth:
-            done = out + waiting[::-1]
-            best = (done, sum(known(x) is not None for x in done))
-    return best
+            whole, counted = len(tokens), licences
+    return postfix(tokens[:whole]), counted
+
+
+def postfix(tokens: list[str]) -> list[str]:
+    """Shunting-yard: operators wait on a stack until one that binds no more strongly, or a closing bracket, comes."""
+    out: list[str] = []
+    waiting: list[str] = []
+    for token in tokens:
+        if token in STRENGTH:
+            while waiting and waiting[-1] != "(" and STRENGTH[waiting[-1]] >= STRENGTH[token]:
+                out.append(waiting.pop())
+            waiting.append(token)
+        elif token == "(":
+            waiting.append(token)
+        elif token == ")":
+            while waiting[-1] != "(":
+                out.append(waiting.pop())
+            waiting.pop()
+        else:
+            out.append(token)
+    return out + waiting[::-1]
 
 
+@lru_cache(maxsize=1 << 14)
 def known(identifier: str) -> tuple[str, bool] | None:
-    base = re.sub(r"(-only|-or-later|\+)$", "", identifier)
-    if base.startswith("licenseref-"):
-        return base, False
-    return IDENTIFIERS.get(base)
+    """Label of a licence and whether it is permissive. Besides the lists, whatever holds a digit, or is declared as a
+    reference, is an identifier and goes under its own name."""
+    if identifier in STRENGTH or identifier in "()":
+        return None
+    base = _SUFFIX.sub("", identifier)
+    if base in PERMISSIVE or base in OTHERS or base in LABELS or base.startswith(("licenseref-", "documentref-")) or any(map(str.isdigit, base)):
+        return LABELS.get(base, base), base in PERMISSIVE
+    return None
 
 
-def evaluate(postfix: list[str]) -> tuple[set[str], bool]:
+def evaluate(tokens: list[str]) -> tuple[set[str], bool]:
     """Labels of all licences in the expression, and whether its terms can be met permissively (or: one side, and: both)."""
     stack: list[tuple[set[str], bool]] = []
-    for token in postfix:
+    for token in tokens:
         if token == "with":
             stack.pop()  # the exception; it only widens what the licence permits
         elif token in STRENGTH:
             b, a = stack.pop(), stack.pop()
-            stack.append((a[0] | b[0], a[1] or b[1] if token == "or" else a[1] and b[1]))
+            if len(a[0]) < len(b[0]):
+                a, b = (b[0], a[1]), (a[0], b[1])
+            a[0].update(b[0])  # the larger set takes the smaller one in
+            stack.append((a[0], a[1] or b[1] if token == "or" else a[1] and b[1]))
         else:
             label = known(token)
             stack.append(({label[0]}, label[1]) if label else (set(), True))
@@ -140,6 +169,7 @@ def scan(raw: bytes, machine: ahocorasick.Automaton) -> tuple:
     base: set[str] = set()
     more: set[str] = set()
     tags, parsed, permissive = [], [], None
+    counted = words_before = 0
     for end, (kind, label, length) in machine.iter(joined):
         if kind == 0:
             start = end - length
@@ -150,16 +180,23 @@ def scan(raw: bytes, machine: ahocorasick.Automaton) -> tuple:
         elif kind == 1:
             more.add(label)
         else:
-            tags.append(joined.count(" ", 0, end))  # words up to the tag's end
+            words_before += joined.count(" ", counted, end)  # words up to the tag's end
+            counted = end
+            tags.append(words_before)
     if tags:
-        ends = [m.end() for m in _WORD.finditer(raw.translate(_LOWER))]
+        lower = raw.translate(_LOWER)
+        ends = [m.end() for m in _WORD.finditer(lower)]
+        line_end = -1
         for n in tags:
-            line = raw[ends[n - 1] :].split(b"\n", 1)[0].decode("utf-8", "replace").lstrip(" \t:=*")
-            postfix, identifiers = expression(line)
+            start = ends[n - 1]
+            if start > line_end:
+                line_end = lower.find(b"\n", start)
+                line_end = len(lower) if line_end < 0 else line_end
+            found, identifiers = expression(lower, start, line_end)
             if identifiers:
-                labels, free = evaluate(postfix)
+                labels, free = evaluate(found)
                 more |= labels
-                parsed.append(" ".join(postfix))
+                parsed.append(" ".join(found))
                 permissive = free if permissive is None else permissive and free
     at = lambda x: None if x is None else joined.count(" ", 0, x)
     score = TAG_SCORE if parsed else NOTICE_SCORE if base or more else 0.0

@@ -1,22 +1,27 @@
 """Quality rules: counts per document, and distribution divergence from language references.
 
 The character-class histogram and the histogram of common words of a document are compared with those of each language
-(from all documents of that language) by Jensen-Shannon distance; the nearest language counts. Texts below a minimum
-length are not judged by a histogram, since short samples are far from any reference by chance.
-
-Defined cases: a null or empty text has no words, so it fails the base rule; repeated rows give equal rows; documents of
-a null or unknown language don't shape references but are compared with all; without references (an empty table, or no
-known language) only the base rules speak; further columns of the input are ignored.
+(from all documents of that language) by Jensen-Shannon distance; the nearest language counts. Every language with enough
+text has a reference of character classes; those with a list of common words have one of words, too. Texts below a minimum
+length are not judged by a histogram, since short samples are far from any reference by chance; nor are documents whose
+own language has no reference.
+
+Defined cases: a null or empty text has no words, so it fails the base rule; a very long text is counted as a whole, like any
+other; repeated rows give equal rows; documents of a null language, or of one with too little text for a reference, shape no
+reference and are judged by the base rules alone, as are all where no language has a reference (an empty table); further
+columns of the input are ignored by quality_rules and carried along by keep_good.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import as_bytes, by_slice, kept_rows
+from quillspark.llm.common import as_bytes, by_slice, column, kept_rows
 
 #: Frequent words of each language, the bins of the word histogram besides "any other".
 COMMON_WORDS = {
@@ -30,6 +35,8 @@ OTHER = len(BINS)
 #: Character classes by byte: lower case, upper case, digit, space, line end, end of sentence, other punctuation, symbol, control, beyond ASCII.
 CLASSES = 10
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
+#: Characters and words of a reference at least; languages with a reference at most (those of most characters).
+REFERENCE_CHARS, REFERENCE_WORDS, MAX_LANGS = 2000, 300, 200
 #: A histogram is judged from so many characters or words on, and rejected beyond such distance (0 to 1) from every reference.
 MIN_CHARS_JUDGED, MAX_CLASS_DISTANCE = 200, 0.35
 #: For words, the distance that chance alone gives falls with the number of words n: the limit is the root of
@@ -119,32 +126,52 @@ def word_limit(n: int) -> float:
     return min(MAX_WORD_DISTANCE, (WORD_FLOOR**2 + WORD_NOISE / n) ** 0.5)
 
 
-def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Shares of classes and of common words over all documents of each language of COMMON_WORDS. Sums by task are added
-    up by Spark; four rows of fixed width reach the driver."""
+@dataclass
+class References:
+    """Shares of character classes, and of common words, of each language (rows)."""
+
+    classes: dict[str, np.ndarray]
+    words: dict[str, np.ndarray]
+
+    def of(self, lang: str | None) -> tuple[np.ndarray | None, np.ndarray | None]:
+        """What a document of the language is compared with: all references of a kind, if its own language has one."""
+        return tuple(np.array(list(x.values())) if lang in x else None for x in (self.classes, self.words))
+
+
+def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> References:
+    """Shares of classes and of common words over all documents of each language. Sums by task are added up by Spark;
+    MAX_LANGS rows of fixed width reach the driver at most."""
     width = CLASSES + OTHER + 1
 
     def run(batches):
         sums: dict[str, np.ndarray] = {}
 
-        def work(batch: pa.RecordBatch) -> None:
+        def flush():
+            out = pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([x.tolist() for x in sums.values()], pa.list_(pa.int64()))], ["lang", "sums"])
+            sums.clear()
+            return out
+
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
             for lang, raw in zip(batch.column(1).to_pylist(), as_bytes(batch.column(0)), strict=True):
-                if lang in COMMON_WORDS:
-                    held = sums.setdefault(lang, np.zeros(width, np.int64))
-                    held[:CLASSES] += class_histogram(raw)
-                    held[CLASSES:] += word_histogram(raw.translate(_LOWER).split())
+                held = sums.setdefault(lang, np.zeros(width, np.int64))
+                held[:CLASSES] += class_histogram(raw)
+                held[CLASSES:] += word_histogram(raw.translate(_LOWER).split())
+            return flush() if len(sums) > MAX_LANGS else None
 
-        list(by_slice(work, text_col)(batches))
+        yield from by_slice(work)(batches)
         if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([x.tolist() for x in sums.values()], pa.list_(pa.int64()))], ["lang", "sums"])
-
-    parts = docs.select(text_col, lang_col).mapInArrow(run, "lang string, sums array<long>")
-    rows = parts.groupBy("lang").agg(*(F.sum(F.col("sums")[i]).alias(f"c{i}") for i in range(width))).collect()
-    found = {}
-    for row in sorted(rows, key=lambda r: r["lang"]):
+            yield flush()
+
+    held = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where("lang IS NOT NULL")
+    parts = held.mapInArrow(run, "lang string, sums array<long>")
+    totals = parts.groupBy("lang").agg(*(F.sum(F.col("sums")[i]).alias(f"c{i}") for i in range(width)))
+    chars = sum(F.col(f"c{i}") for i in range(CLASSES))
+    found = References({}, {})
+    for row in sorted(totals.where(chars >= REFERENCE_CHARS).orderBy(chars.desc(), "lang").limit(MAX_LANGS).collect(), key=lambda r: r["lang"]):
         sums = np.array(row[1:], float)
-        if sums[:CLASSES].sum() and sums[CLASSES:].sum():
-            found[row["lang"]] = sums[:CLASSES] / sums[:CLASSES].sum(), sums[CLASSES:] / sums[CLASSES:].sum()
+        found.classes[row["lang"]] = sums[:CLASSES] / sums[:CLASSES].sum()
+        if row["lang"] in COMMON_WORDS and sums[CLASSES:].sum() >= REFERENCE_WORDS:
+            found.words[row["lang"]] = sums[CLASSES:] / sums[CLASSES:].sum()
     return found
 
 
@@ -167,25 +194,34 @@ def judge(raw: bytes, classes: np.ndarray | None, common: np.ndarray | None) ->
     return n, chars, symbols, repeated_lines(raw), repeat, failed, not (failed or far), by_class, by_word
 
 
+def judged(batch: pa.RecordBatch, text_col: str, lang_col: str, found: References) -> list[tuple]:
+    """judge() of each row."""
+    against: dict[str | None, tuple] = {}
+    out = []
+    for lang, raw in zip(column(batch, lang_col).cast(pa.string()).to_pylist(), as_bytes(column(batch, text_col)), strict=True):
+        if lang not in against:
+            if len(against) > MAX_LANGS:
+                against.clear()
+            against[lang] = found.of(lang)
+        out.append(judge(raw, *against[lang]))
+    return out
+
+
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per row of docs: id and FIELDS. Two narrow passes; the first one's sums are the only exchange."""
-    classes, common = _stacked(references(docs, text_col, lang_col))
+    found = references(docs, text_col, lang_col)
     names = [x.split()[0] for x in FIELDS]
     types = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [judge(raw, classes, common) for raw in as_bytes(batch.column(1))]
+        rows = judged(batch, text_col, lang_col, found)
         return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], [id_col, *names])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(by_slice(work, text_col), f"`{id_col}` {kind}, {', '.join(FIELDS)}")
-
-
-def _stacked(found: dict[str, tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray | None, np.ndarray | None]:
-    return tuple(np.array(x) for x in zip(*found.values(), strict=True)) if found else (None, None)
+    return docs.select(id_col, text_col, lang_col).mapInArrow(by_slice(work, text_col), f"`{id_col}` {kind}, {', '.join(FIELDS)}")
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of docs that quality_rules keeps, with all their columns."""
-    classes, common = _stacked(references(docs, text_col, lang_col))
-    return kept_rows(docs, lambda texts: [judge(raw, classes, common)[6] for raw in as_bytes(texts)], text_col)
+    found = references(docs, text_col, lang_col)
+    return kept_rows(docs, lambda batch: [r[6] for r in judged(batch, text_col, lang_col, found)], text_col)

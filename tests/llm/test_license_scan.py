@@ -48,17 +48,17 @@ def test_expressions_are_those_of_another_parser():
     for a, b, c, x, y in product(("mit", "gpl-3.0"), ("isc", "mpl-2.0"), ("zlib", "agpl-3.0"), ("and", "or"), ("and", "or")):
         for form in ("{a} {x} {b} {y} {c}", "({a} {x} {b}) {y} {c}", "{a} {x} ({b} {y} {c})"):
             text = form.format(a=a, b=b, c=c, x=x, y=y)
-            postfix, n = m.expression(text)
+            postfix, n = m.expression(text.lower().encode())
             labels, free = m.evaluate(postfix)
             assert n == 3 and labels == {m.known(k)[0] for k in (a, b, c)}
             assert free == value(text.replace("(", "( ").replace(")", " )").split())[0]
 
 
 def test_with_and_text_behind_an_expression():
-    postfix, n = m.expression("GPL-2.0-only WITH Classpath-exception-2.0 OR MIT and nothing else")
+    postfix, n = m.expression(b"gpl-2.0-only with classpath-exception-2.0 or mit and nothing else")
     assert postfix == ["gpl-2.0-only", "classpath-exception-2.0", "with", "mit", "or"] and n == 3 - 1
     assert m.evaluate(postfix) == ({"gpl-2", "mit"}, True)
-    assert m.expression("(MIT") == ([], 0) and m.expression("") == ([], 0) and m.expression("and MIT") == ([], 0)
+    assert m.expression(b"(mit") == ([], 0) and m.expression(b"") == ([], 0) and m.expression(b"and mit") == ([], 0)
 
 
 def test_query_rows(spark):
@@ -69,3 +69,25 @@ def test_query_rows(spark):
     assert got[2, 0]["labels"] == "" and got[2, 0]["first_word"] is None and got[2, 0]["score"] == 0
     assert got[None, 5]["labels"] == "mit" and got[None, 5]["first_word"] == got[None, 5]["last_word"] == 1
     assert m.license_scan(docs).count() == 5 and m.license_scan(docs.limit(0)).count() == 0
+
+
+def test_any_well_formed_identifier_is_read():
+    labels = lambda line: m.scan(f"x\nSPDX-License-Identifier: {line}\nmore".encode(), m.automaton())[5]
+    assert labels("BSL-1.0 OR MIT") == "bsl-1.0,mit" and labels("CC-BY-3.0") == "cc-by-3.0" and labels("MIT OR Artistic-2.0") == "artistic-2.0,mit"
+    assert labels("LicenseRef-own AND WTFPL */") == "licenseref-own,wtfpl" and labels("Made-up-7.1+") == "made-up-7.1" and labels("is a tag") == ""
+
+
+def test_work_grows_with_the_length():
+    import time
+
+    began = time.perf_counter()
+    line = "SPDX-License-Identifier: " + " or ".join(["mit", "(isc and zlib)"] * 30_000)
+    row = m.scan(line.encode(), m.automaton())
+    assert row[5] == "isc,mit,zlib" and row[8]
+    row = m.scan(("SPDX-License-Identifier: MIT " * 300_000).encode(), m.automaton())
+    assert row[5] == "mit" and row[7].count(";") == 299_999
+    row = m.scan(("SPDX-License-Identifier: MIT\n" * 300_000).encode(), m.automaton())
+    assert row[5] == "mit" and row[7].count(";") == 299_999
+    row = m.scan(("spdx license identifier: " + " or ".join(f"x{i}" for i in range(60_000))).encode(), m.automaton())
+    assert row[5].count(",") == 59_999
+    assert time.perf_counter() - began < 60

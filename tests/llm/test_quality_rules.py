@@ -69,8 +69,22 @@ def test_word_rule_rejects_alone(spark):
     common = "the of and with for that on was".split()
     made = lambda: "".join(rng.choice(["ri", "ver", "ho", "use", "sto", "ne"]) for _ in range(rng.randint(1, 4)))
     sentence = lambda share: " ".join(rng.choice(common) if rng.random() < share else made() for _ in range(9)).capitalize() + "."
-    rows = [(i, " ".join(sentence(0.24) for _ in range(n)), "en") for i, n in enumerate([8, 12, 20, 50, 200] * 12)]
-    rows += [(100 + n, " ".join(sentence(0) for _ in range(n)), None) for n in (8, 12, 50, 200)] + [(900, " ".join(sentence(0.04) for _ in range(60)), None)]
+    rows = [(i, " ".join(sentence(0.24) for _ in range(n)), "en") for i, n in enumerate([8, 12, 20, 50, 2000] * 12)]
+    rows += [(100 + n, " ".join(sentence(0) for _ in range(n)), "en") for n in (8, 12, 50, 200)] + [(900, " ".join(sentence(0.04) for _ in range(60)), "en")]
     got = {r["doc_id"]: r for r in m.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
     for i, r in got.items():
         assert not r["base_failed"] and (r["class_distance"] or 0) <= m.MAX_CLASS_DISTANCE and r["kept"] == (i < 100)
+
+
+def test_languages_without_a_reference_are_not_judged_by_histograms(spark):
+    rng = random.Random(3)
+    english = lambda n: " ".join(rng.choice("the of and with for river house stone morning letter".split()) + str(rng.randint(0, 9)) * (rng.random() < 0.02) for _ in range(n)).capitalize() + "."
+    russian = lambda n: " ".join("".join(rng.choice("оеаинтсрвлкмдпуяыьгзбчйхжшюцщэфъё") for _ in range(rng.randint(2, 9))) for _ in range(n)) + "."
+    rows = [(i, english(120), "en") for i in range(20)] + [(50, russian(200), None), (51, russian(20), "uk")] + [(60 + i, russian(150), "ru") for i in range(9)] + [(80, "%$#&| " * 3 + russian(120).replace(" ", " <#$> "), "ru")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = m.references(docs)
+    assert sorted(found.classes) == ["en", "ru"] and sorted(found.words) == ["en"]
+    got = {r["doc_id"]: r for r in m.quality_rules(docs).collect()}
+    assert got[50]["kept"] and got[51]["kept"] and got[50]["class_distance"] is None and got[60]["word_distance"] is None
+    assert all(got[60 + i]["kept"] and got[60 + i]["class_distance"] < 0.1 for i in range(9))
+    assert not got[80]["kept"] and got[80]["class_distance"] > m.MAX_CLASS_DISTANCE
