@@ -2,12 +2,15 @@
 
 Turns become `<|turn|>role<|says|>text<|end|>`. Inside roles and texts each `<`, `[` and backslash gets a backslash
 behind it, so that no control string of this or other templates (`</s>`, `[INST]`, `<|...|>`) survives there, and
-reading back drops the byte behind each of them. Lengths, offsets and target places of a batch are numpy columns; every
-byte is copied once, into one preallocated buffer which is the Arrow column of the result: the turns of a conversation
-lie side by side, so conversations are just wider offsets into it.
+reading back drops the byte behind each of them. Lengths, offsets and target places are numpy columns; every byte is
+copied once, into one preallocated buffer which is the Arrow column of the result: the turns of a conversation lie side by
+side, so conversations are just wider offsets into it. Whole conversations of some SLICE_BYTES are assembled at a time, and
+target places are computed for BLOCK bytes at a time.
 
 Defined cases: a null role or text is empty; turns are ordered by (turn, role, text), nulls first, so repeated rows all
-stay; a null conv_id is a conversation of its own; an empty table gives an empty result; further columns are ignored.
+stay; all turns of a null conv_id are one conversation; a very long conversation is one row of the result (2 GB at most, as
+any string in Spark) and takes some three times its bytes; an empty table gives an empty result; further columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -39,21 +42,38 @@ def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8))[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+#: Bytes whose target places are computed at a time; bytes of whole conversations that are assembled at a time.
+BLOCK, SLICE_BYTES = 1 << 20, 8 << 20
+
+
 class _Segment:
     """A column of texts as it will stand, escaped, in the output."""
 
     def __init__(self, column: pa.Array) -> None:
         self.data, self.offsets = _bytes_of(column)
-        self.special = _SPECIAL[self.data]
-        before = np.concatenate(([0], np.cumsum(self.special)))
-        self.lengths = np.diff(self.offsets + before[self.offsets])
-        self.before = before
+        self.before = np.zeros(len(self.offsets), np.int64)  # escaped bytes before each offset
+        held = 0
+        for a in range(0, len(self.data), BLOCK):
+            counts = np.concatenate(([0], np.cumsum(_SPECIAL[self.data[a : a + BLOCK]])))
+            first, last = np.searchsorted(self.offsets, [a, a + BLOCK])
+            self.before[first:last] = held + counts[np.minimum(self.offsets[first:last] - a, len(counts) - 1)]
+            held += int(counts[-1])
+        self.before[self.offsets == len(self.data)] = held
+        self.lengths = np.diff(self.offsets + self.before)
 
     def scatter(self, out: np.ndarray, starts: np.ndarray) -> None:
-        shift = starts - self.offsets[:-1] - self.before[self.offsets[:-1]]
-        to = np.arange(len(self.data)) + self.before[:-1] + np.repeat(shift, np.diff(self.offsets))
-        out[to] = self.data
-        out[to[self.special] + 1] = ESCAPE
+        shift = starts - self.offsets[:-1] - self.before[:-1]
+        held = 0
+        for a in range(0, len(self.data), BLOCK):
+            data = self.data[a : a + BLOCK]
+            special = _SPECIAL[data]
+            before = np.cumsum(special)
+            first, last = np.searchsorted(self.offsets, [a, a + len(data)], "right")
+            counts = np.diff(np.clip(self.offsets[first - 1 : last + 1], a, a + len(data)))
+            to = np.arange(a, a + len(data)) + held + before - special + np.repeat(shift[first - 1 : first - 1 + len(counts)], counts)
+            out[to] = data
+            out[to[special] + 1] = ESCAPE
+            held += int(before[-1])
 
 
 def assemble(roles: pa.Array, texts: pa.Array) -> tuple[pa.Buffer, np.ndarray, np.ndarray, np.ndarray]:
@@ -78,9 +98,7 @@ def _formatted(rows: pa.RecordBatch, id_col: str) -> pa.RecordBatch:
     """rows: whole conversations, in order."""
     ids = rows.column(0)
     buffer, offsets, starts, stops = assemble(rows.column(1), rows.column(2))
-    changed = pa.compute.fill_null(pa.compute.not_equal(ids[1:], ids[:-1]), False).to_numpy(zero_copy_only=False)
-    nulls = ids.is_null().to_numpy(zero_copy_only=False)
-    first = np.concatenate(([0], np.flatnonzero(changed | (nulls[1:] != nulls[:-1])) + 1)).astype(np.int64)
+    first = np.concatenate(([0], np.flatnonzero(_changes(ids)) + 1)).astype(np.int64)
     ends = np.append(first[1:], len(ids))
     learned = pa.compute.fill_null(pa.compute.equal(rows.column(1), LEARNED), False).to_numpy(zero_copy_only=False)
     text = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(np.append(offsets[first], offsets[-1]).astype(np.int64)), buffer)
@@ -88,11 +106,31 @@ def _formatted(rows: pa.RecordBatch, id_col: str) -> pa.RecordBatch:
     counts = np.concatenate(([0], np.cumsum(learned)))
     spans = pa.array(counts[np.append(first, len(ids))].astype(np.int32))
     loss = [pa.ListArray.from_arrays(spans, pa.array((x - base)[learned])) for x in (starts, stops)]
+    # one conversation of 2 GB or more can't be a string; several are never assembled at once beyond SLICE_BYTES
     return pa.RecordBatch.from_arrays([ids.take(pa.array(first)), pa.array(ends - first), text.cast(pa.string()), *loss], [id_col, "n_turns", "formatted", "loss_starts", "loss_stops"])
 
 
-#: Rows of whole conversations that are assembled at a time.
-ROWS = 4096
+def _whole(rows: pa.Table) -> list[pa.RecordBatch]:
+    """Whole conversations, in order, in batches of some SLICE_BYTES."""
+    rows = rows.combine_chunks()
+    if not rows.num_rows:
+        return []
+    batch = rows.to_batches()[0]
+    size = np.cumsum(sum(pa.compute.fill_null(pa.compute.binary_length(batch.column(i)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for i in (1, 2)))
+    edges = np.flatnonzero(_changes(batch.column(0))) + 1
+    out, first, done = [], 0, 0
+    for edge in [*edges.tolist(), len(batch)]:
+        if edge > first and (edge == len(batch) or size[edge - 1] - done >= SLICE_BYTES):
+            out.append(batch.slice(first, edge - first))
+            first, done = edge, int(size[edge - 1])
+    return out
+
+
+def _changes(ids: pa.Array) -> np.ndarray:
+    """Whether the next id is another one."""
+    nulls = ids.is_null().to_numpy(zero_copy_only=False)
+    differs = pa.compute.fill_null(pa.compute.not_equal(ids[1:], ids[:-1]), False).to_numpy(zero_copy_only=False)
+    return differs | (nulls[1:] != nulls[:-1])
 
 
 def chat_format(turns: DataFrame, id_col: str = "conv_id") -> DataFrame:
@@ -100,28 +138,24 @@ def chat_format(turns: DataFrame, id_col: str = "conv_id") -> DataFrame:
     formatted text's UTF-8 of every text that is learned from. One exchange, by conversation."""
 
     def run(batches):
-        held: list[pa.RecordBatch] = []  # rows of the conversations not yet known to be whole
-        n = 0
+        held: list[pa.RecordBatch] = []  # rows of the conversation not yet known to be whole
         for batch in batches:
             if not batch.num_rows:
                 continue
             ids = batch.column(0)
-            last = ids[-1].as_py()
-            keys = ids.to_pylist()
-            cut = len(keys)
-            while cut and keys[cut - 1] == last:
-                cut -= 1
-            if cut or held and held[-1].column(0)[-1].as_py() != last:
-                ready = [*held, batch.slice(0, cut)] if cut else held
-                yield _formatted(pa.Table.from_batches(ready).combine_chunks().to_batches()[0], id_col)
-                held, n = [], 0
-            held.append(batch.slice(cut) if cut else batch)
-            n += held[-1].num_rows
-        if n:
-            yield _formatted(pa.Table.from_batches(held).combine_chunks().to_batches()[0], id_col)
+            edges = np.flatnonzero(_changes(ids))
+            cut = int(edges[-1]) + 1 if len(edges) else 0
+            goes_on = not held or held[-1].column(0)[-1].as_py() == ids[0].as_py()
+            if cut or not goes_on:
+                for part in _whole(pa.Table.from_batches([*held, *([batch.slice(0, cut)] if cut else [])])):
+                    yield _formatted(part, id_col)
+                held = []
+            held.append(batch.slice(cut))
+        if held:
+            for part in _whole(pa.Table.from_batches(held)):
+                yield _formatted(part, id_col)
 
     spark = turns.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
     kind = turns.schema[id_col].dataType.simpleString()
     dealt = turns.select(F.col(id_col), "turn", "role", "text").repartition(partitions(spark), id_col).sortWithinPartitions(id_col, "turn", "role", "text")
     return dealt.select(id_col, "role", "text").mapInArrow(run, f"`{id_col}` {kind}, n_turns long, formatted string, loss_starts array<long>, loss_stops array<long>")

@@ -6,8 +6,9 @@ documents are, without any given label. The posterior probabilities of a bounded
 hashed words and word shapes, which scores every document.
 
 Defined cases: a null or empty text, like any text on which no labeller votes and no word speaks, scores the share of
-good documents; with no documents of either kind in the sample the scorer gives that share throughout; repeated rows give
-equal rows; a null id is kept; an empty table gives an empty result; further columns of the input are ignored.
+good documents; with no documents of either kind in the sample the scorer gives that share throughout; a very long text is
+judged as a whole, like any other; repeated rows give equal rows; a null id is kept, and however many rows have none, the
+sample has SAMPLE_ROWS at most; an empty table gives an empty result; further columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from quillspark.llm.common import as_bytes, by_slice
 from quillspark.llm.quality_rules import class_histogram, repeated_lines, word_histogram
 
-#: Expected rows that train the scorer, chosen by a hash of the id.
+#: Rows that train the scorer at most: those of the least hashes of id and text.
 SAMPLE_ROWS = 4000
 #: Half for words, half for word shapes.
 BUCKETS = 1 << 16
@@ -197,7 +198,7 @@ def train(rows: list[tuple[list[int], list[float], float]], good: float) -> Scor
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS) -> tuple[LabelModel, Scorer]:
     """Vote patterns are counted over all documents (at most 3 to the number of labellers reach the driver); the scorer's
-    sample has an expected number of rows and reaches the driver as bucket shares."""
+    sample has a fixed number of rows at most and reaches the driver as bucket shares."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def vote(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -220,7 +221,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: i
 
         return by_slice(work)(batches)
 
-    part = texts.where(F.pmod(F.xxhash64("id"), F.lit(_BASE)) < min(_BASE, _BASE * rows // max(1, total) + 1)).orderBy("id") if total else texts.limit(0)
+    hashed = texts.withColumn("hash", F.xxhash64("id", "text"))
+    share = F.pmod("hash", F.lit(_BASE)) < min(_BASE, 2 * _BASE * rows // max(1, total) + 1)  # twice as many are expected, so that few rows are sorted
+    part = hashed.where(share).orderBy("hash", "id").limit(rows)
     sample = part.select("text").mapInArrow(features, "buckets array<long>, shares array<double>, target double").collect()
     return labels, train([(r["buckets"], r["shares"], r["target"]) for r in sample], labels.good)
 

@@ -54,3 +54,57 @@ def test_every_labeller_can_vote_both_ways():
         for name, labeller in m.LABELLERS.items():
             seen[name].add(labeller(f))
     assert all({m.BAD, m.GOOD} <= s for s in seen.values()), seen
+
+
+def test_rows_without_ids_are_sampled_like_others(spark, monkeypatch):
+    rows = [(None, f"{t} {i}") for i in range(30) for _, t, _ in list(texts())[:20]] + [(None, "the same text again")] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+    monkeypatch.setattr(m, "train", lambda sample, good: seen.append(len(sample)) or m.Scorer(np.zeros(m.BUCKETS), 0.0))
+    m.fit(docs, rows=100)
+    assert 0 < seen[0] <= 100
+
+
+def test_posteriors_and_scores_are_those_of_brute_force(spark):
+    """Expectation-maximisation and the trained scorer's sums, recomputed plainly from the texts."""
+    rows = [(i, t) for i, t, _ in texts()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels, scorer = m.fit(docs)
+    names = list(m.LABELLERS)
+    votes = [[m.LABELLERS[n](m.facts(t.encode(), t.lower().encode().split())) for n in names] for _, t in rows]
+    good, right = 0.8, [[0.4, 0.97] for _ in names]
+
+    def posterior(vote):
+        up, down = good, 1 - good
+        for v, (bad_right, good_right) in zip(vote, right, strict=True):
+            if v != m.NONE:
+                up *= good_right if v == m.GOOD else 1 - good_right
+                down *= bad_right if v == m.BAD else 1 - bad_right
+        return up / (up + down)
+
+    for _ in range(100):
+        p = [posterior(v) for v in votes]
+        good = min(0.99, max(0.01, sum(p) / len(p)))
+        new = []
+        for j in range(len(names)):
+            cast = [(q, v[j]) for q, v in zip(p, votes, strict=True) if v[j] != m.NONE]
+            of = lambda kind: (sum((q if kind else 1 - q) for q, v in cast if v == (m.GOOD if kind else m.BAD)) + 1) / (sum((q if kind else 1 - q) for q, _ in cast) + 2)  # noqa: B023, E731
+            new.append([min(0.995, max(0.02, of(k))) for k in (0, 1)])
+        moved = max(abs(a - b) for x, y in zip(right, new, strict=True) for a, b in zip(x, y, strict=True))
+        right = new
+        if moved < 1e-9:
+            break
+    import re
+    import zlib
+
+    half = m.BUCKETS // 2
+    for r in m.weak_quality(docs, model=(labels, scorer)).collect():
+        text = dict(rows)[r["doc_id"]]
+        vote = votes[r["doc_id"]]
+        assert r["votes"] == "".join("BG-"[v] for v in vote) and abs(r["posterior"] - posterior(vote)) < 1e-6
+        words = text.lower().encode().split()
+        z = [m.REPEAT if i and w == words[i - 1] else 1 + zlib.crc32(w) % (half - 1) for i, w in enumerate(words)]
+        shape = lambda w: re.sub(r"(.)\1+", r"\1", "".join("a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else c for c in w))
+        z += [half + zlib.crc32(shape(w).encode()) % half for w in text.split()]
+        score = 1 / (1 + np.exp(-(scorer.bias + sum(scorer.weights[b] for b in z) / (len(z) + m.LITTLE))))
+        assert abs(r["score"] - score) < 1e-9 and r["kept"] == (r["score"] >= m.KEEP_FROM)
