@@ -5,26 +5,31 @@ For each of `sketches` hash functions the `tuple_size` least of them are taken,
 together: an entry of the signature is equal for two texts only if they share these substrings in the same order, which
 makes the likeness (share of equal entries) fall with edit distance rather than with the set of substrings alone.
 
-Defined cases: a null or empty text counts as one empty substring; a text shorter than k bytes is one substring; equal
-texts have equal fingerprints; the order of documents is by id, then text, nulls least; with one document the next is
-the document itself; an empty table gives an empty result.
+Documents are dealt by ranges of ids and go through a worker in descending order, so a document's next one mostly follows
+it. The first and the last document of each range are written with their texts, and a second small step pairs the ranges'
+borders; nothing of that passes the driver, and the plan is the same for any number of ranges.
+
+Defined cases: a null or empty text counts as one empty substring; a text shorter than k bytes is one substring; a very long
+text's substrings are hashed BLOCK at a time; equal texts have equal fingerprints; the order of documents is by id (of any
+type that has an order), then text, nulls least; with one document the next is the document itself; repeated rows each have
+a row; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import partitions, slices
+from quillspark.llm.common import by_slice, partitions, slices, written
 
 K, SKETCHES, TUPLE = 8, 32, 2
-#: Ranges of ids for each partition, to even out what lands in one.
-SLOTS = 4
+#: Code points of a text that decide its range among texts of one id.
+PREFIX = 64
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _SALTS = (np.arange(1, 257, dtype=np.uint64) * _M1 ^ np.uint64(0x94D049BB133111EB)) * _M2 | np.uint64(1)
 #: Substrings handled at a time, so that a very long text needs little memory.
@@ -89,66 +94,58 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
-def in_id_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows dealt by ranges of ids, greatest first in each; the greatest row of the next range stands at the end of each
-    range as a guest, so that every row has the next document behind it. One exchange of the texts; the ranges' greatest
-    ids (one per range) are all that reaches the driver."""
-    n = partitions(docs.sparkSession)
-    ids = docs.select(F.col(id_col).alias("id"))
-    share = 1 / (n * SLOTS)
-    cuts = sorted({int(c) for c in ids.approxQuantile("id", [i * share for i in range(1, n * SLOTS)], share / 4)})
-    slot = _range_of("id", cuts)
-    tops = {r[0]: r[1] for r in ids.select(slot.alias("slot"), "id").groupBy("slot").agg(F.max("id")).collect()}
-    order = sorted(tops, reverse=True)
-    before = {tops[s]: order[i - 1] for i, s in enumerate(order)}  # the greatest range stands behind the least
-    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumns({"slot": slot, "guest": F.lit(False)})
-    to = F.when(F.col("id").isNull(), F.lit(before.get(None)).cast("int"))
-    if known := [F.lit(x) for kv in before.items() if kv[0] is not None for x in kv]:
-        to = to.otherwise(F.create_map(*known)[F.col("id")].cast("int"))
-    guests = own.select("id", "text", to.alias("slot"), F.lit(True).alias("guest")).where("slot IS NOT NULL")
-    ranges = own.unionByName(guests).repartition(n, "slot")
-    return ranges.sortWithinPartitions("slot", "guest", F.col("id").desc_nulls_last(), F.col("text").desc_nulls_last())
-
-
-def _range_of(column: str, cuts: list[int]) -> Column:
-    """How many of the sorted cuts lie below the column (none for a null), by a coarse and a fine step."""
-    if not cuts:
-        return F.lit(0)
-    wide = math.isqrt(len(cuts)) + 1
-    groups = [cuts[i : i + wide] for i in range(0, len(cuts), wide)]
-    texts = [f"array({','.join(f'{c}L' for c in g)})" for g in groups]
-    coarse = f"size(filter(array({','.join(f'{g[-1]}L' for g in groups)}), c -> c < {column}))"
-    return F.expr(f"{coarse} * {wide} + coalesce(size(filter(get(array({','.join(texts)}), {coarse}), c -> c < {column})), 0)").cast("int")
-
-
-FIELDS = ["n_chars long", "edited_sha256 string", "fingerprint string", "edited_fingerprint string", "near_edited double", "near_next double"]
+FIELDS = ["n_chars long", "edited_sha256 string", "fingerprint binary", "edited_fingerprint binary", "near_edited double", "near_next double"]
+ROW, HEAD, TAIL = 0, 1, 2
 
 
 def order_minhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sketches: int = SKETCHES, size: int = TUPLE, k: int = K) -> DataFrame:
-    """One row per row of docs: id and FIELDS."""
-    names = [id_col, *(x.split()[0] for x in FIELDS)]
+    """One row per row of docs: id, n_chars, edited_sha256, fingerprint, edited_fingerprint (hex digits), near_edited, near_next."""
     kind = docs.schema[id_col].dataType.simpleString()
+    names = [x.split()[0] for x in FIELDS]
+    types = [pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
 
-    def run(batches):
-        held = None  # the row that waits for the one behind it
+    def fields(text: str, mine: np.ndarray, following: str, its: np.ndarray) -> tuple:
+        new = edited(text, following)
+        after = signature(new.encode(), sketches, size, k)
+        return len(text), hashlib.sha256(new.encode()).hexdigest(), mine.tobytes(), after.tobytes(), likeness(mine, after), likeness(mine, its)
+
+    def in_order(batches):
+        """A row for each document but the last; the first and the last one with their texts."""
+        number = TaskContext.get().partitionId()
+        held = None  # the document that waits for the one behind it
+
+        def rows(out: list[tuple], ids: pa.Array) -> pa.RecordBatch:
+            cols = list(zip(*out, strict=True))
+            fixed = [pa.array(cols[0], pa.int32()), pa.array([number] * len(out), pa.int32()), pa.array(cols[1], ids), pa.array(cols[2], pa.string())]
+            return pa.RecordBatch.from_arrays([*fixed, *(pa.array(c, t) for c, t in zip(cols[3:], types, strict=True))], ["kind", "range", "id", "text", *names])
+
+        none = (None,) * len(names)
         for part in slices(batches):
-            rows = []
-            for key, text, slot, guest in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True):
+            out = []
+            for key, text in zip(*(part.column(i).to_pylist() for i in range(2)), strict=True):
                 text = text or ""
-                if held is not None and held[2] == slot and not held[3]:
-                    other, following = held[1], signature(text.encode(), sketches, size, k)
-                    new = edited(other, text)
-                    after = signature(new.encode(), sketches, size, k)
-                    mine = held[4]
-                    rows.append((held[0], len(other), hashlib.sha256(new.encode()).hexdigest(), mine.tobytes().hex(), after.tobytes().hex(), likeness(mine, after), likeness(mine, following)))
-                    held = (key, text, slot, guest, following)
-                elif not guest:
-                    held = (key, text, slot, guest, signature(text.encode(), sketches, size, k))
-                else:
-                    held = None
-            if rows:
-                cols = list(zip(*rows, strict=True))
-                types = [part.schema.field(0).type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
-
-    return in_id_order(docs, id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, {', '.join(FIELDS)}")
+                mine = signature(text.encode(), sketches, size, k)
+                out.append((HEAD, key, text, *none) if held is None else (ROW, held[0], None, *fields(held[1], held[2], text, mine)))
+                held = key, text, mine
+            if out:
+                yield rows(out, part.schema.field(0).type)
+                ids = part.schema.field(0).type
+        if held is not None:
+            yield rows([(TAIL, held[0], held[1], *none)], ids)
+
+    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    ranges = slim.repartitionByRange(partitions(docs.sparkSession), "id", F.substring("text", 1, PREFIX)).sortWithinPartitions(F.desc_nulls_last("id"), F.desc_nulls_last("text"))
+    done = written(ranges.mapInArrow(in_order, f"kind int, range int, id {kind}, text string, {', '.join(FIELDS)}"), "ranges")
+    heads = done.where(f"kind = {HEAD}").select("range", F.col("text").alias("following"))
+    below = F.lag("range").over(Window.orderBy("range"))
+    behind = heads.select("range", F.coalesce(below, F.max("range").over(Window.partitionBy())).alias("behind"))  # a row for each range
+    tails = done.where(f"kind = {TAIL}").select("range", "id", "text").join(behind, "range").join(heads.withColumnRenamed("range", "behind"), "behind")
+
+    def borders(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sign = lambda t: signature(t.encode(), sketches, size, k)
+        out = [fields(a, sign(a), b, sign(b)) for a, b in zip(*(batch.column(i).to_pylist() for i in (1, 2)), strict=True)]
+        return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True))], ["id", *names])
+
+    last = tails.select("id", "text", "following").mapInArrow(by_slice(borders), f"id {kind}, {', '.join(FIELDS)}")
+    digits = [F.lower(F.hex(n)).alias(n) if n.endswith("fingerprint") else F.col(n) for n in names]
+    return done.where(f"kind = {ROW}").select("id", *names).unionByName(last).select(F.col("id").alias(id_col), *digits)

@@ -64,3 +64,15 @@ def test_query_rows(spark, n):
         want.append((key, len(text), hashlib.sha256(new.encode()).hexdigest(), a.tobytes().hex(), b.tobytes().hex(), (a == b).mean(), (a == c).mean()))
     got = [tuple(r) for r in m.order_minhash(docs).collect()]
     assert sorted(got, key=repr) == sorted(((*w[:5], float(w[5]), float(w[6])) for w in want), key=repr)
+
+
+def test_ids_of_other_types_and_a_plan_that_does_not_grow(spark):
+    docs = spark.createDataFrame([(f"k{i}", "some text " * i, 1) for i in range(9)], "doc_id string, text string, range int")
+    got = {r["doc_id"]: r for r in m.order_minhash(docs).collect()}
+    assert len(got) == 9 and got["k3"]["near_next"] == m.likeness(m.signature(b"some text " * 3), m.signature(b"some text " * 2))
+    size = []
+    for n in ("2", "40"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        size.append(len(m.order_minhash(docs)._jdf.queryExecution().toString()))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert abs(size[0] - size[1]) < 0.05 * size[0]

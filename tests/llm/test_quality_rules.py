@@ -80,7 +80,7 @@ def test_languages_without_a_reference_are_not_judged_by_histograms(spark):
     rng = random.Random(3)
     english = lambda n: " ".join(rng.choice("the of and with for river house stone morning letter".split()) + str(rng.randint(0, 9)) * (rng.random() < 0.02) for _ in range(n)).capitalize() + "."
     russian = lambda n: " ".join("".join(rng.choice("оеаинтсрвлкмдпуяыьгзбчйхжшюцщэфъё") for _ in range(rng.randint(2, 9))) for _ in range(n)) + "."
-    rows = [(i, english(120), "en") for i in range(20)] + [(50, russian(200), None), (51, russian(20), "uk")] + [(60 + i, russian(150), "ru") for i in range(9)] + [(80, "%$#&| " * 3 + russian(120).replace(" ", " <#$> "), "ru")]
+    rows = [(i, english(120), "en") for i in range(20)] + [(50, russian(200), None), (51, russian(20), "uk")] + [(60 + i, russian(1500), "ru") for i in range(9)] + [(80, "%$#&| " * 3 + russian(120).replace(" ", " <#$> "), "ru")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     found = m.references(docs)
     assert sorted(found.classes) == ["en", "ru"] and sorted(found.words) == ["en"]
