@@ -28,7 +28,7 @@ WORDS, TABLES, BITS = 4, 160, 24
 FIRST = 16
 #: Keys that one task sorts and goes through.
 ROWS_EACH = 4_000_000
-SMALL = 32
+SMALL = 16
 #: Of the first 64 bits, so many may differ between candidates: 3.6 standard deviations above the mean at SIMILARITY.
 FAR = 20
 BLOCK = 1 << 14
