@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -16,17 +18,17 @@ from quillspark.functions import text
 WHOLE, TARGET, TAIL = 1000, 500, 300
 
 
-def _plan(tokens: Column, header_tokens: Column, target: int) -> Column:
-    """Chunk number (from 1) of each piece: a piece starts a new chunk if it would take a chunk that holds one beyond the
-    target. A fold over the block's own array."""
-    start = F.struct(F.array().cast("array<int>").alias("ids"), F.lit(1).alias("id"), header_tokens.cast("int").alias("now"), F.lit(0).alias("held"))
+def _starts(tokens: Column, header_tokens: Column, target: int) -> Column:
+    """Where chunks begin (from 1): a piece starts a new one if it would take a chunk that holds one beyond the target. A
+    fold over the block's own array, which grows by chunks, not by pieces."""
+    start = F.struct(F.array(F.lit(1)).alias("starts"), F.lit(0).alias("at"), header_tokens.cast("int").alias("now"), F.lit(0).alias("held"))
 
     def step(s: Column, t: Column) -> Column:
         full = (s["now"] + t > target) & (s["held"] > 0)
-        number = F.when(full, s["id"] + 1).otherwise(s["id"])
-        return F.struct(F.array_append(s["ids"], number).alias("ids"), number.alias("id"), F.when(full, header_tokens + t).otherwise(s["now"] + t).cast("int").alias("now"), F.when(full, 1).otherwise(s["held"] + 1).alias("held"))
+        at = s["at"] + 1
+        return F.struct(F.when(full, F.array_append(s["starts"], at)).otherwise(s["starts"]).alias("starts"), at.alias("at"), F.when(full, header_tokens + t).otherwise(s["now"] + t).cast("int").alias("now"), F.when(full, 1).otherwise(s["held"] + 1).alias("held"))
 
-    return F.aggregate(tokens, start, step, lambda s: s["ids"])
+    return F.aggregate(tokens, start, step, lambda s: s["starts"])
 
 
 def chunks(blocks: DataFrame, keys: list[str], header: Column, pieces: str, glue: str = "\n\n", whole: int = WHOLE, target: int = TARGET, tail: int | None = TAIL) -> DataFrame:
@@ -36,19 +38,16 @@ def chunks(blocks: DataFrame, keys: list[str], header: Column, pieces: str, glue
     filled = blocks.withColumn("_ps", F.filter(pieces, lambda p: F.coalesce(F.trim(p) != "", F.lit(False)))).where("size(_ps) > 0").withColumn("_head", header)
     formatted = lambda ps: F.rtrim(F.concat(F.col("_head"), F.array_join(ps, glue)))
     sized = filled.withColumn("_all", text.token_estimate(formatted(F.col("_ps")))).withColumn("_toks", F.transform("_ps", text.token_estimate))
-    one = F.transform("_ps", lambda _: F.lit(1))
-    planned = sized.withColumn("_ids", F.when(F.col("_all") <= whole, one).otherwise(_plan(F.col("_toks"), text.token_estimate(F.col("_head")), target)))
+    planned = sized.withColumn("_starts", F.when(F.col("_all") <= whole, F.array(F.lit(1))).otherwise(_starts(F.col("_toks"), text.token_estimate(F.col("_head")), target)))
     if tail is not None:
-        last = F.element_at("_ids", -1)
-        ends = F.transform(F.filter(F.arrays_zip(F.col("_ids").alias("i"), F.col("_ps").alias("p")), lambda z: z["i"] == last), lambda z: z["p"])
-        short = (last > 1) & (text.token_estimate(formatted(ends)) < tail)
-        planned = planned.withColumn("_ids", F.when(short, F.transform("_ids", lambda i: F.least(i, last - 1))).otherwise(F.col("_ids")))
-    numbers = F.sequence(F.lit(1), F.element_at("_ids", -1))
-    mine = lambda c: F.filter(F.sequence(F.lit(1), F.size("_ps")), lambda k: F.get(F.col("_ids"), k - 1) == c)
-    cut = planned.select(*keys, "_head", "_ps", F.element_at("_ids", -1).alias("total_chunks"), (F.col("_all") <= whole).alias("block_level_chunk"), F.explode(F.transform(numbers, lambda c: F.struct(c.alias("chunk_id"), mine(c).alias("at")))).alias("_c"))
-    first, count = F.element_at("_c.at", 1), F.size("_c.at")
-    content = formatted(F.slice("_ps", first, count))
-    return cut.select(*keys, "_c.chunk_id", "total_chunks", content.alias("chunk_content"), first.alias("first_piece"), (first + count - 1).alias("last_piece"), "block_level_chunk").withColumn("chunk_tokens", text.token_estimate(F.col("chunk_content")))
+        last = F.element_at("_starts", -1)
+        ends = F.slice("_ps", last, F.size("_ps") - last + 1)
+        short = (F.size("_starts") > 1) & (text.token_estimate(formatted(ends)) < tail)
+        planned = planned.withColumn("_starts", F.when(short, F.slice("_starts", 1, F.size("_starts") - 1)).otherwise(F.col("_starts")))
+    cut = planned.select(*keys, "_head", "_ps", "_starts", F.size("_starts").alias("total_chunks"), (F.col("_all") <= whole).alias("block_level_chunk"), F.posexplode("_starts").alias("_at", "_first"))
+    behind = F.coalesce(F.get("_starts", F.col("_at") + 1), F.size("_ps") + 1)
+    content = formatted(F.slice("_ps", F.col("_first"), behind - F.col("_first")))
+    return cut.select(*keys, (F.col("_at") + 1).alias("chunk_id"), "total_chunks", content.alias("chunk_content"), F.col("_first").alias("first_piece"), (behind - 1).alias("last_piece"), "block_level_chunk").withColumn("chunk_tokens", text.token_estimate(F.col("chunk_content")))
 
 
 def speaker_header(speaker: Column) -> Column:
@@ -68,10 +67,10 @@ def estimate(content: str) -> int:
 _END = re.compile(r"[.!?]\s+")
 
 
-def boundary(content: str, at: int, reach: int = 50) -> int:
-    """Where to cut near `at`: the end of a sentence within reach, the nearest one, of two the earlier; else behind the
-    next space; else there."""
-    low = max(0, at - reach)
+def boundary(content: str, at: int, reach: int = 50, first: int = 0) -> int:
+    """Where to cut near `at`: the end of a sentence within reach (not before `first`), the nearest one, of two the earlier;
+    else behind the next space; else there."""
+    low = max(first, at - reach)
     ends = [low + m.end() for m in _END.finditer(content[low : at + reach])]
     if ends:
         return min(ends, key=lambda e: (abs(e - at), e))
@@ -81,21 +80,36 @@ def boundary(content: str, at: int, reach: int = 50) -> int:
 
 def split_text(content: str, most: int = TARGET, least: int = TAIL) -> Iterator[tuple[str, int]]:
     """(text, tokens) of about `most` tokens, cut at sentences where they are near. A part beyond 1.2 times `most` is cut
-    10 % shorter again; a last part below `least` joins the one before with a space."""
-    rest, out = content.strip(), []
-    while rest:
-        n = estimate(rest)
+    10 % shorter again; a last part below `least` joins the one before with a space. What is left is measured by running
+    counts of words, so the work grows with the length."""
+    content, out = content.strip(), []
+    words = [(m.start(), m.end()) for m in re.finditer(r"\S+", content)]
+    starts = [a for a, _ in words]
+    before = [0, *accumulate(b - a for a, b in words)]  # characters in the words before each
+
+    def left(at: int) -> int:
+        """estimate(content[at:]), which begins with a word or within one."""
+        k = bisect_left(starts, at)
+        part = words[k - 1][1] - at if k and words[k - 1][1] > at else 0
+        n = len(words) - k + (part > 0)
+        return int(((before[-1] - before[k] + part + n - 1) / 3.5 * 0.5 + (len(content) - at) / 4 * 0.3 + n * 1.3 * 0.2) * 1.1)
+
+    at = 0
+    while at < len(content):
+        n = left(at)
         if n <= most:
-            out.append(rest)
+            out.append(content[at:])
             break
-        size = max(1, int(most * len(rest) / n))
-        cut = min(len(rest), boundary(rest, size))
-        while estimate(rest[:cut]) > 1.2 * most and size > 1:
+        size = max(1, int(most * (len(content) - at) / n))
+        cut = min(len(content), boundary(content, at + size, first=at))
+        while estimate(content[at:cut]) > 1.2 * most and size > 1:
             size = max(1, int(size * 0.9))
-            shorter = min(len(rest), boundary(rest, size))
-            cut = shorter if shorter < cut else size
-        out.append(rest[:cut].strip())
-        rest = rest[cut:].strip()
+            shorter = min(len(content), boundary(content, at + size, first=at))
+            cut = shorter if shorter < cut else at + size
+        out.append(content[at:cut].strip())
+        at = cut
+        while at < len(content) and content[at].isspace():
+            at += 1
     out = [x for x in out if x]
     if len(out) > 1 and estimate(out[-1]) < least:
         out[-2:] = [f"{out[-2]} {out[-1]}"]

@@ -26,6 +26,27 @@ def by_keywords(content: Column, keywords: dict[int, list[str]]) -> Column:
     return normalised(F.array_compact(F.array(*hits)))
 
 
+def has_category(content: Column, keywords: dict[int, list[str]], wanted: list[int]) -> Column:
+    """Whether by_keywords() would find one of the wanted categories; the text is lower-cased once."""
+    words = [w for i in wanted for w in keywords[i]]
+    return F.exists(F.array(F.lower(F.coalesce(content, F.lit("")))), lambda low: reduce(or_, (low.contains(w) for w in words)))
+
+
+#: Names of a table that are folded into one expression, at most.
+MOST_NAMES = 1000
+
+
+def first_name(content: Column, names: DataFrame, name: str, ordinal: str) -> Column:
+    """The first name, by ordinal, that stands in the text or in which the text stands, without regard to case; null if none
+    does. The table of names is small, and refused beyond MOST_NAMES."""
+    found = [r[0] for r in names.orderBy(ordinal).select(name).limit(MOST_NAMES + 1).collect() if r[0]]
+    if len(found) > MOST_NAMES:
+        raise ValueError(f"more than {MOST_NAMES} names")
+    known = F.array(*(F.lit(n) for n in found)).cast("array<string>")
+    pick = lambda low: F.get(F.filter(known, lambda n: low.contains(F.lower(n)) | F.lower(n).contains(low)), F.lit(0))
+    return F.get(F.transform(F.array(F.lower(content)), pick), F.lit(0))
+
+
 def normalised(ids: Column, known: list[int] | None = None) -> Column:
     """ids without those that no category has, [OTHER] for null and empty."""
     kept = ids if known is None else F.filter(ids, lambda x: x.isin(known))
@@ -66,11 +87,13 @@ def hash_embedder(width: int = 64) -> Callable[[list[str]], np.ndarray]:
     """Deterministic unit vectors from hashed words; for tests and as a stand-in for a service."""
 
     def embed(texts: list[str]) -> np.ndarray:
+        number: dict[str, int] = {}  # each distinct word is hashed once
+        found = [[number.setdefault(w, len(number)) for w in content.lower().split()] for content in texts]
+        hashes = np.array([int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little") for w in number], np.uint64)
+        slot, sign = (hashes % np.uint64(width)).astype(np.int64), np.where(hashes >> np.uint64(63), 1.0, -1.0)
         out = np.zeros((len(texts), width), np.float32)
-        for row, content in enumerate(texts):
-            for w in content.lower().split():
-                h = int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little")
-                out[row, h % width] += 1 if h >> 63 else -1
+        for row, words in enumerate(found):
+            out[row] = np.bincount(slot[words], sign[words], width)
         norm = np.linalg.norm(out, axis=1, keepdims=True)
         return np.divide(out, norm, out=out, where=norm > 0)
 

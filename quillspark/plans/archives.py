@@ -163,11 +163,14 @@ def name_parts(spark, sf_dir):
 
 
 @book.add("""
-SELECT page_id, split_part(url, '/', -1) AS base, len(string_split(url, '/')) AS steps, coalesce(NOT contains(url, '..') AND NOT starts_with(url, '/') AND NOT regexp_matches(url, '[<>:"|?*]') AND length(url) <= 260, false) AS is_safe,
-  regexp_replace(regexp_replace(url, '//[^/@]*@', '//***@', 'g'), '\\?.*$', '?***') AS redacted FROM pages""")
+SELECT page_id, split_part(url, '/', -1) AS base, len(string_split(url, '/')) AS steps, coalesce(NOT contains(u, '..') AND NOT starts_with(u, '/') AND NOT regexp_matches(u, '[<>:"|?*]') AND length(u) <= 260, false) AS is_safe, false AS whole_is_safe,
+  regexp_replace(regexp_replace(url, '//[^/@]*@', '//***@', 'g'), '\\?.*$', '?***') AS redacted FROM (SELECT *, CASE page_id % 4 WHEN 0 THEN '/' WHEN 1 THEN '../' ELSE '' END || regexp_replace(url, '^[a-z]+://', '') AS u FROM pages)""")
 def path_decompose(spark, sf_dir):
+    """Paths: the address without its scheme, some made absolute, some leading upwards; the whole address is none, for its colon."""
     url = F.col("url")
-    return read(spark, sf_dir, "pages").select("page_id", text.basename(url).alias("base"), F.size(F.split(url, "/")).cast("long").alias("steps"), text.is_safe_path(url).alias("is_safe"), text.redacted_url(url).alias("redacted"))
+    lead = F.when(F.col("page_id") % 4 == 0, "/").when(F.col("page_id") % 4 == 1, "../").otherwise("")
+    path = F.concat(lead, F.regexp_replace(url, "^[a-z]+://", ""))
+    return read(spark, sf_dir, "pages").select("page_id", text.basename(url).alias("base"), F.size(F.split(url, "/")).cast("long").alias("steps"), text.is_safe_path(path).alias("is_safe"), text.is_safe_path(url).alias("whole_is_safe"), text.redacted_url(url).alias("redacted"))
 
 
 @book.add("""

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from quillspark.plans import archives, conversations, events, numbers, texts
+from quillspark.plans import archives, conversations, events, numbers, stores, texts
 
 QUERIES: dict = {}
 SQL: dict = {}
-for _module in (events, archives, texts, conversations, numbers):
+for _module in (events, archives, texts, conversations, numbers, stores):
     QUERIES |= _module.book.queries
     SQL |= _module.book.sql

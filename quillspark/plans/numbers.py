@@ -38,9 +38,11 @@ def cosine_distance(spark, sf_dir):
     return read(spark, sf_dir, "embeddings").select("vec_id", F.round(1 - F.round(vectors.cosine_similarity(F.col("embedding"), q), 6), 6).alias("distance"))
 
 
-@book.add("SELECT vec_id FROM embeddings WHERE embedding IS NULL OR len(embedding) <> 64")
+@book.add("SELECT vec_id FROM embeddings WHERE vec_id % 11 = 0 OR vec_id % 7 = 0 OR embedding IS NULL OR len(embedding) <> 64")
 def vector_check(spark, sf_dir):
-    return enrichment.check_vectors(read(spark, sf_dir, "embeddings"), "embedding", 64).select("vec_id")
+    """Over vectors of which some are cut and some are missing."""
+    vector = F.when(F.col("vec_id") % 11 != 0, F.when(F.col("vec_id") % 7 == 0, F.slice("embedding", 1, 60)).otherwise(F.col("embedding")))
+    return enrichment.check_vectors(read(spark, sf_dir, "embeddings").withColumn("embedding", vector), "embedding", 64).select("vec_id")
 
 
 @book.add()
@@ -50,7 +52,7 @@ def hash_embedding(spark, sf_dir):
 
 
 _COVER = "(SELECT r_name AS category, n_name AS ticker, year(o_orderdate) || '-Q' || quarter(o_orderdate) AS yq, o_orderstatus AS kind FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"
-QUARTERS = [f"1995-Q{i}" for i in range(1, 5)]
+QUARTERS = [f"{y}-Q{i}" for y in range(1995, 2002) for i in range(1, 5)]
 
 
 def _cover(spark, sf_dir):
@@ -62,7 +64,10 @@ def _cover(spark, sf_dir):
 
 @book.add(f"SELECT category, ticker, kind, " + ", ".join(f"count(*) FILTER (yq = '{q}') AS \"{q}\"" for q in QUARTERS) + f" FROM {_COVER} GROUP BY category, ticker, kind")
 def coverage_pivot(spark, sf_dir):
-    return coverage.pivot(_cover(spark, sf_dir), ["category", "ticker", "kind"], "yq", QUARTERS)
+    """All quarters that the orders have; a quarter without orders in the fixed span counts 0."""
+    rows = _cover(spark, sf_dir)
+    found = [r["yq"] for r in rows.select("yq").distinct().orderBy("yq").collect()]
+    return coverage.pivot(rows, ["category", "ticker", "kind"], "yq", sorted({*QUARTERS, *found}))
 
 
 @book.add(f"""
@@ -141,6 +146,8 @@ def _stream(spark, sf_dir):
 
 def _checkpoint(spark) -> str:
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not named and (not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
     return f"{named.rstrip('/') if named else tempfile.mkdtemp()}/stream-{uuid.uuid4().hex}"
 
 
@@ -155,5 +162,5 @@ def stream_window_counts(spark, sf_dir):
 def stream_dedupe(spark, sf_dir):
     twice = _stream(spark, sf_dir)
     kept = streams.deduplicated(twice.union(twice), "ts", "event_id", "365 days")
-    table = streams.run_available(kept.select("event_id", "user_id"), f"kept_{uuid.uuid4().hex}", _checkpoint(spark), "append")
+    table = streams.run_to_files(kept.select("event_id", "user_id"), _checkpoint(spark))
     return table.groupBy((F.col("user_id") % 10).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))

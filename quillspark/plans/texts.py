@@ -112,7 +112,7 @@ def string_hygiene(spark, sf_dir):
 
 @book.add("SELECT count(*) AS n, count(DISTINCT text) AS texts, count(DISTINCT doc_id) AS ids FROM documents")
 def distinct_checks(spark, sf_dir):
-    return read(spark, sf_dir, "documents").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("text").alias("texts"), F.count_distinct("doc_id").alias("ids"))
+    return read(spark, sf_dir, "documents").agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.md5("text")).alias("texts"), F.count_distinct("doc_id").alias("ids"))
 
 
 @book.add("SELECT sha256(text) AS checksum, count(*) AS n, min(doc_id) AS first FROM documents GROUP BY 1 HAVING count(*) > 1")
@@ -146,8 +146,7 @@ def category_multilabel(spark, sf_dir):
 
 @book.add(f"SELECT doc_id FROM {_KNOWN} WHERE list_has_any(ids, [4, 5]) ORDER BY doc_id")
 def category_overlap(spark, sf_dir):
-    rows = read(spark, sf_dir, "documents").select("doc_id", enrichment.by_keywords(F.col("text"), KEYWORDS).alias("ids"))
-    return rows.where(F.arrays_overlap("ids", F.array(F.lit(4), F.lit(5)))).select("doc_id").orderBy("doc_id")
+    return read(spark, sf_dir, "documents").where(enrichment.has_category(F.col("text"), KEYWORDS, [4, 5])).select("doc_id").orderBy("doc_id")
 
 
 _BLOCK_IDS = _IDS.replace("lower(text)", "lower(t)")
@@ -178,9 +177,13 @@ def line_formats(spark, sf_dir):
     return read(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat_ws(" | ", "role", F.col("turn"), F.length("text")).alias("line"))
 
 
-@book.add("SELECT count(*) AS rows, count(*) FILTER (doc_id IS NULL OR lang IS NULL) AS lacking, CAST(0 AS BIGINT) AS bad_vectors FROM documents")
+@book.add("""
+SELECT count(*) AS rows, count(*) FILTER (vec_id % 13 = 0) AS lacking, count(*) FILTER (vec_id % 11 = 0 OR vec_id % 7 = 0) AS bad_vectors FROM embeddings""")
 def integrity_check(spark, sf_dir):
-    return sinks.integrity(read(spark, sf_dir, "documents"), ["doc_id", "lang"])
+    """Over vectors of which some are cut, some are missing, and labels of which some are missing."""
+    vector = F.when(F.col("vec_id") % 11 != 0, F.when(F.col("vec_id") % 7 == 0, F.slice("embedding", 1, 60)).otherwise(F.col("embedding")))
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", F.when(F.col("vec_id") % 13 != 0, F.col("label")).alias("label"), vector.alias("embedding"))
+    return sinks.integrity(rows, ["vec_id", "label"], "embedding", 64)
 
 
 @book.add("SELECT doc_id FROM documents WHERE list_contains(regexp_extract_all(lower(text), '[a-z0-9]+'), 'license') AND list_contains(regexp_extract_all(lower(text), '[a-z0-9]+'), 'the') ORDER BY doc_id")

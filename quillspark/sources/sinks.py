@@ -64,6 +64,18 @@ def integrity(rows: DataFrame, required: list[str], vector: str | None = None, w
     return rows.agg(F.count(F.lit(1)).alias("rows"), lacking.alias("lacking"), off.alias("bad_vectors"))
 
 
+def repeated_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys with more than one row, and how many: what a uniqueness constraint would refuse."""
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def unique(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """rows, if no key has two; an error with some of the keys otherwise."""
+    if found := repeated_keys(rows, keys).limit(5).collect():
+        raise ValueError(f"keys {keys} are not unique, for one {found[0].asDict()}")
+    return rows
+
+
 def quarantined(rows: DataFrame, broken: Column) -> tuple[DataFrame, DataFrame]:
     """Rows that are sound, and those that aren't with the time they were set aside."""
     bad = F.coalesce(broken, F.lit(True))

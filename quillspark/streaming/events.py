@@ -60,3 +60,10 @@ def run_available(stream: DataFrame, name: str, checkpoint: str, mode: str = "co
     query = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return stream.sparkSession.table(name)
+
+
+def run_to_files(stream: DataFrame, folder: str) -> DataFrame:
+    """Runs an append stream over what is there now into Parquet files in a shared folder, and returns what they hold: rows
+    of any number never pass the driver."""
+    stream.writeStream.format("parquet").outputMode("append").option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/rows")
