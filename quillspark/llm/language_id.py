@@ -184,17 +184,18 @@ def with_plain(model: Model, pieces: Pieces) -> np.ndarray:
 
 def predict(texts: list[str | None], model: Model, pieces: Pieces) -> tuple[list[str], list[float], list[bool]]:
     """Language, score, and whether the language explains the text well enough."""
-    number: dict[str, int] = {}
-    ids: list[int] = []
-    sizes = []
-    for text in texts:
-        words = words_of(text) if text else []
-        sizes.append(len(words))
-        ids.extend([number.setdefault(w, len(number)) for w in words])
+    words: list[str] = []
+    sizes = np.zeros(len(texts), np.int64)
+    for i, text in enumerate(texts):
+        found = words_of(text) if text else []
+        sizes[i] = len(found)
+        words += found
     langs, scores, kept = [UNDETERMINED] * len(texts), [0.0] * len(texts), [False] * len(texts)
-    if not ids or not model.langs:
+    if not words or not model.langs:
         return langs, scores, kept
-    ids, sizes = np.array(ids, np.int32), np.array(sizes)
+    number = dict.fromkeys(words)
+    number = dict(zip(number, range(len(number)), strict=True))
+    ids = np.fromiter(map(number.__getitem__, words), np.int32, len(words))
     letters = np.fromiter(map(len, number), np.int64, len(number))
     logs = score_words(list(number), pieces, with_plain(model, pieces))
     some = np.flatnonzero(sizes)

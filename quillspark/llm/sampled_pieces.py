@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +57,9 @@ class Sampler:
 
     def _units(self, text: str) -> list[str]:
         found = _UNIT.findall(" " + text) if text else []
-        return [p for u in found for p in exact_parts(u, self.pieces)] if any(len(u) > MOST for u in found) else found
+        if len(text) > MOST and max(map(len, found)) > MOST:
+            return [p for u in found for p in exact_parts(u, self.pieces)]
+        return found
 
     def encode(self, keys: list[int], texts: list[str]) -> list[np.ndarray]:
         """ids of each text. keys: 64-bit seeds of the rows."""
@@ -67,25 +70,19 @@ class Sampler:
                 while b < len(units) and size + len(units[b]) <= MOST_CODES:
                     size += len(units[b])
                     b += 1
-                out += self._encode(keys, [units[a:b]], a)
+                out += self._encode(keys, *_numbered([units[a:b]]), a)
                 a = b
             return [np.concatenate(out)]
-        units = [self._units(text) for text in texts]
-        if len(texts) > 1 and sum(map(len, {u for found in units for u in found})) > MOST_CODES:
+        number, units, sizes = _numbered(map(self._units, texts))
+        if len(texts) > 1 and sum(map(len, number)) > MOST_CODES:
             half = len(texts) // 2
             return self.encode(keys[:half], texts[:half]) + self.encode(keys[half:], texts[half:])
-        return self._encode(keys, units)
-
-    def _encode(self, keys: list[int], texts: list[list[str]], place: int = 0) -> list[np.ndarray]:
-        """ids of each text, given by its units; place: number of the first unit in its text."""
-        number: dict[str, int] = {}
-        units: list[int] = []
-        sizes = []
-        for found in texts:
-            sizes.append(len(found))
-            units.extend([number.setdefault(u, len(number)) for u in found])
-        if not units:
-            return [np.zeros(0, np.int32) for _ in texts]
+        return self._encode(keys, number, units, sizes)
+
+    def _encode(self, keys: list[int], number: dict[str, int], units: np.ndarray, sizes: list[int], place: int = 0) -> list[np.ndarray]:
+        """ids of each text, given by the numbers of its units; place: which unit of its text is the first."""
+        if not len(units):
+            return [np.zeros(0, np.int32) for _ in sizes]
         lattice = build(list(number), self.pieces)
         w = self.weights[lattice.piece]
         bare = lattice.piece < 0
@@ -107,7 +104,6 @@ class Sampler:
         bounds[edge] = 1  # an edge is drawn where the draw falls below its bound
         likeliest = np.zeros(lattice.first[-1], np.int32)
         likeliest[stop[edge]] = begin
-        units = np.array(units, np.int32)
         sizes = np.array(sizes)
         at = place + np.arange(len(units)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         seeds = np.repeat(np.array(keys, np.uint64), sizes) ^ (at.astype(np.uint64) + np.uint64(1)) * _C3
@@ -155,6 +151,18 @@ class Sampler:
         return b"".join(map(self.pieces.text.__getitem__, ids))[1:].decode("utf-8", "surrogatepass")
 
 
+def _numbered(texts: Iterable[list[str]]) -> tuple[dict[str, int], np.ndarray, list[int]]:
+    """Numbers of the distinct units, those of all units in order, and how many units each text has."""
+    units: list[str] = []
+    sizes = []
+    for found in texts:
+        sizes.append(len(found))
+        units += found
+    number = dict.fromkeys(units)
+    number = dict(zip(number, range(len(number)), strict=True))
+    return number, np.fromiter(map(number.__getitem__, units), np.int32, len(units)), sizes
+
+
 def row_key(value, seed: int = SEED) -> int:
     return xxhash.xxh64_intdigest(b"" if value is None else str(value).encode(), seed)
 
