@@ -36,7 +36,7 @@ MAX_LANGS = 200
 #: The more texts are handled together, the more often a word's lattice is used.
 BATCH_BYTES = 6 << 20
 #: Code points whose lattices are summed together.
-CODES = 1 << 20
+CODES = 1 << 18
 #: Expected counts that are added in the vocabulary's own proportions; probability of a code point without a piece.
 SMOOTHING, UNKNOWN = 1000, 1e-7
 #: A document is kept if its language is known with such a score.
