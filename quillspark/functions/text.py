@@ -17,6 +17,21 @@ def first_filled(*cs: Column) -> Column:
     return F.coalesce(*(none_if_blank(c) for c in cs))
 
 
+def transcript_key(filename: Column, ticker: Column, event: Column) -> Column:
+    """The file's name, or ticker_event where there is none."""
+    return F.coalesce(none_if_blank(filename), F.concat_ws("_", ticker, event))
+
+
+def company_or_ticker(company: Column, ticker: Column, unknown: str = "Unknown") -> Column:
+    """The company's name, or its ticker with spaces for dashes, or the literal."""
+    return first_filled(company, F.replace(ticker, F.lit("-"), F.lit(" ")), F.lit(unknown))
+
+
+def mixed_order(c: Column) -> list[Column]:
+    """Sort keys of texts of which some are whole numbers: those first, by value, then the others by text."""
+    return [F.when(c.rlike("^[0-9]+$"), c.try_cast("decimal(38,0)")).asc_nulls_last(), c.asc()]
+
+
 def words(c: Column) -> Column:
     return F.filter(F.split(c, r"\s+"), lambda x: x != "")
 
@@ -116,7 +131,7 @@ def title_period(c: Column, extended: bool = True) -> tuple[Column, Column]:
 
 
 #: Endings of company names.
-SUFFIXES = ("PLC", "AG", "N.V.", "S.A.", "Inc.", "Inc", "Corp.", "Corp", "Ltd.", "Ltd", "Group", "Limited", "Corporation", "Company")
+SUFFIXES = ("PLC", "AG", "N.V.", "S.A.", "Inc.", "Inc", "Corp.", "Corp", "Ltd.", "Ltd", "Group", "Limited", "Corporation", "Company", "AB", "Abp", "S.p.A.")
 
 
 def bare_company(c: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillspark.config import Settings
 from quillspark.functions import text
 
 #: Rank of a version's kind.
@@ -111,6 +112,21 @@ def sole_member(rows: DataFrame, members: str, allowed: DataFrame, key: str) ->
     return one.join(allowed.select(key).distinct(), key, "left_semi")
 
 
+def is_sole_id(ids: Column, ticker: Column) -> Column:
+    """Whether the ticker is the only primary id; false for null."""
+    return F.coalesce((F.size(ids) == 1) & (F.get(ids, F.lit(0)) == ticker), F.lit(False))
+
+
+def is_earnings(ids: Column, event_type: Column) -> Column:
+    """One primary id, and `Earnings` in the type of the event."""
+    return F.coalesce((F.size(ids) == 1) & event_type.contains("Earnings"), F.lit(False))
+
+
+def of_kinds(rows: DataFrame, kind: str, settings: Settings) -> DataFrame:
+    """rows of the kinds that the settings name."""
+    return rows.where(F.col(kind).isin(settings.kinds))
+
+
 def resume(work: DataFrame, done: DataFrame, key: str, again: bool = False) -> DataFrame:
     """work with `action`: skip what is completed and verified, or failed (unless again); run the rest."""
     state = done.select(key, F.col("status").alias("_status"), F.col("verified").alias("_verified"))

@@ -66,6 +66,21 @@ def classify(rows: DataFrame, key: str, block: str, ordinal: str, content: str,
     return rows.join(ids.withColumn("classification_names", names_of(F.col("classification_ids"), names)), [key, block], "left")
 
 
+def classify_in_order(rows: DataFrame, key: str, block: str, content: str, strategy: Callable[[Column, Column], Column], known: list[int], n: int = 2) -> DataFrame:
+    """(key, block, classification_ids): the strategy sees a text and the categories of up to n blocks before it, oldest
+    first. A fold over a key's blocks in the JVM; the blocks of a key are held as one row."""
+    kind = rows.schema[block].dataType.simpleString()
+    held = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(block, content))).alias("_held"))
+
+    def step(done: Column, x: Column) -> Column:
+        before = F.transform(F.filter(done, lambda _, i: i >= F.size(done) - n), lambda d: d["ids"])
+        return F.concat(done, F.array(F.struct(x[block].alias("block"), normalised(strategy(x[content], before), known).alias("ids"))))
+
+    start = F.array().cast(f"array<struct<block:{kind},ids:array<int>>>")
+    found = held.select(key, F.explode(F.aggregate("_held", start, step)).alias("_found"))
+    return found.select(key, F.col("_found.block").alias(block), F.col("_found.ids").alias("classification_ids"))
+
+
 def lead_summary(content: Column, n: int = 200) -> Column:
     """Extractive: the first sentence, or the first n characters."""
     sentence = text.none_if_blank(F.regexp_extract(content, r"(?s)^(.{1,%d}?[.!?])(\s|$)" % n, 1))

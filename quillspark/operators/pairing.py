@@ -49,7 +49,7 @@ def group_blocks(blocks: list[dict], decide: Decider, validate: Validator, windo
         found = decide(view)
         if not found:
             skips += found == 0
-            forced = "forced_skip_limit" if skips >= MOST_SKIPS else "memory_limit" if len(view) >= MOST_BLOCKS else None
+            forced = None if found is None else "forced_skip_limit" if skips >= MOST_SKIPS else "memory_limit" if len(view) >= MOST_BLOCKS else None
             if forced:
                 emit(view, forced)
                 start, end, skips, rejections = end, 0, 0, 0
@@ -82,6 +82,46 @@ def asker_rule(is_start: str = "is_start") -> Decider:
     return decide
 
 
+#: What a service that decides may raise without ending the work.
+FAILURES = (ValueError, RuntimeError, OSError)
+
+
+def bounded(decide: Decider, attempts: int = 5) -> Decider:
+    """decide with a number of attempts: an error, or an end outside the window, is one; without an answer in the end, None."""
+
+    def run(view: list[dict]) -> int | None:
+        for _ in range(attempts):
+            try:
+                found = decide(view)
+            except FAILURES:
+                continue
+            if found is None or 0 <= found <= len(view):
+                return found
+        return None
+
+    return run
+
+
+def lenient(validate: Validator, attempts: int = 3) -> Validator:
+    """validate with a number of attempts: a verdict counts at once; what only raises errors is accepted."""
+
+    def run(part: list[dict]) -> bool:
+        for _ in range(attempts):
+            try:
+                return validate(part)
+            except FAILURES:
+                continue
+        return True
+
+    return run
+
+
+def nested(rows: DataFrame, key: str, group: str, block: str) -> DataFrame:
+    """(key, groups): the groups of a key in order, each with its blocks in order; both levels use one shuffle by key."""
+    inner = rows.repartition(key).groupBy(key, group).agg(F.array_sort(F.collect_list(block)).alias("blocks"))
+    return inner.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(group, "blocks"))).alias("groups"))
+
+
 GROUP_FIELDS = "qa_group_id int, start_block_id long, end_block_id long, confidence double, method string"
 
 

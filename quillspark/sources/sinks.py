@@ -48,6 +48,19 @@ def replace_keys(rows: DataFrame, path: str, keys: list[str]) -> None:
     rows.repartition(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
+def sidecar(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Of each key how many rows it has and a digest of them that doesn't depend on their order."""
+    digest = F.sum(F.xxhash64(*sorted(rows.columns)).cast("decimal(20,0)"))
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), digest.alias("digest"))
+
+
+def consolidated(parts: DataFrame, expected: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows, keys): the rows of all parts that agree with what sidecar() said when they were written, and the keys of
+    those that don't or are missing. Parts that no sidecar knows are left out."""
+    sound = sidecar(parts, keys).join(expected, [*keys, "rows", "digest"], "left_semi").select(*keys)
+    return parts.join(sound, keys, "left_semi"), expected.select(*keys).join(sound, keys, "left_anti")
+
+
 def clustered(rows: DataFrame, path: str, by: list[str], order: list[str]) -> None:
     """A table partitioned for pruning and sorted within files, so that Parquet's minima and maxima stand in for an index."""
     rows.repartition(*by).sortWithinPartitions(*by, *order).write.mode("overwrite").partitionBy(*by).parquet(path)
