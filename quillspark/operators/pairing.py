@@ -27,10 +27,11 @@ class Group:
     method: str
 
 
-def group_blocks(blocks: list[dict], decide: Decider, validate: Validator, window: int = 10, block: str = "block") -> list[Group]:
+def group_blocks(blocks: list[dict], decide: Decider, validate: Validator, window: int = 10, block: str = "block", force_undecided: bool = True) -> list[Group]:
     """The sliding-window state machine over one document's blocks, in order. A window grows while no end is found; five
     skips or fifty held blocks force a group; a rejected end is taken after the second rejection; what is left at the end
-    is one group. A forced group takes the whole window."""
+    is one group. A forced group takes the whole window. Rounds without a decision count towards the fifty blocks only if
+    force_undecided."""
     out: list[Group] = []
     n = len(blocks)
     start = end = skips = rejections = stuck = rounds = 0
@@ -49,7 +50,7 @@ def group_blocks(blocks: list[dict], decide: Decider, validate: Validator, windo
         found = decide(view)
         if not found:
             skips += found == 0
-            forced = None if found is None else "forced_skip_limit" if skips >= MOST_SKIPS else "memory_limit" if len(view) >= MOST_BLOCKS else None
+            forced = None if found is None and not force_undecided else "forced_skip_limit" if skips >= MOST_SKIPS else "memory_limit" if len(view) >= MOST_BLOCKS else None
             if forced:
                 emit(view, forced)
                 start, end, skips, rejections = end, 0, 0, 0
@@ -125,12 +126,13 @@ def nested(rows: DataFrame, key: str, group: str, block: str) -> DataFrame:
 GROUP_FIELDS = "qa_group_id int, start_block_id long, end_block_id long, confidence double, method string"
 
 
-def state_machine(blocks: DataFrame, key: str, block: str, decide: Decider, validate: Validator = lambda _: True, window: int = 10) -> DataFrame:
-    """The groups of each key by arbitrary decisions; a key's blocks are held by one task."""
+def state_machine(blocks: DataFrame, key: str, block: str, decide: Decider, validate: Validator = lambda _: True, window: int = 10, force_undecided: bool = False) -> DataFrame:
+    """The groups of each key by arbitrary decisions; a key's blocks are held by one task. Without a decision a window only
+    grows, unless force_undecided."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(block)
-        found = group_blocks(rows.to_dict("records"), decide, validate, window, block)
+        found = group_blocks(rows.to_dict("records"), decide, validate, window, block, force_undecided)
         return pd.DataFrame([{key: rows[key].iloc[0], **g.__dict__} for g in found])
 
     kind = blocks.schema[key].dataType.simpleString()

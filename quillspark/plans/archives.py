@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions import text
 from quillspark.operators import archive, documents
+from quillspark.operators.calendar import small
 from quillspark.plans.book import Book, read
 
 book = Book()
@@ -111,7 +112,7 @@ def sole_membership(spark, sf_dir):
 @book.add("SELECT c_custkey, c_nationkey, CASE WHEN n_nationkey IS NULL THEN 'new' ELSE 'monitored' END AS status FROM customer LEFT JOIN (SELECT n_nationkey FROM nation WHERE n_regionkey < 2) ON c_nationkey = n_nationkey")
 def monitored_or_new(spark, sf_dir):
     known = read(spark, sf_dir, "nation").where("n_regionkey < 2").select("n_nationkey")
-    return read(spark, sf_dir, "customer").join(F.broadcast(known), F.col("c_nationkey") == F.col("n_nationkey"), "left").select("c_custkey", "c_nationkey", F.when(F.col("n_nationkey").isNull(), "new").otherwise("monitored").alias("status"))
+    return read(spark, sf_dir, "customer").join(small(known), F.col("c_nationkey") == F.col("n_nationkey"), "left").select("c_custkey", "c_nationkey", F.when(F.col("n_nationkey").isNull(), "new").otherwise("monitored").alias("status"))
 
 
 @book.add("""

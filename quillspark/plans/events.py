@@ -33,7 +33,7 @@ SELECT c_custkey AS event_id, coalesce(n_name, 'Unknown') AS institution_name, c
   'Contact: ' || c_name || CASE WHEN c_acctbal > 0 THEN ' | Phone: ' || CAST(c_custkey AS VARCHAR) ELSE '' END AS contact_info
 FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 5 <> 0) n ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""")
 def event_enriched(spark, sf_dir):
-    dim = read(spark, sf_dir, "nation").where("n_nationkey % 5 <> 0").join(F.broadcast(read(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    dim = read(spark, sf_dir, "nation").where("n_nationkey % 5 <> 0").join(calendar.small(read(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"), "left")
     phone = F.when(F.col("c_acctbal") > 0, F.col("c_custkey").cast("string"))
     rows = read(spark, sf_dir, "customer").join(calendar.small(dim), F.col("c_nationkey") == F.col("n_nationkey"), "left")
     return rows.select(F.col("c_custkey").alias("event_id"), F.coalesce("n_name", F.lit("Unknown")).alias("institution_name"), F.coalesce("r_name", F.lit("Unknown")).alias("institution_type"), F.col("c_mktsegment").alias("event_type"), calendar.contact(F.col("c_name"), phone, F.lit(None).cast("string")).alias("contact_info"))

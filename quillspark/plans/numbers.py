@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions import text, vectors
 from quillspark.operators import coverage, enrichment
+from quillspark.operators.calendar import small
 from quillspark.plans.book import Book, read
 from quillspark.streaming import events as streams
 
@@ -56,8 +57,8 @@ QUARTERS = [f"{y}-Q{i}" for y in range(1995, 2002) for i in range(1, 5)]
 
 
 def _cover(spark, sf_dir):
-    nations = read(spark, sf_dir, "nation").join(F.broadcast(read(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
-    customers = read(spark, sf_dir, "customer").join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey"))
+    nations = read(spark, sf_dir, "nation").join(small(read(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    customers = read(spark, sf_dir, "customer").join(small(nations), F.col("c_nationkey") == F.col("n_nationkey"))
     orders = read(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
     return orders.select(F.col("r_name").alias("category"), F.col("n_name").alias("ticker"), F.concat(F.year("o_orderdate"), F.lit("-Q"), F.quarter("o_orderdate")).alias("yq"), F.col("o_orderstatus").alias("kind"))
 
@@ -99,8 +100,8 @@ def percent_share(spark, sf_dir):
 @book.add("""
 SELECT n_name, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM customer JOIN orders ON c_custkey = o_custkey JOIN lineitem ON l_orderkey = o_orderkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA' AND o_orderdate >= TIMESTAMP '1995-01-01' GROUP BY n_name""")
 def star_revenue(spark, sf_dir):
-    nations = read(spark, sf_dir, "nation").join(F.broadcast(read(spark, sf_dir, "region").where("r_name = 'ASIA'")), F.col("n_regionkey") == F.col("r_regionkey"))
-    customers = read(spark, sf_dir, "customer").join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey"))
+    nations = read(spark, sf_dir, "nation").join(small(read(spark, sf_dir, "region").where("r_name = 'ASIA'")), F.col("n_regionkey") == F.col("r_regionkey"))
+    customers = read(spark, sf_dir, "customer").join(small(nations), F.col("c_nationkey") == F.col("n_nationkey"))
     orders = read(spark, sf_dir, "orders").where("o_orderdate >= TIMESTAMP_NTZ '1995-01-01'").join(customers, F.col("o_custkey") == F.col("c_custkey"))
     lines = read(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return lines.groupBy("n_name").agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"))
