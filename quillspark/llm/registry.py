@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillspark.llm import chat, language_id, license_scan, order_minhash, packing, quality_rules, sampled_pieces, simhash, substring_dedup, weak_quality
+from quillspark.llm import chat, curriculum, language_id, license_scan, order_minhash, packing, quality_rules, sampled_pieces, simhash, source_audit, substring_dedup, weak_quality, yinyang
 from quillspark.llm.common import table
 
 
@@ -49,5 +49,17 @@ def op10_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_substring_dedup, op3_weak_quality, op4_quality_rules, op5_simhash, op6_sampled_pieces, op7_order_minhash, op8_chat_format, op9_language_id, op10_packing)}
-SQL: dict[str, str] = {"op2_substring_dedup": substring_dedup.SQL, "op8_chat_format": chat.SQL}
+def op11_yinyang_clusters(spark, sf_dir):
+    return yinyang.yinyang(table(spark, sf_dir, "embeddings"))
+
+
+def op12_curriculum_mix(spark, sf_dir):
+    return curriculum.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "position")
+
+
+def op13_source_audit(spark, sf_dir):
+    return source_audit.source_audit(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_substring_dedup, op3_weak_quality, op4_quality_rules, op5_simhash, op6_sampled_pieces, op7_order_minhash, op8_chat_format, op9_language_id, op10_packing, op11_yinyang_clusters, op12_curriculum_mix, op13_source_audit)}
+SQL: dict[str, str] = {"op2_substring_dedup": substring_dedup.SQL, "op8_chat_format": chat.SQL, "op11_yinyang_clusters": yinyang.SQL, "op12_curriculum_mix": curriculum.SQL, "op13_source_audit": source_audit.SQL}
