@@ -171,6 +171,11 @@ def terms(c: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(r"([a-z0-9]+)"), F.lit(1)))
 
 
+def ordered_terms(c: Column) -> Column:
+    """All of them, in their order, repeats included."""
+    return F.regexp_extract_all(F.lower(c), F.lit("[a-z0-9]+"), F.lit(0))
+
+
 def has_terms(c: Column, wanted: list[str]) -> Column:
     """Whether all wanted terms stand in the text. A cheap substring test goes first."""
     found = F.lit(True)

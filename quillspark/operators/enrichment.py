@@ -32,21 +32,6 @@ def has_category(content: Column, keywords: dict[int, list[str]], wanted: list[i
     return F.exists(F.array(F.lower(F.coalesce(content, F.lit("")))), lambda low: reduce(or_, (low.contains(w) for w in words)))
 
 
-#: Names of a table that are folded into one expression, at most.
-MOST_NAMES = 1000
-
-
-def first_name(content: Column, names: DataFrame, name: str, ordinal: str) -> Column:
-    """The first name, by ordinal, that stands in the text or in which the text stands, without regard to case; null if none
-    does. The table of names is small, and refused beyond MOST_NAMES."""
-    found = [r[0] for r in names.orderBy(ordinal).select(name).limit(MOST_NAMES + 1).collect() if r[0]]
-    if len(found) > MOST_NAMES:
-        raise ValueError(f"more than {MOST_NAMES} names")
-    known = F.array(*(F.lit(n) for n in found)).cast("array<string>")
-    pick = lambda low: F.get(F.filter(known, lambda n: low.contains(F.lower(n)) | F.lower(n).contains(low)), F.lit(0))
-    return F.get(F.transform(F.array(F.lower(content)), pick), F.lit(0))
-
-
 def normalised(ids: Column, known: list[int] | None = None) -> Column:
     """ids without those that no category has, [OTHER] for null and empty."""
     kept = ids if known is None else F.filter(ids, lambda x: x.isin(known))

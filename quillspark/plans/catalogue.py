@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from quillspark.plans import archives, conversations, events, numbers, records, stores, texts
+from quillspark.plans import archives, conversations, events, indexes, numbers, records, stores, texts
 
 QUERIES: dict = {}
 SQL: dict = {}
-for _module in (events, archives, texts, conversations, numbers, stores, records):
+for _module in (events, archives, texts, conversations, numbers, stores, records, indexes):
     QUERIES |= _module.book.queries
     SQL |= _module.book.sql

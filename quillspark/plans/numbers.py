@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Window
@@ -13,6 +12,7 @@ from quillspark.operators import coverage, enrichment
 from quillspark.operators.calendar import small
 from quillspark.plans.book import Book, read
 from quillspark.streaming import events as streams
+from quillspark.tables import new_path
 
 book = Book()
 _COSINE = "round(list_sum(list_transform(list_zip(a.embedding, q.embedding), lambda z: z[1]::DOUBLE * z[2]::DOUBLE)) / (sqrt(list_sum(list_transform(a.embedding, lambda x: x::DOUBLE * x::DOUBLE))) * sqrt(list_sum(list_transform(q.embedding, lambda x: x::DOUBLE * x::DOUBLE)))), 6)"
@@ -145,17 +145,10 @@ def _stream(spark, sf_dir):
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _checkpoint(spark) -> str:
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not named and (not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster")):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
-    return f"{named.rstrip('/') if named else tempfile.mkdtemp()}/stream-{uuid.uuid4().hex}"
-
-
 @book.add("SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, count(*) AS n FROM events GROUP BY ALL")
 def stream_window_counts(spark, sf_dir):
     counts = streams.window_counts(_stream(spark, sf_dir), "ts", "event_type", "1 day", late="365 days")
-    table = streams.run_available(counts, f"counts_{uuid.uuid4().hex}", _checkpoint(spark))
+    table = streams.run_available(counts, f"counts_{uuid.uuid4().hex}", new_path(spark, "stream"))
     return table.select(F.date_format("first", "yyyy-MM-dd").alias("day"), "event_type", "n")
 
 
@@ -163,5 +156,5 @@ def stream_window_counts(spark, sf_dir):
 def stream_dedupe(spark, sf_dir):
     twice = _stream(spark, sf_dir)
     kept = streams.deduplicated(twice.union(twice), "ts", "event_id", "365 days")
-    table = streams.run_to_files(kept.select("event_id", "user_id"), _checkpoint(spark))
+    table = streams.run_to_files(kept.select("event_id", "user_id"), new_path(spark, "stream"))
     return table.groupBy((F.col("user_id") % 10).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))

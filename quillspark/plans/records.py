@@ -10,9 +10,9 @@ from quillspark.functions import text
 from quillspark.operators import archive, enrichment, pairing
 from quillspark.plans.book import Book, read
 from quillspark.plans.conversations import _GROUPS
-from quillspark.plans.numbers import _checkpoint as folder
 from quillspark.plans.texts import _IDS, KEYWORDS, NAMES
 from quillspark.sources import sinks
+from quillspark.tables import new_path as folder
 
 book = Book()
 

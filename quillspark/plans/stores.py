@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quillspark.operators import enrichment
+from quillspark.operators import name_match
 from quillspark.plans.book import Book, read
-from quillspark.plans.numbers import _checkpoint as folder
 from quillspark.sources import readers, sinks
+from quillspark.tables import new_path as folder
 
 book = Book()
 
@@ -89,12 +89,14 @@ def failure_list(spark, sf_dir):
 
 
 @book.add("""
-SELECT p_partkey, name FROM (SELECT p_partkey, w AS name, row_number() OVER (PARTITION BY p_partkey ORDER BY k) AS nth FROM part
-JOIN (SELECT n_nationkey AS k, lower(substr(n_name, 1, 3)) AS w FROM nation) ON contains(lower(p_name), w) OR contains(w, lower(p_name))) WHERE nth = 1""")
+SELECT p_partkey, name FROM (SELECT p_partkey, w AS name, row_number() OVER (PARTITION BY p_partkey ORDER BY k, w) AS nth FROM part
+JOIN (SELECT n_nationkey AS k, lower(substr(n_name, 1 + n_nationkey % 5, 1 + n_nationkey % 2)) AS w FROM nation) ON contains(lower(p_name), w) OR contains(w, lower(p_name))) WHERE nth = 1""")
 def names_from_a_table(spark, sf_dir):
-    """A table of names, in order, against all rows: the first that holds or is held by the text."""
-    names = read(spark, sf_dir, "nation").select("n_nationkey", F.lower(F.substring("n_name", 1, 3)).alias("name"))
-    return read(spark, sf_dir, "part").select("p_partkey", enrichment.first_name(F.col("p_name"), names, "name", "n_nationkey").alias("name")).where("name IS NOT NULL")
+    """A table of short names, in order, against all rows: the first that holds or is held by the text."""
+    part = F.lower(F.substring("n_name", F.col("n_nationkey") % 5 + 1, F.col("n_nationkey") % 2 + 1))
+    names = read(spark, sf_dir, "nation").select("n_nationkey", part.alias("name"))
+    found = name_match.first_match(read(spark, sf_dir, "part"), "p_name", names, "name", "n_nationkey").where("matched IS NOT NULL")
+    return found.select("p_partkey", F.col("matched.name").alias("name"))
 
 
 @book.add("""

@@ -135,16 +135,16 @@ def frequency_report(spark, sf_dir):
 KEYWORDS = {1: ["the ", "with"], 2: ["der ", "und"], 3: ["les ", "pour"], 4: ["que "], 5: ["license"]}
 NAMES = {0: "Other", 1: "English", 2: "German", 3: "French", 4: "Spanish", 5: "Licence"}
 _IDS = "list_filter([" + ", ".join("CASE WHEN " + " OR ".join(f"contains(lower(text), '{w}')" for w in ws) + f" THEN {i} END" for i, ws in KEYWORDS.items()) + "], lambda x: x IS NOT NULL)"
-_KNOWN = f"(SELECT doc_id, CASE WHEN len({_IDS}) > 0 THEN {_IDS} ELSE [0] END AS ids FROM documents)"
+CATEGORY_IDS = f"(SELECT doc_id, CASE WHEN len({_IDS}) > 0 THEN {_IDS} ELSE [0] END AS ids FROM documents)"
 
 
-@book.add(f"SELECT doc_id, ids AS classification_ids, list_transform(ids, lambda i: (['Other', 'English', 'German', 'French', 'Spanish', 'Licence'])[i + 1]) AS classification_names FROM {_KNOWN}")
+@book.add(f"SELECT doc_id, ids AS classification_ids, list_transform(ids, lambda i: (['Other', 'English', 'German', 'French', 'Spanish', 'Licence'])[i + 1]) AS classification_names FROM {CATEGORY_IDS}")
 def category_multilabel(spark, sf_dir):
     ids = enrichment.by_keywords(F.col("text"), KEYWORDS)
     return read(spark, sf_dir, "documents").select("doc_id", ids.alias("classification_ids")).withColumn("classification_names", enrichment.names_of(F.col("classification_ids"), NAMES))
 
 
-@book.add(f"SELECT doc_id FROM {_KNOWN} WHERE list_has_any(ids, [4, 5]) ORDER BY doc_id")
+@book.add(f"SELECT doc_id FROM {CATEGORY_IDS} WHERE list_has_any(ids, [4, 5]) ORDER BY doc_id")
 def category_overlap(spark, sf_dir):
     return read(spark, sf_dir, "documents").where(enrichment.has_category(F.col("text"), KEYWORDS, [4, 5])).select("doc_id").orderBy("doc_id")
 
