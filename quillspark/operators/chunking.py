@@ -44,7 +44,8 @@ def chunks(blocks: DataFrame, keys: list[str], header: Column, pieces: str, glue
         ends = F.slice("_ps", last, F.size("_ps") - last + 1)
         short = (F.size("_starts") > 1) & (text.token_estimate(formatted(ends)) < tail)
         planned = planned.withColumn("_starts", F.when(short, F.slice("_starts", 1, F.size("_starts") - 1)).otherwise(F.col("_starts")))
-    cut = planned.select(*keys, "_head", "_ps", "_starts", F.size("_starts").alias("total_chunks"), (F.col("_all") <= whole).alias("block_level_chunk"), F.posexplode("_starts").alias("_at", "_first"))
+    # every row has a start; the outer form keeps the optimiser from a filter `size(_starts) > 0` with the fold written out in it
+    cut = planned.select(*keys, "_head", "_ps", "_starts", F.size("_starts").alias("total_chunks"), (F.col("_all") <= whole).alias("block_level_chunk"), F.posexplode_outer("_starts").alias("_at", "_first"))
     behind = F.coalesce(F.get("_starts", F.col("_at") + 1), F.size("_ps") + 1)
     content = formatted(F.slice("_ps", F.col("_first"), behind - F.col("_first")))
     return cut.select(*keys, (F.col("_at") + 1).alias("chunk_id"), "total_chunks", content.alias("chunk_content"), F.col("_first").alias("first_piece"), (behind - 1).alias("last_piece"), "block_level_chunk").withColumn("chunk_tokens", text.token_estimate(F.col("chunk_content")))

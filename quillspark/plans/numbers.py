@@ -56,18 +56,22 @@ _COVER = "(SELECT r_name AS category, n_name AS ticker, year(o_orderdate) || '-Q
 QUARTERS = [f"{y}-Q{i}" for y in range(1995, 2002) for i in range(1, 5)]
 
 
+def _quarter():
+    return F.concat(F.year("o_orderdate"), F.lit("-Q"), F.quarter("o_orderdate")).alias("yq")
+
+
 def _cover(spark, sf_dir):
     nations = read(spark, sf_dir, "nation").join(small(read(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
     customers = read(spark, sf_dir, "customer").join(small(nations), F.col("c_nationkey") == F.col("n_nationkey"))
     orders = read(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    return orders.select(F.col("r_name").alias("category"), F.col("n_name").alias("ticker"), F.concat(F.year("o_orderdate"), F.lit("-Q"), F.quarter("o_orderdate")).alias("yq"), F.col("o_orderstatus").alias("kind"))
+    return orders.select(F.col("r_name").alias("category"), F.col("n_name").alias("ticker"), _quarter(), F.col("o_orderstatus").alias("kind"))
 
 
 @book.add(f"SELECT category, ticker, kind, " + ", ".join(f"count(*) FILTER (yq = '{q}') AS \"{q}\"" for q in QUARTERS) + f" FROM {_COVER} GROUP BY category, ticker, kind")
 def coverage_pivot(spark, sf_dir):
     """All quarters that the orders have; a quarter without orders in the fixed span counts 0."""
     rows = _cover(spark, sf_dir)
-    found = [r["yq"] for r in rows.select("yq").distinct().orderBy("yq").collect()]
+    found = [r["yq"] for r in read(spark, sf_dir, "orders").select(_quarter()).where("yq IS NOT NULL").distinct().collect()]
     return coverage.pivot(rows, ["category", "ticker", "kind"], "yq", sorted({*QUARTERS, *found}))
 
 

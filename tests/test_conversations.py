@@ -130,3 +130,9 @@ def test_categories_and_vectors(spark):
     assert {r["i"] for r in enrichment.check_vectors(vectors, "v", 2).collect()} == {5, 6}
     summary = enrichment.summarise(rows, "k", "o", "t").orderBy("o").collect()
     assert summary[0]["block_summary"] == "the bank" and summary[3]["block_summary"] is None
+
+
+def test_chunk_plan_folds_once(spark):
+    df = spark.createDataFrame([(1, "A", ["one", "two"])], "id int, speaker string, ps array<string>")
+    plan = chunking.chunks(df, ["id"], chunking.speaker_header(F.col("speaker")), "ps")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == 1
