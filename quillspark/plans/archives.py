@@ -11,27 +11,27 @@ from quillspark.plans.book import Book, read
 
 book = Book()
 RANKS = {"F": 4, "P": 3, "O": 2}
-_VERSIONS = "(SELECT o_custkey AS family, o_orderkey AS version, CASE o_orderstatus WHEN 'F' THEN 4 WHEN 'P' THEN 3 WHEN 'O' THEN 2 ELSE 0 END AS rank, CAST(o_orderdate AS VARCHAR) AS changed, 'v' || o_orderkey || '.xml' AS name, o_orderkey AS ordinal, o_orderstatus, o_orderpriority FROM orders)"
-_BEST = "row_number() OVER (PARTITION BY family ORDER BY rank DESC, version DESC, changed DESC, ordinal)"
+VERSIONS_SQL = "(SELECT o_custkey AS family, o_orderkey AS version, CASE o_orderstatus WHEN 'F' THEN 4 WHEN 'P' THEN 3 WHEN 'O' THEN 2 ELSE 0 END AS rank, CAST(o_orderdate AS VARCHAR) AS changed, 'v' || o_orderkey || '.xml' AS name, o_orderkey AS ordinal, o_orderstatus, o_orderpriority FROM orders)"
+BEST_SQL = "row_number() OVER (PARTITION BY family ORDER BY rank DESC, version DESC, changed DESC, ordinal)"
 
 
-def _versions(spark, sf_dir):
+def versions(spark, sf_dir):
     orders = read(spark, sf_dir, "orders")
     changed = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
     return orders.select(F.col("o_custkey").alias("family"), F.col("o_orderkey").alias("version"), archive.kind_rank(F.col("o_orderstatus"), RANKS).alias("rank"), changed.alias("changed"), F.concat(F.lit("v"), "o_orderkey", F.lit(".xml")).alias("name"), F.col("o_orderkey").alias("ordinal"), "o_orderstatus", "o_orderpriority")
 
 
-_ORDER = ("rank", "version", "changed", "ordinal")
+ORDER = ("rank", "version", "changed", "ordinal")
 
 
-@book.add(f"SELECT family, name, rank FROM (SELECT *, {_BEST} AS nth FROM {_VERSIONS}) WHERE nth = 1")
+@book.add(f"SELECT family, name, rank FROM (SELECT *, {BEST_SQL} AS nth FROM {VERSIONS_SQL}) WHERE nth = 1")
 def best_version(spark, sf_dir):
-    return archive.best(_versions(spark, sf_dir), "family", archive.current_order(*_ORDER)).select("family", "name", "rank")
+    return archive.best(versions(spark, sf_dir), "family", archive.current_order(*ORDER)).select("family", "name", "rank")
 
 
-@book.add(f"SELECT family, name, rank FROM (SELECT *, row_number() OVER (PARTITION BY family ORDER BY version * 10 + rank DESC, changed DESC, ordinal) AS nth FROM {_VERSIONS}) WHERE nth = 1")
+@book.add(f"SELECT family, name, rank FROM (SELECT *, row_number() OVER (PARTITION BY family ORDER BY version * 10 + rank DESC, changed DESC, ordinal) AS nth FROM {VERSIONS_SQL}) WHERE nth = 1")
 def best_version_legacy(spark, sf_dir):
-    return archive.best(_versions(spark, sf_dir), "family", archive.legacy_order(*_ORDER)).select("family", "name", "rank")
+    return archive.best(versions(spark, sf_dir), "family", archive.legacy_order(*ORDER)).select("family", "name", "rank")
 
 
 @book.add("SELECT versions, count(*) AS families FROM (SELECT o_custkey, count(*) AS versions FROM orders GROUP BY o_custkey) GROUP BY versions")
@@ -41,24 +41,24 @@ def version_histogram(spark, sf_dir):
 
 # archive: all but every fifth order; master: all but every seventh, some of them changed since
 _SIDES = f"""
-WITH v AS (SELECT * FROM {_VERSIONS}),
+WITH v AS (SELECT * FROM {VERSIONS_SQL}),
 a AS (SELECT * FROM v WHERE version % 5 <> 0 AND family % 11 <> 0),
 m AS (SELECT family, version, rank, CASE WHEN version % 13 = 0 THEN 'old' ELSE changed END AS changed, name, ordinal FROM v WHERE version % 7 <> 0 AND family % 13 <> 0),
-ba AS (SELECT family, name, changed FROM (SELECT *, {_BEST} AS nth FROM a) WHERE nth = 1),
-bm AS (SELECT family, name, changed FROM (SELECT *, {_BEST} AS nth FROM m) WHERE nth = 1),
+ba AS (SELECT family, name, changed FROM (SELECT *, {BEST_SQL} AS nth FROM a) WHERE nth = 1),
+bm AS (SELECT family, name, changed FROM (SELECT *, {BEST_SQL} AS nth FROM m) WHERE nth = 1),
 t AS (SELECT coalesce(ba.family, bm.family) AS family, ba.name AS a_name, bm.name AS m_name FROM ba FULL JOIN bm ON ba.family = bm.family WHERE ba.name IS NULL OR bm.name IS NULL OR ba.name <> bm.name OR ba.changed <> bm.changed)
 """
 
 
 def _sides(spark, sf_dir):
-    v = _versions(spark, sf_dir)
+    v = versions(spark, sf_dir)
     master = v.where("version % 7 <> 0 AND family % 13 <> 0").withColumn("changed", F.when(F.col("version") % 13 == 0, "old").otherwise(F.col("changed")))
     return v.where("version % 5 <> 0 AND family % 11 <> 0"), master
 
 
 @book.add(_SIDES + "SELECT 'process' AS action, family, a_name AS name FROM t WHERE a_name IS NOT NULL UNION ALL SELECT 'remove', family, m.name FROM m WHERE family IN (SELECT family FROM t WHERE m_name IS NOT NULL)")
 def delta_full_outer(spark, sf_dir):
-    process, remove = archive.difference(*_sides(spark, sf_dir), "family", "name", "changed", archive.current_order(*_ORDER))
+    process, remove = archive.difference(*_sides(spark, sf_dir), "family", "name", "changed", archive.current_order(*ORDER))
     tag = lambda d, a: d.select(F.lit(a).alias("action"), "family", "name")
     return tag(process, "process").unionByName(tag(remove, "remove"))
 
@@ -88,17 +88,17 @@ def delta_api_archive(spark, sf_dir):
 
 
 @book.add(f"""
-WITH v AS (SELECT name, changed, version FROM {_VERSIONS})
+WITH v AS (SELECT name, changed, version FROM {VERSIONS_SQL})
 SELECT name, changed FROM v WHERE version % 3 = 0 AND version % 4 <> 0 UNION ALL SELECT name, changed FROM v WHERE version % 3 = 1""")
 def master_merge(spark, sf_dir):
-    v = _versions(spark, sf_dir).select("name", "changed", "version")
+    v = versions(spark, sf_dir).select("name", "changed", "version")
     removed = v.where("version % 4 = 0").select(F.concat(F.lit("Data/2024/Q1/"), "name").alias("path"))
     return archive.merged(v.where("version % 3 = 0").drop("version"), removed, v.where("version % 3 = 1").drop("version"), "name")
 
 
-@book.add(f"SELECT name, max(changed) AS changed FROM (SELECT 'n' || family % 50 AS name, changed FROM {_VERSIONS}) GROUP BY name")
+@book.add(f"SELECT name, max(changed) AS changed FROM (SELECT 'n' || family % 50 AS name, changed FROM {VERSIONS_SQL}) GROUP BY name")
 def latest_change(spark, sf_dir):
-    return archive.latest_change(_versions(spark, sf_dir).select(F.concat(F.lit("n"), F.col("family") % 50).alias("name"), "changed"), "name", "changed")
+    return archive.latest_change(versions(spark, sf_dir).select(F.concat(F.lit("n"), F.col("family") % 50).alias("name"), "changed"), "name", "changed")
 
 
 @book.add("""
