@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillspark.functions import text
-from quillspark.operators import documents, enrichment
+from quillspark.operators import documents, enrichment, token_count
 from quillspark.plans.book import Book, read
 from quillspark.sources import sinks
 
@@ -202,3 +202,11 @@ SELECT conv_id, turn, array_to_string(list_transform(list_slice(p, 1, 3), lambda
 def block_digest(spark, sf_dir):
     ids = F.array(F.lit(1), F.lit(77), F.lit(5))
     return read(spark, sf_dir, "conversations").select("conv_id", "turn", text.block_digest(F.split("text", "\n")).alias("digest"), text.labelled_ids(ids, NAMES).alias("labels"))
+
+
+@book.add()
+def token_counts(spark, sf_dir):
+    """Tokens of each document by a public vocabulary; tested against its own encoder on all documents."""
+    import public_tokenizers
+
+    return token_count.token_counts(read(spark, sf_dir, "documents"), "doc_id", "text", f"file://{public_tokenizers.path('byte_bpe_50k.tiktoken')}")
