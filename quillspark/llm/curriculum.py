@@ -100,6 +100,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         F.struct(F.col(f"`{id_col}`").alias("id"), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep))).alias("row"), F.size(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))).cast("long").alias("size"),
     )
     key = ["no_source", "source"]
+    rows = written(rows, "sizes")  # texts are read once, and ties keep their numbers
     rows = written(running(rows, key, ["draw", "tie"], {"size": "start"}, "supply"), "supplied")
     aims = written(targets(rows.groupBy(key).agg(F.sum("size").alias("source_size")), weights, most), "targets")
     # a source's rows lie in many ranges; the join's other side has one row a source, and Spark splits the larger one
