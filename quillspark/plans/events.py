@@ -46,7 +46,7 @@ SELECT CAST(event_id AS VARCHAR) AS event_id, 'U' || user_id % 7 AS ticker, coal
 FROM events LEFT JOIN nation ON user_id % 7 = n_nationkey AND n_nationkey < 5"""
 
 
-def _calendar_events(spark, sf_dir):
+def calendar_events(spark, sf_dir):
     """events in the shape of a service's answer, with nations as institutions."""
     events = read(spark, sf_dir, "events")
     missing = F.lit(None).cast("string")
@@ -57,7 +57,7 @@ def _calendar_events(spark, sf_dir):
 
 @book.add(_ENRICHED)
 def calendar_chain(spark, sf_dir):
-    return _calendar_events(spark, sf_dir).select("event_id", "ticker", "institution_name", "institution_id", "event_type", "event_date", "event_time_local")
+    return calendar_events(spark, sf_dir).select("event_id", "ticker", "institution_name", "institution_id", "event_type", "event_date", "event_time_local")
 
 
 @book.add("""
@@ -133,14 +133,14 @@ def distinct_sorted(spark, sf_dir):
 SELECT CAST(event_id AS VARCHAR) AS event_id, 'BEGIN:VEVENT' || chr(13) || chr(10) || 'UID:' || event_id || chr(13) || chr(10) || 'DTSTART:' || strftime(ts, '%Y%m%dT%H%M%SZ') || chr(13) || chr(10) || 'DTEND:' || strftime(ts + INTERVAL 1 HOUR, '%Y%m%dT%H%M%SZ')
   || chr(13) || chr(10) || 'SUMMARY:U' || user_id % 7 || ' ' || props || chr(13) || chr(10) || 'END:VEVENT' AS value FROM events WHERE event_type = 'signup'""")
 def ics_export(spark, sf_dir):
-    return calendar.icalendar(_calendar_events(spark, sf_dir).where("event_type = 'signup'"))
+    return calendar.icalendar(calendar_events(spark, sf_dir).where("event_type = 'signup'"))
 
 
 @book.add("""
 SELECT CAST(event_id AS VARCHAR) AS event_id, 'U' || user_id % 7 || ': ' || props AS title, strftime((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/Toronto', '%Y-%m-%dT%H:%M:%S') AS start,
   CASE event_type WHEN 'purchase' THEN 'green' WHEN 'error' THEN 'red' ELSE 'grey' END AS colour FROM events""")
 def calendar_view(spark, sf_dir):
-    return calendar.view(_calendar_events(spark, sf_dir), {"purchase": "green", "error": "red"}, "grey")
+    return calendar.view(calendar_events(spark, sf_dir), {"purchase": "green", "error": "red"}, "grey")
 
 
 @book.add("""

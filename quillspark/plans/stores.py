@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quillspark.operators import name_match
+from quillspark.operators import calendar, name_match
 from quillspark.plans.book import Book, read
-from quillspark.sources import readers, sinks
+from quillspark.plans.events import calendar_events
+from quillspark.sources import readers, sinks, whole_file
 from quillspark.tables import new_path as folder
 
 book = Book()
@@ -107,3 +108,28 @@ def unique_keys(spark, sf_dir):
     rows = read(spark, sf_dir, "lineitem")
     whole = sinks.repeated_keys(rows, ["l_orderkey", "l_linenumber"]).select("l_orderkey", F.col("l_linenumber").cast("int"), "n")
     return whole.unionByName(sinks.repeated_keys(rows, ["l_linenumber"]).select(F.lit(-1).cast("long").alias("l_orderkey"), F.col("l_linenumber").cast("int"), "n"))
+
+
+@book.add("SELECT doc_id, lang, source, n_chars, CAST(text AS VARCHAR) AS text FROM documents")
+def json_array_sink(spark, sf_dir):
+    """One closed JSON array in the place of an older one, read back."""
+    whole_file.register(spark)
+    rows, path = read(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars", "text"), f"{folder(spark)}/all.json"
+    for part in (rows.where("doc_id % 2 = 0"), rows):
+        part.write.format("whole_file").option("path", path).mode("overwrite").save()
+    return spark.read.schema(rows.schema).option("multiLine", True).json(path)
+
+
+@book.add("""
+WITH e AS (SELECT event_id, user_id, props FROM events WHERE event_type = 'signup')
+SELECT 'UID:' || event_id AS line, 1 AS n FROM e UNION ALL SELECT 'SUMMARY', count(*) FROM e UNION ALL SELECT 'BEGIN:VEVENT', count(*) FROM e UNION ALL SELECT 'END:VEVENT', count(*) FROM e
+UNION ALL SELECT 'BEGIN:VCALENDAR', 1 UNION ALL SELECT 'END:VCALENDAR', 1""")
+def calendar_sink(spark, sf_dir):
+    """A calendar file; its lines are counted, those with ids one by one."""
+    whole_file.register(spark)
+    path = f"{folder(spark)}/all.ics"
+    texts = calendar.icalendar(calendar_events(spark, sf_dir).where("event_type = 'signup'")).select("value")
+    options = {"layout": "text", "head": "BEGIN:VCALENDAR\r\nVERSION:2.0\r\n", "between": "\r\n", "tail": "\r\nEND:VCALENDAR\r\n"}
+    texts.write.format("whole_file").options(**options).option("path", path).mode("overwrite").save()
+    lines = spark.read.option("lineSep", "\r\n").text(path).where("value RLIKE '^(BEGIN|END|UID|SUMMARY):'")
+    return lines.select(F.when(F.col("value").startswith("SUMMARY"), "SUMMARY").otherwise(F.col("value")).alias("line")).groupBy("line").agg(F.count(F.lit(1)).alias("n"))
