@@ -87,6 +87,12 @@ def is_safe_path(c: Column, longest: int = 260) -> Column:
     return F.coalesce(~c.contains("..") & ~c.startswith("/") & ~c.rlike(r'[<>:"|?*\x00]') & (F.length(c) <= longest) & (c != ""), F.lit(False))
 
 
+def is_safe_share_path(c: Column) -> Column:
+    """Slashes at the ends don't count; of the steps between them none is empty, `.` or `..`, and each is a safe path."""
+    steps = F.split(F.regexp_replace(c, "^/+|/+$", ""), "/")
+    return F.coalesce(F.forall(steps, lambda x: (x != ".") & is_safe_path(x)), F.lit(False))
+
+
 def speaker_label(name: Column, title: Column, affiliation: Column) -> Column:
     """name, title, affiliation; empty parts and those equal to an earlier one are left out."""
     name, title, affiliation = none_if_blank(F.trim(name)), none_if_blank(F.trim(title)), none_if_blank(F.trim(affiliation))
@@ -139,6 +145,18 @@ def bare_company(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(c, rf"(?i)(\s+(?:{ends}))+$", ""), r"\s+", " "))
 
 
+#: First words that say nothing about a company, and a word that is looked for by itself.
+COMMON_FIRST, OWN_WORDS = ("The", "St", "St."), ("James",)
+
+
+def search_terms(c: Column) -> Column:
+    """What a company is looked for by: its bare name, its first word unless that says nothing, and words of their own."""
+    bare = bare_company(c)
+    first = F.get(F.split(bare, " "), F.lit(0))
+    own = [F.when(c.contains(w), w) for w in OWN_WORDS]
+    return F.array_distinct(F.array_compact(F.array(F.nullif(bare, F.lit("")), F.when((first != "") & ~first.isin(*COMMON_FIRST), first), *own)))
+
+
 def ticker_variants(c: Column, exchanges: tuple[str, ...] = ("US", "CA", "GB")) -> Column:
     """The ticker, its part before the dash, upper case of both, and that part with exchange endings; each once."""
     base = F.split(c, "-")[0]

@@ -20,6 +20,14 @@ def parsed(files: DataFrame, content: str = "content") -> DataFrame:
     return files.withColumn("doc", F.from_xml(plain, XML_SCHEMA, {"mode": "PERMISSIVE"}))
 
 
+def headers(docs: DataFrame, *keys: str) -> DataFrame:
+    """keys, title, date, companies and people (ids, each once, in order) of parsed docs; empty arrays where there are none."""
+    none = F.array().cast("array<string>")
+    ids = F.transform(F.col("doc.meta.participants.participant"), lambda p: p["_id"])
+    named = F.filter(F.coalesce(F.transform("doc.meta.companies.company", text.clean), none), lambda c: F.coalesce(c != "", F.lit(False)))
+    return docs.select(*keys, text.clean(F.col("doc.meta.title")).alias("title"), text.none_if_blank(F.col("doc.meta.date")).alias("date"), named.alias("companies"), F.array_distinct(F.array_compact(F.coalesce(ids, none))).alias("people"))
+
+
 def _pruned_sections() -> Column:
     """Sections with speakers with paragraphs; whatever has none is gone, so ordinals count what is left."""
     filled = lambda ps: F.filter(F.transform(F.coalesce(ps, F.array().cast("array<string>")), text.clean), lambda p: F.coalesce(p != "", F.lit(False)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillspark.config import Settings
 from quillspark.functions import text
-from quillspark.operators import archive, enrichment, pairing
+from quillspark.operators import archive, documents, enrichment, pairing
 from quillspark.plans.book import Book, read
 from quillspark.plans.conversations import _GROUPS
 from quillspark.plans.texts import _IDS, KEYWORDS, NAMES
@@ -110,3 +110,84 @@ def parts_consolidated(spark, sf_dir):
     parts = spark.read.schema(rows.schema).parquet(f"{path}/parts")
     good, bad = sinks.consolidated(parts, spark.read.parquet(f"{path}/meta"), ["s_nationkey"])
     return good.select("s_suppkey", "s_nationkey", F.lit("sound").alias("side")).unionByName(bad.select(F.lit(None).cast("long").alias("s_suppkey"), "s_nationkey", F.lit("broken").alias("side")))
+
+
+@book.add("""
+SELECT s_suppkey, list_distinct(['s' || s_suppkey || '-us', 's' || s_suppkey, 'S' || s_suppkey || '-US', 'S' || s_suppkey, 'S' || s_suppkey || '-CA', 'S' || s_suppkey || '-GB']).list_sort().array_to_string(' ') AS variants FROM supplier""")
+def ticker_variants(spark, sf_dir):
+    """All spellings of a ticker, each once."""
+    found = text.ticker_variants(F.concat(F.lit("s"), "s_suppkey", F.lit("-us")))
+    return read(spark, sf_dir, "supplier").select("s_suppkey", F.array_join(F.array_sort(found), " ").alias("variants"))
+
+
+@book.add("""
+SELECT c_custkey, array_to_string(list_distinct(CASE c_custkey % 3 WHEN 0 THEN ['The ' || c_mktsegment] WHEN 1 THEN [c_mktsegment || ' James', c_mktsegment, 'James'] ELSE [c_mktsegment] END).list_sort(), '|') AS terms FROM customer""")
+def company_search_terms(spark, sf_dir):
+    kind = F.col("c_custkey") % 3
+    name = F.when(kind == 0, F.concat(F.lit("The "), "c_mktsegment", F.lit(" Group"))).when(kind == 1, F.concat("c_mktsegment", F.lit(" James PLC"))).otherwise(F.concat("c_mktsegment", F.lit(" N.V.")))
+    return read(spark, sf_dir, "customer").select("c_custkey", F.array_join(F.array_sort(text.search_terms(name)), "|").alias("terms"))
+
+
+@book.add("SELECT page_id, page_id % 5 IN (0, 1) AS is_safe FROM pages")
+def share_paths(spark, sf_dir):
+    """Paths on a share: with slashes at the ends, without, with an empty step, with a step up, and with a colon."""
+    bare, key = F.regexp_replace(F.regexp_replace("url", "^[a-z]+://", ""), "[?].*$|/+$", ""), F.col("page_id") % 5
+    path = F.when(key == 0, F.concat(F.lit("/"), bare, F.lit("/"))).when(key == 1, bare).when(key == 2, F.concat(F.lit("a//"), bare)).when(key == 3, F.concat(bare, F.lit("/../x"))).otherwise(F.concat(F.lit("c:/"), bare))
+    return read(spark, sf_dir, "pages").select("page_id", text.is_safe_share_path(path).alias("is_safe"))
+
+
+_MANIFEST = "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 4 = 0 THEN CASE WHEN o_orderkey % 8 = 0 THEN 'completed' ELSE 'failed' END ELSE 'open' END AS status, CASE WHEN o_orderkey % 12 = 0 THEN o_custkey ELSE o_orderkey END AS chunks FROM orders WHERE o_orderkey % 3 <> 1 OR o_orderkey % 4 = 0"
+
+
+def _manifest(spark, sf_dir):
+    orders, key = read(spark, sf_dir, "orders"), F.col("o_orderkey")
+    manifest = orders.where("o_orderkey % 3 <> 1").select(key.alias("id"), F.lit("open").alias("status"), key.alias("chunks"))
+    chunks = F.when((key % 12 == 0), F.col("o_custkey")).when(key % 3 == 1, key)
+    updates = orders.where("o_orderkey % 4 = 0").select(key.alias("id"), F.when(key % 8 == 0, "completed").otherwise("failed").alias("status"), chunks.alias("chunks"))
+    return sinks.merged_manifest(manifest, updates, "id")
+
+
+@book.add(_MANIFEST)
+def manifest_merged(spark, sf_dir):
+    """Updates of some ids, of which some are new and some leave a field as it is."""
+    return _manifest(spark, sf_dir)
+
+
+@book.add(f"SELECT count(*) AS total, count(*) FILTER (status = 'completed') AS completed, count(*) FILTER (status = 'failed') AS failed FROM ({_MANIFEST})")
+def manifest_totals(spark, sf_dir):
+    return sinks.manifest_totals(_manifest(spark, sf_dir))
+
+
+@book.add("""
+SELECT event_type AS error_type, event_id, props, count(*) OVER (PARTITION BY event_type) AS total_errors FROM events WHERE user_id % 9 = 0""")
+def error_logs(spark, sf_dir):
+    """Errors by class, with their totals, from a log that has a folder for each class."""
+    errors, path = read(spark, sf_dir, "events").where("user_id % 9 = 0").select("event_id", "event_type", "props"), folder(spark)
+    sinks.save_error_logs(errors, "event_type", path)
+    held = spark.read.schema("event_id long, event_type string, props string, error_type string").json(path)
+    return sinks.error_logs(held, "error_type", "event_id", "props")
+
+
+@book.add("""
+SELECT conv_id, turn, CAST(sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS BIGINT) AS tokens_so_far,
+  CAST(sum(CASE WHEN role = 'user' THEN length(text) * 5 ELSE length(text) * 15 END) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cost_so_far FROM conversations""")
+def run_costs(spark, sf_dir):
+    """Running totals of tokens and cost of each run, here a conversation."""
+    n = F.coalesce(F.length("text"), F.lit(0))
+    usage = read(spark, sf_dir, "conversations").select("conv_id", "turn", n.alias("tokens"), F.when(F.col("role") == "user", n * 5).otherwise(n * 15).alias("cost"))
+    return sinks.run_totals(usage, "conv_id", "turn", "tokens", "cost").select("conv_id", "turn", "tokens_so_far", "cost_so_far")
+
+
+@book.add("""
+SELECT o_orderkey, 'Order ' || o_orderkey AS title, CASE WHEN o_orderkey % 5 > 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS date,
+  CASE WHEN o_orderkey % 3 > 0 THEN 'C' || o_custkey || CASE WHEN o_orderkey % 3 = 2 THEN '|' || o_orderpriority ELSE '' END ELSE '' END AS companies, '1|' || o_orderstatus AS people FROM orders""")
+def xml_headers(spark, sf_dir):
+    """Title, date, companies and people of documents, some without a date or companies, and with people named twice."""
+    key = F.col("o_orderkey")
+    one = lambda tag, c: F.concat(F.lit(f"<{tag}>"), c, F.lit(f"</{tag}>"))
+    companies = F.when(key % 3 > 0, F.concat(one("company", F.concat(F.lit(" C"), "o_custkey")), F.when(key % 3 == 2, one("company", F.col("o_orderpriority"))).otherwise("<company> </company>"))).otherwise("")
+    day = F.when(key % 5 > 0, one("date", F.date_format("o_orderdate", "yyyy-MM-dd"))).otherwise("")
+    person = lambda c: F.concat(F.lit('<participant id="'), c, F.lit('" type="x">A</participant>'))
+    xml = one("transcript", one("meta", F.concat(one("title", F.concat(F.lit("Order "), key)), day, one("companies", companies), one("participants", F.concat(person(F.lit("1")), person(F.col("o_orderstatus")), person(F.lit("1")))))))
+    docs = documents.parsed(read(spark, sf_dir, "orders").select("o_orderkey", xml.alias("content")))
+    return documents.headers(docs, "o_orderkey").select("o_orderkey", "title", "date", F.array_join("companies", "|").alias("companies"), F.array_join("people", "|").alias("people"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
@@ -99,6 +99,36 @@ def status_totals(manifest: DataFrame) -> DataFrame:
     return manifest.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
+def merged_manifest(manifest: DataFrame, updates: DataFrame, key: str) -> DataFrame:
+    """The manifest with the updates of some ids merged in: a field that an update has (not null) takes the place of the
+    old one, new ids are added, others stay."""
+    old, new = manifest.select(key, *(F.col(c).alias(f"_old_{c}") for c in manifest.columns if c != key)), updates
+    both = old.join(new, key, "full_outer")
+    return both.select(key, *(F.coalesce(*([F.col(c)] if c in updates.columns else []), F.col(f"_old_{c}")).alias(c) for c in manifest.columns if c != key))
+
+
+def manifest_totals(manifest: DataFrame) -> DataFrame:
+    """One row: all ids, those completed, those failed."""
+    return manifest.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("status") == "completed").alias("completed"), F.count_if(F.col("status") == "failed").alias("failed"))
+
+
+def error_logs(errors: DataFrame, kind: str, *fields: str) -> DataFrame:
+    """error_type, the fields, and how many errors of that class there are; errors of no class are left out."""
+    known = errors.where(F.col(kind).isNotNull())
+    return known.join(known.groupBy(kind).agg(F.count(F.lit(1)).alias("total_errors")), kind).select(F.col(kind).alias("error_type"), *fields, "total_errors")
+
+
+def save_error_logs(errors: DataFrame, kind: str, path: str) -> None:
+    """A folder for each class of error, none for classes without any."""
+    errors.where(F.col(kind).isNotNull()).withColumn("error_type", F.col(kind)).write.mode("overwrite").partitionBy("error_type").json(path)
+
+
+def run_totals(usage: DataFrame, run: str, order: str, *amounts: str) -> DataFrame:
+    """usage with the running total of each amount within its run, in order: what a run has cost so far."""
+    w = Window.partitionBy(run).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return usage.withColumns({f"{a}_so_far": F.coalesce(F.sum(a).over(w), F.lit(0)) for a in amounts})
+
+
 def appended(ignored: DataFrame, row: dict, reason: str) -> DataFrame:
     """The ignore list with a row more, dated today."""
     more = ignored.sparkSession.createDataFrame([{**{c: None for c in ignored.columns}, **row, "reason": reason}], ignored.schema)
