@@ -83,3 +83,12 @@ def test_settings_are_checked(bad):
     with pytest.raises(ValueError):
         Settings(**bad)
     assert Settings(["A"]).chunk_target == 500
+
+
+def test_share_paths_and_search_terms(spark):
+    paths = {"/a/b.xml/": True, "a/b": True, "a//b": False, "a/../b": False, "a/./b": False, "c:/x": False, "/": False, "": False, None: False, "a/" + "x" * 261: False}
+    df = spark.createDataFrame([(p,) for p in paths], "p string").select("p", text.is_safe_share_path(F.col("p")).alias("safe"))
+    assert {r["p"]: r["safe"] for r in df.collect()} == paths
+    names = {"The Bank Group": ["The Bank"], "St. James's Place PLC": ["St. James's Place", "James"], "UBS AG": ["UBS"], "Inc.": ["Inc."], "": [], "Royal Bank Inc.": ["Royal Bank", "Royal"]}
+    got = {r["n"]: r["t"] for r in spark.createDataFrame([(n,) for n in names], "n string").select("n", text.search_terms(F.col("n")).alias("t")).collect()}
+    assert got == names
