@@ -109,27 +109,31 @@ def is_analyst(c: Column) -> Column:
     return F.coalesce(F.lower(c).contains("analyst"), F.lit(False))
 
 
-def title_is_call(c: Column) -> Column:
-    """Exactly `Qn 20yy Earnings Call`, any case."""
-    return F.coalesce(c.rlike(r"(?i)^Q([1-4])\s+(20\d{2})\s+Earnings\s+Call$"), F.lit(False))
+#: Forms of titles (a call's whole title, a period anywhere, a spelt-out and a short one), spelt-out quarters.
+CALL_TITLE = r"(?i)^Q([1-4])\s+(20\d{2})\s+Earnings\s+Call$"
+PERIOD = r"(?i)Q([1-4])\s+(20\d{2})"
+SPELT_PERIOD = r"(?i)%s\s+Quarter\s+(20\d{2})"
+SHORT_PERIOD = r"(?i)%dQ(\d{2})"
+SPELT = {"First": "Q1", "Second": "Q2", "Third": "Q3", "Fourth": "Q4"}
 
 
-#: Spelt-out quarters.
-SPELT = {"First": "Q1", "Second": "Q2", "Third": "Q3", "Fourth": "Q4"}
+def title_is_call(c: Column) -> Column:
+    """Exactly `Qn 20yy Earnings Call`, any case."""
+    return F.coalesce(c.rlike(CALL_TITLE), F.lit(False))
 
 
 def title_period(c: Column, extended: bool = True) -> tuple[Column, Column]:
     """(quarter, year) of a title, 'Unknown' where none is found. `Q1 2024` anywhere; extended: then `First Quarter 2024`,
     then `1Q24`. A miss of Spark's regexp_extract is an empty string."""
-    quarter = F.when(c.rlike(r"(?i)Q([1-4])\s+(20\d{2})"), F.concat(F.lit("Q"), F.regexp_extract(c, r"(?i)Q([1-4])\s+(20\d{2})", 1)))
-    year = none_if_blank(F.regexp_extract(c, r"(?i)Q([1-4])\s+(20\d{2})", 2))
+    quarter = F.when(c.rlike(PERIOD), F.concat(F.lit("Q"), F.regexp_extract(c, PERIOD, 1)))
+    year = none_if_blank(F.regexp_extract(c, PERIOD, 2))
     if extended:
         spelt_q, spelt_y = [], []
         for word, q in SPELT.items():
-            pattern = rf"(?i){word}\s+Quarter\s+(20\d{{2}})"
+            pattern = SPELT_PERIOD % word
             spelt_q.append(F.when(c.rlike(pattern), q))
             spelt_y.append(none_if_blank(F.regexp_extract(c, pattern, 1)))
-        short = [(n, rf"(?i){n}Q(\d{{2}})") for n in range(1, 5)]
+        short = [(n, SHORT_PERIOD % n) for n in range(1, 5)]
         quarter = F.coalesce(quarter, *spelt_q, *(F.when(c.rlike(p), F.lit(f"Q{n}")) for n, p in short))
         year = F.coalesce(year, *spelt_y, *(F.when(c.rlike(p), F.concat(F.lit("20"), F.regexp_extract(c, p, 1))) for _, p in short))
     return F.coalesce(quarter, F.lit("Unknown")), F.coalesce(year, F.lit("Unknown"))
