@@ -168,5 +168,5 @@ def chunk_blocks_qa(spark, sf_dir):
 
 @book.add()
 def sentence_splitter(spark, sf_dir):
-    """Sequential per text; tested against a plain version."""
+    """Sequential per text; its properties are tested: nothing is lost, parts are within their bounds."""
     return chunking.split_texts(read(spark, sf_dir, "documents"), "doc_id", "text")
