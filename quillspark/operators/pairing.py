@@ -71,6 +71,65 @@ def group_blocks(blocks: list[dict], decide: Decider, validate: Validator, windo
     return out
 
 
+class Grouper:
+    """The state machine of group_blocks over blocks that come one by one: feed() gives the groups that a block completes,
+    finish() what is left at the end. It holds one window: fewer than MOST_BLOCKS blocks and two steps, since rounds
+    without a decision count, too. The limit of three rounds for each block, which needs
+    their number, is left out; each round grows the window, ends a group or is one of the few at the end."""
+
+    def __init__(self, decide: Decider, validate: Validator = lambda _: True, window: int = 10, block: str = "block"):
+        self.decide, self.validate, self.window, self.block = decide, validate, max(1, window), block
+        self.held: list[dict] = []
+        self.made = self.size = self.skips = self.rejections = 0
+        self.stuck = -1  # rounds before this one with the same first block
+
+    def feed(self, block: dict) -> list[Group]:
+        self.held.append(block)
+        out: list[Group] = []
+        while len(self.held) >= self.size + self.window:
+            self.size += self.window
+            out += self._round()
+        return out
+
+    def finish(self) -> list[Group]:
+        out: list[Group] = []
+        while self.held:
+            at_end = self.size >= len(self.held)
+            self.size = min(self.size + self.window, len(self.held))
+            rejected = self.rejections
+            found = self._round()
+            out += found
+            if not found and at_end and (self.rejections > rejected or self.stuck > STUCK):
+                break
+        if self.held:
+            out.append(self._taken(len(self.held), "final"))
+        return out
+
+    def _taken(self, n: int, method: str) -> Group:
+        part, self.held, self.size = self.held[:n], self.held[n:], 0
+        self.made, self.stuck = self.made + 1, -1
+        return Group(self.made, part[0][self.block], part[-1][self.block], CONFIDENCE[method], method)
+
+    def _round(self) -> list[Group]:
+        view = self.held[: self.size]
+        self.stuck += 1
+        found = self.decide(view)
+        if not found:
+            self.skips += found == 0
+            forced = "forced_skip_limit" if self.skips >= MOST_SKIPS else "memory_limit" if len(view) >= MOST_BLOCKS else None
+            if forced is None:
+                return []
+            self.skips = self.rejections = 0
+            return [self._taken(len(view), forced)]
+        self.skips = 0
+        accepted = self.validate(view[:found])
+        self.rejections += not accepted
+        if not accepted and self.rejections < MOST_REJECTIONS:
+            return []
+        self.rejections = 0
+        return [self._taken(found, "validated" if accepted else "unvalidated")]
+
+
 def asker_rule(is_start: str = "is_start") -> Decider:
     """A decider by rule: a group ends before the next block that starts one."""
 
