@@ -59,6 +59,8 @@ PERMISSIVE = frozenset(
 )
 #: Identifiers of other licences whose names hold no digit.
 OTHERS = frozenset("apafml cnri-python entessa frameworx-1.0 glide glulxe imagemagick info-zip interbase-1.0 latex2e miros motosoto multics nokia oclc-2.0 plexus sleepycat sendmail".split())
+#: What may stand for a licence and names none.
+NO_LICENCE = frozenset({"none", "noassertion"})
 #: Binding strength of the operators.
 STRENGTH = {"or": 1, "and": 2, "with": 3}
 #: Score of the strongest evidence: a parsed expression, a notice phrase.
@@ -68,38 +70,56 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _TO_WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _TOKEN = re.compile(rb"[()]|[a-z0-9][a-z0-9.+:-]*")
+_NAME = re.compile(r"[a-z][a-z0-9.-]*\+?")
+_VERSIONED = re.compile(r"[a-z][a-z0-9.]*(-[a-z][a-z0-9.]*)*-[0-9]+(\.[0-9]+)*(-[a-z0-9.]+)*")
+#: What may stand between a tag and its expression, and behind an expression that fills its line.
+_BEFORE, _BEHIND = b" \t\r\x0b\x0c:='\"", b" \t\r\x0b\x0c*/->#;.'\"}]!%"
 _SUFFIX = re.compile(r"(-only|-or-later|\+)$")
 
 
 def expression(raw: bytes, start: int = 0, stop: int | None = None) -> tuple[list[str], int]:
     """The longest well-formed expression at the start of raw[start:stop] (lower case), in postfix order, and how many
-    licences it names. What stands behind the last identifier or bracket that completes an expression is left out."""
+    licences it names. What stands behind the last identifier or bracket that completes an expression is left out. Where an
+    expression fills raw[start:stop] but for the end of a comment, any name in it is an identifier; else known ones are."""
+    stop = len(raw) if stop is None else stop
     tokens: list[str] = []
     whole = depth = licences = counted = 0  # tokens of the longest complete expression so far; open brackets; licences, and those of it
     operand_next, exception_next = True, False
-    for match in _TOKEN.finditer(raw, start, len(raw) if stop is None else stop):
+    listed = fills = True  # whether all names so far are known; whether there is nothing but the expression
+    end = start
+    for match in _TOKEN.finditer(raw, start, stop):
         token = match[0].decode()
-        token = token.rstrip(".:") or token
+        token = token.rstrip(".:-") or token
+        fills = fills and not raw[end : match.start()].strip(_BEFORE if end == start else None)
+        end = match.end()
         if token in STRENGTH:
             if operand_next:
+                fills = False
                 break
             operand_next, exception_next = True, token == "with"
         elif token == "(":
             if not operand_next or exception_next:
+                fills = False
                 break
             depth += 1
         elif token == ")":
             if operand_next or not depth:
+                fills = False
                 break
             depth -= 1
         else:
-            if not operand_next or not (exception_next or known(token)):
+            listed = listed and bool(exception_next or known(token))
+            fills = fills and bool(listed or exception_next or known(token) or _NAME.fullmatch(token) and token not in NO_LICENCE)
+            if not operand_next or not (listed or fills):
+                fills = False
                 break
             licences += not exception_next
             operand_next = exception_next = False
         tokens.append(token)
-        if not operand_next and not depth:
+        if not operand_next and not depth and listed:
             whole, counted = len(tokens), licences
+    if fills and not operand_next and not depth and not raw[end:stop].strip(_BEHIND):
+        whole, counted = len(tokens), licences
     return postfix(tokens[:whole]), counted
 
 
@@ -123,15 +143,21 @@ def postfix(tokens: list[str]) -> list[str]:
     return out + waiting[::-1]
 
 
+def named(identifier: str) -> tuple[str, bool]:
+    """Label of a licence, its own name where no phrase has one, and whether it is permissive."""
+    base = _SUFFIX.sub("", identifier)
+    return LABELS.get(base, base), base in PERMISSIVE
+
+
 @lru_cache(maxsize=1 << 14)
 def known(identifier: str) -> tuple[str, bool] | None:
-    """Label of a licence and whether it is permissive. Besides the lists, whatever holds a digit, or is declared as a
-    reference, is an identifier and goes under its own name."""
+    """named() of what is an identifier wherever it stands behind a tag: one of the lists, a name followed by a version, or
+    a declared reference."""
     if identifier in STRENGTH or identifier in "()":
         return None
     base = _SUFFIX.sub("", identifier)
-    if base in PERMISSIVE or base in OTHERS or base in LABELS or base.startswith(("licenseref-", "documentref-")) or any(map(str.isdigit, base)):
-        return LABELS.get(base, base), base in PERMISSIVE
+    if base in PERMISSIVE or base in OTHERS or base in LABELS or base.startswith(("licenseref-", "documentref-")) or _VERSIONED.fullmatch(base):
+        return named(identifier)
     return None
 
 
@@ -148,8 +174,8 @@ def evaluate(tokens: list[str]) -> tuple[set[str], bool]:
             a[0].update(b[0])  # the larger set takes the smaller one in
             stack.append((a[0], a[1] or b[1] if token == "or" else a[1] and b[1]))
         else:
-            label = known(token)
-            stack.append(({label[0]}, label[1]) if label else (set(), True))
+            label, free = named(token)
+            stack.append(({label}, free))
     return stack[0] if stack else (set(), False)
 
 

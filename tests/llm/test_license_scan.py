@@ -77,6 +77,17 @@ def test_any_well_formed_identifier_is_read():
     assert labels("LicenseRef-own AND WTFPL */") == "licenseref-own,wtfpl" and labels("Made-up-7.1+") == "made-up-7.1" and labels("is a tag") == ""
 
 
+def test_a_line_that_is_an_expression_may_name_any_licence():
+    row = lambda line: m.scan(f"x\nSPDX-License-Identifier: {line}\nmore".encode(), m.automaton())
+    labels = lambda line: row(line)[5]
+    assert labels("Qhull") == "qhull" and row("Qhull")[6] == 1.0 and row("Qhull")[8] is False
+    assert labels("MIT OR Adobe-Glyph") == "adobe-glyph,mit" and row("MIT OR Adobe-Glyph")[8] is True
+    assert labels("(MIT AND FSFAP) -->") == "fsfap,mit" and labels("Zlib AND FSFAP */") == "fsfap,zlib"
+    assert labels("2024 Acme Corp") == "" and row("2024 Acme Corp")[6] == 0 and labels("2024") == "" and labels("NOASSERTION") == ""
+    assert labels("MIT and nothing else") == "mit" and labels("MIT, Qhull") == "mit" and labels("Qhull, see there") == "" and labels("GPL-2.0 with own-exception") == "gpl-2"
+    assert labels("mit or (qhull") == "mit" and labels("mit or qhull)") == "mit" and labels("qhull or") == ""
+
+
 def test_work_grows_with_the_length():
     import time
 
