@@ -1,10 +1,13 @@
-"""Queries through the table functions, as SQL calls them."""
+"""Queries through the table functions, as SQL calls them, and over clustered tables."""
 
 from __future__ import annotations
 
-from quillspark.operators import pairing, table_functions
+from pyspark.sql import functions as F
+
+from quillspark.operators import clustering, pairing, table_functions
 from quillspark.plans.book import Book, read
 from quillspark.plans.conversations import chunk_sql
+from quillspark.tables import new_path
 
 book = Book()
 
@@ -69,3 +72,17 @@ def table_summaries(spark, sf_dir):
     _views(spark, sf_dir, "conversations")
     table_functions.register(spark)
     return spark.sql("SELECT * FROM summaries_in_order(TABLE(SELECT conv_id, turn, text FROM tf_conversations), 'conv_id', 'turn', 'text')")
+
+
+@book.add("""
+SELECT 'family' AS wanted, l_orderkey, l_linenumber FROM lineitem WHERE l_suppkey = 7
+UNION ALL SELECT 'period', l_orderkey, l_linenumber FROM lineitem WHERE l_quantity BETWEEN 10 AND 11
+UNION ALL SELECT 'both', l_orderkey, l_linenumber FROM lineitem WHERE l_suppkey IN (3, 5) AND l_quantity < 4
+UNION ALL SELECT 'key', l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey = 33""")
+def clustered_lookup(spark, sf_dir):
+    """A table clustered by three columns, with a Bloom filter for a key that is none of them: filters on one, two, none."""
+    lines = read(spark, sf_dir, "lineitem").select("l_suppkey", "l_quantity", "l_partkey", "l_orderkey", "l_linenumber")
+    held = clustering.read_clustered(lines, ["l_suppkey", "l_quantity", "l_partkey"], new_path(spark, "clustered"), bloom=("l_orderkey",))
+    wanted = {"family": "l_suppkey = 7", "period": "l_quantity BETWEEN 10 AND 11", "both": "l_suppkey IN (3, 5) AND l_quantity < 4", "key": "l_orderkey = 33"}
+    parts = [held.where(condition).select(F.lit(name).alias("wanted"), "l_orderkey", "l_linenumber") for name, condition in wanted.items()]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
