@@ -187,4 +187,5 @@ def register(spark: SparkSession, decide: pairing.Decider | None = None, validat
         "summaries_in_order": summaries_in_order(strategy),
     }
     for name, made in functions.items():
-        spark.udtf.register(name, F.udtf(made, useArrow=True))
+        # rows come singly, and an Arrow batch for each row's result costs several times what pickled rows cost
+        spark.udtf.register(name, F.udtf(made, useArrow=False))
