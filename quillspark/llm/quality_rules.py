@@ -1,48 +1,46 @@
 """Quality rules: counts per document, and distribution divergence from language references.
 
-The character-class histogram and the histogram of common words of a document are compared with those of each language
-(from all documents of that language) by Jensen-Shannon distance; the nearest language counts. Every language with enough
-text has a reference of character classes; those with a list of common words have one of words, too. Texts below a minimum
-length are not judged by a histogram, since short samples are far from any reference by chance; nor are documents whose
-own language has no reference.
+The character-class histogram of a document and the histogram of its common words are compared with those of its language
+by Jensen-Shannon distance. A reference is the sum over all documents of a language; its common words are the COMMON most
+frequent ones there, all others being one bin. Every language with enough text has a reference, however many there are:
+references are a table that is joined to the documents. Texts below a minimum length are not judged by a histogram, since
+short samples are far from any reference by chance; nor are documents whose language has no reference.
 
 Defined cases: a null or empty text has no words, so it fails the base rule; a very long text is counted as a whole, like any
-other; repeated rows give equal rows; documents of a null language, or of one with too little text for a reference, shape no
-reference and are judged by the base rules alone, as are all where no language has a reference (an empty table); further
-columns of the input are ignored by quality_rules and carried along by keep_good.
+other; words of more than WORD_BYTES bytes are never common; of equally frequent words the lesser bytes come first; repeated
+rows give equal rows; documents of a null language, or of one with too little text for a reference, are judged by the base
+rules alone, as are all where no language has a reference (an empty table); further columns of the input are ignored by
+quality_rules and carried along by keep_good.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
+
+from quillspark.llm.common import as_bytes, by_slice, column, fresh, written
 
-from quillspark.llm.common import as_bytes, by_slice, column, kept_rows
-
-#: Frequent words of each language, the bins of the word histogram besides "any other".
-COMMON_WORDS = {
-    "en": "the of and to a in is was it that for on with as at by he be from are this not have or an had which you but his",
-    "fr": "le la les de des du un une et est en que qui dans pour par sur pas au ne se ce il elle avec son plus ou sont aux",
-    "de": "der die das und ist in zu den mit von des auf dem im nicht ein eine als auch es an werden aus er hat dass sie nach bei um",
-    "es": "el la los las de del un una y en que es por con para su se no al lo como más o este sus mi pero le ha si",
-}
-BINS = {w: i for i, w in enumerate(dict.fromkeys(w.encode() for words in COMMON_WORDS.values() for w in words.split()))}
-OTHER = len(BINS)
 #: Character classes by byte: lower case, upper case, digit, space, line end, end of sentence, other punctuation, symbol, control, beyond ASCII.
 CLASSES = 10
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
-#: Characters and words of a reference at least; languages with a reference at most (those of most characters).
-REFERENCE_CHARS, REFERENCE_WORDS, MAX_LANGS = 2000, 300, 200
-#: A histogram is judged from so many characters or words on, and rejected beyond such distance (0 to 1) from every reference.
+#: Characters, and words, of a reference at least.
+REFERENCE_CHARS, REFERENCE_WORDS = 2000, 300
+#: Common words of a language, and the bytes of one at most.
+COMMON, WORD_BYTES = 24, 64
+#: A histogram is judged from so many characters or words on, and rejected beyond such distance (0 to 1) from the reference.
 MIN_CHARS_JUDGED, MAX_CLASS_DISTANCE = 200, 0.35
-#: For words, the distance that chance alone gives falls with the number of words n: the limit is the root of
-#: WORD_FLOOR ** 2 + WORD_NOISE / n, MAX_WORD_DISTANCE at most. As most of a reference lies in "any other", a text without
-#: a common word is only about 0.34 from the nearest.
-MIN_WORDS_JUDGED, MAX_WORD_DISTANCE, WORD_FLOOR, WORD_NOISE = 50, 0.33, 0.20, 10
+#: For words, the distance that chance alone gives falls with the number of words of the text, n, and of the reference, N:
+#: the limit is the root of WORD_FLOOR ** 2 + WORD_NOISE * (1 / n + 1 / N).
+MIN_WORDS_JUDGED, WORD_FLOOR, WORD_NOISE = 50, 0.18, 8
+#: References of so many languages are broadcast (less than 3 kB each); more are joined as Spark sees fit.
+BROADCAST_LANGS = 5000
+#: Counts that a task holds before it passes them on.
+HELD_COUNTS = 200_000
 WINDOW = 5
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -79,10 +77,10 @@ def class_histogram(raw: bytes) -> np.ndarray:
     return np.bincount(np.frombuffer(raw.translate(_CLASS_OF, _DROP_CONTINUATION), np.uint8), minlength=CLASSES)
 
 
-def word_histogram(words: list[bytes]) -> np.ndarray:
-    """words: lower case. Punctuation at a word's ends is not looked through: it falls under any other."""
-    get = BINS.get
-    return np.bincount([get(w, OTHER) for w in words], minlength=OTHER + 1) if words else np.zeros(OTHER + 1, np.int64)
+def word_histogram(words: list[bytes], bins: dict[bytes, int]) -> np.ndarray:
+    """words: lower case. Punctuation at a word's ends is not looked through: it makes another word. The last bin is any other."""
+    get, other = bins.get, len(bins)
+    return np.bincount([get(w, other) for w in words], minlength=other + 1) if words else np.zeros(other + 1, np.int64)
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -111,74 +109,80 @@ def repeated_lines(raw: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def distance(counts: np.ndarray, references: np.ndarray) -> float:
-    """Jensen-Shannon distance (base 2, square root of the divergence) to the nearest of the references (rows of shares)."""
+def distance(counts: np.ndarray, q: np.ndarray) -> float:
+    """Jensen-Shannon distance (base 2, square root of the divergence) to a reference (shares)."""
     p = counts / counts.sum()
-    m = (p + references) / 2
+    m = (p + q) / 2
     with np.errstate(divide="ignore", invalid="ignore"):
-        left = np.where(p > 0, p * np.log2(p / m), 0).sum(axis=1)
-        right = np.where(references > 0, references * np.log2(references / m), 0).sum(axis=1)
-    return float(np.sqrt(np.maximum(0, (left + right) / 2)).min())
-
-
-def word_limit(n: int) -> float:
-    """The largest word distance that a text of n words may have."""
-    return min(MAX_WORD_DISTANCE, (WORD_FLOOR**2 + WORD_NOISE / n) ** 0.5)
+        both = np.where(p > 0, p * np.log2(p / m), 0).sum() + np.where(q > 0, q * np.log2(q / m), 0).sum()
+    return float(np.sqrt(max(0.0, both / 2)))
 
 
-@dataclass
-class References:
-    """Shares of character classes, and of common words, of each language (rows)."""
+def word_limit(n: int, reference: int) -> float:
+    """The largest word distance that a text of n words may have from a reference of so many words."""
+    return (WORD_FLOOR**2 + WORD_NOISE * (1 / n + 1 / reference)) ** 0.5
 
-    classes: dict[str, np.ndarray]
-    words: dict[str, np.ndarray]
 
-    def of(self, lang: str | None) -> tuple[np.ndarray | None, np.ndarray | None]:
-        """What a document of the language is compared with: all references of a kind, if its own language has one."""
-        return tuple(np.array(list(x.values())) if lang in x else None for x in (self.classes, self.words))
-
-
-def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> References:
-    """Shares of classes and of common words over all documents of each language. Sums by task are added up by Spark;
-    MAX_LANGS rows of fixed width reach the driver at most."""
-    width = CLASSES + OTHER + 1
+def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """lang and ref (classes, words, counts, n_words) of each language with REFERENCE_CHARS characters or more, as a written
+    table. Words are counted over all documents, in parts by task, then by word; tasks pass on COMMON words of a language
+    at most for its row."""
+    total, common = CLASSES, CLASSES + 1  # kinds of counts, beside the classes
 
     def run(batches):
-        sums: dict[str, np.ndarray] = {}
+        classes: dict[str, np.ndarray] = {}
+        words: dict[str, Counter] = {}
 
         def flush():
-            out = pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([x.tolist() for x in sums.values()], pa.list_(pa.int64()))], ["lang", "sums"])
-            sums.clear()
-            return out
+            rows = [(lang, k, b"", n) for lang, sums in classes.items() for k, n in enumerate(sums.tolist())]
+            rows += [(lang, common, w, n) for lang, found in words.items() for w, n in found.items() if len(w) <= WORD_BYTES]
+            classes.clear()
+            words.clear()
+            types = pa.string(), pa.int32(), pa.binary(), pa.int64()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["lang", "kind", "word", "n"])
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
             for lang, raw in zip(batch.column(1).to_pylist(), as_bytes(batch.column(0)), strict=True):
-                held = sums.setdefault(lang, np.zeros(width, np.int64))
+                held = classes.setdefault(lang, np.zeros(CLASSES + 1, np.int64))
+                found = raw.translate(_LOWER).split()
                 held[:CLASSES] += class_histogram(raw)
-                held[CLASSES:] += word_histogram(raw.translate(_LOWER).split())
-            return flush() if len(sums) > MAX_LANGS else None
+                held[total] += len(found)
+                words.setdefault(lang, Counter()).update(found)
+            return flush() if sum(map(len, words.values())) + len(classes) > HELD_COUNTS else None
 
         yield from by_slice(work)(batches)
-        if sums:
+        if classes:
             yield flush()
 
     held = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where("lang IS NOT NULL")
-    parts = held.mapInArrow(run, "lang string, sums array<long>")
-    totals = parts.groupBy("lang").agg(*(F.sum(F.col("sums")[i]).alias(f"c{i}") for i in range(width)))
-    chars = sum(F.col(f"c{i}") for i in range(CLASSES))
-    found = References({}, {})
-    for row in sorted(totals.where(chars >= REFERENCE_CHARS).orderBy(chars.desc(), "lang").limit(MAX_LANGS).collect(), key=lambda r: r["lang"]):
-        sums = np.array(row[1:], float)
-        found.classes[row["lang"]] = sums[:CLASSES] / sums[:CLASSES].sum()
-        if row["lang"] in COMMON_WORDS and sums[CLASSES:].sum() >= REFERENCE_WORDS:
-            found.words[row["lang"]] = sums[CLASSES:] / sums[CLASSES:].sum()
-    return found
+    counts = held.mapInArrow(run, "lang string, kind int, word binary, n long").groupBy("lang", "kind", "word").agg(F.sum("n").alias("n"))
+    order = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "word"))
+    first = counts.withColumn("nth", order).where(F.col("nth") <= COMMON)  # cut by a group limit before the exchange
+    of = lambda kind, x: F.when(F.col("kind") == kind, x)
+    rows = first.groupBy("lang").agg(
+        F.array(*(F.coalesce(F.sum(of(k, F.col("n"))), F.lit(0)) for k in range(CLASSES))).alias("classes"),
+        F.sort_array(F.collect_list(of(common, F.struct("nth", "word", "n")))).alias("top"),
+        F.sum(of(total, F.col("n"))).alias("n_words"),
+    )
+    enough = rows.where(F.aggregate("classes", F.lit(0).cast("long"), lambda a, x: a + x) >= REFERENCE_CHARS)
+    return written(enough.select("lang", F.struct("classes", F.col("top.word").alias("words"), F.col("top.n").alias("counts"), "n_words").alias("ref")), "references")
 
 
 FIELDS = ["n_words long", "word_chars long", "n_symbols long", "n_dup_lines long", "n_repeat_words long", "base_failed boolean", "kept boolean", "class_distance double", "word_distance double"]
 
 
-def judge(raw: bytes, classes: np.ndarray | None, common: np.ndarray | None) -> tuple:
+def shares_of(ref: dict | None) -> tuple[np.ndarray | None, tuple[dict[bytes, int], np.ndarray, int] | None]:
+    """Of a reference: shares of classes; bins of the common words, shares of these and any other, and number of words."""
+    if ref is None:
+        return None, None
+    classes, n = np.array(ref["classes"], float), ref["n_words"]
+    common = None
+    if n >= REFERENCE_WORDS:
+        common = {w: i for i, w in enumerate(map(bytes, ref["words"]))}, np.array([*ref["counts"], n - sum(ref["counts"])], float) / n, n
+    return classes / classes.sum(), common
+
+
+def judge(raw: bytes, classes: np.ndarray | None, common: tuple[dict[bytes, int], np.ndarray, int] | None) -> tuple:
     words = raw.split()
     n = len(words)
     chars = len(raw.translate(None, _DROP_CONTINUATION + b" \t\n\r\x0b\x0c"))
@@ -186,42 +190,62 @@ def judge(raw: bytes, classes: np.ndarray | None, common: np.ndarray | None) ->
     repeat = repeated_words(words)
     failed = n < MIN_WORDS or 100 * repeat > MAX_REPEAT_PERCENT * n
     by_class = by_word = None
+    far = False
     if classes is not None and (counts := class_histogram(raw)).sum() >= MIN_CHARS_JUDGED:
         by_class = distance(counts, classes)
+        far = by_class > MAX_CLASS_DISTANCE
     if common is not None and n >= MIN_WORDS_JUDGED:
-        by_word = distance(word_histogram(raw.translate(_LOWER).split()), common)
-    far = (by_class or 0) > MAX_CLASS_DISTANCE or by_word is not None and by_word > word_limit(n)
+        bins, shares, total = common
+        by_word = distance(word_histogram(raw.translate(_LOWER).split(), bins), shares)
+        far = far or by_word > word_limit(n, total)
     return n, chars, symbols, repeated_lines(raw), repeat, failed, not (failed or far), by_class, by_word
 
 
-def judged(batch: pa.RecordBatch, text_col: str, lang_col: str, found: References) -> list[tuple]:
-    """judge() of each row."""
+def judged(texts: pa.Array, langs: pa.Array, refs: pa.Array) -> list[tuple]:
+    """judge() of each row, by its language and that language's reference."""
     against: dict[str | None, tuple] = {}
     out = []
-    for lang, raw in zip(column(batch, lang_col).cast(pa.string()).to_pylist(), as_bytes(column(batch, text_col)), strict=True):
+    for i, (lang, raw) in enumerate(zip(langs.to_pylist(), as_bytes(texts), strict=True)):
         if lang not in against:
-            if len(against) > MAX_LANGS:
-                against.clear()
-            against[lang] = found.of(lang)
+            against[lang] = shares_of(refs[i].as_py())
         out.append(judge(raw, *against[lang]))
     return out
 
 
+def with_references(docs: DataFrame, text_col: str, lang_col: str) -> tuple[DataFrame, str, str]:
+    """docs with two columns more, whose names are given, too: the language as text and its reference."""
+    refs = references(docs, text_col, lang_col)
+    lang, ref = fresh(docs, "lang_of", "ref")
+    refs = refs.toDF(lang, ref)
+    if refs.count() <= BROADCAST_LANGS:
+        refs = F.broadcast(refs)
+    return docs.withColumn(lang, F.col(lang_col).cast("string")).join(refs, lang, "left"), lang, ref
+
+
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """One row per row of docs: id and FIELDS. Two narrow passes; the first one's sums are the only exchange."""
-    found = references(docs, text_col, lang_col)
+    """One row per row of docs: id and FIELDS. One pass for the references, one for the verdicts; texts are not shuffled
+    while the references are few enough to broadcast."""
     names = [x.split()[0] for x in FIELDS]
     types = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
+    held = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("own"))
+    both, lang, ref = with_references(held, "text", "own")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = judged(batch, text_col, lang_col, found)
-        return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], [id_col, *names])
+        rows = judged(*(column(batch, c) for c in ("text", lang, ref)))
+        return pa.RecordBatch.from_arrays([column(batch, "id"), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], [id_col, *names])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col, lang_col).mapInArrow(by_slice(work, text_col), f"`{id_col}` {kind}, {', '.join(FIELDS)}")
+    return both.select("id", "text", lang, ref).mapInArrow(by_slice(work), f"`{id_col}` {kind}, {', '.join(FIELDS)}")
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of docs that quality_rules keeps, with all their columns."""
-    found = references(docs, text_col, lang_col)
-    return kept_rows(docs, lambda batch: [r[6] for r in judged(batch, text_col, lang_col, found)], text_col)
+    both, lang, ref = with_references(docs, text_col, lang_col)
+    names = docs.columns
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        kept = [r[6] for r in judged(*(column(batch, c) for c in (text_col, lang, ref)))]
+        return pa.RecordBatch.from_arrays([column(batch, c) for c in names], names).filter(pa.array(kept, pa.bool_()))
+
+    schema = StructType([StructField(f.name, f.dataType) for f in docs.schema.fields])
+    return both.mapInArrow(by_slice(work, text_col), schema)

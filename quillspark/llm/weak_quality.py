@@ -24,8 +24,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.common import as_bytes, by_slice
-from quillspark.llm.quality_rules import class_histogram, repeated_lines, word_histogram
-
+from quillspark.llm.quality_rules import class_histogram, repeated_lines
+
+#: Frequent words of some languages, for the labeller "common".
+COMMON_WORDS = {
+    "en": "the of and to a in is was it that for on with as at by he be from are this not have or an had which you but his",
+    "fr": "le la les de des du un une et est en que qui dans pour par sur pas au ne se ce il elle avec son plus ou sont aux",
+    "de": "der die das und ist in zu den mit von des auf dem im nicht ein eine als auch es an werden aus er hat dass sie nach bei um",
+    "es": "el la los las de del un una y en que es por con para su se no al lo como más o este sus mi pero le ha si",
+}
+_COMMON = frozenset(" ".join(COMMON_WORDS.values()).encode().split())
 #: Rows that train the scorer at most: those of the least hashes of id and text.
 SAMPLE_ROWS = 4000
 #: Half for words, half for word shapes.
@@ -68,7 +76,7 @@ def facts(raw: bytes, words: list[bytes]) -> Facts:
     same = sum(map(bytes.__eq__, words[1:], words)) if len(words) > 1 else 0
     return Facts(
         len(words), h[7] / max(1, h.sum()), h[1] / max(1, h[0] + h[1] + h[9]), len(set(words)) / n, same / n,
-        1 - word_histogram(words)[-1] / n, lines, repeated_lines(raw) / lines, h[5] / n,
+        1 - (len(words) - sum(map(_COMMON.__contains__, words))) / n, lines, repeated_lines(raw) / lines, h[5] / n,
     )
 
 

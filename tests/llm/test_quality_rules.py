@@ -39,9 +39,9 @@ def test_distance_is_that_of_its_definition():
     s = p / p.sum()
     mid = (s + q) / 2
     kl = lambda a: sum(x * np.log2(x / y) for x, y in zip(a, mid, strict=True) if x)
-    assert abs(m.distance(p, np.array([q])) - np.sqrt((kl(s) + kl(q)) / 2)) < 1e-12
-    assert m.distance(p, np.array([q, s])) < 1e-7
-    assert abs(m.distance(np.array([1.0, 0]), np.array([[0.0, 1.0]])) - 1) < 1e-12
+    assert abs(m.distance(p, q) - np.sqrt((kl(s) + kl(q)) / 2)) < 1e-12
+    assert m.distance(p, s) < 1e-7
+    assert abs(m.distance(np.array([1.0, 0]), np.array([0.0, 1.0])) - 1) < 1e-12
 
 
 def test_rows_and_filter(spark):
@@ -82,9 +82,47 @@ def test_languages_without_a_reference_are_not_judged_by_histograms(spark):
     russian = lambda n: " ".join("".join(rng.choice("оеаинтсрвлкмдпуяыьгзбчйхжшюцщэфъё") for _ in range(rng.randint(2, 9))) for _ in range(n)) + "."
     rows = [(i, english(120), "en") for i in range(20)] + [(50, russian(200), None), (51, russian(20), "uk")] + [(60 + i, russian(1500), "ru") for i in range(9)] + [(80, "%$#&| " * 3 + russian(120).replace(" ", " <#$> "), "ru")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    found = m.references(docs)
-    assert sorted(found.classes) == ["en", "ru"] and sorted(found.words) == ["en"]
+    assert sorted(r["lang"] for r in m.references(docs).collect()) == ["en", "ru"]
     got = {r["doc_id"]: r for r in m.quality_rules(docs).collect()}
-    assert got[50]["kept"] and got[51]["kept"] and got[50]["class_distance"] is None and got[60]["word_distance"] is None
+    assert got[50]["kept"] and got[51]["kept"] and got[50]["class_distance"] is None and got[51]["word_distance"] is None and got[60]["word_distance"] is not None
     assert all(got[60 + i]["kept"] and got[60 + i]["class_distance"] < 0.2 for i in range(9))
     assert not got[80]["kept"] and got[80]["class_distance"] > m.MAX_CLASS_DISTANCE
+
+
+def many_languages():
+    """300 languages with words of their own, the same letters in all; of each a text of the language of the next one."""
+    rng = random.Random(4)
+    letters = "abcdefghij"
+    rows = []
+    for k in range(300):
+        common = ["".join(rng.choice(letters) for _ in range(3)) + letters[k % 10] for _ in range(12)]
+        rare = ["".join(rng.choice(letters) for _ in range(6)) for _ in range(400)]
+        text = lambda: " ".join(rng.choice(common) if rng.random() < 0.5 else rng.choice(rare) for _ in range(150))  # noqa: B023, E731
+        rows += [(10 * k + i, text(), f"l{k}") for i in range(4)] + [(10 * k + 5, text(), f"l{(k + 1) % 300}")]
+    return rows
+
+
+def test_every_language_has_a_reference_of_its_own_words(spark, monkeypatch):
+    rows = many_languages()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(7)
+    refs = {r["lang"]: r["ref"] for r in m.references(docs).collect()}
+    assert len(refs) == 300
+    for lang in ("l0", "l7", "l299"):
+        texts = [t for _, t, k in rows if k == lang]
+        words = [w.encode() for t in texts for w in t.split()]
+        top = sorted(((-words.count(w), w) for w in set(words)))[: m.COMMON]
+        assert [(-n, w) for n, w in top] == list(zip(refs[lang]["counts"], map(bytes, refs[lang]["words"]), strict=True))
+        assert refs[lang]["n_words"] == len(words) and sum(refs[lang]["classes"]) == sum(map(len, texts))
+    got = {r["doc_id"]: r for r in m.quality_rules(docs).collect()}
+    assert all(r["kept"] == (i % 10 < 4) for i, r in got.items())
+    monkeypatch.setattr(m, "BROADCAST_LANGS", 10)
+    monkeypatch.setattr(m, "HELD_COUNTS", 50)
+    assert {r["doc_id"]: r for r in m.quality_rules(docs).collect()} == got
+
+
+def test_columns_of_any_name(spark):
+    rows = [(i, "some words of a text that is long enough to pass every rule here", "en", 1, 2) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, ref int, lang_of int")
+    kept = m.keep_good(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == rows
+    assert m.quality_rules(docs, id_col="lang").columns[0] == "lang"
