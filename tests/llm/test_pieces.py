@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
@@ -233,3 +234,26 @@ def test_scores_are_those_of_brute_force(spark, known):
         logs = np.array([sum(log(plain_sums(" " + w, known, model.weights[:, k], language_id.UNKNOWN)[0][-1]) for w in words) for k in range(len(model.langs))])
         odds = np.exp(logs - logs.max())
         assert lang == model.langs[logs.argmax()] and np.isclose(score, 1 / odds.sum())
+
+
+def test_more_languages_than_are_scored_at_a_time(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = []
+    for k in range(230):
+        own = ["".join(rng.choice("abcdefghijklmnoprstuvz") for _ in range(rng.randint(2, 7))) for _ in range(20)]
+        rows += [(100 * k + i, " ".join(rng.choice(own) for _ in range(40)), f"l{k:03}") for i in range(6 + k % 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    model = language_id.fit(docs)
+    assert len(model.langs) == 230 and model.weights.shape[1] == 230 and len(model.gains) == 230
+    truth = {i: lang for i, _, lang in rows}
+    got = {r["doc_id"]: r for r in language_id.language_id(docs, model=model).collect()}
+    unseen = [i for i, r in got.items() if r["held_out"]]
+    assert len(unseen) > 200 and sum(got[i]["lang_pred"] == truth[i] for i in unseen) >= 0.97 * len(unseen)
+    texts = [t for _, t, _ in rows[:40]]
+    before = language_id.predict(texts, model, pieces_of())
+    monkeypatch.setattr(language_id, "COLUMNS", 7)
+    after = language_id.predict(texts, model, pieces_of())
+    assert before[0] == after[0] and before[2] == after[2] and np.allclose(before[1], after[1])
+    monkeypatch.setattr(language_id, "HELD_LANGS", 2)
+    again = language_id.fit(docs)
+    assert np.allclose(again.weights, model.weights) and np.allclose(again.gains, model.gains)
