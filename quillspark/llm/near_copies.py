@@ -4,15 +4,18 @@ At similarity 0.8 some 15 % of the bits of two SimHashes differ, too many for tw
 is indexed under TABLES masks that each leave BITS of its bits; equal masked values bring candidates together. Candidates
 are verified by their sets of shingles, so every link is a true one; what is missed is what shares no masked value.
 Groups of up to SMALL texts under a key give all their pairs; in larger ones a leader is linked to all texts that may be
-like it, and what is left chooses the next leader, so that no group gives all its pairs.
+like it, and what is left chooses the next leader, so that a group of copies doesn't give all its pairs.
 
-There are two rounds: the first few masks bring large groups of near copies together, and what they join counts as one
-component in the second round, which only looks for pairs across components.
+There are three rounds: the first few masks bring large groups of near copies together, and what they join counts as one
+component in the second round, which only looks for pairs across components. A follower that proves unlike its leader may
+still be like another one; so the third round goes through the larger groups again and gives all pairs across components
+that are left in them (`remaining`). No pair under a common key is left unlinked for the size of its group.
 """
 
 from __future__ import annotations
 
 import random
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +29,8 @@ WIDTH, SIMILARITY, SEED = 5, 0.8, 42
 WORDS, TABLES, BITS = 4, 160, 24
 #: Masks of the first round.
 FIRST = 16
+#: Masks whose keys are dealt out at a time, so that the exchange takes little disk.
+ALONG = 36
 #: Keys that one task sorts and goes through.
 ROWS_EACH = 4_000_000
 SMALL = 16
@@ -78,8 +83,8 @@ def wide(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(counts * 2 > len(hashes), axis=1, bitorder="little").view("<u8").ravel()
 
 
-def _keyed(nodes: DataFrame, masks: np.ndarray) -> DataFrame:
-    """(key, node, sig, n, part) for each mask; part is the node's component."""
+def _keyed(nodes: DataFrame, masks: np.ndarray, first: int = 0) -> DataFrame:
+    """(key, node, sig, n, part) for each mask, numbered from first; part is the node's component."""
     many = len(masks)
 
     def run(batches):
@@ -91,7 +96,7 @@ def _keyed(nodes: DataFrame, masks: np.ndarray) -> DataFrame:
                 keys = np.zeros((many, len(node)), np.uint64)
                 for t, mask in enumerate(masks):
                     for k in range(WORDS):
-                        keys[t] = mixed(keys[t] + (sigs[k] & mask[k]) * _ODD[k] + np.uint64(t + 1))
+                        keys[t] = mixed(keys[t] + (sigs[k] & mask[k]) * _ODD[k] + np.uint64(first + t + 1))
                 repeat = lambda x: pa.array(np.tile(x, many))
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), repeat(node), repeat(sigs[0].view(np.int64)), repeat(n.astype(np.int32)), repeat(component)], ["key", "node", "sig", "n", "part"])
 
@@ -102,8 +107,17 @@ def _alike(sa, na, sb, nb) -> np.ndarray:
     return (np.bitwise_count(sa ^ sb) <= FAR) & (np.minimum(na, nb) >= SIMILARITY * np.maximum(na, nb))
 
 
+def _crowded(keys: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """The rows of keys with more than SMALL rows, of more than one component."""
+    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    counts = np.diff(np.append(starts, len(keys)))
+    mixed = np.minimum.reduceat(part, starts) != np.maximum.reduceat(part, starts)
+    return np.flatnonzero(np.repeat((counts > SMALL) & mixed, counts))
+
+
 def _pairs(keys: np.ndarray, nodes: np.ndarray, sigs: np.ndarray, n: np.ndarray, part: np.ndarray) -> np.ndarray:
-    """Pairs of nodes of different components under one key. Rows are sorted by (key, node)."""
+    """Pairs of nodes of different components under one key: in groups of up to SMALL all that may be alike, in larger ones
+    (_crowded) those with a leader. Rows are sorted by (key, node)."""
     starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     counts = np.diff(np.append(starts, len(keys)))
     size = np.repeat(counts, counts)
@@ -129,17 +143,40 @@ def _pairs(keys: np.ndarray, nodes: np.ndarray, sigs: np.ndarray, n: np.ndarray,
 
 
 def candidates(nodes: DataFrame, masks: np.ndarray = MASKS) -> DataFrame:
-    """(a, b), a < b: pairs of nodes of different components that may be near copies. nodes: (node, n, part, w0 to w3), a
-    row for each node. Keys are gone through in order, so a task holds a batch and one key's rows."""
+    """(a, b, again): pairs a < b of nodes of different components that may be near copies, and, where again, (key, node)
+    for the rows of keys that `remaining` has to go through. nodes: (node, n, part, w0 to w3), a row for each node, written.
+    Keys are gone through in order, so a task holds a batch and one key's rows; the result is written, for ALONG masks at a time."""
 
     def run(batches):
+        row = lambda a, b, again: pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(a)), pa.array(np.ascontiguousarray(b)), pa.array(np.full(len(a), again))], ["a", "b", "again"])
         for keys, node, sigs, n, part in by_key(batches):
             found = _pairs(keys, node, sigs.view(np.uint64), n, part)
             if len(found):
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(found[:, i])) for i in range(2)], ["a", "b"])
-
-    parts = max(partitions(nodes.sparkSession), nodes.count() * len(masks) // ROWS_EACH)
-    return _keyed(nodes, masks).repartition(parts, "key").sortWithinPartitions("key", "node").mapInArrow(run, "a long, b long").distinct()
+                yield row(found[:, 0], found[:, 1], False)
+            more = _crowded(keys, part)
+            if len(more):
+                yield row(keys[more], node[more], True)
+
+    spark, many, out = nodes.sparkSession, nodes.count(), []
+    for at in range(0, len(masks), ALONG):
+        some = masks[at : at + ALONG]
+        parts = max(partitions(spark), many * len(some) // ROWS_EACH)
+        keyed = _keyed(nodes, some, at).repartition(parts, "key").sortWithinPartitions("key", "node")
+        out.append(written(keyed.mapInArrow(run, "a long, b long, again boolean").distinct(), "candidates"))
+    return reduce(DataFrame.union, out)
+
+
+def remaining(again: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b), a < b: all pairs of nodes of different components under one key that may be near copies. again: (key, node).
+    nodes: (node, n, part, w0). Each row is compared with those of a key's largest component, and rows of the others among
+    themselves: a join, which Spark splits where a key is large."""
+    rows = written(again.join(nodes.select("node", "n", "part", F.col("w0").alias("sig")), "node"), "crowded")
+    sizes = rows.groupBy("key", "part").agg(F.count(F.lit(1)).alias("many"))
+    main = sizes.groupBy("key").agg(F.max(F.struct("many", "part")).alias("most"), F.count(F.lit(1)).alias("parts")).where("parts > 1").selectExpr("key", "most.part AS main")
+    left = rows.join(main, "key").where("part <> main").selectExpr("key", "main", "node AS x", "n AS n_x", "part AS part_x", "sig AS sig_x")
+    alike = f"bit_count(sig ^ sig_x) <= {FAR} AND least(n, n_x) >= {SIMILARITY}D * greatest(n, n_x)"
+    pairs = left.join(rows, "key").where(f"part <> part_x AND (part = main OR node > x) AND {alike}")
+    return pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
 
 
 def gathered(batches, rows: int = 1 << 17):

@@ -263,17 +263,33 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = docs.select(F.xxhash64(text_col).alias("node"), F.col(text_col).alias("text"))
     fp_of = nodes.select("node", "fp")
 
-    def like(parts: DataFrame, masks: np.ndarray) -> DataFrame:
-        """Edges between fingerprints of texts that are verified to be alike, across the components of parts(fp, part)."""
-        held = nodes.join(parts, "fp", "left").withColumn("part", F.coalesce("part", "fp"))
-        pairs = written(near_copies.candidates(held, masks), "candidates")
+    def placed(parts: DataFrame) -> DataFrame:
+        return nodes.join(parts, "fp", "left").withColumn("part", F.coalesce("part", "fp"))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Edges between the fingerprints of pairs of texts that are verified to be alike."""
         near = near_copies.verified(pairs, texts)
         return near.join(fp_of.toDF("a", "fp_a"), "a").join(fp_of.toDF("b", "fp_b"), "b").where("fp_a <> fp_b").select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))
 
+    def like(parts: DataFrame, masks: np.ndarray) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Edges across the components of parts(fp, part), the pairs that were verified for them, and what is left to
+        go through, (key, node)."""
+        found = near_copies.candidates(written(placed(parts), "placed"), masks)
+        pairs = written(found.where("NOT again").select("a", "b").distinct(), "pairs")
+        return linked(pairs), pairs, found.where("again").selectExpr("a AS key", "b AS node")
+
     none = fp_of.limit(0).select("fp", F.col("fp").alias("part"))
-    edges = written(links(distinct.select("fp")).union(like(none, near_copies.MASKS[: near_copies.FIRST])), "edges")
+    edges, pairs, again = like(none, near_copies.MASKS[: near_copies.FIRST])
+    edges = written(links(distinct.select("fp")).union(edges), "edges")
     parts = components(edges).toDF("fp", "part")
-    whole = _named(distinct, parts.union(like(parts, near_copies.MASKS[near_copies.FIRST :])).toDF("a", "b"))
+    edges, pairs_2, again_2 = like(parts, near_copies.MASKS[near_copies.FIRST :])
+    edges = written(parts.union(edges).toDF("a", "b"), "edges")
+    again = again.union(again_2)
+    if not again.isEmpty():
+        parts = components(edges).toDF("fp", "part")
+        more = near_copies.remaining(again, placed(parts)).join(pairs.union(pairs_2), ["a", "b"], "left_anti")
+        edges = parts.union(linked(written(more, "pairs"))).toDF("a", "b")
+    whole = _named(distinct, edges)
     heads = whole.groupBy("component").agg(F.min("first").alias("first")).select("first")
     own, nth = fresh(docs, "key", "nth")
     order = F.row_number().over(Window.partitionBy(own).orderBy(text_col))

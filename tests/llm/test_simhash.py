@@ -145,6 +145,33 @@ def test_large_groups_give_few_pairs():
     assert not len(near_copies._pairs(*args, np.zeros(many, np.int64)))
 
 
+def test_large_groups_lose_no_pair(spark):
+    """Followers of a leader may be alike themselves, whatever becomes of their pairs with it."""
+    from quillspark.llm import near_copies
+
+    rng = random.Random(12)
+    wide = [rng.getrandbits(64) for _ in range(4)]
+    rows = []
+    for node in range(120):
+        w = list(wide)
+        for _ in range(rng.randint(0, 8)):
+            w[rng.randint(0, 3)] ^= 1 << rng.randint(0, 63)
+        rows.append((node, rng.randint(80, 110), node if node < 60 else 60 + node % 2, *(x - (1 << 64) if x >> 63 else x for x in w)))
+    nodes = spark.createDataFrame(rows, "node long, n long, part long, w0 long, w1 long, w2 long, w3 long")
+    masks = near_copies.MASKS[:40]  # of two calls' worth
+    found = near_copies.candidates(nodes, masks)
+    led = {(r["a"], r["b"]) for r in found.where("NOT again").collect()}
+    rest = {(r["a"], r["b"]) for r in near_copies.remaining(found.where("again").selectExpr("a AS key", "b AS node"), nodes).collect()}
+    sigs = np.array([[x & (1 << 64) - 1 for x in r[3:]] for r in rows], np.uint64)
+    want = set()
+    for a in range(120):
+        for b in range(a + 1, 120):
+            (_, n, part, w, *_), (_, m_, other, v, *_) = rows[a], rows[b]
+            if part != other and min(n, m_) >= 0.8 * max(n, m_) and ((w ^ v) & (1 << 64) - 1).bit_count() <= near_copies.FAR and ((sigs[a] ^ sigs[b]) & masks == 0).all(axis=1).any():
+                want.add((a, b))
+    assert led <= want and len(led) < len(want) and led | rest == want
+
+
 def test_filter_keeps_columns_of_any_name(spark):
     rows = [(1, "one text of some words", 7, 8), (2, "one text of some words", 9, 10), (None, None, 1, 2)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, _id int, key int").selectExpr("*", "1 AS _none", "2 AS nth", "3 AS _nth", "4 AS fp", "5 AS Hash")
