@@ -15,15 +15,18 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import defaultdict
 from collections.abc import Iterable
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame
 
 from quillspark.llm.common import by_slice
-from quillspark.llm.lattice import MOST, build, exact_parts, forward, pieces_of, shares
+from quillspark.llm.lattice import MOST, _edges, build, exact_parts, forward, order_of, pieces_of, shares
 
 SEED = 17
 #: The more texts are handled together, the more often a unit's lattice is used.
@@ -51,6 +54,7 @@ class Sampler:
         self.byte = p[p > 0].min()
         self.weights = np.append(p, 0)
         self.byte_ids = np.array([self.pieces.bytes[b] for b in range(256)])
+        self.text = pa.array(self.pieces.text, pa.large_binary())
 
     def _bytes_of(self, code: int) -> list[int]:
         return [self.pieces.bytes[b] for b in chr(code).encode("utf-8", "surrogatepass")]
@@ -92,7 +96,14 @@ class Sampler:
         share = shares(lattice, w[:, None], forward(lattice, w[:, None]))[:, 0]
         # likely pieces first: most draws end at the first; whole numbers, so that the order is the same in any company
         rank = (1 << 20) - (share * (1 << 20)).astype(np.int64)
-        order = np.argsort(lattice.stop.astype(np.int64) << 32 | rank << 8 | (lattice.stop - lattice.start))
+        first = _edges(lattice.stop)  # edges into a node lie together, the shortest first
+        nth = np.arange(len(rank)) - np.repeat(first, np.diff(np.append(first, len(rank))))
+        few = int(nth.max()).bit_length()
+        held = (lattice.stop.astype(np.int64) << 21 | rank) << few | nth
+        held.sort()
+        into = np.zeros(lattice.first[-1], np.int64)
+        into[lattice.stop[first]] = first
+        order = into[held >> 21 + few] + (held & ((1 << few) - 1))
         start, stop, piece, code, share = lattice.start[order], lattice.stop[order], lattice.piece[order], code[order].astype(np.int32), share[order]
         edge = np.flatnonzero(np.append(stop[1:] != stop[:-1], True))  # last edge into each node
         begin = np.append(0, edge[:-1] + 1)
@@ -107,7 +118,7 @@ class Sampler:
         sizes = np.array(sizes)
         at = place + np.arange(len(units)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         seeds = np.repeat(np.array(keys, np.uint64), sizes) ^ (at.astype(np.uint64) + np.uint64(1)) * _C3
-        active = np.argsort(units, kind="stable")  # occurrences of a unit side by side: near nodes are read together
+        active = order_of(units)  # occurrences of a unit side by side: near nodes are read together
         seeds, node, begin = seeds[active], lattice.first[units[active] + 1] - 1, lattice.first[units[active]]
         lengths = np.zeros(len(units), np.int32)
         drawn = []
@@ -150,6 +161,15 @@ class Sampler:
         """The text that was encoded: the pieces' bytes without the space in front."""
         return b"".join(map(self.pieces.text.__getitem__, ids))[1:].decode("utf-8", "surrogatepass")
 
+    def decode_all(self, rows: pa.ListArray) -> Iterable[str]:
+        """decode() of each row; null pieces decode to an empty text."""
+        taken = self.text.take(rows.flatten())
+        held, ends = memoryview(taken.buffers()[2] or b""), np.frombuffer(taken.buffers()[1], np.int64)[taken.offset :]
+        sizes = pa.compute.fill_null(pa.compute.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
+        at = ends[np.concatenate(([0], np.cumsum(sizes)))].tolist()
+        for a, b in zip(at[:-1], at[1:], strict=True):
+            yield str(held[a + 1 : b], "utf-8", "surrogatepass") if b > a else ""
+
 
 def _numbered(texts: Iterable[list[str]]) -> tuple[dict[str, int], np.ndarray, list[int]]:
     """Numbers of the distinct units, those of all units in order, and how many units each text has."""
@@ -158,8 +178,7 @@ def _numbered(texts: Iterable[list[str]]) -> tuple[dict[str, int], np.ndarray, l
     for found in texts:
         sizes.append(len(found))
         units += found
-    number = dict.fromkeys(units)
-    number = dict(zip(number, range(len(number)), strict=True))
+    number: dict[str, int] = defaultdict(count().__next__)
     return number, np.fromiter(map(number.__getitem__, units), np.int32, len(units)), sizes
 
 
@@ -201,7 +220,7 @@ def decode(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
     def run(batches):
         sampler = Sampler()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([sampler.decode(x.tolist()) for x in _arrays(batch)], pa.string())], [id_col, "text"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sampler.decode_all(batch.column(1)), pa.string())], [id_col, "text"])
 
     kind = encoded.schema[id_col].dataType.simpleString()
     return encoded.select(id_col, "pieces").mapInArrow(run, f"`{id_col}` {kind}, text string")
@@ -214,7 +233,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", see
     def run(batches):
         sampler = Sampler()
         for batch in _encoder(id_col, text_col, seed)(batches):
-            rows = [(len(x), hashlib.sha256(x.astype("<i4").tobytes()).hexdigest(), hashlib.sha256(sampler.decode(x.tolist()).encode("utf-8", "surrogatepass")).hexdigest()) for x in _arrays(batch)]
+            rows = [(len(x), hashlib.sha256(x.astype("<i4").tobytes()).hexdigest(), hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()) for x, text in zip(_arrays(batch), sampler.decode_all(batch.column(1)), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c) for c in zip(*rows, strict=True))], [id_col, "n_pieces", "pieces_sha256", "decoded_sha256"])
 
     kind = docs.schema[id_col].dataType.simpleString()

@@ -257,3 +257,24 @@ def test_more_languages_than_are_scored_at_a_time(spark, monkeypatch):
     monkeypatch.setattr(language_id, "HELD_LANGS", 2)
     again = language_id.fit(docs)
     assert np.allclose(again.weights, model.weights) and np.allclose(again.gains, model.gains)
+
+
+def test_sorting_by_numbers_is_a_stable_argsort():
+    from quillspark.llm.lattice import order_of
+
+    rng = np.random.default_rng(6)
+    for keys in (np.zeros(0, np.int64), np.array([5], np.int32), rng.integers(0, 9, 1000), rng.integers(0, 9, 1000, np.int32), rng.integers(0, 1 << 62, 1000)):
+        assert (order_of(keys) == np.argsort(keys, kind="stable")).all()
+
+
+def test_rows_decode_together_as_one_by_one():
+    import pyarrow as pa
+
+    from quillspark.llm.sampled_pieces import Sampler
+
+    sampler = Sampler()
+    texts = ["", "a day", " ▁ é 漢字 \U0001f600", "x" * 3000, ""]
+    rows = [x.tolist() for x in sampler.encode([1, 2, 3, 4, 5], texts)]
+    batch = pa.array([*rows[:3], None, *rows[3:]], pa.list_(pa.int32()))
+    assert list(sampler.decode_all(batch)) == [*texts[:3], "", *texts[3:]] == [*map(sampler.decode, rows[:3]), "", *map(sampler.decode, rows[3:])]
+    assert list(sampler.decode_all(batch[2:4])) == [texts[2], ""] and list(sampler.decode_all(batch[:0])) == []
