@@ -31,6 +31,8 @@ WORDS, TABLES, BITS = 4, 160, 24
 FIRST = 16
 #: Masks whose keys are dealt out at a time, so that the exchange takes little disk.
 ALONG = 36
+#: Nodes to which a broadcast is bound: texts that few pairs need are then found without an exchange of all texts.
+FEW = 1 << 19
 #: Keys that one task sorts and goes through.
 ROWS_EACH = 4_000_000
 SMALL = 16
@@ -213,7 +215,8 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(raw).view(np.int64) for raw in as_bytes(batch.column(1))], pa.list_(pa.int64()))], ["node", "held"])
 
-    one = texts.join(need, "node", "left_semi").dropDuplicates(["node"])
+    need = written(need, "need")
+    one = texts.join(F.broadcast(need) if need.count() <= FEW else need, "node", "left_semi").dropDuplicates(["node"])
     sets = written(one.select("node", "text").mapInArrow(by_slice(cut), "node long, held array<long>"), "shingles")
     both = pairs.join(sets.selectExpr("node AS a", "held AS held_a"), "a").join(sets.selectExpr("node AS b", "held AS held_b"), "b")
 

@@ -241,7 +241,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row of each component, with all its columns: that of the smallest id, null ids last, and among rows of that id
     the first by a hash of the text. Besides near_duplicates' links, texts of like sets of 5-word shingles (near_copies)
     are linked. Rows are told apart by id and text, so that ids may be null or repeated."""
-    # ids as a pair without nulls: one exchange by the key serves the numbering and the join
+    # ids as a pair without nulls; single columns at the end, since a struct is cast, and so dealt out again, for a join
     key = F.struct(F.col(id_col).isNull().alias("none"), F.coalesce(F.col(id_col), F.lit(0).cast(docs.schema[id_col].dataType)).alias("id"), F.xxhash64(text_col).alias("hash"))
     named = docs.select(key.alias("key"), F.col(text_col).alias("text"))
     sigs = [f"w{k}" for k in range(near_copies.WORDS)]
@@ -290,8 +290,9 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         more = near_copies.remaining(again, placed(parts)).join(pairs.union(pairs_2), ["a", "b"], "left_anti")
         edges = parts.union(linked(written(more, "pairs"))).toDF("a", "b")
     whole = _named(distinct, edges)
-    heads = whole.groupBy("component").agg(F.min("first").alias("first")).select("first")
-    own, nth = fresh(docs, "key", "nth")
-    order = F.row_number().over(Window.partitionBy(own).orderBy(text_col))
-    first = docs.withColumn(own, key).withColumn(nth, order).where(F.col(nth) == 1)  # cut by a group limit before the exchange
-    return first.join(heads.withColumnRenamed("first", own), own, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    *own, nth = fresh(docs, "none", "id", "hash", "nth")
+    heads = whole.groupBy("component").agg(F.min("first").alias("first")).select(*(F.col(f"first.{part}").alias(name) for part, name in zip(("none", "id", "hash"), own, strict=True)))
+    order = F.row_number().over(Window.partitionBy(*own).orderBy(text_col))
+    keyed = docs.select("*", key.alias(nth)).select(*(F.col(f"`{c}`") for c in docs.columns), *(F.col(f"{nth}.{part}").alias(name) for part, name in zip(("none", "id", "hash"), own, strict=True)))
+    first = keyed.withColumn(nth, order).where(F.col(nth) == 1)  # cut by a group limit before the exchange
+    return first.join(heads, own, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))

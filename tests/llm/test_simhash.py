@@ -172,6 +172,18 @@ def test_large_groups_lose_no_pair(spark):
     assert led <= want and len(led) < len(want) and led | rest == want
 
 
+def test_filter_deals_documents_out_once(spark):
+    rows = [(k, f"{k} is a text of some words") for k in range(30)]
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = m.keep_first(spark.createDataFrame(rows, "doc_id long, text string"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    join, window = plan.index("LeftSemi"), plan.index("Window")
+    assert join < window and "Exchange" not in plan[join:window]
+
+
 def test_filter_keeps_columns_of_any_name(spark):
     rows = [(1, "one text of some words", 7, 8), (2, "one text of some words", 9, 10), (None, None, 1, 2)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, _id int, key int").selectExpr("*", "1 AS _none", "2 AS nth", "3 AS _nth", "4 AS fp", "5 AS Hash")
