@@ -8,8 +8,10 @@ like it, and what is left chooses the next leader, so that a group of copies doe
 
 There are three rounds: the first few masks bring large groups of near copies together, and what they join counts as one
 component in the second round, which only looks for pairs across components. A follower that proves unlike its leader may
-still be like another one; so the third round goes through the larger groups again and gives all pairs across components
-that are left in them (`remaining`). No pair under a common key is left unlinked for the size of its group.
+still be like another one; so the third round goes through the texts of the larger groups again (`overlapping`). There
+texts meet by the rarest of their shingles, since two that are like enough share one of these; what a group of near copies
+has in common is frequent and brings nothing together, so texts that are a little too far apart don't give all their pairs.
+The bounds are exact: no pair under a common key is left unlinked for the size of its group.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -36,6 +38,8 @@ FEW = 1 << 19
 #: Keys that one task sorts and goes through.
 ROWS_EACH = 4_000_000
 SMALL = 16
+#: Texts meet in classes of size, each so many times as large as the one before.
+CLASS = 1.05
 #: Of the first 64 bits, so many may differ between candidates: 3.6 standard deviations above the mean at SIMILARITY.
 FAR = 20
 BLOCK = 1 << 14
@@ -146,7 +150,7 @@ def _pairs(keys: np.ndarray, nodes: np.ndarray, sigs: np.ndarray, n: np.ndarray,
 
 def candidates(nodes: DataFrame, masks: np.ndarray = MASKS) -> DataFrame:
     """(a, b, again): pairs a < b of nodes of different components that may be near copies, and, where again, (key, node)
-    for the rows of keys that `remaining` has to go through. nodes: (node, n, part, w0 to w3), a row for each node, written.
+    for the rows of keys that `overlapping` has to go through. nodes: (node, n, part, w0 to w3), a row for each node, written.
     Keys are gone through in order, so a task holds a batch and one key's rows; the result is written, for ALONG masks at a time."""
 
     def run(batches):
@@ -168,17 +172,54 @@ def candidates(nodes: DataFrame, masks: np.ndarray = MASKS) -> DataFrame:
     return reduce(DataFrame.union, out)
 
 
+def _across(rows: DataFrame, keys: list[str], more: list[str], alike: str) -> DataFrame:
+    """(a, b), a < b: the pairs of nodes of different components, with equal keys, for which `alike` holds. rows: keys, node,
+    part and the columns `more`; alike speaks of a row's columns and, with _x behind their names, of another row's that is
+    outside the largest component of its keys; main is that component. The other row is of any component, so that members
+    of the largest one don't meet each other. A join, which Spark splits where a key is large."""
+    sizes = rows.groupBy(*keys, "part").agg(F.count(F.lit(1)).alias("many"))
+    main = sizes.groupBy(*keys).agg(F.max(F.struct("many", "part")).alias("most"), F.count(F.lit(1)).alias("parts")).where("parts > 1").selectExpr(*keys, "most.part AS main")
+    left = rows.join(main, keys).where("part <> main").select(*keys, "main", *(F.col(c).alias(f"{c}_x") for c in ("node", "part", *more)))
+    pairs = left.join(rows, keys).where(f"part <> part_x AND {alike}")
+    return pairs.select(F.least("node_x", "node").alias("a"), F.greatest("node_x", "node").alias("b")).distinct()
+
+
 def remaining(again: DataFrame, nodes: DataFrame) -> DataFrame:
     """(a, b), a < b: all pairs of nodes of different components under one key that may be near copies. again: (key, node).
-    nodes: (node, n, part, w0). Each row is compared with those of a key's largest component, and rows of the others among
-    themselves: a join, which Spark splits where a key is large."""
+    nodes: (node, n, part, w0). As many as the square of a group's size: the plain form of overlapping, which needs no texts."""
     rows = written(again.join(nodes.select("node", "n", "part", F.col("w0").alias("sig")), "node"), "crowded")
-    sizes = rows.groupBy("key", "part").agg(F.count(F.lit(1)).alias("many"))
-    main = sizes.groupBy("key").agg(F.max(F.struct("many", "part")).alias("most"), F.count(F.lit(1)).alias("parts")).where("parts > 1").selectExpr("key", "most.part AS main")
-    left = rows.join(main, "key").where("part <> main").selectExpr("key", "main", "node AS x", "n AS n_x", "part AS part_x", "sig AS sig_x")
-    alike = f"bit_count(sig ^ sig_x) <= {FAR} AND least(n, n_x) >= {SIMILARITY}D * greatest(n, n_x)"
-    pairs = left.join(rows, "key").where(f"part <> part_x AND (part = main OR node > x) AND {alike}")
-    return pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+    return _across(rows, ["key"], ["n", "sig"], f"(part = main OR node > node_x) AND bit_count(sig ^ sig_x) <= {FAR} AND least(n, n_x) >= {SIMILARITY}D * greatest(n, n_x)")
+
+
+def _reach(n: str, other: str) -> str:
+    """SQL for the number of rarest shingles of a text of n among which is one that it shares with a like text of `other`:
+    all but one less than they must share. A rounding error makes it larger, which loses nothing."""
+    return f"{n} - ceil({SIMILARITY / (1 + SIMILARITY)!r}D * ({n} + {other}) - 1e-6D) + 1"
+
+
+def overlapping(again: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b), a < b: pairs of nodes of different components, among them all that are near copies and under one key of
+    again(key, node). nodes: (node, n, part). texts: (node, text), rows of one node have one text.
+
+    Shingles are ordered from the rarest, in one order for all texts. If two texts are like enough, the first shingle that
+    they share stands so early in both (_reach) that enough may follow. The shorter text is found by what it has up to
+    there for a text of its own size or more, in its class of size; the longer one looks it up in each class that it may
+    be in, by what it has up to there for that class."""
+    rows = again.join(nodes.select("node", "part"), "node")
+    crowded = rows.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
+    need = written(rows.join(crowded, "key", "left_semi").select("node", "part").distinct(), "crowded")
+    held = _sets(need.select("node"), texts).join(need, "node").select("node", "part", F.size("held").alias("n"), F.explode("held").alias("shingle"))
+    found = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("many"), (F.min("part") != F.max("part")).alias("across"))
+    at = F.row_number().over(Window.partitionBy("node").orderBy("many", "shingle"))
+    least = f"ceil({SIMILARITY}D * n - 1e-6D)"
+    early = held.join(found, "shingle").withColumn("at", at).where(f"across AND at <= {_reach('n', least)}")
+    size = lambda n: f"CAST(floor(ln({n}) / ln({CLASS}D)) AS INT)"
+    of_class = f"greatest({least}, CAST(floor(pow({CLASS}D, class) * (1 - 1e-9D)) AS BIGINT))"
+    short = early.where(f"at <= {_reach('n', 'n')}").select("*", F.expr(size("n")).alias("class"), F.lit(True).alias("short"))
+    long = early.select("*", F.explode(F.expr(f"sequence({size(least)}, {size('n')})")).alias("class"), F.lit(False).alias("short")).where(f"at <= {_reach('n', of_class)}")
+    met = written(short.union(long).select("shingle", "class", "short", "node", "part", "n", "at"), "early")
+    sides = "short <> short_x AND (part = main OR short_x) AND IF(short, n <= n_x, n_x <= n)"
+    return _across(met, ["shingle", "class"], ["short", "n", "at"], f"{sides} AND at <= {_reach('n', 'n_x')} AND at_x <= {_reach('n_x', 'n')}")
 
 
 def gathered(batches, rows: int = 1 << 17):
@@ -208,16 +249,19 @@ def by_key(batches):
         yield held
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs whose shingles are like enough. texts: (node, text), rows of one node have one text."""
-    need = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def _sets(need: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, held): the shingles of each node of need, which is written. texts: (node, text), rows of one node have one text."""
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(raw).view(np.int64) for raw in as_bytes(batch.column(1))], pa.list_(pa.int64()))], ["node", "held"])
 
-    need = written(need, "need")
     one = texts.join(F.broadcast(need) if need.count() <= FEW else need, "node", "left_semi").dropDuplicates(["node"])
-    sets = written(one.select("node", "text").mapInArrow(by_slice(cut), "node long, held array<long>"), "shingles")
+    return written(one.select("node", "text").mapInArrow(by_slice(cut), "node long, held array<long>"), "shingles")
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs whose shingles are like enough. texts: (node, text), rows of one node have one text."""
+    sets = _sets(written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "need"), texts)
     both = pairs.join(sets.selectExpr("node AS a", "held AS held_a"), "a").join(sets.selectExpr("node AS b", "held AS held_b"), "b")
 
     def run(batches):

@@ -287,7 +287,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     again = again.union(again_2)
     if not again.isEmpty():
         parts = components(edges).toDF("fp", "part")
-        more = near_copies.remaining(again, placed(parts)).join(pairs.union(pairs_2), ["a", "b"], "left_anti")
+        more = near_copies.overlapping(again, placed(parts), texts).join(pairs.union(pairs_2), ["a", "b"], "left_anti")
         edges = parts.union(linked(written(more, "pairs"))).toDF("a", "b")
     whole = _named(distinct, edges)
     *own, nth = fresh(docs, "none", "id", "hash", "nth")

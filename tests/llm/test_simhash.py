@@ -172,6 +172,56 @@ def test_large_groups_lose_no_pair(spark):
     assert led <= want and len(led) < len(want) and led | rest == want
 
 
+def near_copies_of_one_text(rng, many):
+    """Texts that are somewhat too far apart to be linked, but for a few."""
+    base = [f"w{k}" for k in range(150)]
+    for _ in range(many):
+        words = list(base)
+        for at in rng.sample(range(150), rng.choice([2, 4, 5, 6])):
+            words[at] = f"x{rng.randint(0, 10**6)}"
+        yield words + ["end"] * rng.randint(0, 1)
+
+
+def test_near_copies_that_are_too_far_apart_give_few_pairs(spark, monkeypatch):
+    """Pairs across components in a large group are found by rare shingles: all that are like enough, and few others."""
+    from quillspark.llm import near_copies
+
+    rng = random.Random(3)
+    texts = list(near_copies_of_one_text(rng, 200))
+    for k in range(0, 40, 2):  # like their own original: a few words more or less, or changed
+        words = list(texts[k])
+        at = rng.randint(20, 120)
+        texts.append(words[: rng.randint(125, 150)] if k % 4 else [*words[:at], "new", *words[at + rng.randint(0, 5) :]])
+    texts = [" ".join(t) for t in texts]
+    sets = [set(near_copies.shingles(t.encode()).tolist()) for t in texts]
+    part = [k if k % 3 else 0 for k in range(len(texts))]  # a large component and single texts
+    nodes = spark.createDataFrame([(k, len(x), part[k]) for k, x in enumerate(sets)], "node long, n long, part long")
+    again = spark.createDataFrame([(key, k) for k in range(len(texts)) for key in (5, 6)], "key long, node long")
+    found = near_copies.overlapping(again, nodes, spark.createDataFrame(list(enumerate(texts)), "node long, text string"))
+    got = {(r["a"], r["b"]) for r in found.collect()}
+    pairs = [(a, b) for b in range(len(texts)) for a in range(b) if part[a] != part[b]]
+    want = {(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert all(part[a] != part[b] for a, b in got) and want <= got and len(want) > 60
+    assert len(got) < len(pairs) / 10
+    # in the whole filter, too
+    counts, verified = [], near_copies.verified
+    monkeypatch.setattr(near_copies, "verified", lambda pairs, texts: counts.append(pairs.count()) or verified(pairs, texts))
+    many = [" ".join(t) for t in near_copies_of_one_text(rng, 500)]
+    m.keep_first(spark.createDataFrame(list(enumerate(many)), "doc_id long, text string")).count()
+    assert len(counts) == 3 and counts[2] < 5 * len(many)
+
+
+def test_overlapping_without_anything_to_find(spark):
+    from quillspark.llm import near_copies
+
+    nodes, texts = spark.createDataFrame([(1, 1, 7), (2, 1, 7)], "node long, n long, part long"), spark.createDataFrame([(1, "a"), (2, "b")], "node long, text string")
+    again = spark.createDataFrame([(5, 1), (5, 2)], "key long, node long")
+    assert not near_copies.overlapping(again, nodes, texts).count() and not near_copies.overlapping(again.limit(0), nodes, texts).count()
+    apart = spark.createDataFrame([(1, 1, 7), (2, 1, 8)], "node long, n long, part long")
+    assert not near_copies.overlapping(again, apart, texts).count()
+    assert near_copies.overlapping(again, apart, texts.selectExpr("node", "'A b' AS text")).count() == 1
+
+
 def test_filter_deals_documents_out_once(spark):
     rows = [(k, f"{k} is a text of some words") for k in range(30)]
     held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
