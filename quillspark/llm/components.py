@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.common import clear, made, written
 
+#: Edges that one task of a round writes: a round over few edges is few tasks and files, however many partitions there are.
+EDGES_EACH = 100_000
+
 
 def _both(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -38,7 +41,7 @@ def components(edges: DataFrame) -> DataFrame:
     was, is_now = None, mark(now)
     while is_now != was and is_now[0]:
         before = made()[-1]
-        now = written(_small_star(_large_star(now)), "edges")
+        now = written(_small_star(_large_star(now)).coalesce(1 + is_now[0] // EDGES_EACH), "edges")
         was, is_now = is_now, mark(now)
         clear(edges.sparkSession, [before])
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select("b", "b").distinct())

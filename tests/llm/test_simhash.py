@@ -8,6 +8,7 @@ import pytest
 import xxhash
 
 from quillspark.llm import simhash as m
+from quillspark.llm.common import written
 from quillspark.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -99,6 +100,23 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_rounds_over_few_edges_write_few_files(spark, monkeypatch):
+    from quillspark.llm import components as c
+
+    files = []
+    monkeypatch.setattr(c, "written", lambda df, name: files.append(len((out := written(df, name)).inputFiles())) or out)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long").repartition(40)
+    held = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert {r["component"] for r in components(edges).collect()} == {0} and set(files[1:]) == {1} and len(files) > 2
+        del files[:]
+        monkeypatch.setattr(c, "EDGES_EACH", 20)  # more edges, more tasks
+        assert {r["component"] for r in components(edges).collect()} == {0} and max(files[1:]) > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", held)
+
+
 def test_query_and_filter(spark):
     base = [f"{w} day by the long river of stones {w} and {w} again it goes on" for w in ("one", "two", "six")]
     rows = [(10, base[0]), (3, base[0].upper()), (7, base[1]), (8, base[1] + " "), (9, base[2]), (11, None), (12, ""), (13, "a"), (9, base[2]), (None, base[1])]
