@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -57,8 +59,11 @@ def json_records(spark: SparkSession, path: str, schema: StructType | str) -> Da
 
 
 def csv_records(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """CSV with a header, quoted line ends and doubled quotes; the schema is given, never inferred."""
-    return spark.read.csv(path, schema=schema, header=True, multiLine=True, escape='"')
+    """CSV with a header, quoted line ends and doubled quotes; the schema is given, never inferred. Blanks at the ends of
+    texts stay; nothing between two commas is null, a pair of quotes an empty text. Spark reads both as its nullValue where
+    that is empty, so it is a text that stands nowhere."""
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    return spark.read.csv(path, schema=schema, header=True, multiLine=True, escape='"', nullValue=uuid.uuid4().hex, **blanks)
 
 
 def dimension(spark: SparkSession, path: str, schema: str, section: str | None = None, fallback: dict | None = None) -> DataFrame:

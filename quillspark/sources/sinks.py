@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
+#: Texts are written as they are: blanks at their ends stay, an empty text is a pair of quotes and a null is nothing.
+CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": '""', "nullValue": ""}
+
 
 def csv_encoded(rows: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """rows with the columns in order, nested ones as JSON, null as an empty text."""
+    """rows with the columns in order, nested ones as JSON."""
     nested = (ArrayType, MapType, StructType)
     kinds = {f.name: f.dataType for f in rows.schema.fields}
     return rows.select(*(F.to_json(c).alias(c) if isinstance(kinds[c], nested) else F.col(c) for c in columns or rows.columns))
@@ -18,11 +21,11 @@ def replace_csv(rows: DataFrame, path: str, columns: list[str] | None = None) ->
     """Replaces the CSV; an empty table is an error, and leaves what was there."""
     if rows.isEmpty():
         raise ValueError("there is nothing to write")
-    csv_encoded(rows, columns).write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="", nullValue="")
+    csv_encoded(rows, columns).write.mode("overwrite").options(**CSV).csv(path)
 
 
 def append_csv(rows: DataFrame, path: str, columns: list[str] | None = None) -> None:
-    csv_encoded(rows, columns).write.mode("append").csv(path, header=True, escape='"', emptyValue="", nullValue="")
+    csv_encoded(rows, columns).write.mode("append").options(**CSV).csv(path)
 
 
 def append_json(rows: DataFrame, path: str) -> None:

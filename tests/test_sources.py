@@ -40,6 +40,14 @@ def test_csv_round_trip(spark, tmp_path):
     assert readers.csv_records(spark, path, "i int, t string, ids string").count() == 3
 
 
+def test_csv_keeps_blanks_and_empty_texts(spark, tmp_path):
+    odd = ["", None, " a", "a ", "\ta\n", "a\r\nb", "\r", "\n", " ", "\x1f", "\x00", "a\\", '\\"', '"', '""', 'a","b', '"\n', '",\n"', "\ufeffa", "#a", "null"]
+    rows, path = spark.createDataFrame(list(enumerate(odd)), "i int, t string").coalesce(1), str(tmp_path / "c")
+    sinks.replace_csv(rows, path)
+    sinks.append_csv(rows.withColumn("i", F.col("i") + len(odd)), path)
+    assert [r["t"] for r in readers.csv_records(spark, path, "i int, t string").orderBy("i").collect()] == odd * 2
+
+
 def test_dimensions_queues_and_requirements(spark, tmp_path):
     (tmp_path / "d.yaml").write_text("A: {id: 1, name: Bank}\nB: {id: 2, name: Fund}\n")
     assert readers.dimension(spark, str(tmp_path / "d.yaml"), "ticker string, id int, name string").count() == 2
