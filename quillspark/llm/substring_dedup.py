@@ -3,15 +3,19 @@
 Texts lie in a table bucketed by block (a few MB of documents), so the rounds below read them without dealing them out
 again. Only what can repeat is sorted:
 
-1. Every window of `length` bytes is led by the least of its 16-byte grams; windows with equal bytes have equal leaders,
-   so a window whose leader stands in one document only repeats nowhere. Blocks send their distinct leaders with how many
-   runs each has, and learn which of them several documents have, and which have very many runs.
-2. A run of windows with one leader is a string. A block sorts its runs of shared leaders as suffixes (suffix_sort) and
-   compares their bytes, so that equal runs are sent once, with the least id. What is sent is sorted again, all windows as
-   suffixes, by ranges of leaders: the runs first, since most that have equals are equal as a whole, then all windows of
-   the distinct runs of leaders that have several; neighbours equal over `length` bytes are the same window, and all but
-   those of the least id go. Leaders with very many runs send single windows, dealt by content and one for each block, so a common
-   passage lands in no single task.
+1. Every window of `length` bytes is led by the least of its 16-byte grams; windows with equal bytes have equal leaders.
+   A run of windows with one leader falls into two halves, by where the leader stands in them; those of the left half have
+   some bytes before the leader in common, those of the right half some behind it. A leader with these bytes is the half's
+   key (33 bytes or more: a leader alone is shared by chance in large tables), and a window whose key stands in one
+   document only repeats nowhere. Blocks send their distinct keys with how many runs each has, and learn which of them
+   several documents have, and which have very many runs.
+2. The part of a run that has shared keys is a string. A block sorts its strings as suffixes (suffix_sort) and
+   compares their bytes, so that equal ones are sent once, with the least id. What is sent is sorted again, all windows as
+   suffixes, by ranges of leaders: the strings first, since most that have equals are equal as a whole, then all windows of
+   the distinct strings of leaders that have several; neighbours equal over `length` bytes are the same window, and all but
+   those of the least id go. Keys with very many runs send single windows, dealt by content and one for each block, so a common
+   passage lands in no single task. Where most of the text repeats, ranges of leaders are sent in several turns, so that an
+   exchange has no more than about TURN_SHARE of the text's bytes.
 
 Hashes choose what is sent where; what goes is decided by bytes of neighbours among sorted suffixes. What is sent are packed
 rows, at most one for each block and part and none without content: their number is bounded by that of the leaders, so it
@@ -26,6 +30,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +48,9 @@ BLOCK_BYTES, BLOCKS, CHUNK = 4 << 20, 3, 1 << 19
 BUCKETS = 20_000
 #: A part of the leaders covers so many bytes of text; so many parts where there is less text.
 PART_BYTES, PARTS = 64 << 20, 48
-#: Distinct runs of one leader, summed over blocks, beyond which single windows are dealt by content.
+#: Bytes of one turn's strings, as a share of the text's bytes; bytes that a shared key is taken to send.
+TURN_SHARE, SENT_EACH = 1.0, 52
+#: Distinct runs of one key, summed over blocks, beyond which single windows are dealt by content.
 MANY = 1024
 NO_ID = (1 << 63) - 1
 _M1, _M2, _B = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93
@@ -62,9 +70,14 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 _BYTE_CODES = np.array([int.from_bytes(hashlib.blake2b(bytes([b]), digest_size=8).digest(), "big") for b in range(256)], np.uint64)
 
 
+def mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(_M1)
+    return h ^ (h >> np.uint64(29))
+
+
 class Runs:
     """Runs of windows with one leader in a piece of text: leader's hash and place in the run, a hash of the run's bytes,
-    document (row), first and last window; and the piece's bytes."""
+    document (row), first and last window, how many windows are of its left half, keys of its halves; and the piece's bytes."""
 
     def __init__(self, pieces: list[tuple[int, int, bytes]], length: int) -> None:
         sizes = np.array([len(x) for _, _, x in pieces], np.int64)
@@ -77,8 +90,8 @@ class Runs:
         total = int(counts.sum())
         self.begin = ends - sizes
         if not total:
-            self.leader = self.context = np.zeros(0, np.uint64)
-            self.doc = self.low = self.high = self.lead = np.zeros(0, np.int64)
+            self.leader = self.context = self.left = self.right = np.zeros(0, np.uint64)
+            self.doc = self.low = self.high = self.lead = self.lefts = np.zeros(0, np.int64)
             return
         m1, m2 = np.uint64(_M1), np.uint64(_M2)
         load = np.ndarray((n + 16,), "<u8", buffer=self.raw, strides=(1,)).astype(np.uint64)
@@ -106,6 +119,13 @@ class Runs:
         # the least of many hashes are small numbers: mixed again, so that ranges of them are equally full
         leader = (h[leader_at] ^ (h[leader_at] >> np.uint64(31))) * m2
         self.leader = leader ^ (leader >> np.uint64(32))
+        # windows with `half` bytes or more before the leader, and the others; grams that all of a half's windows hold
+        half = (length - GRAM) // 2 + 1
+        behind = length - half + 1 - GRAM
+        self.lefts = np.clip(self.lead - half + 1, 0, self.high - self.low + 1)
+        gram = lambda shift: h[np.clip(leader_at + shift, 0, n - 1)]
+        self.left = mixed(mixed(self.leader ^ gram(-half)) + gram(min(GRAM - half, 0)))
+        self.right = mixed(mixed(self.leader + gram(behind)) ^ gram(min(GRAM, behind)))
         power, inverse = _power_tables(max(n, CHUNK + 4096))
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE_CODES[self.data[:n]] * power[:n])))
         c = (sums[self.high + length] - sums[self.low]) * inverse[self.low]
@@ -154,6 +174,11 @@ class Block:
         self.leader, self.context = gather("leader", np.uint64), gather("context", np.uint64)
         self.doc = self.rank[gather("doc", np.int64)] if len(self.ids) else np.zeros(0, np.int64)
         self.low, self.high, self.lead = gather("low", np.int64), gather("high", np.int64), gather("lead", np.int64)
+        lefts, left, right = gather("lefts", np.int64), gather("left", np.uint64), gather("right", np.uint64)
+        # halves: those of the left first
+        first, second = np.flatnonzero(lefts > 0), np.flatnonzero(lefts <= self.high - self.low)
+        self.lefts, self.n_left = lefts, len(first)
+        self.run, self.key = np.concatenate((first, second)), np.concatenate((left[first], right[second]))
         # all pieces end to end: where each run begins in them, and (document, offset in it, place, bytes) of each piece
         self.raw = b"".join([*(g.raw for g in groups), bytes(64)])
         self.data = np.frombuffer(self.raw, np.uint8)
@@ -162,9 +187,9 @@ class Block:
         self.pieces = [(doc, offset, int(b + start), len(x)) for b, g in zip(base[:-1].tolist(), groups, strict=True) for (doc, offset, x), start in zip(g.pieces, g.begin.tolist(), strict=True)]
 
     def leaders(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct leaders (48 bits, sorted), about how many distinct runs each has (255 at most), and which of them leads
-        each run."""
-        key = self.leader & ~_TAG | self.context & _TAG
+        """Distinct keys (48 bits, sorted), about how many distinct runs each has (255 at most), and which of them each half
+        has."""
+        key = self.key & ~_TAG | self.context[self.run] & _TAG
         order = np.argsort(key)
         key = key[order]
         leader = key >> np.uint64(16)
@@ -176,19 +201,49 @@ class Block:
         return leader[new], np.minimum(runs, 255).astype(np.uint8), which
 
     def several(self, found: np.ndarray, which: np.ndarray) -> np.ndarray:
-        """Whether two documents of the block have a leader."""
+        """Whether two documents of the block have a key."""
         low = np.full(len(found), np.iinfo(np.int64).max)
         high = np.full(len(found), -1)
-        np.minimum.at(low, which, self.doc)
-        np.maximum.at(high, which, self.doc)
+        doc = self.doc[self.run]
+        np.minimum.at(low, which, doc)
+        np.maximum.at(high, which, doc)
         return low < high
 
+    def units(self, shared: np.ndarray, many: np.ndarray) -> Units:
+        """What is shared of each run. shared, many: of each half, whether its key is shared and has very many runs."""
+        state = np.zeros((2, len(self.low)), np.int8)
+        answer = np.where(shared, 1 + many, 0)
+        state[0, self.run[: self.n_left]], state[1, self.run[self.n_left :]] = answer[: self.n_left], answer[self.n_left :]
+        most, span = state.max(axis=0), self.high - self.low
+        whole = (self.lefts == 0) | (self.lefts > span) | (state[0] == state[1])
+        one, left, right = np.flatnonzero(whole & (most > 0)), np.flatnonzero(~whole & (state[0] > 0)), np.flatnonzero(~whole & (state[1] > 0))
+        run = np.concatenate((one, left, right))
+        skipped = np.concatenate((np.zeros(len(one) + len(left), np.int64), self.lefts[right]))
+        stop = np.concatenate((span[one], self.lefts[left] - 1, span[right]))
+        kind = np.concatenate((most[one], state[0][left], state[1][right]))
+        return Units(self, self.leader[run], self.doc[run], self.at[run] + skipped, stop - skipped, self.lead[run] - skipped, kind == 2)
+
+
+@dataclass
+class Units:
+    """Strings of a block whose keys are shared: the leader and its place in the string, document, where it begins, windows
+    less one, and whether its key has very many runs."""
+
+    block: Block
+    leader: np.ndarray
+    doc: np.ndarray
+    at: np.ndarray
+    span: np.ndarray
+    lead: np.ndarray
+    many: np.ndarray
+
     def distinct(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of the given runs: themselves, in some order; which entry (distinct string) each belongs to; and per entry, sorted
-        by leader, the least document and a run of it."""
+        """Of the given units: themselves, in some order; which entry (distinct string) each belongs to; and per entry, sorted
+        by leader, the least document and a unit of it."""
         if not len(runs):
             return runs, runs, runs, runs
-        order, equal = equal_strings(self.data, self.at[runs], (self.high - self.low)[runs] + self.length, self.length)
+        length = self.block.length
+        order, equal = equal_strings(self.block.data, self.at[runs], self.span[runs] + length, length)
         runs = runs[order]
         heads = np.flatnonzero(~equal)
         least = np.minimum.reduceat(self.doc[runs], heads)
@@ -244,9 +299,9 @@ def _gathered(replies: dict, round_: int, kind: int, sizes: list[tuple[int, int]
 
 
 SENT = "part int, block int, kind int, blob binary"
-REPLY = "block int, round int, kind int, part int, blob binary"
+REPLY = "block int, round int, kind int, part int, blob binary, ones long"
 _SENT = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
-_REPLY = pa.schema([("block", pa.int32()), ("round", pa.int32()), ("kind", pa.int32()), ("part", pa.int32()), ("blob", pa.binary())])
+_REPLY = pa.schema([("block", pa.int32()), ("round", pa.int32()), ("kind", pa.int32()), ("part", pa.int32()), ("blob", pa.binary()), ("ones", pa.int64())])
 
 
 def _replies(table: pa.Table) -> dict:
@@ -263,6 +318,8 @@ class Rounds:
 
     def __init__(self, parts: int, id_col: str, text_col: str, length: int, block_col: str = "block") -> None:
         self.parts, self.id_col, self.text_col, self.length, self.block_col = parts, id_col, text_col, length, block_col
+        #: Turns of the second round, each for a range of parts; the first one also has all single windows.
+        self.turns = 1
 
     def block(self, table: pa.Table) -> Block:
         return Block(table, self.id_col, self.text_col, self.length)
@@ -279,7 +336,7 @@ class Rounds:
         return _rows(_SENT, [(p, number, 0, packed[a:b].tobytes() + runs[a:b].tobytes() + np.packbits(several[a:b]).tobytes()) for p, a, b in _runs_of(_part_of(found, 48, self.parts))])
 
     def reply_leaders(self, rows: list[dict]) -> Iterator[tuple]:
-        """Two kinds of bits for each leader sent: several documents have it; it has very many runs."""
+        """Two kinds of bits for each key sent: several documents have it; it has very many runs."""
         found, runs, several, sizes = [], [], [], []
         for r in rows:
             blob = r["blob"]
@@ -301,31 +358,34 @@ class Rounds:
         answer[0, order], answer[1, order] = (marked | (counts > 1))[of], (total > MANY)[of]
         for kind in range(2):
             for r, part in zip(rows, np.split(answer[kind], np.cumsum(sizes)[:-1]), strict=True):
-                yield r["block"], 1, kind, r["part"], np.packbits(part).tobytes()
+                yield r["block"], 1, kind, r["part"], np.packbits(part).tobytes(), int(part.sum())
 
-    def entries(self, block: Block, replies: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Block.distinct() of the runs whose leader is shared, and for each entry whether its leader has very many runs."""
+    def units(self, block: Block, replies: dict) -> Units:
         found, _, which = block.leaders()
         sizes = [(p, b - a) for p, a, b in _runs_of(_part_of(found, 48, self.parts))]
-        shared = _gathered(replies, 1, 0, sizes)
-        runs, entry, least, first = block.distinct(np.flatnonzero(shared[which]))
-        return runs, entry, least, first, _gathered(replies, 1, 1, sizes)[which[first]]
+        return block.units(_gathered(replies, 1, 0, sizes)[which], _gathered(replies, 1, 1, sizes)[which])
+
+    def entries(self, units: Units, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Units.distinct() of a turn's units, and for each entry whether its key has very many runs."""
+        of = _part_of(units.leader, 64, self.parts) * self.turns // self.parts
+        runs, entry, least, first = units.distinct(np.flatnonzero(np.where(units.many, 0, of) == turn))
+        return runs, entry, least, first, units.many[first]
 
     # round 2
-    def windows(self, block: Block, least: np.ndarray, first: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, ...]:
+    def windows(self, units: Units, least: np.ndarray, first: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, ...]:
         """Entries that are sent whole (sorted by leader); and of the others: entry of each window and which distinct window
         it is; and of the distinct ones, sorted by part, where the window is, its least document and its part."""
         whole, alone = np.flatnonzero(~many), np.flatnonzero(many)
         if not len(alone):
             return whole, alone, alone, alone, alone, alone
-        each = (block.high - block.low + 1)[first[alone]]
+        data, each = units.block.data, units.span[first[alone]] + 1
         of = np.repeat(alone, each)
-        at = np.repeat(block.at[first[alone]] - (np.cumsum(each) - each), each) + np.arange(each.sum())
-        order, same = sort_suffixes(block.data, at, self.length)
+        at = np.repeat(units.at[first[alone]] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+        order, same = sort_suffixes(data, at, self.length)
         number = np.cumsum(~same) - 1
         order = order[np.lexsort((least[of][order], number))]  # the least document of a window first
         heads = order[np.flatnonzero(~same)]
-        part = _part_of(window_hash(block.data, at[heads], self.length), 64, self.parts)
+        part = _part_of(window_hash(data, at[heads], self.length), 64, self.parts)
         by_part = np.argsort(part, kind="stable")
         rank = np.empty(len(heads), np.int64)
         rank[by_part] = np.arange(len(heads))
@@ -334,16 +394,17 @@ class Rounds:
         heads = heads[by_part]
         return whole, of, which, at[heads], least[of[heads]], part[by_part]
 
-    def send_windows(self, table: pa.Table, answers: pa.Table) -> pa.Table:
+    def send_windows(self, table: pa.Table, answers: pa.Table, turn: int = 0) -> pa.Table:
         if not table.num_rows:
             return _rows(_SENT, [])
         block, number, out = self.block(table), self.number(table), []
-        _, _, least, first, many = self.entries(block, _replies(answers))
-        whole, _, _, head_at, head_doc, part = self.windows(block, least, first, many)
+        units = self.units(block, _replies(answers))
+        _, _, least, first, many = self.entries(units, turn)
+        whole, _, _, head_at, head_doc, part = self.windows(units, least, first, many)
         runs = first[whole]
-        at, stop = block.at[runs], block.at[runs] + (block.high - block.low)[runs] + self.length
-        for p, a, b in _runs_of(_part_of(block.leader[runs], 64, self.parts)):
-            out.append((p, number, 0, self._packed(block.raw, at[a:b], stop[a:b], block.ids[least[whole[a:b]]], block.lead[runs[a:b]])))
+        at, stop = units.at[runs], units.at[runs] + units.span[runs] + self.length
+        for p, a, b in _runs_of(_part_of(units.leader[runs], 64, self.parts)):
+            out.append((p, number, 0, self._packed(block.raw, at[a:b], stop[a:b], block.ids[least[whole[a:b]]], units.lead[runs[a:b]])))
         for p, a, b in _runs_of(part):
             out.append((p, number, 1, self._packed(block.raw, head_at[a:b], head_at[a:b] + self.length, block.ids[head_doc[a:b]], np.zeros(b - a))))
         return _rows(_SENT, out)
@@ -371,7 +432,7 @@ class Rounds:
                 counts.append(int((sizes[-1] - self.length + 1).sum()))
             repeated = self._repeated(np.concatenate(ids), np.concatenate(sizes), np.concatenate(lead), np.frombuffer(b"".join(texts) + bytes(8), np.uint8), kind == 1)
             for r, part in zip(mine, np.split(repeated, np.cumsum(counts)[:-1]), strict=True):
-                yield r["block"], 2, r["kind"], r["part"], np.packbits(part).tobytes()
+                yield r["block"], 2, r["kind"], r["part"], np.packbits(part).tobytes(), int(part.sum())
 
     def _repeated(self, ids: np.ndarray, sizes: np.ndarray, lead: np.ndarray, data: np.ndarray, single: bool) -> np.ndarray:
         """For each window of the strings, whether a string of a smaller id has it."""
@@ -408,37 +469,42 @@ class Rounds:
 
     def removed(self, block: Block, replies: dict) -> list[np.ndarray]:
         """For each document of the block, which of its bytes go."""
-        runs, entry, least, first, many = self.entries(block, replies)
-        whole, of, which, _, head_doc, part = self.windows(block, least, first, many)
-        each = (block.high - block.low + 1)[first]
+        units, edge = self.units(block, replies), np.zeros(len(block.raw) + 1, np.int32)
+        for turn in range(self.turns):  # as they were sent
+            self._removed(units, replies, turn, edge)
+        covered = np.cumsum(edge) > 0
+        # windows of pieces of one long text meet in the text
+        out = [np.zeros(len(t), bool) for t in block.texts]
+        for doc, offset, start, n in block.pieces:
+            out[doc][offset : offset + n] |= covered[start : start + n]
+        return out
+
+    def _removed(self, units: Units, replies: dict, turn: int, edge: np.ndarray) -> None:
+        """Adds to edge where windows of a turn that go begin and end."""
+        runs, entry, least, first, many = self.entries(units, turn)
+        whole, of, which, _, head_doc, part = self.windows(units, least, first, many)
+        each = units.span[first] + 1
         flags = np.zeros(int(each.sum()), bool)  # of the windows of all entries, whether a smaller document has them
         begin = np.cumsum(each) - each
         if len(whole):
-            sizes = [(p, int(each[whole[a:b]].sum())) for p, a, b in _runs_of(_part_of(block.leader[first[whole]], 64, self.parts))]
+            sizes = [(p, int(each[whole[a:b]].sum())) for p, a, b in _runs_of(_part_of(units.leader[first[whole]], 64, self.parts))]
             own = each[whole]
             flags[np.repeat(begin[whole] - (np.cumsum(own) - own), own) + np.arange(own.sum())] = _gathered(replies, 2, 0, sizes)
         if len(of):
             bits = _gathered(replies, 2, 1, [(p, b - a) for p, a, b in _runs_of(part)])
             own = each[many]
             flags[np.repeat(begin[many] - (np.cumsum(own) - own), own) + np.arange(own.sum())] = bits[which] | (least[of] > head_doc[which])  # a smaller document of the block counts too
-        later = block.doc[runs] > least[entry]  # a smaller document of the block has the run
-        edge = np.zeros(len(block.raw) + 1, np.int32)
-        at, span = block.at[runs[later]], (block.high - block.low)[runs[later]]
+        later = units.doc[runs] > least[entry]  # a smaller document of the block has the string
+        at, span = units.at[runs[later]], units.span[runs[later]]
         np.add.at(edge, at, 1)
         np.add.at(edge, at + span + self.length, -1)
         rest = np.flatnonzero(~later)
         own = each[entry[rest]]
         shift = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
         gone = flags[np.repeat(begin[entry[rest]], own) + shift]
-        at = (np.repeat(block.at[runs[rest]], own) + shift)[gone]
+        at = (np.repeat(units.at[runs[rest]], own) + shift)[gone]
         np.add.at(edge, at, 1)
         np.add.at(edge, at + self.length, -1)
-        covered = np.cumsum(edge) > 0
-        # windows of pieces of one long text meet in the text
-        out = [np.zeros(len(t), bool) for t in block.texts]
-        for doc, offset, start, n in block.pieces:
-            out[doc][offset : offset + n] |= covered[start : start + n]
-        return out
 
 
 def _reduce(work: Callable[[list[dict]], Iterator[tuple]]) -> Callable:
@@ -476,6 +542,11 @@ def _in_blocks(docs: DataFrame, id_col: str, text_col: str, block_col: str) -> t
     return table, total
 
 
+def _turns(shared: int, total: int, parts: int) -> int:
+    """In how many turns strings are sent: so many that none sends much more than TURN_SHARE of the text's bytes."""
+    return max(1, min(parts, ceil(shared * SENT_EACH / max(1.0, TURN_SHARE * total))))
+
+
 def repeats(docs: DataFrame, finish: Callable[[Block, list[np.ndarray], pa.Table, str], pa.Table], schema: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """finish(block, removed bytes of each of its documents, its rows, its block column) for every block, as rows of the schema."""
     spark = docs.sparkSession
@@ -489,8 +560,13 @@ def repeats(docs: DataFrame, finish: Callable[[Block, list[np.ndarray], pa.Table
         dealt = sent.repartitionById(min(parts, BUCKETS), F.col("part")).sortWithinPartitions("part", "block", "kind")
         return written(dealt.mapInArrow(_reduce(work), REPLY), "replies")
 
-    replies = exchanged(slim.applyInArrow(lambda rows: rounds.send_leaders(rows), SENT), rounds.reply_leaders)
-    replies = replies.union(exchanged(slim.cogroup(replies.groupBy("block")).applyInArrow(lambda rows, answers: rounds.send_windows(rows, answers), SENT), rounds.reply_windows))
+    def send(turn: int) -> Callable:
+        return lambda rows, answers: rounds.send_windows(rows, answers, turn)
+
+    first = replies = exchanged(slim.applyInArrow(lambda rows: rounds.send_leaders(rows), SENT), rounds.reply_leaders)
+    rounds.turns = _turns(first.where("kind = 0").agg(F.sum("ones")).first()[0] or 0, total, parts)
+    for turn in range(rounds.turns):
+        replies = replies.union(exchanged(slim.cogroup(first.groupBy("block")).applyInArrow(send(turn), SENT), rounds.reply_windows))
 
     def last(table: pa.Table, answers: pa.Table) -> pa.Table:
         block = rounds.block(table)

@@ -122,3 +122,51 @@ def test_parts_of_a_block_are_few_rows(spark):
     table = pa.table({"doc_id": [1, 2], "text": ["a rather short text of some words " * 3, "another text " * 9], "block": pa.array([0, 0], pa.int32())})
     few, many = (m.Rounds(parts, "doc_id", "text", m.LENGTH).send_leaders(table) for parts in (3, 1 << 20))
     assert many.num_rows <= sum(len(b) // 7 for b in few.column("blob").to_pylist())
+
+
+def sent_and_removed(rows: list[tuple], turns: int, parts: int = 3):
+    """Bytes that are sent in each turn of the second round, and the removed bytes of each (id, text), over four blocks."""
+    import pyarrow as pa
+
+    rounds = m.Rounds(parts, "doc_id", "text", m.LENGTH)
+    rounds.turns = turns
+    table = pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": [r[1] for r in rows]})
+    number = np.array([0 if i is None else i % 4 for i, _ in rows])
+    blocks = [table.filter(pa.array(number == b)).append_column("block", pa.array([b] * int((number == b).sum()), pa.int32())) for b in range(4)]
+    mine = lambda held, b: held.filter(pa.array([x == b.column("block")[0].as_py() for x in held.column("block").to_pylist()], pa.bool_()))
+    reply = lambda sent, work: pa.Table.from_batches(list(m._reduce(work)(iter(sent.sort_by([("part", "ascending"), ("block", "ascending"), ("kind", "ascending")]).to_batches()))), m._REPLY)
+    first = replies = reply(pa.concat_tables([rounds.send_leaders(b) for b in blocks]), rounds.reply_leaders)
+    bytes_of = []
+    for turn in range(turns):
+        sent = pa.concat_tables([rounds.send_windows(b, mine(first, b), turn) for b in blocks])
+        bytes_of.append(sum(len(x) for x in sent.column("blob").to_pylist()))
+        replies = pa.concat_tables([replies, reply(sent, rounds.reply_windows)])
+    out = {}
+    for b in blocks:
+        block = rounds.block(b)
+        out |= {(i, text): gone for i, text, gone in zip(block.ids.tolist(), block.texts, rounds.removed(block, m._replies(mine(replies, b))), strict=True)}
+    return bytes_of, out
+
+
+@pytest.mark.parametrize(("seed", "many", "turns"), [(11, 4096, 5), (12, 2, 3), (13, 4096, 1)])
+def test_turns_remove_the_same_bytes_and_bound_what_is_sent(monkeypatch, seed, many, turns):
+    monkeypatch.setattr(m, "MANY", many)
+    rows = [(k * 1000 + i, t) for k in range(3) for i, t in corpus(seed) if i is not None]
+    want = brute(rows)
+    sent, found = sent_and_removed(rows, turns, 50)
+    assert found.keys() == want.keys() and all((found[k] == want[k]).all() for k in want)
+    if many > 1000 and turns > 1:
+        assert max(sent) < sum(sent) / 2
+
+
+def test_what_is_shared_by_chance_is_not_sent():
+    """Documents that share many 16-byte strings, but none of 33: nothing repeats, and nothing is sent after the keys."""
+    rng = random.Random(3)
+    phrases = ["".join(rng.choice("abcdefgh") for _ in range(26)) for _ in range(12)]
+    rows = [(i, "".join(rng.choice(phrases) + f"{i:03}{k:04}" for k in range(60))) for i in range(40)]
+    sent, found = sent_and_removed(rows, 1)
+    assert sent == [0] and not any(g.any() for g in found.values())
+
+
+def test_turns_follow_what_is_shared():
+    assert (m._turns(0, 0, 48), m._turns(10, 10_000, 48), m._turns(1000, 10_000, 48), m._turns(10**6, 10_000, 48)) == (1, 1, 6, 48)
