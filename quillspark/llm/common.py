@@ -62,6 +62,13 @@ def clear(spark: SparkSession, paths: list[str] | None = None) -> None:
         _made.remove(path)
 
 
+def clear_unread(df: DataFrame, older: list[str]) -> DataFrame:
+    """df; the folders made since `older` was taken that df doesn't read are removed. What they served has been written."""
+    read = {path.rsplit("/", 2)[-2] for path in df.inputFiles()}
+    clear(df.sparkSession, [path for path in made() if path not in older and path.rsplit("/", 1)[-1] not in read])
+    return df
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """The names, each with as many underscores in front as it takes to clash with no column of df."""
     held, out = {c.lower() for c in df.columns}, []

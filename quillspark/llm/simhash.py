@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from quillspark.llm import near_copies
-from quillspark.llm.common import as_bytes, by_slice, fresh, partitions, written
+from quillspark.llm.common import as_bytes, by_slice, clear_unread, fresh, made, partitions, written
 from quillspark.llm.components import components
 from quillspark.llm.near_copies import ROWS_EACH, by_key, gathered
 
@@ -240,7 +240,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """One row of each component, with all its columns: that of the smallest id, null ids last, and among rows of that id
     the first by a hash of the text. Besides near_duplicates' links, texts of like sets of 5-word shingles (near_copies)
-    are linked. Rows are told apart by id and text, so that ids may be null or repeated."""
+    are linked. Rows are told apart by id and text, so that ids may be null or repeated. Of the tables that were written on
+    the way, only those stay that the result reads."""
+    older = made()
     # ids as a pair without nulls; single columns at the end, since a struct is cast, and so dealt out again, for a join
     key = F.struct(F.col(id_col).isNull().alias("none"), F.coalesce(F.col(id_col), F.lit(0).cast(docs.schema[id_col].dataType)).alias("id"), F.xxhash64(text_col).alias("hash"))
     named = docs.select(key.alias("key"), F.col(text_col).alias("text"))
@@ -295,4 +297,4 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     order = F.row_number().over(Window.partitionBy(*own).orderBy(text_col))
     keyed = docs.select("*", key.alias(nth)).select(*(F.col(f"`{c}`") for c in docs.columns), *(F.col(f"{nth}.{part}").alias(name) for part, name in zip(("none", "id", "hash"), own, strict=True)))
     first = keyed.withColumn(nth, order).where(F.col(nth) == 1)  # cut by a group limit before the exchange
-    return first.join(heads, own, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return clear_unread(first.join(heads, own, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns)), older)

@@ -258,3 +258,16 @@ def test_filter_keeps_columns_of_any_name(spark):
     kept = m.keep_first(docs)
     assert kept.columns == docs.columns
     assert sorted((r["doc_id"] or 0, r["_id"], r["key"], r["nth"], r["fp"]) for r in kept.collect()) == [(0, 1, 2, 2, 4), (1, 7, 8, 2, 4)]
+
+
+def test_filter_leaves_only_tables_that_its_result_reads(spark):
+    from quillspark.llm.common import made
+
+    rng = random.Random(8)
+    base = [" ".join(rng.choice("abcdefghij") * rng.randint(1, 4) for _ in range(60)) for _ in range(20)]
+    docs = written(spark.createDataFrame([(i, base[i % 20] + (" z" if i % 3 == 0 else "")) for i in range(60)], "doc_id long, text string"), "docs")
+    older = made()
+    kept = m.keep_first(docs)
+    read, left = {path.rsplit("/", 2)[-2] for path in kept.inputFiles()}, {path.rsplit("/", 1)[-1] for path in made() if path not in older}
+    assert left and left <= read and set(older) <= set(made())
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(20))
