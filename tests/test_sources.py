@@ -193,3 +193,26 @@ def test_service_stream_ends_with_yesterday():
     assert api._StreamReader({"start": "2999-01-01"}, []).latestOffset() == {"day": "2999-01-01"}
     assert [(r.first, r.last) for r in reader.partitions({"day": "2024-01-30"}, {"day": "2024-02-02"})] == [(d, d) for d in ("2024-01-30", "2024-01-31", "2024-02-01")]
     assert reader.partitions({"day": "2024-01-30"}, {"day": "2024-01-30"}) == []
+
+
+def test_pages_of_a_range_are_one_pass_over_the_store(spark, tmp_path, monkeypatch):
+    import pyarrow.dataset
+
+    from quillspark.plans import services
+    from quillspark.tables import new_path
+
+    days = [f"2024-01-{d:02}" for d in (3, 1, 2)]
+    rows = [(k * 7 % 300, dt.datetime.fromisoformat(days[k % 3]), "FO"[k % 2]) for k in range(300)]
+    spark.createDataFrame(rows, "o_orderkey long, o_orderdate timestamp_ntz, o_orderstatus string").repartition(3).write.parquet(str(tmp_path / "orders.parquet"))
+    store, passes, whole = services._store(spark, str(tmp_path)), [], pyarrow.dataset.dataset
+    monkeypatch.setattr(pyarrow.dataset, "dataset", lambda *a, **k: passes.append(1) or whole(*a, **k))
+    options = {"fetch": "quillspark.plans.services:orders", "limit": "10", "with.table": store}
+    want = sorted((d.date().isoformat(), i, s) for i, d, s in rows)
+    got = list(api.pages(options, ["day", "o_orderkey", "status"], api.Range("2024-01-01", "2024-01-31"), {}))
+    assert got == want and len(passes) == 1
+    assert list(api.pages(options, ["day", "o_orderkey", "status"], api.Range("2024-01-02", "2024-01-02"), {"status": "F"})) == [x for x in want if x[0] == "2024-01-02" and x[2] == "F"]
+    page = lambda at: [r["o_orderkey"] for r in services.orders("2024-01-01", "2024-01-31", at, 10, store)]
+    assert [page(at) for at in (50, 50, 0, 290, 300, 10)] == [[x[1] for x in want[at : at + 10]] for at in (50, 50, 0, 290, 300, 10)]
+    empty = new_path(spark)
+    spark.createDataFrame([], "o_orderkey long, day string, status string").write.parquet(empty)
+    assert services.orders("2024-01-01", "2024-01-31", 0, 10, empty) == []
