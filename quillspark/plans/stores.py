@@ -118,7 +118,7 @@ def json_array_sink(spark, sf_dir):
     rows, path = read(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars", "text"), f"{folder(spark)}/all.json"
     for part in (rows.where("doc_id % 2 = 0"), rows):
         part.write.format("whole_file").option("path", path).mode("overwrite").save()
-    return spark.read.schema(rows.schema).option("multiLine", True).json(path)
+    return whole_file.json_elements(spark, path, rows.schema)
 
 
 @book.add("""

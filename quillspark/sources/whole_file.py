@@ -24,8 +24,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark import TaskContext
-from pyspark.sql import Row
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.types import StructType
 
 BLOCK = 8 << 20
 #: What stands before, between and behind the elements.
@@ -125,5 +127,12 @@ class WholeFile(DataSource):
         return _Writer(dict(self.options), schema.fieldNames(), overwrite)
 
 
+def json_elements(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The elements of an array that this sink wrote with the layout's own marks. Each is a line, so many tasks read a file,
+    none of them whole: Spark's own reader of an array holds all its elements in one task."""
+    lines = spark.read.text(path, lineSep="\n").where(F.col("value").startswith("{"))
+    return lines.select(F.from_json(F.rtrim("value", F.lit(",")), schema).alias("element")).select("element.*")
+
+
 def register(spark) -> None:
     spark.dataSource.register(WholeFile)

@@ -77,3 +77,31 @@ def test_texts_with_head_and_tail(spark, tmp_path):
     with pytest.raises(Exception):  # noqa: B017
         df.write.format("whole_file").option("path", str(path)).mode("append").save()
     assert path.read_text() == "HEAD\na\nb\nTAIL\n"
+
+
+def test_elements_are_read_by_many_tasks(spark, tmp_path):
+    odd = ["", None, "a,", "},", "]", "[", "{", " \r\n", "\u2028x\x85", '"', "\\", "é" * 3000, "\x00"]
+    rows = spark.createDataFrame([(i, odd[i % len(odd)], [i, None], dt.date(2024, 2, 29)) for i in range(130)], "i long, t string, a array<long>, d date").repartition(5)
+    save(rows, tmp_path / "all.json")
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        back = m.json_elements(spark, str(tmp_path / "all.json"), rows.schema)
+        assert back.rdd.getNumPartitions() > 4
+        assert sorted(back.collect()) == sorted(rows.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    save(rows.limit(0), tmp_path / "none.json")
+    assert m.json_elements(spark, str(tmp_path / "none.json"), rows.schema).count() == 0
+
+
+def test_query_reads_its_array_in_parts(spark):
+    """As one array of several megabytes, one task would hold all its elements."""
+    from quillspark.plans import stores
+
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        assert stores.json_array_sink(spark, "/root/testdata/sf0.01").rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
