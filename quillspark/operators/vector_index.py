@@ -1,8 +1,10 @@
 """An inverted-file index of vectors for cosine similarity.
 
 Coarse centroids are fitted by k-means over a sample; each vector is written to the list of its nearest centroid, one folder
-a list, so that a search reads the lists it probes and nothing else. Queries are joined with lists by equality and ranked
-exactly within what they probe; probing all lists is the exact search.
+a list, so that a search reads the lists it probes and nothing else. Queries and lists meet as blocks, by an equality join,
+and are ranked exactly within what they probe; probing all lists is the exact search. Pairs of blocks are compared by a
+product of matrices, which leaves out what can't be among the n best; the others' similarities are summed in order, as an
+expression over the pair would.
 
 Centroids are the only model that the driver holds: at most MOST_LISTS of them, and CENTROID_BYTES in all. The sample has
 about `per_list` rows for each list. How many lists a search probes is set when the index is built: so many that, in the
@@ -18,16 +20,21 @@ written, and searches read those side by side.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass
+from decimal import ROUND_HALF_UP, Decimal
 from math import ceil
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute
+from pyspark import TaskContext
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import FloatType, StructType
 
 from quillspark.functions.vectors import dot
 from quillspark.tables import written
@@ -36,6 +43,10 @@ from quillspark.tables import written
 MOST_LISTS, CENTROID_BYTES, PER_LIST, CALIBRATORS = 16_384, 128 << 20, 128, 64
 #: Lists that a search names in its filter, at most: beyond them the join alone prunes.
 MOST_NAMED = 4096
+#: Lists are dealt by their number into GROUPS, blocks of a group into SLOTS, so that a list of most rows isn't one task.
+GROUPS, SLOTS = 4, 16
+#: Rows of a block of queries and of a block of vectors; pairs whose exact similarity is computed at a time.
+ASKED_ROWS, HELD_ROWS, PAIRS = 1024, 4096, 1 << 16
 
 
 def has_direction(vector: Column, width: int) -> Column:
@@ -53,6 +64,8 @@ def nearest_lists(vector: Column, centroids: np.ndarray, n: int) -> Column:
         if not len(column):
             return column
         near = np.stack(column.to_numpy()).astype(np.float64) @ unit.T
+        if n == 1:
+            return pd.Series(list(np.argmax(near, axis=1).astype(np.int32)[:, None]))
         return pd.Series(list(np.argsort(-near, axis=1, kind="stable")[:, :n].astype(np.int32)))
 
     return ranked(vector)
@@ -68,6 +81,120 @@ def _similarity(digits: int) -> Column:
     return F.round(dot(F.col("_vector"), F.col("_asked")) / (F.col("_norm") * F.col("_asked_norm")), digits).alias("similarity")
 
 
+def _numbers(column: pa.Array, width: int) -> np.ndarray:
+    """The vectors of a list column without nulls, as a matrix."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def _list_of(values: pa.Array) -> pa.Array:
+    """A list column of one row."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def _asked_blocks(width: int, many: int, probed: bool) -> Callable:
+    """For mapInArrow over (_query, _asked, _asked_norm, lists): blocks of queries for each group that one of their lists is
+    in (all groups, if they probe all lists) and each of its slots. probes: bits of a query and the group's lists."""
+    groups = min(GROUPS, many)
+
+    def run(batches):
+        for batch in batches:
+            vectors, norms = _numbers(batch.column(1), width), batch.column(2).to_numpy()
+            asks = np.zeros((batch.num_rows, many), bool)
+            if probed:
+                asks[np.repeat(np.arange(batch.num_rows), batch.column(3).value_lengths().to_numpy()), batch.column(3).flatten().to_numpy()] = True
+            for group in range(groups):
+                own = asks[:, group::groups]
+                rows = np.flatnonzero(own.any(axis=1)) if probed else np.arange(batch.num_rows)
+                for at in range(0, len(rows), ASKED_ROWS):
+                    some = rows[at : at + ASKED_ROWS]
+                    ids = _list_of(batch.column(0).take(pa.array(some)))
+                    blobs = [np.ascontiguousarray(x).tobytes() for x in (vectors[some], norms[some], np.packbits(own[some], axis=1))]
+                    for slot in range(SLOTS):
+                        yield pa.RecordBatch.from_arrays([pa.array([group * SLOTS + slot], pa.int32()), ids, *(pa.array([x], pa.binary()) for x in blobs)], ["lane", "queries", "asked", "asked_norms", "probes"])
+
+    return run
+
+
+def _held_blocks(width: int, many: int) -> Callable:
+    """For mapInArrow over (list, _key, _kept, _vector, _norm): blocks of vectors of a group's lists, in one of its slots each."""
+    groups = min(GROUPS, many)
+
+    def run(batches):
+        slot = TaskContext.get().partitionId()
+        for batch in batches:
+            lists, vectors, norms = batch.column(0).to_numpy(), _numbers(batch.column(3), width), batch.column(4).to_numpy()
+            order = np.lexsort((lists, lists % groups))
+            for rows in np.split(order, np.flatnonzero(np.diff(lists[order] % groups)) + 1):
+                for at in range(0, len(rows), HELD_ROWS):
+                    some = rows[at : at + HELD_ROWS]
+                    slot += 1
+                    lane = int(lists[some[0]] % groups) * SLOTS + slot % SLOTS
+                    held = [_list_of(batch.column(i).take(pa.array(some))) for i in (1, 2)]
+                    blobs = [np.ascontiguousarray(x).tobytes() for x in (lists[some].astype(np.int32), vectors[some], norms[some])]
+                    yield pa.RecordBatch.from_arrays([pa.array([lane], pa.int32()), *held, *(pa.array([x], pa.binary()) for x in blobs)], ["lane", "keys", "kept", "lists", "held", "norms"])
+
+    return run
+
+
+def rounded(x: np.ndarray, digits: int) -> np.ndarray:
+    """As Spark rounds doubles: their shortest decimal form, halves away from zero."""
+    scaled = x * 10.0**digits
+    out = np.rint(scaled) / 10.0**digits
+    for i in np.flatnonzero(np.abs(np.abs(scaled - np.trunc(scaled)) - 0.5) < 1e-6):
+        out[i] = float(Decimal(repr(float(x[i]))).quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP))
+    return out
+
+
+def _found(asked: np.ndarray, asked_norms: np.ndarray, held: np.ndarray, norms: np.ndarray, keys: np.ndarray, n: int, digits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, vector, similarity): the n best of each query by rounded similarity and key. Products of matrices differ
+    from sums in order by far less than the last digit, so what lies more than that below the n-th best is out."""
+    near = (asked / asked_norms[:, None]) @ (held / norms[:, None]).T
+    near[np.isnan(near)] = np.inf  # a NaN is above all numbers
+    least = np.partition(near, -n, axis=1)[:, -n] if n < near.shape[1] else np.full(len(near), -np.inf)
+    a, b = np.nonzero(near >= (least - 1.1 * 10.0**-digits)[:, None])
+    exact = np.zeros(len(a))
+    for at in range(0, len(a), PAIRS):
+        part = slice(at, at + PAIRS)
+        x, y = held[b[part]], asked[a[part]]
+        for k in range(held.shape[1]):
+            exact[part] += x[:, k] * y[:, k]
+    exact /= norms[b] * asked_norms[a]
+    order = np.lexsort((keys[b], -np.where(np.isnan(exact), np.inf, rounded(exact, digits)), a))
+    first = np.flatnonzero(np.diff(a[order], prepend=-1))
+    place = np.arange(len(a)) - np.repeat(first, np.diff(np.append(first, len(a))))
+    best = order[place < n]
+    return a[best], b[best], exact[best]
+
+
+def _scored(width: int, many: int, probed: bool, kinds: tuple[str, str], n: int, digits: int) -> Callable:
+    """For mapInArrow over joined blocks: (_query, _key, _kept, similarity) of the n best of each query in each pair of
+    blocks. kinds: of the numbers of queries' vectors and of the others."""
+    groups = min(GROUPS, many)
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                queries, keys, kept = (batch.column(k)[i].values for k in (0, 1, 2))
+                asked_norms, norms = (np.frombuffer(batch.column(k)[i].as_py(), np.float64) for k in (3, 4))
+                asked, held = (np.frombuffer(batch.column(k)[i].as_py(), kind).reshape(-1, width).astype(np.float64) for k, kind in zip((5, 6), kinds, strict=True))
+                lists = np.frombuffer(batch.column(7)[i].as_py(), np.int32)
+                rank = np.empty(len(keys), np.int64)
+                rank[pa.compute.array_sort_indices(keys, null_placement="at_start").to_numpy()] = np.arange(len(keys))
+                parts = [(np.arange(len(asked)), np.arange(len(held)))]
+                if probed:
+                    bits = np.frombuffer(batch.column(8)[i].as_py(), np.uint8).reshape(len(asked), -1)
+                    asks = np.unpackbits(bits, axis=1, count=len(range(int(lists[0]) % groups, many, groups))).astype(bool)
+                    parts = [(np.flatnonzero(asks[:, l // groups]), np.flatnonzero(lists == l)) for l in np.unique(lists)]
+                for a, b in parts:
+                    if not len(a):
+                        continue
+                    x, y, similarity = _found(asked[a], asked_norms[a], held[b], norms[b], rank[b], n, digits)
+                    x, y = pa.array(a[x]), pa.array(b[y])
+                    yield pa.RecordBatch.from_arrays([queries.take(x), keys.take(y), kept.take(y), pa.array(similarity)], ["_query", "_key", "_kept", "similarity"])
+
+    return run
+
+
 @dataclass
 class VectorIndex:
     spark: SparkSession
@@ -87,15 +214,27 @@ class VectorIndex:
         """query, key, kept columns, similarity, rank: the n most similar of each query, from its `probes` nearest lists
         (default: the index's own number; len(centroids): all, which is exact)."""
         probes = min(self.probes if probes is None else probes, len(self.centroids))
+        many, lists = len(self.centroids), self.table()
         asked = queries.where(has_direction(F.col(vector), self.width)).select(F.col(key).alias("_query"), F.col(vector).alias("_asked"), F.sqrt(dot(F.col(vector), F.col(vector))).alias("_asked_norm"))
-        lists = self.table()
-        if probes < len(self.centroids):
-            asked = written(asked.select("*", F.explode(nearest_lists(F.col("_asked"), self.centroids, probes)).alias("list")), "probes")
-            named = [r[0] for r in asked.select("list").distinct().limit(MOST_NAMED + 1).collect()]
+        probed = probes < many
+        if probed:
+            asked = written(asked.select("*", nearest_lists(F.col("_asked"), self.centroids, probes).alias("lists")), "probes")
+            named = [r[0] for r in asked.select(F.explode("lists").alias("list")).distinct().limit(MOST_NAMED + 1).collect()]
             lists = lists.where(F.col("list").isin(named)) if len(named) <= MOST_NAMED else lists
         else:
-            asked = asked.select("*", F.explode(F.sequence(F.lit(0), F.lit(len(self.centroids) - 1))).alias("list"))
-        pairs = asked.join(lists, "list").select("_query", "_key", *(F.col(f"_kept.{c}").alias(c) for c in keep), _similarity(digits))
+            asked = asked.withColumn("lists", F.lit(None).cast("array<int>"))
+        single = [isinstance(rows.schema[c].dataType.elementType, FloatType) for rows, c in ((asked, "_asked"), (lists, "_vector"))]
+        numbers = lambda c, is_single: F.col(c) if is_single else F.col(c).cast("array<double>").alias(c)
+        asked = asked.select("_query", numbers("_asked", single[0]), "_asked_norm", "lists")
+        lists = lists.select("list", "_key", "_kept", numbers("_vector", single[1]), "_norm")
+        kind = {c: rows.schema[c].dataType.simpleString() for rows, c in ((asked, "_query"), (lists, "_key"), (lists, "_kept"))}
+        lanes = min(GROUPS, many) * SLOTS
+        asks = asked.mapInArrow(_asked_blocks(self.width, many, probed), f"lane int, queries array<{kind['_query']}>, asked binary, asked_norms binary, probes binary").repartition(lanes, "lane")
+        held = lists.mapInArrow(_held_blocks(self.width, many), f"lane int, keys array<{kind['_key']}>, kept array<{kind['_kept']}>, lists binary, held binary, norms binary").repartition(lanes, "lane")
+        both = held.join(asks, "lane").select("queries", "keys", "kept", "asked_norms", "norms", "asked", "held", "lists", "probes")
+        kinds = tuple("<f4" if x else "<f8" for x in single)
+        pairs = both.mapInArrow(_scored(self.width, many, probed, kinds, n, digits), f"_query {kind['_query']}, _key {kind['_key']}, _kept {kind['_kept']}, similarity double")
+        pairs = pairs.select("_query", "_key", *(F.col(f"_kept.{c}").alias(c) for c in keep), F.round("similarity", digits).alias("similarity"))
         return _ranked(pairs, n).select(F.col("_query").alias("query"), F.col("_key").alias("key"), *keep, "similarity", "rank")
 
     def recall(self, queries: DataFrame, key: str, vector: str, n: int = 10, probes: int | None = None) -> DataFrame:

@@ -111,3 +111,36 @@ def test_float_vectors(spark, tmp_path):
     df = spark.range(40).select("id", F.array(*(F.sin(F.col("id") * (k + 1)).cast("float") for k in range(8))).alias("v"))
     index = m.build(df, "id", "v", str(tmp_path), 8, lists=3)
     assert index.search(df.where("id = 7"), "id", "v", 1).first()["key"] == 7
+
+
+def test_rounds_as_spark_does(spark):
+    rng = random.Random(5)
+    values = [rng.uniform(-1, 1) for _ in range(2000)] + [k / 10**7 for k in range(-2005, 2006, 5)] + [0.1234565, 0.9999995, -0.0000005, 1.0, 0.0]
+    want = [r[1] for r in spark.createDataFrame(list(enumerate(values)), "i int, x double").select("i", F.round("x", 6)).orderBy("i").collect()]
+    assert m.rounded(np.array(values), 6).tolist() == want
+
+
+def test_pairs_meet_as_blocks(spark, tmp_path, monkeypatch):
+    """Similarity isn't computed for each joined row, blocks of any size give the same, and ties go to the smaller key."""
+    rng = random.Random(6)
+    vectors = clustered(rng, 400, 8, 6)
+    rows = [(i, [float(int(a * 4)) or 1.0 for a in vectors[i % 250]]) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, v array<double>").repartition(3)
+    index = m.build(df, "id", "v", str(tmp_path), 6, lists=9)
+    found = index.search(df.where("id % 5 = 0"), "id", "v", 7, 9)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join [lane" in plan and "NestedLoop" not in plan
+    exact = found.orderBy("query", "rank").collect()
+    assert {(r["query"], r["key"]) for r in exact} == brute(rows, [r for r in rows if r[0] % 5 == 0], 7)
+    for r, s in zip(exact, exact[1:]):
+        assert r["query"] != s["query"] or (-r["similarity"], r["key"]) < (-s["similarity"], s["key"])
+    near = index.search(df.where("id % 5 = 0"), "id", "v", 7, 3).collect()
+    lists = dict(df.select("id", F.get(m.nearest_lists(F.col("v"), index.centroids, 1), F.lit(0))).collect())
+    probed = dict(df.select("id", m.nearest_lists(F.col("v"), index.centroids, 3)).collect())
+    for q, v in rows[::5]:
+        assert {r["key"] for r in near if r["query"] == q} == {k for _, k in brute([r for r in rows if lists[r[0]] in probed[q]], [(q, v)], 7)}
+    monkeypatch.setattr(m, "ASKED_ROWS", 5)
+    monkeypatch.setattr(m, "HELD_ROWS", 11)
+    monkeypatch.setattr(m, "GROUPS", 2)
+    assert index.search(df.where("id % 5 = 0"), "id", "v", 7, 9).orderBy("query", "rank").collect() == exact
+    assert sorted(index.search(df.where("id % 5 = 0"), "id", "v", 7, 3).collect()) == sorted(near)
